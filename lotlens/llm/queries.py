@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotlens.llm import decontam, langid, lines, packing, simhash
+from lotlens.llm import decontam, langid, lines, packing, quality, simhash, toxicity
 from lotlens.runtime import table
 
 
@@ -32,6 +32,20 @@ def _fold(n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.learn(docs.where(_fold(5) != 0), table(spark, sf_dir, "labels"))
+    found = toxicity.classify(docs.withColumn("held_out", _fold(5) == 0), model)
+    return found.select("doc_id", "held_out", "score", "predicted", "flagged")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs.where(_fold(4) != 2), table(spark, sf_dir, "labels"))
+    found = quality.classify(docs.withColumn("held_out", _fold(4) == 2), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.learn(docs.where(_fold(4) != 2))
@@ -40,10 +54,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
+    "op10_quality": op10_quality,
 }
 
 _TRIM = r"regexp_replace(regexp_replace({}, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
