@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotlens.llm import decontam, langid, lines, packing, quality, simhash, toxicity
+from lotlens.llm import chat, decontam, langid, lines, media, packing, quality, simhash, toxicity, urls
 from lotlens.runtime import table
 
 
@@ -23,6 +26,45 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
 
 
+#: (host, path, verdict)
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+#: Pages on these hosts make the list of canonical URLs.
+LISTED_HOSTS = r"^(www\.|m\.|blog\.)?(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urls.host_of(F.col("url")).rlike(LISTED_HOSTS)).select(urls.canonical(F.col("url")).alias("canonical_url"))
+    return urls.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    found = chat.conversations(chat.as_tree(said.unionByName(extra)))
+
+    @F.arrow_udf("struct<n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long>")
+    def read(formatted: pa.Array, loss: pa.Array) -> pa.Array:
+        names = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+        rows = []
+        for text, spans in zip(formatted.to_pylist(), loss.to_pylist(), strict=True):
+            turns, trained = chat.read_back(text, [(x["start"], x["end"]) for x in spans])
+            whole, under = "".join(f"{role}\n{said}\n" for role, said in turns), "".join(trained)
+            sha = lambda t: hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
+            rows.append(dict(zip(names, (len(turns), sha(whole), len(under), sha(under), len(text)), strict=True)))
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        return pa.array(rows, pa.struct(list(zip(names, kinds, strict=True))))
+
+    return found.select(F.col("tree").alias("conv_id"), read("formatted", "loss").alias("d")).select("conv_id", "d.*")
+
+
+def op7_media_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), media.encode(F.col("text")).alias("media"))
+    return files.select("doc_id", "n_bytes", media.digest(F.col("media")).alias("d")).select("doc_id", "n_bytes", "d.*")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
@@ -57,6 +99,9 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
+    "op5_url_filter": op5_url_filter,
+    "op6_chat_format": op6_chat_format,
+    "op7_media_tiff": op7_media_tiff,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
@@ -66,6 +111,45 @@ _TRIM = r"regexp_replace(regexp_replace({}, '^[\x20\x09-\x0D]+', ''), '[\x20\x09
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op5_url_filter": rf"""
+with parts as (
+  select page_id, url, coalesce({_LOW.format("regexp_extract(url, '://([^/?#]*)', 1)")}, '') as host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path,
+         regexp_replace(regexp_replace(regexp_extract(url, '://[^?#]*\?([^#]*)', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') as query
+  from pages),
+keyed as (
+  select *, case when url is not null then regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
+         case when query <> '' then '?' || query else '' end end as key
+  from parts),
+listed as (select distinct key from keyed where regexp_matches(host, '{LISTED_HOSTS}')),
+ruled as (
+  select k.*, l.key is not null as listed,
+         case when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/7') then 'example.com/en/7'
+              when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/de/8') then 'example.net/de/8'
+              when (host = 'com' or host like '%.com') and starts_with(path, '/en/') then 'com/en/'
+              when (host = 'net' or host like '%.net') and starts_with(path, '/de/') then 'net/de/'
+              when (host = 'org' or host like '%.org') and starts_with(path, '/es/') then 'org/es/' end as rule
+  from keyed k left join listed l on k.key = l.key)
+select page_id, host, path, rule, listed,
+       case when rule in ('com/en/', 'example.net/de/8', 'org/es/') then 'block' when rule is not null then 'allow'
+            when listed then 'block' else 'allow' end as verdict
+from ruled""",
+    "op6_chat_format": r"""
+with rows as (
+  select conv_id, turn, role, text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+said as (
+  select conv_id, row_number() over (partition by conv_id order by turn, role, text) as n, coalesce(role, '') as role,
+         coalesce(text, '') as text from rows),
+sized as (
+  select *, length(regexp_replace(regexp_replace(text, '<(\\*)(\||/?s>)', 'XX\1\2', 'g'), '\[(\\*)(/?INST\])', 'XX\1\2', 'g')) as stored
+  from said)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+       cast(coalesce(sum(case when role = 'assistant' then length(text) end), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by n) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length(role) + 4 + stored + 8) as bigint) as formatted_chars
+from sized group by conv_id""",
     "op1_line_dedup": rf"""
 with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
 lines as (select doc_id, generate_subscripts(parts, 1) as pos, unnest(parts) as line from parts),
