@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from lotlens.plans import valuation
+
+_MODULES = (valuation,)
+
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
