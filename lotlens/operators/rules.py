@@ -75,7 +75,7 @@ def flag_rows(scored: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each trigger: keys, score, band, reason_rank, the trigger's fields and an explanation."""
     rows = scored.select(*keys, "score", "band", F.posexplode("triggers").alias("pos", "t"))
     text = F.format_string("%s %s %s (%s)", F.col("t.metric"), F.col("t.operator"), F.col("t.threshold").cast("string"), F.round("t.value", 4).cast("string"))
-    return rows.select(*keys, "score", "band", (F.col("pos") + 1).alias("reason_rank"), "t.*").withColumn("explanation", text)
+    return rows.select(*keys, "score", "band", (F.col("pos") + 1).alias("reason_rank"), "t.*", text.alias("explanation"))
 
 
 def rescore(new: DataFrame, old: DataFrame, reviewed: DataFrame, keys: list[str]) -> DataFrame:
