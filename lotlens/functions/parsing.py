@@ -12,8 +12,7 @@ PERMIT_STATUS = {
     "applied": "applied", "application received": "applied", "issued": "issued", "approved": "issued", "final": "finaled", "finaled": "finaled",
     "closed": "finaled", "completed": "finaled", "expired": "expired", "cancelled": "cancelled", "canceled": "cancelled", "void": "cancelled",
 }
-DATE_FORMATS = ["M/d/yyyy", "M-d-yyyy", "yyyy-M-d", "yyyy/M/d", "M/d/yy", "M-d-yy"]
-DATETIME_FORMATS = ["M/d/yyyy H:m", "M/d/yyyy H:m:s", "M-d-yyyy H:m", "M-d-yyyy H:m:s", "M/d/yyyy h:m a", "yyyy-M-d H:m", "yyyy-M-d H:m:s"]
+STRICT_DATES = ["M/d/yyyy", "M-d-yyyy", "yyyy-M-d"]
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
@@ -37,21 +36,29 @@ def page_money(c: Column, half_even: bool = True) -> Column:
 
 
 def flexible_date(c: Column) -> Column:
-    """The first of six date forms, seven date-time forms and ISO that fits; two-digit years 69-99 are 19xx."""
+    """The first of six date forms, seven date-time forms and ISO that fits; two-digit years 69-99 are 19xx.
+
+    The form is told by a pattern first, so that each text is parsed once at most.
+    """
     text = F.regexp_replace(c, r"^\s+|\s+$", "")
-    found = [F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in DATE_FORMATS[:4]]
-    for f in DATE_FORMATS[4:]:
-        day = F.to_date(F.try_to_timestamp(text, F.lit(f)))
-        found.append(F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day))
-    found += [F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in DATETIME_FORMATS]
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.to_date(F.substring(text, 1, 10).try_cast("date")))
-    return F.coalesce(*found, F.when(text.try_cast("timestamp").isNotNull(), iso))
+    token = F.translate(F.substring_index(text, " ", 1), "-", "/")
+    clock = r"(?: ([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d)?)?"
+    month_first = text.rlike(rf"^\d{{1,2}}([/-])\d{{1,2}}\1\d{{4}}{clock}$") | text.rlike(r"(?i)^\d{1,2}/\d{1,2}/\d{4} (0?[1-9]|1[0-2]):[0-5]?\d [AP]M$")
+    year_first = text.rlike(r"^\d{4}([/-])\d{1,2}\1\d{1,2}$") | text.rlike(rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}{clock}$")
+    short_year = text.rlike(r"^\d{1,2}([/-])\d{1,2}\1\d{2}$")
+    day = lambda form: F.to_date(F.try_to_timestamp(token, F.lit(form)))
+    short = day("M/d/yy")
+    iso = F.when(text.try_cast("timestamp").isNotNull(), F.substring(text, 1, 10).try_cast("date"))
+    return (
+        F.when(month_first, day("M/d/yyyy")).when(year_first, day("yyyy/M/d"))
+        .when(short_year, F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)).when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), iso)
+    )
 
 
 def strict_date(c: Column) -> Column:
     """The three forms that sale files use."""
     text = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in DATE_FORMATS[:3]])
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in STRICT_DATES])
 
 
 def year_number(c: Column, one_token: bool = False) -> Column:
