@@ -75,12 +75,14 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     most = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     levels = []
     for _ in range(max(1, int(most).bit_length())):
-        levels.append(jump.select("tree", "node", "up").where("up is not null"))
-        if levels[-1].isEmpty():
+        open_ = jump.where("up is not null")  # only what has not reached its root takes the next, longer step
+        levels.append(open_.select("tree", "node", "up"))
+        if open_.isEmpty():
             break
         far = jump.select(*[F.col(c).alias(f"_{c}") for c in jump.columns])
-        both = jump.join(far, _same(jump, far, ("tree", "_tree")) & (jump["up"] == far["_node"]), "left")
-        jump = cut(both.select("tree", "node", F.col("_up").alias("up"), (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"), (F.col("size") + F.coalesce("_size", F.lit(0))).alias("size")))
+        both = open_.join(far, _same(open_, far, ("tree", "_tree")) & (open_["up"] == far["_node"]))
+        moved = both.select("tree", "node", F.col("_up").alias("up"), (F.col("score") + F.col("_score")).alias("score"), (F.col("size") + F.col("_size")).alias("size"))
+        jump = cut(jump.where("up is null").unionByName(moved))
     rooted = jump.where("up is null")  # what still has an ancestor after these steps runs in a loop
     answered = nodes.where("parent is not null and parent <> node").select(F.col("tree").alias("t"), F.col("parent").alias("n")).distinct()
     leaves = rooted.join(answered, _same(rooted, answered, ("tree", "t")) & (rooted["node"] == answered["n"]), "left_anti")
