@@ -221,11 +221,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return own.join(classes, "fp").select("doc_id", "fp", "component")
 
 
-def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, most: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, most: int = 3, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """The rows of docs that hold their component's smallest id; all columns stay as they are.
 
-    Rows without an id stay.  Of repeated rows with that id all stay.
+    Rows without an id stay.  Of repeated rows with that id all stay.  The ids that go are broadcast while they take at
+    most ``max_broadcast_bytes``, which saves the shuffle of all texts; beyond, both sides are shuffled by id.
     """
     found = near_duplicates(docs.where(F.col(doc_id).isNotNull()), text, doc_id, width, most)
-    gone = found.where("component < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = cut(found.where("component < doc_id").select(F.col("doc_id").alias("__gone")).distinct())
+    if gone.count() * 16 <= max_broadcast_bytes:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
