@@ -21,7 +21,6 @@ from lotlens.llm.spans import WORDS, mix, runs, slices, token_hashes
 SEEDS = ("1101001011", "1110010101", "1011100101", "111111")
 #: Bytes of test text whose hashes go to every executor at once; more test text is taken in several passes.
 MAX_TEST_BYTES = 32 << 20
-MISMATCH = 3
 ROWS = "doc_id long, item_id long, n_match long, n_aligned long, doc_token long, item_token long, item_tokens long"
 
 
@@ -79,24 +78,29 @@ class TestIndex:
             out.update(zip(item[row].tolist(), (np.repeat(where, n) - at[row]).tolist(), strict=True))
         return out
 
-    def overlap(self, tokens: np.ndarray, k: int, diagonal: int) -> tuple[int, int, int]:
-        """(matches, length, first token of the text) of the best stretch along a diagonal: +1 for a match, -3 for none."""
+    def overlap(self, tokens: np.ndarray, k: int, diagonal: int, share: float) -> tuple[int, int, int]:
+        """(matches, length, first token of the text) of the stretch along a diagonal with most matches.
+
+        A stretch has at least ``share`` equal tokens, so substitutions may stand anywhere in it.
+        """
         item = self.items[k]
         a, b = max(0, diagonal), min(len(tokens), diagonal + len(item))
         same = tokens[a:b] == item[a - diagonal : b - diagonal]
-        score = np.concatenate([[0], np.cumsum(np.where(same, 1, -MISMATCH))])
-        low = np.minimum.accumulate(score)
-        end = int(np.argmax(score - low))
-        start = int(np.flatnonzero(score[: end + 1] == low[end])[-1])
-        return int(same[start:end].sum()), end - start, a + start
+        count = np.concatenate([[0], np.cumsum(same)])
+        # count[j] - count[i] >= share * (j - i) is excess[j] >= excess[i]; the first such i comes from the running minimum.
+        excess = np.round(count - share * np.arange(len(count)), 9)
+        start = np.searchsorted(-np.minimum.accumulate(excess), -excess, "left")
+        matches, length = count - count[start], np.arange(len(count)) - start
+        end = int(np.lexsort((length, -matches))[0])
+        return int(matches[end]), int(length[end]), a + int(start[end])
 
     def found(self, tokens: np.ndarray, least: int, share: float) -> Iterator[tuple[int, int, int, int, int]]:
         """(item, matches, length, token of the text, token of the item) for each item that the text overlaps."""
         best: dict[int, tuple] = {}
         for k, diagonal in sorted(self.diagonals(tokens)):
-            matches, length, at = self.overlap(tokens, k, diagonal)
+            matches, length, at = self.overlap(tokens, k, diagonal, share)
             need = min(least, int(np.ceil(share * len(self.items[k]))))
-            if matches >= need and matches >= share * length and (k not in best or matches > best[k][0]):
+            if matches >= need and (k not in best or matches > best[k][0]):
                 best[k] = (matches, length, at, at - diagonal)
         for k, x in best.items():
             yield (k, *x)
@@ -153,7 +157,33 @@ def overlaps(
     return out
 
 
-def drop_contaminated(docs: DataFrame, tests: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
-    """docs without the rows whose id overlaps a test item; columns stay as they are and rows without an id stay."""
-    gone = overlaps(docs, tests, text, doc_id, **how).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+def drop_contaminated(
+    docs: DataFrame, tests: DataFrame, text: str = "text", test_text: str = "text", min_match: int = 12, share: float = 0.8, seeds: tuple[str, ...] = SEEDS, max_test_bytes: int = MAX_TEST_BYTES
+) -> DataFrame:
+    """docs without the rows that overlap a test item by the rules of overlaps(); columns stay as they are.
+
+    Each row is judged where it is read, so nothing is shuffled.
+    """
+    tests = tests.select(F.col(test_text).alias("text")).where(F.length("text") > 0)
+    passes, out = _passes(tests, max_test_bytes), docs
+    for k in range(passes):
+        part = [r["text"] for r in tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k).collect()]  # about max_test_bytes
+        out = out.where(_clean(docs.sparkSession.sparkContext.broadcast(part), seeds, min_match, share)(F.col(text)))
+    return out
+
+
+def _clean(sent, seeds: tuple[str, ...], least: int, share: float):
+    held: list[TestIndex] = []  # built once in a worker
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        if not held:
+            held.append(TestIndex(list(range(len(sent.value))), sent.value, seeds))
+        index, kept = held[0], []
+        for row, end_row, data, offsets in slices(texts):
+            start, end, first = runs(data, offsets, WORDS)
+            tokens = token_hashes(data, start, end)
+            kept += [next(index.found(tokens[first[i] : first[i + 1]], least, share), None) is None for i in range(end_row - row)]
+        return pa.array(kept, pa.bool_())
+
+    return clean
