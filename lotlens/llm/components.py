@@ -11,9 +11,9 @@ from lotlens.runtime import cut
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``edges``; root is one node of its component, the same for all of them.
 
-    Each round sends a node to its smallest neighbour, follows these pointers two more steps, and replaces the ends of
-    every edge by their targets, until no edge is left.  A star or a chain shrinks by a constant factor each round, and
-    no group is ever gathered: minima are pre-aggregated and the joins are plain equi-joins that AQE can split.
+    Each round sends a node to its smallest neighbour, doubles these pointers until they reach their roots, and replaces
+    the ends of every edge by their roots, until no edge is left.  A chain of any length is gone in one round, a star in
+    two.  No group is ever gathered: minima are pre-aggregated and the joins are plain equi-joins that AQE can split.
     Loops and nulls are ignored; no edges give no rows.
     """
     links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
@@ -21,11 +21,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = None
     while not links.isEmpty():
         step = links.groupBy("a").agg(F.min("b").alias("b"))
-        step = cut(step.select(F.col("a").alias("node"), F.least("a", "b").alias("to")))
-        far = step.select(F.col("node").alias("mid"), F.col("to").alias("next"))
-        for _ in range(2):
-            step = step.join(far, step["to"] == far["mid"]).select("node", F.col("next").alias("to"))
-        step = cut(step)
+        step = cut(step.select(F.col("a").alias("node"), F.least("a", "b").alias("to"), F.lit(True).alias("moved")))
+        while not step.where("moved").isEmpty():  # pointers double in length, so this ends after the logarithm of the depth
+            far = step.select(F.col("node").alias("mid"), F.col("to").alias("next"))
+            ahead = step.join(far, F.col("to") == F.col("mid"))
+            step = cut(ahead.select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+        step = step.drop("moved")
         if labels is None:
             labels = step.select("node", F.col("to").alias("root"))
         else:

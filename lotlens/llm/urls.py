@@ -58,8 +58,8 @@ def _bits(key: Column) -> list[Column]:
 def bloom_table(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     """(block, w0 .. w3): the filter of the distinct keys in ``listed``."""
     masks = _bits(F.col(key))
-    rows = listed.select(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block"), *[m.alias(f"w{k}") for k, m in enumerate(masks)])
-    return rows.groupBy("block").agg(*[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS_PER_BLOCK)])
+    rows = listed.select(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block"), *[m.alias(f"__w{k}") for k, m in enumerate(masks)])
+    return rows.groupBy("block").agg(*[F.bit_or(f"__w{k}").alias(f"__w{k}") for k in range(WORDS_PER_BLOCK)])
 
 
 def flag_listed(urls: DataFrame, listed: DataFrame, key: str, row_id: str, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
@@ -76,9 +76,9 @@ def flag_listed(urls: DataFrame, listed: DataFrame, key: str, row_id: str, max_f
     probed = urls.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks))).join(table, "__block", "left")
     passes = F.lit(True)
     for k, m in enumerate(_bits(F.col(key))):
-        passes = passes & (F.col(f"w{k}").bitwiseAND(m) == m)
+        passes = passes & (F.col(f"__w{k}").bitwiseAND(m) == m)
     passes = F.coalesce(passes & F.col(key).isNotNull(), F.lit(False))
-    words = ["__block", *[f"w{k}" for k in range(WORDS_PER_BLOCK)]]
+    words = ["__block", *[f"__w{k}" for k in range(WORDS_PER_BLOCK)]]
     probed = probed.withColumn("__maybe", passes).drop(*words)
     salted = keys.withColumn("__listed_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     maybe = probed.where("__maybe").withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
