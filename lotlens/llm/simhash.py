@@ -24,7 +24,7 @@ SEED = 42
 #: Members of one variant that a task holds at once are at most twice this; larger variants meet block by block.
 BLOCK = 8192
 #: Runs up to this length are compared pair by pair, longer ones by a search that visits each member once.
-SHORT_RUN = 16
+SHORT_RUN = 48
 
 _SPREAD = np.array([sum(((v >> b) & 1) << (8 * b) for b in range(8)) for v in range(256)], np.uint64)
 
@@ -221,13 +221,83 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return own.join(classes, "fp").select("doc_id", "fp", "component")
 
 
-def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 5, most: int = 3, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """The rows of docs that hold their component's smallest id; all columns stay as they are.
+def _wide(text: str | None, width: int) -> tuple[int, int]:
+    """Two independent fingerprints from the halves of 128-bit shingle hashes."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return 0, 0
+    joined = b" ".join(words)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    start = np.concatenate([[0], end[:-1] + 1])
+    n, digest = max(1, len(words) - width + 1), xxhash.xxh3_128_digest
+    spans = zip(start[:n].tolist(), end[min(width, len(words)) - 1 :].tolist(), strict=True)
+    halves = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in spans]), "<u8").reshape(-1, 2)
+    return majority_bits(np.ascontiguousarray(halves[:, 0])), majority_bits(np.ascontiguousarray(halves[:, 1]))
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of ``width`` words; fewer words are one shingle."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    parts = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(p) for p in parts), np.uint64, len(parts)))
+
+
+def similar_documents(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, similarity: float = 0.8, width: int = 3, most: int = 7, mark_bits: int = 20, max_broadcast_bytes: int = 64 << 20
+) -> DataFrame:
+    """(doc_id, component) for every row: groups of texts whose sets of ``shingle``-word shingles are at least ``similarity`` alike.
+
+    Candidates are fingerprints (over ``width`` words) within ``most`` bits, found by deletion variants.  A second,
+    independent fingerprint refuses most chance candidates, and the others are verified on the shingle sets of one
+    document of each fingerprint.  Equal fingerprints are one group.  Verified links make components; component is the
+    smallest id reachable.  Null and empty texts are alike; ids must not be null.
+
+    A wider radius finds more of the pairs that are only just similar, and costs more: a variant's rows grow as
+    n / 2 ** (64 / (most // 2 + 1) - 1).
+    """
+
+    @F.arrow_udf("struct<fp long, mark long>")
+    def wide(texts: pa.Array) -> pa.Array:
+        both = np.array([_wide(t.as_py(), width) for t in texts], np.uint64).reshape(-1, 2).view(np.int64)
+        return pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["fp", "mark"])
+
+    @F.arrow_udf("array<long>")
+    def shingles(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))
+
+    own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
+    own = cut(own.select("doc_id", "w.fp", "w.mark"))
+    distinct = cut(own.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("m")).select("fp", F.col("m.doc_id").alias("least"), "m.mark"))
+    near = links(distinct, "fp", most)
+    for end in ("a", "b"):
+        near = near.join(distinct.select(F.col("fp").alias(end), F.col("mark").alias(f"mark_{end}")), end)
+    near = cut(near.where(F.bit_count(F.col("mark_a").bitwiseXOR(F.col("mark_b"))) <= mark_bits).select("a", "b"))
+    asked = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "least"), "fp")
+    asked = cut(asked.select("fp", F.col("least").alias("__id")))
+    if asked.count() * 24 <= max_broadcast_bytes:
+        asked = F.broadcast(asked)
+    sets = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
+    sets = cut(sets.select("fp", shingles("text").alias("grams")).groupBy("fp").agg(F.first("grams").alias("grams")))
+    pairs = near
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("fp").alias(end), F.col("grams").alias(f"grams_{end}")), end)
+    shared = F.size(F.array_intersect("grams_a", "grams_b"))
+    alike = shared / (F.size("grams_a") + F.size("grams_b") - shared)
+    roots = components(cut(pairs.where(alike >= similarity).select("a", "b")))
+    linked = cut(roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "least"))
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
+    moved = cut(linked.select("fp", "root").join(smallest, "root").select("fp", "component"))
+    classes = cut(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
+    return own.join(classes, "fp").select("doc_id", "component")
+
+
+def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_broadcast_bytes: int = 64 << 20, **how) -> DataFrame:
+    """The rows of docs that hold the smallest id of their group of similar_documents(); all columns stay as they are.
 
     Rows without an id stay.  Of repeated rows with that id all stay.  The ids that go are broadcast while they take at
     most ``max_broadcast_bytes``, which saves the shuffle of all texts; beyond, both sides are shuffled by id.
     """
-    found = near_duplicates(docs.where(F.col(doc_id).isNotNull()), text, doc_id, width, most)
+    found = similar_documents(docs.where(F.col(doc_id).isNotNull()), text, doc_id, max_broadcast_bytes=max_broadcast_bytes, **how)
     gone = cut(found.where("component < doc_id").select(F.col("doc_id").alias("__gone")).distinct())
     if gone.count() * 16 <= max_broadcast_bytes:
         gone = F.broadcast(gone)

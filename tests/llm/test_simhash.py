@@ -101,3 +101,28 @@ def test_odd_rows_and_empty(odd, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_first(none).count() == 0
     by_shuffle = simhash.keep_first(odd, max_broadcast_bytes=0)
     assert sorted(map(repr, by_shuffle.collect())) == sorted(map(repr, kept.collect()))
+
+
+def test_similar_documents_are_verified(spark):
+    """Copies with few changed words join their source; copies with many changes and other texts stay alone."""
+    rng = np.random.default_rng(8)
+    vocab = np.array([f"w{i}" for i in range(400)])
+    rows, near, far = [], [], []
+    for k in range(60):
+        words = rng.choice(vocab, 400)
+        rows.append((10 * k, " ".join(words)))
+        changed = words.copy()
+        changed[rng.choice(400, 3, replace=False)] = "new"
+        rows.append((10 * k + 1, " ".join(changed).upper()))
+        near.append(10 * k + 1)
+        changed = words.copy()
+        changed[rng.choice(400, 60, replace=False)] = "other"
+        rows.append((10 * k + 2, " ".join(changed)))
+        far.append(10 * k + 2)
+        rows.append((10 * k + 3, " ".join(words)))
+    sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
+    got = {r["doc_id"]: r["component"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == i for i in far) and all(got[10 * k + 3] == 10 * k for k in range(60))
+    for i, c in got.items():
+        assert i == c or len(sets[i] & sets[c]) >= 0.8 * len(sets[i] | sets[c])
+    assert sum(got[i] != i for i in near) >= 50
