@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotlens.plans import monitoring, records, scoring, valuation
+from lotlens.plans import details, monitoring, records, scoring, valuation
 
-_MODULES = (valuation, scoring, monitoring, records)
+_MODULES = (valuation, scoring, monitoring, records, details)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}

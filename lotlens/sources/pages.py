@@ -156,7 +156,8 @@ def routed_details(rows: DataFrame, keys: list[str], order: list[str], label: st
     opened = rows.withColumn("__open", section)
     seen = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inside = opened.withColumn("detail", F.last("__open", ignorenulls=True).over(seen)).where(F.col("__open").isNull() & F.col("detail").isNotNull())
-    kept = F.sort_array(F.collect_list(F.struct(*order, "data")))
+    later = lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0)
+    kept = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("at"), "data")), later)
     return inside.groupBy(*keys, "detail").agg(F.transform(kept, lambda x: x["data"]).alias("rows"))
 
 
