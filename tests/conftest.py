@@ -12,8 +12,6 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.g
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory) -> SparkSession:
