@@ -24,7 +24,7 @@ SEED = 42
 #: Members of one variant that a task holds at once are at most twice this; larger variants meet block by block.
 BLOCK = 8192
 #: Runs up to this length are compared pair by pair, longer ones by a search that visits each member once.
-SHORT_RUN = 48
+SHORT_RUN = 16
 
 _SPREAD = np.array([sum(((v >> b) & 1) << (8 * b) for b in range(8)) for v in range(256)], np.uint64)
 
@@ -108,8 +108,21 @@ def _variants(batches: Iterable[pa.RecordBatch], heavy: dict[int, int], most: in
             )
 
 
-def spanning_edges(fp: np.ndarray, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join what is linked within ``most`` bits, one less than there are members in each component.
+def first_variant(diff: np.ndarray, most: int) -> np.ndarray:
+    """For differences of at most ``most`` bits: the wildcard bit of the first variant that both fingerprints have.
+
+    Two fingerprints may share many variants; a link counts in this one only, so it is found once.
+    """
+    out = np.full(len(diff), -1)
+    for low, width in segments(most):
+        part = (diff >> np.uint64(low)) & np.uint64((1 << width) - 1)
+        few = (out < 0) & (np.bitwise_count(part) <= 1)
+        out[few] = low + np.log2(np.maximum(part[few], np.uint64(1)).astype(np.float64)).astype(np.int64)
+    return out
+
+
+def spanning_edges(fp: np.ndarray, bit: int, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join what links of this variant join, one less than there are members in each component.
 
     A search from each unvisited member compares the frontier with the members not yet visited only.
     """
@@ -118,8 +131,10 @@ def spanning_edges(fp: np.ndarray, most: int = 3) -> tuple[np.ndarray, np.ndarra
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            near = np.bitwise_count(fp[left] ^ fp[at]) <= most
+            diff = fp[left] ^ fp[at]
+            near = np.bitwise_count(diff) <= most
             if near.any():
+                near[near] = first_variant(diff[near], most) == bit
                 found = left[near]
                 a.append(np.full(len(found), fp[at]))
                 b.append(fp[found])
@@ -130,9 +145,10 @@ def spanning_edges(fp: np.ndarray, most: int = 3) -> tuple[np.ndarray, np.ndarra
 
 
 def _verified(key: np.ndarray, part: np.ndarray, fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges within runs of equal (key, part); equal edges once."""
+    """Links within runs of equal (key, part), each in its first variant only."""
     new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
     size = np.diff(np.append(new, len(key)))
+    bit = key >> 32
     a, b = [], []
     short = np.repeat(size <= SHORT_RUN, size)
     run = np.repeat(np.arange(len(new)), size)
@@ -140,17 +156,18 @@ def _verified(key: np.ndarray, part: np.ndarray, fp: np.ndarray, most: int) -> t
         hit = np.flatnonzero((run[d:] == run[:-d]) & short[d:])
         if not len(hit):
             break
-        hit = hit[np.bitwise_count(fp[hit] ^ fp[hit + d]) <= most]
+        diff = fp[hit] ^ fp[hit + d]
+        near = np.bitwise_count(diff) <= most
+        hit, diff = hit[near], diff[near]
+        hit = hit[first_variant(diff, most) == bit[hit]]
         a.append(fp[hit])
         b.append(fp[hit + d])
     for i in np.flatnonzero(size > SHORT_RUN):
-        x, y = spanning_edges(np.unique(fp[new[i] : new[i] + size[i]]), most)
+        x, y = spanning_edges(np.unique(fp[new[i] : new[i] + size[i]]), int(bit[new[i]]), most)
         a.append(x)
         b.append(y)
-    if not a:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-    return both[:, 0], both[:, 1]
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
 def _meet(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
