@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ SEED = 42
 BLOCK = 8192
 #: Runs up to this length are compared pair by pair, longer ones by a search that visits each member once.
 SHORT_RUN = 16
+#: Members, and shingles of them, in one block of a group that is searched whole; a task holds two blocks at once.
+GROUP_BLOCK, GROUP_GRAMS = 512, 1 << 20
 
 _SPREAD = np.array([sum(((v >> b) & 1) << (8 * b) for b in range(8)) for v in range(256)], np.uint64)
 
@@ -259,6 +262,87 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(p) for p in parts), np.uint64, len(parts)))
 
 
+def verified_labels(fp: np.ndarray, mark: np.ndarray, label: np.ndarray, grams: np.ndarray, first: np.ndarray, most: int, mark_bits: int, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of labels that alike members join, enough to connect all labels that any such members connect.
+
+    Member i has the distinct shingles grams[first[i] : first[i + 1]]; members of one label count as joined.  A search
+    from each label compares its members with those not yet reached, and goes on from what passes all tests.
+    """
+    size = np.diff(first)
+    ids = np.unique(grams, return_inverse=True)[1]
+    own = np.zeros(len(ids), bool)
+    left, out = np.arange(len(fp)), []
+    while len(left):
+        reached = label[left] == label[left[0]]
+        frontier, left = left[reached].tolist(), left[~reached]
+        while frontier and len(left):
+            at = frontier.pop()
+            near = (np.bitwise_count(fp[left] ^ fp[at]) <= most) & (np.bitwise_count(mark[left] ^ mark[at]) <= mark_bits)
+            near &= np.minimum(size[left], size[at]) / np.maximum(size[left], size[at]) >= similarity
+            other = left[near]
+            if not len(other):
+                continue
+            mine = ids[first[at] : first[at + 1]]
+            own[mine] = True
+            ends = np.cumsum(size[other])
+            places = np.repeat(first[other] - ends + size[other], size[other]) + np.arange(ends[-1])
+            shared = np.add.reduceat(own[ids[places]], ends - size[other], dtype=np.int64)
+            own[mine] = False
+            joined = np.unique(label[other[shared / (size[other] + size[at] - shared) >= similarity]])
+            if len(joined):
+                out.extend((int(label[at]), int(k)) for k in joined)
+                reached = np.isin(label[left], joined)
+                frontier.extend(left[reached].tolist())
+                left = left[~reached]
+    return out
+
+
+def _joined(members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
+    """(a, b): labels that alike members of one group join; members: root (the group), label, node, fp, mark, grams.
+
+    Every pair of a group is looked at.  A large group is dealt to pairs of blocks, so a task holds two blocks at most.
+    """
+    sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum(F.size("grams")) / GROUP_GRAMS)).cast("int").alias("blocks"))
+    heavy = F.broadcast(sizes.where("blocks > 1"))  # n / GROUP_BLOCK rows, or one for each GROUP_GRAMS shingles
+    dealt = members.join(heavy, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != F.col("own")) | (F.col("blocks") == 1))
+    part = F.transform(others, lambda k: F.least(k, "own").cast("long") * F.col("blocks") + F.greatest(k, "own"))
+    dealt = dealt.select("root", F.explode(part).alias("part"), "label", "fp", "mark", "grams")
+    kind = members.schema["label"].dataType.simpleString()
+
+    def search(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        names = group["label"].combine_chunks().dictionary_encode()
+        fp, mark = (group[c].to_numpy().view(np.uint64) for c in ("fp", "mark"))
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(group["grams"]).to_numpy())])
+        grams = pc.list_flatten(group["grams"]).to_numpy()
+        found = verified_labels(fp, mark, names.indices.to_numpy(), grams, first, most, mark_bits, similarity)
+        ends = [names.dictionary.take(pa.array([e[k] for e in found], pa.int32())) for k in (0, 1)]
+        return pa.Table.from_arrays(ends, names=["a", "b"])
+
+    return dealt.groupBy("root", "part").applyInArrow(search, f"a {kind}, b {kind}").distinct()
+
+
+def _verified_roots(tested: DataFrame, members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
+    """(node, root) for members: components over all alike pairs of each group that the tested links connect.
+
+    tested: (a, b, alike).  Links connect whatever may be alike, so pairs that were never listed lie inside a group.  Where
+    all links held, the group is one component; where one failed between two components, all pairs of the group are tried.
+    """
+    held = components(tested.where("alike"))
+    labels = cut(members.select("node").join(held, "node", "left").select("node", F.coalesce("root", "node").alias("label")))
+    failed = tested.where("not alike").select("a", "b")
+    for end in ("a", "b"):
+        failed = failed.join(labels.select(F.col("node").alias(end), "label"), end).drop(end).withColumnRenamed("label", end)
+    failed = cut(failed.where("a <> b").distinct())
+    if not failed.isEmpty():
+        groups = components(failed).select(F.col("node").alias("label"), "root")
+        more = components(cut(_joined(members.join(labels.join(groups, "label"), "node"), most, mark_bits, similarity)))
+        labels = labels.join(more.select(F.col("node").alias("label"), "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return labels.select("node", F.col("label").alias("root"))
+
+
 def similar_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, similarity: float = 0.8, width: int = 3, most: int = 7, mark_bits: int = 20, max_broadcast_bytes: int = 64 << 20
 ) -> DataFrame:
@@ -266,11 +350,12 @@ def similar_documents(
 
     Candidates are fingerprints (over ``width`` words) within ``most`` bits, found by deletion variants.  A second,
     independent fingerprint refuses most chance candidates, and the others are verified on the shingle sets of one
-    document of each fingerprint.  Equal fingerprints are one group.  Verified links make components; component is the
+    document of each fingerprint.  Equal fingerprints are one group.  All candidate pairs count, whether links() lists
+    them or not: a group with a link that fails is searched whole.  Verified pairs make components; component is the
     smallest id reachable.  Null and empty texts are alike; ids must not be null.
 
     A wider radius finds more of the pairs that are only just similar, and costs more: a variant's rows grow as
-    n / 2 ** (64 / (most // 2 + 1) - 1).
+    n / 2 ** (64 / (most // 2 + 1) - 1).  A group of n with failing links costs n ** 2 comparisons inside tasks.
     """
 
     @F.arrow_udf("struct<fp long, mark long>")
@@ -283,29 +368,28 @@ def similar_documents(
         return pa.array([shingle_set(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
-    own = cut(own.select("doc_id", "w.fp", "w.mark"))
-    distinct = cut(own.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("m")).select("fp", F.col("m.doc_id").alias("least"), "m.mark"))
-    near = links(distinct, "fp", most)
-    for end in ("a", "b"):
-        near = near.join(distinct.select(F.col("fp").alias(end), F.col("mark").alias(f"mark_{end}")), end)
-    near = cut(near.where(F.bit_count(F.col("mark_a").bitwiseXOR(F.col("mark_b"))) <= mark_bits).select("a", "b"))
-    asked = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "least"), "fp")
-    asked = cut(asked.select("fp", F.col("least").alias("__id")))
-    if asked.count() * 24 <= max_broadcast_bytes:
+    own = cut(own.select("doc_id", F.col("w.fp").alias("node"), "w.fp", "w.mark"))
+    nodes = cut(own.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "mark")).alias("m")).select("node", "fp", F.col("m.doc_id").alias("least"), "m.mark"))
+    near = cut(links(nodes, "fp", most))
+    asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    asked = cut(asked.select("node", "fp", "mark", F.col("least").alias("__id")))
+    if asked.count() * 40 <= max_broadcast_bytes:
         asked = F.broadcast(asked)
-    sets = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
-    sets = cut(sets.select("fp", shingles("text").alias("grams")).groupBy("fp").agg(F.first("grams").alias("grams")))
+    members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
+    members = members.select("node", "fp", "mark", shingles("text").alias("grams")).groupBy("node", "fp", "mark").agg(F.first("grams").alias("grams"))
+    members = cut(members)
     pairs = near
     for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("fp").alias(end), F.col("grams").alias(f"grams_{end}")), end)
+        pairs = pairs.join(members.select(F.col("node").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("grams").alias(f"grams_{end}")), end)
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    alike = shared / (F.size("grams_a") + F.size("grams_b") - shared)
-    roots = components(cut(pairs.where(alike >= similarity).select("a", "b")))
-    linked = cut(roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "least"))
+    alike = shared / (F.size("grams_a") + F.size("grams_b") - shared) >= similarity
+    alike = F.when(F.bit_count(F.col("mark_a").bitwiseXOR(F.col("mark_b"))) <= mark_bits, alike).otherwise(False)
+    roots = _verified_roots(cut(pairs.select("a", "b", alike.alias("alike"))), members, most, mark_bits, similarity)
+    linked = cut(roots.join(nodes, "node").select("node", "root", "least"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
-    moved = cut(linked.select("fp", "root").join(smallest, "root").select("fp", "component"))
-    classes = cut(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
-    return own.join(classes, "fp").select("doc_id", "component")
+    moved = cut(linked.select("node", "root").join(smallest, "root").select("node", "component"))
+    classes = cut(nodes.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component")))
+    return own.join(classes, "node").select("doc_id", "component")
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_broadcast_bytes: int = 64 << 20, **how) -> DataFrame:

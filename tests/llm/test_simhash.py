@@ -126,3 +126,36 @@ def test_similar_documents_are_verified(spark):
     for i, c in got.items():
         assert i == c or len(sets[i] & sets[c]) >= 0.8 * len(sets[i] | sets[c])
     assert sum(got[i] != i for i in near) >= 50
+
+
+def test_large_groups_lose_no_similar_pair(spark, monkeypatch):
+    """One base and hundreds of variants at all distances, so that many links fail: the groups of all pairs, by brute force."""
+    monkeypatch.setattr(simhash, "GROUP_BLOCK", 128)
+    rng = np.random.default_rng(5)
+    base = np.array([f"w{i}" for i in rng.integers(0, 400, 300)], object)
+    rows = []
+    for i in range(400):
+        words = base.copy()
+        n = int(rng.integers(1, 16))
+        words[rng.choice(300, n, replace=False)] = [f"v{i}x{k}" for k in range(n)]
+        rows.append((i, " ".join(words)))
+    rows = list({simhash._wide(t, 3)[0]: t for _, t in rows}.values())
+    rows = list(enumerate(rows))
+    wide = np.array([simhash._wide(t, 3) for _, t in rows], np.uint64)
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (np.bitwise_count(wide[i] ^ wide[j]) <= (7, 20)).all() and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    got = {r["doc_id"]: r["component"] for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = [find(i) for i in range(len(rows))]
+    assert 16 < max(want.count(k) for k in want) < len(rows)
+    assert [got[i] for i in range(len(rows))] == want
