@@ -262,6 +262,11 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(p) for p in parts), np.uint64, len(parts)))
 
 
+def word_digest(text: str | None) -> bytes:
+    """128-bit hash of the sequence of words, alike for exact copies up to A-Z case and ASCII white space."""
+    return xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
+
+
 def verified_labels(fp: np.ndarray, mark: np.ndarray, label: np.ndarray, grams: np.ndarray, first: np.ndarray, most: int, mark_bits: int, similarity: float) -> list[tuple[int, int]]:
     """Pairs of labels that alike members join, enough to connect all labels that any such members connect.
 
@@ -349,34 +354,46 @@ def similar_documents(
     """(doc_id, component) for every row: groups of texts whose sets of ``shingle``-word shingles are at least ``similarity`` alike.
 
     Candidates are fingerprints (over ``width`` words) within ``most`` bits, found by deletion variants.  A second,
-    independent fingerprint refuses most chance candidates, and the others are verified on the shingle sets of one
-    document of each fingerprint.  Equal fingerprints are one group.  All candidate pairs count, whether links() lists
-    them or not: a group with a link that fails is searched whole.  Verified pairs make components; component is the
-    smallest id reachable.  Null and empty texts are alike; ids must not be null.
+    independent fingerprint refuses most chance candidates, and the others are verified on their shingle sets.  Only equal
+    sequences of words are one group at once; other texts of one fingerprint are candidates like any others.  All
+    candidate pairs count, whether links() lists them or not: a group with a link that fails is searched whole.  Verified
+    pairs make components; component is the smallest id reachable.  Null and empty texts are alike; ids must not be null.
 
     A wider radius finds more of the pairs that are only just similar, and costs more: a variant's rows grow as
     n / 2 ** (64 / (most // 2 + 1) - 1).  A group of n with failing links costs n ** 2 comparisons inside tasks.
     """
 
-    @F.arrow_udf("struct<fp long, mark long>")
+    def digests(texts: pa.Array) -> pa.Array:
+        return pa.array([word_digest(t.as_py()) for t in texts], pa.binary())
+
+    @F.arrow_udf("struct<node binary, fp long, mark long>")
     def wide(texts: pa.Array) -> pa.Array:
         both = np.array([_wide(t.as_py(), width) for t in texts], np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["fp", "mark"])
+        return pa.StructArray.from_arrays([digests(texts), pa.array(both[:, 0]), pa.array(both[:, 1])], ["node", "fp", "mark"])
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("struct<of binary, grams array<long>>")
     def shingles(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))
+        sets = pa.array([shingle_set(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([digests(texts), sets], ["of", "grams"])
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
-    own = cut(own.select("doc_id", F.col("w.fp").alias("node"), "w.fp", "w.mark"))
-    nodes = cut(own.groupBy("node", "fp").agg(F.min(F.struct("doc_id", "mark")).alias("m")).select("node", "fp", F.col("m.doc_id").alias("least"), "m.mark"))
-    near = cut(links(nodes, "fp", most))
+    own = cut(own.select("doc_id", "w.node", "w.fp", "w.mark"))
+    nodes = cut(own.groupBy("node", "fp", "mark").agg(F.min("doc_id").alias("least")))
+    # One text stands for each fingerprint: it is linked with the others of that fingerprint and with near fingerprints.
+    first = cut(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    near = links(first, "fp", most)
+    for end in ("a", "b"):
+        near = near.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"node_{end}")), end)
+    near = near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    equal = nodes.join(first.where("n > 1"), "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    near = cut(near.unionByName(equal))
     asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
     asked = cut(asked.select("node", "fp", "mark", F.col("least").alias("__id")))
-    if asked.count() * 40 <= max_broadcast_bytes:
+    if asked.count() * 64 <= max_broadcast_bytes:
         asked = F.broadcast(asked)
     members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
-    members = members.select("node", "fp", "mark", shingles("text").alias("grams")).groupBy("node", "fp", "mark").agg(F.first("grams").alias("grams"))
+    members = members.select("node", "fp", "mark", shingles("text").alias("s")).where("s.of = node")  # an id may have other texts
+    members = members.groupBy("node", "fp", "mark").agg(F.first("s.grams").alias("grams"))
     members = cut(members)
     pairs = near
     for end in ("a", "b"):
@@ -389,7 +406,7 @@ def similar_documents(
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
     moved = cut(linked.select("node", "root").join(smallest, "root").select("node", "component"))
     classes = cut(nodes.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component")))
-    return own.join(classes, "node").select("doc_id", "component")
+    return own.select("doc_id", "node").join(classes, "node").select("doc_id", "component")
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_broadcast_bytes: int = 64 << 20, **how) -> DataFrame:

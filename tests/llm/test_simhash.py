@@ -159,3 +159,14 @@ def test_large_groups_lose_no_similar_pair(spark, monkeypatch):
     want = [find(i) for i in range(len(rows))]
     assert 16 < max(want.count(k) for k in want) < len(rows)
     assert [got[i] for i in range(len(rows))] == want
+
+
+def test_equal_fingerprints_are_verified(spark):
+    """A filler that fills the fingerprint does not make different texts copies; equal words and equal sets do."""
+    clean = [" ".join(f"c{k}x{i}" for i in range(100)) for k in range(6)]
+    rows = [(k, f"{'na ' * 300}{t}") for k, t in enumerate(clean)]
+    rows += [(10 + k, f"{'NA ' * 300} {t}\n") for k, t in enumerate(clean)] + [(20 + k, f"{'na ' * 310}{t}") for k, t in enumerate(clean)]
+    rows += [(20, "another text under an id that is there twice")]
+    assert len({simhash._wide(t, 3) for i, t in rows[:18]}) == 1
+    got = sorted((r["doc_id"], r["component"]) for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(i, i % 10) for i, _ in rows[:18]] + [(20, 20)])
