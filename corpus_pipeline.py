@@ -12,7 +12,7 @@ from lotlens.runtime import shared_folder, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text shows one of the languages of the corpus, learned from the stage's own input."""
+    """Documents whose text is given a language of the corpus, learned from the stage's own input; those without a letter go."""
     return langid.keep_known(docs, langid.learn(docs))
 
 

@@ -19,6 +19,8 @@ from lotlens.runtime import cut
 
 #: Documents the filter learns from, at most about.
 MAX_TRAIN_DOCS = 20_000
+#: Documents of each language that it learns from at least, if there are so many, about.
+MIN_TRAIN_DOCS = 500
 #: Share of a language's n-grams that one must reach; no language can then have more than 1 / MIN_RATE of them.
 MIN_RATE = 1e-5
 GRAM = 4
@@ -46,6 +48,15 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with blanks behind those of fewer than GRAM bytes, so that each text but an empty one has a position for an n-gram."""
+    size = np.diff(offsets)
+    lack = np.where(size > 0, np.maximum(GRAM - size, 0), 0)
+    if not lack.any():
+        return data, offsets
+    return np.insert(data, np.repeat(offsets[1:], lack), 32), offsets + np.concatenate([[0], np.cumsum(lack)])
+
+
 class LanguageFilter:
     """Bit-sliced Bloom filter over (n-gram, language)."""
 
@@ -79,6 +90,7 @@ class LanguageFilter:
 
     def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the likeliest language of each text, -1 without evidence, and its share of the corrected counts."""
+        data, offsets = padded(data, offsets)
         gram = grams(data, offsets)
         real = gram != 0
         counted = per_text(real.astype(np.uint8), offsets, np.add, 0)
@@ -104,6 +116,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
         for a, b, data, offsets in slices(batch.column("text")):
+            data, offsets = padded(data, offsets)
             gram = grams(data, offsets)
             of = np.repeat(np.arange(b - a), np.diff(offsets))
             for name in set(langs[a:b]):
@@ -114,14 +127,18 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> LanguageFilter:
     """A filter from rows with known languages: about ``max_docs`` of them, chosen by a hash of the id, whole texts.
 
-    Rows whose text or language is null teach nothing.  A language keeps the n-grams with a share of MIN_RATE or more that
+    A language has the share of the rows that it has in all, but about MIN_TRAIN_DOCS rows (or all) if that is less.  Rows whose text or language is null teach nothing.  A language keeps the n-grams with a share of MIN_RATE or more that
     are not much more frequent elsewhere, so the model is bounded whatever the corpus.
     """
     rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     docs_in = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     n = sum(docs_in.values())
     if n > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(max_docs / n * (1 << 30)))
+        most = F.lit(int(max_docs / n * (1 << 30)))
+        for name, own in docs_in.items():
+            if own * max_docs < MIN_TRAIN_DOCS * n:
+                most = F.when(F.col("lang") == name, min(1 << 30, -(-(MIN_TRAIN_DOCS << 30) // own))).otherwise(most)
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < most)
     counts = cut(rows.select("text", "lang").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     rate = F.lit(0.0)
@@ -167,6 +184,9 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
 
 
 def keep_known(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
-    """The rows of docs that show some learned language: neither ``und`` nor without any known n-gram; columns as they are."""
+    """The rows of docs that identify() gives a language: all but ``und``; columns as they are.
+
+    A text with letters but no known n-gram stays, as what it holds may only be missing from what was learned.
+    """
     found = docs.withColumn("__lang", verdict(model, docs, F.col(text)))
-    return found.where((F.col("__lang.lang") != UNKNOWN) & (F.col("__lang.score") > 0)).drop("__lang")
+    return found.where(F.col("__lang.lang") != UNKNOWN).drop("__lang")

@@ -115,3 +115,22 @@ def test_classifiers_odd_rows(spark, odd, none):
         assert module.classify(none, model).count() == 0
         blank = module.learn(none, labels, label)
         assert {r["score"] for r in module.classify(odd, blank).select(F.round("score", 3).alias("score")).collect()} == {0.5}
+
+
+def test_rare_and_short_texts_keep_their_language(spark):
+    """No text with a letter goes for being short, of rare words or of a language that a plain sample would miss."""
+    rows = [(i, f"the house and the garden of number {i % 50} are here", "en") for i in range(3000)]
+    rows += [(3000 + i, "дом и сад здесь", "ru") for i in range(3)] + [(4000, "A.", "en"), (4001, "De.", "de"), (4002, "Re.", "la"), (4003, "ξένος λόγος", None)]
+    docs = spark.createDataFrame([*rows, (4004, "12 !!", "en"), (4005, "", "en"), (4006, None, "en")], "doc_id long, text string, lang string")
+    model = langid.learn(docs, max_docs=300)
+    assert sorted(r["doc_id"] for r in langid.keep_known(docs, model).collect()) == [i for i, _, _ in rows]
+    got = {r["doc_id"]: r for r in langid.identify(docs.where("doc_id >= 3000"), model).collect()}
+    assert {got[i]["lang_pred"] for i in (3000, 3001, 3002)} == {"ru"} and got[3000]["score"] > 0.5
+
+
+def test_short_texts_have_an_ngram():
+    data, offsets = np.frombuffer(b"A.De.longer", np.uint8), np.array([0, 2, 2, 5, 11])
+    data, offsets = langid.padded(data, offsets)
+    assert bytes(data) == b"A.  De. longer" and offsets.tolist() == [0, 4, 4, 8, 14]
+    gram = langid.grams(data, offsets)
+    assert gram[0] and gram[4] and not gram[1:4].any() and not gram[5:8].any()
