@@ -27,7 +27,7 @@ BLOCK = 8192
 #: Runs up to this length are compared pair by pair, longer ones by a search that visits each member once.
 SHORT_RUN = 16
 #: Members, and shingles of them, in one block of a group that is searched whole; a task holds two blocks at once.
-GROUP_BLOCK, GROUP_GRAMS = 512, 1 << 20
+GROUP_BLOCK, GROUP_GRAMS = 512, 1 << 18
 
 _SPREAD = np.array([sum(((v >> b) & 1) << (8 * b) for b in range(8)) for v in range(256)], np.uint64)
 
@@ -371,10 +371,11 @@ def similar_documents(
         both = np.array([_wide(t.as_py(), width) for t in texts], np.uint64).reshape(-1, 2).view(np.int64)
         return pa.StructArray.from_arrays([digests(texts), pa.array(both[:, 0]), pa.array(both[:, 1])], ["node", "fp", "mark"])
 
-    @F.arrow_udf("struct<of binary, grams array<long>>")
-    def shingles(texts: pa.Array) -> pa.Array:
-        sets = pa.array([shingle_set(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))
-        return pa.StructArray.from_arrays([digests(texts), sets], ["of", "grams"])
+    @F.arrow_udf("array<long>")
+    def shingles(texts: pa.Array, asked: pa.Array) -> pa.Array:
+        """Null for another text than the one asked for: an id may have several."""
+        both = ((t.as_py(), d.as_py()) for t, d in zip(texts, asked, strict=True))
+        return pa.array([shingle_set(t, shingle).view(np.int64) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int64()))
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
     own = cut(own.select("doc_id", "w.node", "w.fp", "w.mark"))
@@ -392,9 +393,8 @@ def similar_documents(
     if asked.count() * 64 <= max_broadcast_bytes:
         asked = F.broadcast(asked)
     members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
-    members = members.select("node", "fp", "mark", shingles("text").alias("s")).where("s.of = node")  # an id may have other texts
-    members = members.groupBy("node", "fp", "mark").agg(F.first("s.grams").alias("grams"))
-    members = cut(members)
+    members = members.select("node", "fp", "mark", shingles("text", "node").alias("grams"))
+    members = cut(members.groupBy("node", "fp", "mark").agg(F.first("grams", ignorenulls=True).alias("grams")))
     pairs = near
     for end in ("a", "b"):
         pairs = pairs.join(members.select(F.col("node").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("grams").alias(f"grams_{end}")), end)
