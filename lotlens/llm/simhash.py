@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotlens.llm.components import components
@@ -26,8 +26,8 @@ SEED = 42
 BLOCK = 8192
 #: Runs up to this length are compared pair by pair, longer ones by a search that visits each member once.
 SHORT_RUN = 16
-#: Members, and shingles of them, in one block of a group that is searched whole; a task holds two blocks at once.
-GROUP_BLOCK, GROUP_GRAMS = 512, 1 << 18
+#: Members, and words of them, in one block of a group that is searched whole; a task holds two blocks at once.
+GROUP_BLOCK, GROUP_GRAMS = 2048, 1 << 19
 
 _SPREAD = np.array([sum(((v >> b) & 1) << (8 * b) for b in range(8)) for v in range(256)], np.uint64)
 
@@ -76,39 +76,20 @@ def segments(most: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _variants(batches: Iterable[pa.RecordBatch], heavy: dict[int, int], most: int) -> Iterator[pa.RecordBatch]:
-    """(key, part, fp) for every one-wildcard variant; a variant with a heavy segment value is dealt to pairs of blocks."""
+def _variants(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(key, fp) or (key, fp, other) for every one-wildcard variant of the fingerprint, or of each of two."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
-            fp = batch.column(0)[at : at + 2000].to_numpy(zero_copy_only=False).view(np.uint64)
-            keys, parts, fps = [], [], []
-            for seg, (low, width) in enumerate(segments(most)):
-                value = (fp >> np.uint64(low)) & np.uint64((1 << width) - 1)
-                for bit in range(width):
-                    masked = value & ~np.uint64(1 << bit)
-                    key = (np.uint64((low + bit) << 32) | masked).view(np.int64)
-                    part = np.zeros(len(fp), np.int64)
-                    if heavy:
-                        pair = (heavy.get((seg << 32) | int(m), 0) + heavy.get((seg << 32) | int(m) | (1 << bit), 0) for m in masked)
-                        blocks = np.fromiter((1 if not n else -(-(n + BLOCK // 2) // BLOCK) for n in pair), np.int64, len(fp))
-                        for i in np.flatnonzero(blocks > 1):
-                            n = int(blocks[i])
-                            own = xxhash.xxh64_intdigest(fp[i].tobytes()) % n
-                            other = np.arange(n)
-                            keys.append(np.full(n, key[i]))
-                            parts.append(np.minimum(other, own) * n + np.maximum(other, own))
-                            fps.append(np.full(n, fp[i]))
-                        one = blocks == 1
-                        key, part, own_fp = key[one], part[one], fp[one]
-                    else:
-                        own_fp = fp
-                    keys.append(key)
-                    parts.append(part)
-                    fps.append(own_fp)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(np.concatenate(parts)), pa.array(np.concatenate(fps).view(np.int64))],
-                names=["key", "part", "fp"],
-            )
+            prints = [c[at : at + 2000].to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns]
+            keys = []
+            for which, fp in enumerate(prints):
+                for low, width in segments(most):
+                    value = (fp >> np.uint64(low)) & np.uint64((1 << width) - 1)
+                    keys += [np.uint64((which << 38) | ((low + bit) << 32)) | (value & ~np.uint64(1 << bit)) for bit in range(width)]
+            columns = [np.concatenate(keys)]
+            for turn in range(len(prints)):  # the indexed fingerprint comes first
+                columns.append(np.concatenate([np.tile(prints[(which + turn) % len(prints)], BITS) for which in range(len(prints))]))
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["key", "fp", "other"][: len(columns)])
 
 
 def first_variant(diff: np.ndarray, most: int) -> np.ndarray:
@@ -124,101 +105,152 @@ def first_variant(diff: np.ndarray, most: int) -> np.ndarray:
     return out
 
 
-def spanning_edges(fp: np.ndarray, bit: int, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join what links of this variant join, one less than there are members in each component.
+def _linked(fp: np.ndarray, other: np.ndarray | None, a: np.ndarray, b: np.ndarray | int, bit: np.ndarray | int, most: int, mark_bits: int) -> np.ndarray:
+    """Which of the pairs (a, b) are links that count in the variant with this wildcard bit."""
+    diff = fp[a] ^ fp[b]
+    out = np.bitwise_count(diff) <= most
+    if other is not None:
+        out &= np.bitwise_count(other[a] ^ other[b]) <= mark_bits
+    if out.any():
+        out[out] = first_variant(diff[out], most) == (bit if np.isscalar(bit) else bit[out])
+    return out
+
+
+def spanning_edges(fp: np.ndarray, bit: int, most: int = 3, other: np.ndarray | None = None, mark_bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places that join what links of this variant join, one less than there are members in each component.
 
     A search from each unvisited member compares the frontier with the members not yet visited only.
     """
     left, a, b = np.arange(len(fp)), [], []
     while len(left):
-        frontier, left = [left[0]], left[1:]
+        frontier, left = [int(left[0])], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            diff = fp[left] ^ fp[at]
-            near = np.bitwise_count(diff) <= most
+            near = _linked(fp, other, left, at, bit, most, mark_bits)
             if near.any():
-                near[near] = first_variant(diff[near], most) == bit
                 found = left[near]
-                a.append(np.full(len(found), fp[at]))
-                b.append(fp[found])
+                a.append(np.full(len(found), at))
+                b.append(found)
                 frontier.extend(found.tolist())
                 left = left[~near]
-    none = np.empty(0, np.uint64)
+    none = np.empty(0, np.int64)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _verified(key: np.ndarray, part: np.ndarray, fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within runs of equal (key, part), each in its first variant only."""
-    new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
-    size = np.diff(np.append(new, len(key)))
-    bit = key >> 32
+def _verified(run: np.ndarray, bit: np.ndarray, fp: np.ndarray, other: np.ndarray | None, most: int, mark_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between places of one run (their starts are given), each in its first variant only."""
+    size = np.diff(np.append(run, len(fp)))
     a, b = [], []
     short = np.repeat(size <= SHORT_RUN, size)
-    run = np.repeat(np.arange(len(new)), size)
-    for d in range(1, min(SHORT_RUN, len(key))):
-        hit = np.flatnonzero((run[d:] == run[:-d]) & short[d:])
+    of = np.repeat(np.arange(len(run)), size)
+    for d in range(1, min(SHORT_RUN, len(fp))):
+        hit = np.flatnonzero((of[d:] == of[:-d]) & short[d:])
         if not len(hit):
             break
-        diff = fp[hit] ^ fp[hit + d]
-        near = np.bitwise_count(diff) <= most
-        hit, diff = hit[near], diff[near]
-        hit = hit[first_variant(diff, most) == bit[hit]]
-        a.append(fp[hit])
-        b.append(fp[hit + d])
+        hit = hit[_linked(fp, other, hit, hit + d, bit[hit], most, mark_bits)]
+        a.append(hit)
+        b.append(hit + d)
     for i in np.flatnonzero(size > SHORT_RUN):
-        x, y = spanning_edges(np.unique(fp[new[i] : new[i] + size[i]]), int(bit[new[i]]), most)
-        a.append(x)
-        b.append(y)
-    none = np.empty(0, np.uint64)
+        own = slice(run[i], run[i] + size[i])
+        x, y = spanning_edges(fp[own], int(bit[run[i]]), most, None if other is None else other[own], mark_bits)
+        a.append(x + run[i])
+        b.append(y + run[i])
+    none = np.empty(0, np.int64)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _meet(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (key, part); a run that reaches the end of a batch waits for the next."""
-    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)]
-    pending: list[list[np.ndarray]] = []
-
-    def flush(last: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal held, pending
-        key, part, fp = (np.concatenate(x) for x in zip(held, *pending, strict=True))
-        pending = []
-        end = len(key)
-        if not last and end:
-            other = np.flatnonzero((key != key[-1]) | (part != part[-1]))
-            end = int(other[-1]) + 1 if len(other) else 0
-        held = [key[end:], part[end:], fp[end:]]
-        if end:
-            a, b = _verified(key[:end], part[:end], fp[:end], most)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    rows = 0
-    for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-        pending.append([cols[0], cols[1], cols[2].view(np.uint64)])
-        rows += batch.num_rows
-        if rows >= 100_000:
-            yield from flush(False)
-            rows = 0
-    yield from flush(True)
+def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str], most_bytes: int = 8 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables that hold runs of equal keys whole, with the starts of the runs; rows come sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    size = 0
 
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(max(0, table.num_rows - 1), bool)
+        for k in keys:
+            c = table[k].combine_chunks()
+            new |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+        return np.concatenate([[0], np.flatnonzero(new) + 1]).astype(np.int64)
 
-def links(distinct: DataFrame, fp: str = "fp", most: int = 3) -> DataFrame:
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            table, size = pa.Table.from_batches(held).combine_chunks(), 0
+            run = starts(table)
+            if len(run) > 1:
+                yield table[: run[-1]], run[:-1]
+                table = table[run[-1] :]
+            held = table.to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if table.num_rows:
+            yield table, starts(table)
+
+
+def _meet(batches: Iterable[pa.RecordBatch], keys: list[str], most: int, mark_bits: int) -> Iterator[pa.RecordBatch]:
+    """The links within runs of one variant (and one pair of blocks)."""
+    for table, run in whole_runs(batches, keys):
+        key = table["key"].to_numpy()
+        fp = table["fp"].to_numpy().view(np.uint64)
+        other = table["other"].to_numpy().view(np.uint64) if "other" in table.column_names else None
+        a, b = _verified(run, (key >> 32) & 63, fp, other, most, mark_bits)
+        if not len(a):
+            continue
+        cols = [fp[a], fp[b]]
+        if other is not None:
+            second = (key[a] >> 38) & 1 == 1  # there the second fingerprint was indexed
+            cols = [np.where(second, y, x) for x, y in ((fp[a], other[a]), (other[a], fp[a]), (fp[b], other[b]), (other[b], fp[b]))]
+        names = ["a", "b"] if other is None else ["a", "a_mark", "b", "b_mark"]
+        yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
+
+
+def _parts(own: Column, blocks: Column) -> Column:
+    """The pairs of blocks in which a member of block ``own`` meets the others; the only block is a pair with itself."""
+    others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda k: (k != own) | (blocks == 1))
+    return F.transform(others, lambda k: F.least(k, own) * blocks + F.greatest(k, own))
+
+
+def _heavy_variants(prints: DataFrame, most: int) -> DataFrame:
+    """(key, blocks) of the variants that may hold more than BLOCK members, from exact counts of all segment values."""
+    fields = [(which, name, low, width) for which, name in enumerate(prints.columns) for low, width in segments(most)]
+    values = [
+        F.struct(F.lit(i).alias("segment"), F.shiftrightunsigned(name, low).bitwiseAND((1 << width) - 1).alias("value"))
+        for i, (_, name, low, width) in enumerate(fields)
+    ]
+    often = prints.select(F.explode(F.array(*values)).alias("s")).groupBy("s.segment", "s.value").count().where(F.col("count") > BLOCK // 2)
+    keys = F.lit(None).cast("array<long>")
+    for i, (which, _, low, width) in enumerate(fields):
+        own = [F.col("value").bitwiseAND(~(1 << bit)).bitwiseOR(F.lit((which << 38) | ((low + bit) << 32))) for bit in range(width)]
+        keys = F.when(F.col("segment") == i, F.array(*own)).otherwise(keys)
+    # A variant joins two values; one that is not listed has BLOCK / 2 members at most.
+    blocks = F.ceil((F.sum("count") + BLOCK // 2) / BLOCK).cast("long")
+    return often.select(F.explode(keys).alias("key"), "count").groupBy("key").agg(blocks.alias("blocks"))
+
+
+def links(distinct: DataFrame, fp: str = "fp", most: int = 3, mark: str | None = None, mark_bits: int = 16, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """(a, b): verified links that connect what lies within ``most`` bits, among distinct fingerprints.
 
-    Not every pair of a dense group is listed, but each component of the link graph is connected by the rows.
+    With ``mark``, a second fingerprint, (a, a_mark, b, b_mark): both are indexed, and rows of distinct pairs are linked
+    if one of the two lies within ``most`` bits and the other within ``mark_bits``.  Not every pair of a dense group is
+    listed, but each component of the link graph is connected by the rows.  Variants with very many members are dealt
+    to pairs of blocks; which ones is a table that is broadcast while it is small and joined by a shuffle beyond.
     """
     if not 2 <= most <= 15:
         raise ValueError("most must lie between 2 and 15: a segment has 32 bits at most and 8 at least")
-    distinct = distinct.select(F.col(fp).alias("fp"))
-    spark = distinct.sparkSession
-    value = [F.shiftrightunsigned("fp", low).bitwiseAND((1 << width) - 1).bitwiseOR(F.lit(seg << 32)) for seg, (low, width) in enumerate(segments(most))]
-    # At most 2 n / (BLOCK / 2) values are heavy, so this table is a small fraction of the fingerprints.
-    rows = distinct.select(F.explode(F.array(*value)).alias("value")).groupBy("value").count().where(F.col("count") > BLOCK // 2).collect()
-    heavy = spark.sparkContext.broadcast({r["value"]: r["count"] for r in rows})
-    variants = distinct.mapInArrow(lambda it: _variants(it, heavy.value, most), "key long, part long, fp long")
-    met = variants.repartition("key", "part").sortWithinPartitions("key", "part")
-    return met.mapInArrow(lambda it: _meet(it, most), "a long, b long").distinct()
+    names = [fp] if mark is None else [fp, mark]
+    prints = distinct.select(*names)
+    variants = prints.mapInArrow(lambda it: _variants(it, most), "key long, fp long" if mark is None else "key long, fp long, other long")
+    heavy, keys = cut(_heavy_variants(prints, most)), ["key"]
+    n = heavy.count()
+    if n:
+        heavy = F.broadcast(heavy) if n * 16 <= max_broadcast_bytes else heavy
+        blocks = F.coalesce("blocks", F.lit(1).cast("long"))
+        own = F.pmod(F.xxhash64(*variants.columns[1:]) if mark is None else F.xxhash64(F.least("fp", "other"), F.greatest("fp", "other")), blocks)
+        variants = variants.join(heavy, "key", "left").select(*variants.columns, F.explode(_parts(own, blocks)).alias("part"))
+        keys = ["key", "part"]
+    met = variants.repartition(*keys).sortWithinPartitions(*keys)
+    out = "a long, b long" if mark is None else "a long, a_mark long, b long, b_mark long"
+    return met.mapInArrow(lambda it: _meet(it, keys, most, mark_bits), out).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3, most: int = 3) -> DataFrame:
@@ -241,18 +273,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return own.join(classes, "fp").select("doc_id", "fp", "component")
 
 
-def _wide(text: str | None, width: int) -> tuple[int, int]:
-    """Two independent fingerprints from the halves of 128-bit shingle hashes."""
+def word_prints(text: str | None) -> tuple[int, int, int]:
+    """Two independent SimHash fingerprints over the distinct words, and the number of all words.
+
+    A changed word moves one of n features here, and ``width`` of n where shingles are the features, so texts that share
+    most of their shingles lie much nearer; texts that share words only are told apart by their shingle sets later.
+    """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0, 0
-    joined = b" ".join(words)
-    end = np.cumsum([len(w) + 1 for w in words]) - 1
-    start = np.concatenate([[0], end[:-1] + 1])
-    n, digest = max(1, len(words) - width + 1), xxhash.xxh3_128_digest
-    spans = zip(start[:n].tolist(), end[min(width, len(words)) - 1 :].tolist(), strict=True)
-    halves = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in spans]), "<u8").reshape(-1, 2)
-    return majority_bits(np.ascontiguousarray(halves[:, 0])), majority_bits(np.ascontiguousarray(halves[:, 1]))
+        return 0, 0, 0
+    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, set(words))), "<u8").reshape(-1, 2)
+    return majority_bits(np.ascontiguousarray(halves[:, 0])), majority_bits(np.ascontiguousarray(halves[:, 1])), len(words)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -267,6 +298,12 @@ def word_digest(text: str | None) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
 
 
+def candidates(fp: np.ndarray, mark: np.ndarray, at: int, among: np.ndarray, most: int, mark_bits: int) -> np.ndarray:
+    """Which of ``among`` lie near member ``at``: one fingerprint within ``most`` bits, the other within ``mark_bits``."""
+    one, two = np.bitwise_count(fp[among] ^ fp[at]), np.bitwise_count(mark[among] ^ mark[at])
+    return (np.minimum(one, two) <= most) & (np.maximum(one, two) <= mark_bits)
+
+
 def verified_labels(fp: np.ndarray, mark: np.ndarray, label: np.ndarray, grams: np.ndarray, first: np.ndarray, most: int, mark_bits: int, similarity: float) -> list[tuple[int, int]]:
     """Pairs of labels that alike members join, enough to connect all labels that any such members connect.
 
@@ -282,7 +319,7 @@ def verified_labels(fp: np.ndarray, mark: np.ndarray, label: np.ndarray, grams:
         frontier, left = left[reached].tolist(), left[~reached]
         while frontier and len(left):
             at = frontier.pop()
-            near = (np.bitwise_count(fp[left] ^ fp[at]) <= most) & (np.bitwise_count(mark[left] ^ mark[at]) <= mark_bits)
+            near = candidates(fp, mark, at, left, most, mark_bits)
             near &= np.minimum(size[left], size[at]) / np.maximum(size[left], size[at]) >= similarity
             other = left[near]
             if not len(other):
@@ -302,74 +339,84 @@ def verified_labels(fp: np.ndarray, mark: np.ndarray, label: np.ndarray, grams:
     return out
 
 
-def _joined(members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
-    """(a, b): labels that alike members of one group join; members: root (the group), label, node, fp, mark, grams.
+def _search(batches: Iterable[pa.RecordBatch], most: int, mark_bits: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """(a, b): labels that alike members of one group, or of one pair of its blocks, join."""
+    for table, run in whole_runs(batches, ["root", "part"]):
+        names = table["label"].combine_chunks().dictionary_encode()
+        label = names.indices.to_numpy()
+        fp, mark = (table[c].to_numpy().view(np.uint64) for c in ("fp", "mark"))
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(table["grams"]).to_numpy())])
+        grams = pc.list_flatten(table["grams"]).to_numpy()
+        found = []
+        for a, b in zip(run.tolist(), [*run[1:].tolist(), table.num_rows], strict=True):
+            found += verified_labels(fp[a:b], mark[a:b], label[a:b], grams[first[a] : first[b]], first[a : b + 1] - first[a], most, mark_bits, similarity)
+        ends = [names.dictionary.take(pa.array([e[k] for e in found], pa.int32())) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+
+def _blocks(words: str) -> Column:
+    """Blocks of a group: by its members and by their words, which bound their shingles."""
+    return F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum(words) / GROUP_GRAMS)).cast("long")
+
+
+def _searched(members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
+    """(a, b): labels that alike members of one group join; members: root (the group), blocks, label, node, fp, mark, grams.
 
     Every pair of a group is looked at.  A large group is dealt to pairs of blocks, so a task holds two blocks at most.
     """
-    sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / GROUP_BLOCK), F.ceil(F.sum(F.size("grams")) / GROUP_GRAMS)).cast("int").alias("blocks"))
-    heavy = F.broadcast(sizes.where("blocks > 1"))  # n / GROUP_BLOCK rows, or one for each GROUP_GRAMS shingles
-    dealt = members.join(heavy, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != F.col("own")) | (F.col("blocks") == 1))
-    part = F.transform(others, lambda k: F.least(k, "own").cast("long") * F.col("blocks") + F.greatest(k, "own"))
-    dealt = dealt.select("root", F.explode(part).alias("part"), "label", "fp", "mark", "grams")
-    kind = members.schema["label"].dataType.simpleString()
-
-    def search(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        names = group["label"].combine_chunks().dictionary_encode()
-        fp, mark = (group[c].to_numpy().view(np.uint64) for c in ("fp", "mark"))
-        first = np.concatenate([[0], np.cumsum(pc.list_value_length(group["grams"]).to_numpy())])
-        grams = pc.list_flatten(group["grams"]).to_numpy()
-        found = verified_labels(fp, mark, names.indices.to_numpy(), grams, first, most, mark_bits, similarity)
-        ends = [names.dictionary.take(pa.array([e[k] for e in found], pa.int32())) for k in (0, 1)]
-        return pa.Table.from_arrays(ends, names=["a", "b"])
+    part = _parts(F.pmod(F.xxhash64("node"), F.col("blocks")), F.col("blocks"))
+    dealt = members.select("root", F.explode(part).alias("part"), "label", "fp", "mark", "grams")
+    met = dealt.repartition("root", "part").sortWithinPartitions("root", "part")
+    return met.mapInArrow(lambda it: _search(it, most, mark_bits, similarity), "a binary, b binary").distinct()
 
-    return dealt.groupBy("root", "part").applyInArrow(search, f"a {kind}, b {kind}").distinct()
 
+def _large_groups(near: DataFrame, members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
+    """(a, b): nodes that connect what alike members of large groups connect.
 
-def _verified_roots(tested: DataFrame, members: DataFrame, most: int, mark_bits: int, similarity: float) -> DataFrame:
-    """(node, root) for members: components over all alike pairs of each group that the tested links connect.
-
-    tested: (a, b, alike).  Links connect whatever may be alike, so pairs that were never listed lie inside a group.  Where
-    all links held, the group is one component; where one failed between two components, all pairs of the group are tried.
+    The listed links are verified first.  Where all of them hold, the group is one component.  Where one fails between
+    two components, all pairs of the group are tried, as pairs that were never listed lie inside a group too.
     """
+    pairs = near
+    for end in ("a", "b"):
+        pairs = pairs.join(members.select(F.col("node").alias(end), F.col("grams").alias(f"grams_{end}")), end)
+    shared = F.size(F.array_intersect("grams_a", "grams_b"))
+    alike = shared / (F.size("grams_a") + F.size("grams_b") - shared) >= similarity
+    tested = cut(pairs.select("a", "b", alike.alias("alike")))
     held = components(tested.where("alike"))
-    labels = cut(members.select("node").join(held, "node", "left").select("node", F.coalesce("root", "node").alias("label")))
+    labels = cut(members.select("node", "words").join(held, "node", "left").select("node", "words", F.coalesce("root", "node").alias("label")))
     failed = tested.where("not alike").select("a", "b")
     for end in ("a", "b"):
         failed = failed.join(labels.select(F.col("node").alias(end), "label"), end).drop(end).withColumnRenamed("label", end)
     failed = cut(failed.where("a <> b").distinct())
-    if not failed.isEmpty():
-        groups = components(failed).select(F.col("node").alias("label"), "root")
-        more = components(cut(_joined(members.join(labels.join(groups, "label"), "node"), most, mark_bits, similarity)))
-        labels = labels.join(more.select(F.col("node").alias("label"), "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
-    return labels.select("node", F.col("label").alias("root"))
+    joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    if failed.isEmpty():
+        return joined
+    groups = labels.join(components(failed).select(F.col("node").alias("label"), "root"), "label")
+    sized = cut(groups.join(groups.groupBy("root").agg(_blocks("words").alias("blocks")), "root").select("node", "label", "root", "blocks"))
+    more = _searched(members.drop("root", "blocks").join(sized, "node"), most, mark_bits, similarity)
+    return joined.unionByName(more)
 
 
 def similar_documents(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, similarity: float = 0.8, width: int = 3, most: int = 7, mark_bits: int = 20, max_broadcast_bytes: int = 64 << 20
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, similarity: float = 0.8, most: int = 7, mark_bits: int = 16, max_broadcast_bytes: int = 64 << 20
 ) -> DataFrame:
     """(doc_id, component) for every row: groups of texts whose sets of ``shingle``-word shingles are at least ``similarity`` alike.
 
-    Candidates are fingerprints (over ``width`` words) within ``most`` bits, found by deletion variants.  A second,
-    independent fingerprint refuses most chance candidates, and the others are verified on their shingle sets.  Only equal
-    sequences of words are one group at once; other texts of one fingerprint are candidates like any others.  All
-    candidate pairs count, whether links() lists them or not: a group with a link that fails is searched whole.  Verified
-    pairs make components; component is the smallest id reachable.  Null and empty texts are alike; ids must not be null.
+    Each text has two fingerprints over its distinct words, both indexed by deletion variants.  Candidates lie within
+    ``most`` bits in one of them and ``mark_bits`` in the other, which few unlike texts do, and are verified on their
+    shingle sets.  Only equal sequences of words are one group at once.  All candidate pairs count, whether links() lists
+    them or not: groups that links connect are searched for all alike pairs.  Verified pairs make components; component
+    is the smallest id reachable.  Null and empty texts are alike; ids must not be null.
 
-    A wider radius finds more of the pairs that are only just similar, and costs more: a variant's rows grow as
-    n / 2 ** (64 / (most // 2 + 1) - 1).  A group of n with failing links costs n ** 2 comparisons inside tasks.
+    ``most`` sets recall against cost: a variant's rows grow as n / 2 ** (64 / (most // 2 + 1) - 1).
     """
 
-    def digests(texts: pa.Array) -> pa.Array:
-        return pa.array([word_digest(t.as_py()) for t in texts], pa.binary())
-
-    @F.arrow_udf("struct<node binary, fp long, mark long>")
+    @F.arrow_udf("struct<node binary, fp long, mark long, words int>")
     def wide(texts: pa.Array) -> pa.Array:
-        both = np.array([_wide(t.as_py(), width) for t in texts], np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.StructArray.from_arrays([digests(texts), pa.array(both[:, 0]), pa.array(both[:, 1])], ["node", "fp", "mark"])
+        own = [t.as_py() for t in texts]
+        prints = np.array([word_prints(t) for t in own], np.uint64).reshape(-1, 3)
+        cols = [pa.array(prints[:, k].view(np.int64)) for k in (0, 1)]
+        return pa.StructArray.from_arrays([pa.array([word_digest(t) for t in own], pa.binary()), *cols, pa.array(prints[:, 2].astype(np.int32))], ["node", "fp", "mark", "words"])
 
     @F.arrow_udf("array<long>")
     def shingles(texts: pa.Array, asked: pa.Array) -> pa.Array:
@@ -378,34 +425,32 @@ def similar_documents(
         return pa.array([shingle_set(t, shingle).view(np.int64) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int64()))
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
-    own = cut(own.select("doc_id", "w.node", "w.fp", "w.mark"))
-    nodes = cut(own.groupBy("node", "fp", "mark").agg(F.min("doc_id").alias("least")))
-    # One text stands for each fingerprint: it is linked with the others of that fingerprint and with near fingerprints.
-    first = cut(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
-    near = links(first, "fp", most)
+    own = cut(own.select("doc_id", "w.*"))
+    nodes = cut(own.groupBy("node", "fp", "mark", "words").agg(F.min("doc_id").alias("least")))
+    # One text stands for each pair of fingerprints: it is linked with the others of that pair and with near ones.
+    first = cut(nodes.groupBy("fp", "mark").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    near = links(first, "fp", most, "mark", mark_bits, max_broadcast_bytes)
     for end in ("a", "b"):
-        near = near.join(first.select(F.col("fp").alias(end), F.col("first").alias(f"node_{end}")), end)
+        near = near.join(first.select(F.col("fp").alias(end), F.col("mark").alias(f"{end}_mark"), F.col("first").alias(f"node_{end}")), [end, f"{end}_mark"])
     near = near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    equal = nodes.join(first.where("n > 1"), "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    equal = nodes.join(first.where("n > 1"), ["fp", "mark"]).where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     near = cut(near.unionByName(equal))
-    asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    asked = cut(asked.select("node", "fp", "mark", F.col("least").alias("__id")))
-    if asked.count() * 64 <= max_broadcast_bytes:
-        asked = F.broadcast(asked)
-    members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(asked, F.col("doc_id") == F.col("__id"))
-    members = members.select("node", "fp", "mark", shingles("text", "node").alias("grams"))
-    members = cut(members.groupBy("node", "fp", "mark").agg(F.first("grams", ignorenulls=True).alias("grams")))
-    pairs = near
-    for end in ("a", "b"):
-        pairs = pairs.join(members.select(F.col("node").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("grams").alias(f"grams_{end}")), end)
-    shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    alike = shared / (F.size("grams_a") + F.size("grams_b") - shared) >= similarity
-    alike = F.when(F.bit_count(F.col("mark_a").bitwiseXOR(F.col("mark_b"))) <= mark_bits, alike).otherwise(False)
-    roots = _verified_roots(cut(pairs.select("a", "b", alike.alias("alike"))), members, most, mark_bits, similarity)
-    linked = cut(roots.join(nodes, "node").select("node", "root", "least"))
+    asked = cut(components(near).join(nodes, "node"))
+    asked = asked.join(asked.groupBy("root").agg(_blocks("words").alias("blocks")), "root")
+    asked = cut(asked.select("node", "root", "blocks", "fp", "mark", "words", F.col("least").alias("__id")))
+    large = asked.where("blocks > 1")
+    sent = F.broadcast(asked) if asked.count() * 80 <= max_broadcast_bytes else asked
+    members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(sent, F.col("doc_id") == F.col("__id"))
+    members = members.select("node", "root", "blocks", "fp", "mark", "words", F.col("node").alias("label"), shingles("text", "node").alias("grams")).where("grams is not null")
+    members = cut(members.dropDuplicates(["node"]))
+    alike = _searched(members.where("blocks = 1"), most, mark_bits, similarity)
+    if not large.isEmpty():
+        inside = near.join(large.select(F.col("node").alias("a")), "a", "left_semi")
+        alike = alike.unionByName(_large_groups(inside, members.where("blocks > 1").drop("label"), most, mark_bits, similarity))
+    linked = cut(components(alike).join(nodes, "node").select("node", "root", "least"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
     moved = cut(linked.select("node", "root").join(smallest, "root").select("node", "component"))
-    classes = cut(nodes.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component")))
+    classes = nodes.join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component"))
     return own.select("doc_id", "node").join(classes, "node").select("doc_id", "component")
 
 

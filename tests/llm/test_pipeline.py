@@ -19,7 +19,7 @@ def tokens(t):
 
 
 def near_groups(rows):
-    wide = {i: simhash._wide(t, 3) for i, t in rows}
+    wide = {i: simhash.word_prints(t) for i, t in rows}
     sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
     root = {i: i for i, _ in rows}
 
@@ -31,9 +31,8 @@ def near_groups(rows):
     ids = sorted(root)
     for n, i in enumerate(ids):
         for j in ids[:n]:
-            if wide[i][0] == wide[j][0] or (
-                bin(wide[i][0] ^ wide[j][0]).count("1") <= 7 and bin(wide[i][1] ^ wide[j][1]).count("1") <= 20 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
-            ):
+            one, two = sorted((wide[i][k] ^ wide[j][k]).bit_count() for k in (0, 1))
+            if one <= 7 and two <= 16 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return {i: find(i) for i in ids}
