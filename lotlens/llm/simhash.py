@@ -287,10 +287,13 @@ def word_prints(text: str | None) -> tuple[int, int, int]:
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of ``width`` words; fewer words are one shingle."""
+    """Sorted distinct 32-bit hashes of the shingles of ``width`` words; fewer words are one shingle.
+
+    Two different shingles of a pair of texts are taken for one with a chance of their number over 2 ** 32.
+    """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     parts = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
-    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(p) for p in parts), np.uint64, len(parts)))
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(p) for p in parts), np.uint32, len(parts)).view(np.int32))
 
 
 def word_digest(text: str | None) -> bytes:
@@ -413,16 +416,16 @@ def similar_documents(
 
     @F.arrow_udf("struct<node binary, fp long, mark long, words int>")
     def wide(texts: pa.Array) -> pa.Array:
-        own = [t.as_py() for t in texts]
-        prints = np.array([word_prints(t) for t in own], np.uint64).reshape(-1, 3)
-        cols = [pa.array(prints[:, k].view(np.int64)) for k in (0, 1)]
-        return pa.StructArray.from_arrays([pa.array([word_digest(t) for t in own], pa.binary()), *cols, pa.array(prints[:, 2].astype(np.int32))], ["node", "fp", "mark", "words"])
+        found = [(word_digest(t), *word_prints(t)) for t in (x.as_py() for x in texts)]
+        nodes, fps, marks, words = zip(*found, strict=True) if found else ((),) * 4
+        prints = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, marks)]
+        return pa.StructArray.from_arrays([pa.array(nodes, pa.binary()), *prints, pa.array(words, pa.int32())], ["node", "fp", "mark", "words"])
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("array<int>")
     def shingles(texts: pa.Array, asked: pa.Array) -> pa.Array:
         """Null for another text than the one asked for: an id may have several."""
         both = ((t.as_py(), d.as_py()) for t, d in zip(texts, asked, strict=True))
-        return pa.array([shingle_set(t, shingle).view(np.int64) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int64()))
+        return pa.array([shingle_set(t, shingle) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int32()))
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
     own = cut(own.select("doc_id", "w.*"))

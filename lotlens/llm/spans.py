@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _GAPS = [9, 10, 11, 12, 13, 32]
 
