@@ -34,7 +34,7 @@ def cut(df: DataFrame) -> DataFrame:
     of an iterative algorithm.
     """
     path = scratch(df.sparkSession, "cut")
-    df.write.parquet(path)
+    df.write.option("compression", "none").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
