@@ -1,8 +1,9 @@
 """Line deduplication with a sharded minimal perfect hash.
 
-Distinct line hashes are counted over all documents in one pre-aggregated shuffle.  The hashes of lines that repeat
-often enough go into shards; each shard gets a minimal perfect hash that indexes flat arrays of fingerprints, counts
-and the document to keep.  Documents then probe the arrays, and lines are never joined.
+Distinct line hashes are counted over all documents in one pre-aggregated shuffle.  The hashes of lines that stand in
+more than one document go into shards; each shard gets a minimal perfect hash that indexes flat arrays of fingerprints,
+counts and the document to keep.  Documents then probe the arrays, and lines are never joined: up to a size the shards
+go to every executor, beyond it the line hashes of each document go to their shard.
 """
 
 from __future__ import annotations
@@ -21,26 +22,36 @@ from lotlens.runtime import cut
 #: Hashes in a shard, and the bytes of all shards up to which they are sent to every executor.
 SHARD_KEYS = 32_768
 MAX_INDEX_BYTES = 128 << 20
-#: fingerprint, count, document and about four bits of hash for a key.
+#: Bytes a key: fingerprint 8, count 4, document 8, and under 6 bits of hash with its ranks.
 KEY_BYTES = 21
+#: Lines that probe one copy of a shard, at most about.
+PROBES = 1_000_000
 _SPACE = b" \t\n\x0b\x0c\r"
 _NONE = np.iinfo(np.int64).min
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct 64-bit keys: levels of bit arrays, each key marked at the first level where it is alone."""
+    """Minimal perfect hash of distinct 64-bit keys: levels of bit arrays, each key marked at the first level where it is alone.
 
-    def __init__(self, keys: np.ndarray):
-        self.sizes, self.bits, self.ranks, left, rank = [], [], [], keys, 0
+    ``words`` are the bits of all levels in 64-bit words, ``ranks`` the marked bits before each word.
+    """
+
+    def __init__(self, sizes: list[int], words: np.ndarray, ranks: np.ndarray):
+        self.sizes, self.words, self.ranks = sizes, words, ranks
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> PerfectHash:
+        sizes, words, left = [], [np.empty(0, np.uint64)], keys
         while len(left):
-            size = max(64, 2 * len(left))
-            at = self._place(left, len(self.sizes), size)
+            size = max(64, -(-2 * len(left) // 64) * 64)
+            at = cls._place(left, len(sizes), size)
             alone = np.bincount(at, minlength=size) == 1
-            self.sizes.append(size)
-            self.bits.append(alone)
-            self.ranks.append(rank + np.cumsum(alone, dtype=np.int32) - 1)
-            rank += int(alone.sum())
+            sizes.append(size)
+            words.append(np.packbits(alone, bitorder="little").view("<u8"))
             left = left[~alone[at]]
+        bits = np.concatenate(words)
+        ranks = np.cumsum(np.bitwise_count(bits), dtype=np.int32) - np.bitwise_count(bits).astype(np.int32)
+        return cls(sizes, bits, ranks)
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -49,23 +60,45 @@ class PerfectHash:
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """The slot of each key; for what is no key, some slot or -1."""
         slot = np.full(len(keys), -1, np.int64)
-        left = np.arange(len(keys))
+        left, before = np.arange(len(keys)), 0
         for level, size in enumerate(self.sizes):
-            at = self._place(keys[left], level, size)
-            hit = self.bits[level][at]
-            slot[left[hit]] = self.ranks[level][at[hit]]
-            left = left[~hit]
+            at = before + self._place(keys[left], level, size)
+            word, bit = self.words[at >> 6], (at & 63).astype(np.uint64)
+            hit = (word >> bit) & np.uint64(1) == 1
+            below = np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
+            slot[left[hit]] = self.ranks[at[hit] >> 6] + below[hit]
+            left, before = left[~hit], before + size
         return slot
 
 
 class Shard:
     """The arrays of one shard in slot order."""
 
-    def __init__(self, h1: np.ndarray, h2: np.ndarray, count: np.ndarray, keep: np.ndarray):
-        self.hash = PerfectHash(h1)
-        slot = self.hash(h1)
-        self.mark, self.count, self.keep = np.empty_like(h2), np.empty(len(h1), np.int32), np.empty(len(h1), np.int64)
-        self.mark[slot], self.count[slot], self.keep[slot] = h2, np.minimum(count, 2**31 - 1), keep
+    def __init__(self, index: PerfectHash, mark: np.ndarray, count: np.ndarray, keep: np.ndarray):
+        self.hash, self.mark, self.count, self.keep = index, mark, count, keep
+
+    @classmethod
+    def of(cls, h1: np.ndarray, h2: np.ndarray, count: np.ndarray, keep: np.ndarray) -> Shard:
+        index = PerfectHash.of(h1)
+        order = np.argsort(index(h1))
+        return cls(index, h2[order], np.minimum(count, 2**31 - 1).astype(np.int32)[order], keep[order])
+
+    def pack(self) -> bytes:
+        sizes = self.hash.sizes
+        head = np.array([len(self.mark), len(sizes), *sizes], np.int64)
+        return b"".join(x.tobytes() for x in (head, self.mark, self.keep, self.hash.words, self.hash.ranks, self.count))
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Shard:
+        """Views of the packed bytes, nothing is copied."""
+        n, levels = np.frombuffer(data, np.int64, 2).tolist()
+        sizes, at = np.frombuffer(data, np.int64, levels, 16).tolist(), 16 + 8 * levels
+        out = []
+        for kind, length in ((np.uint64, n), (np.int64, n), (np.uint64, sum(sizes) // 64), (np.int32, sum(sizes) // 64), (np.int32, n)):
+            out.append(np.frombuffer(data, kind, length, at))
+            at += out[-1].nbytes
+        mark, keep, words, ranks, count = out
+        return cls(PerfectHash(sizes, words, ranks), mark, count, keep)
 
     def drops(self, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
         """Whether the line with these hashes goes from document ``doc``."""
@@ -103,17 +136,10 @@ def _seen(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.Reco
 
 
 def _build(table: pa.Table) -> pa.Table:
-    """One row with the arrays of a shard, as an Arrow stream."""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    return pa.table({"shard": table["shard"][:1], "arrays": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-
-
-def _read(arrays: bytes) -> Shard:
-    t = pa.ipc.open_stream(arrays).read_all()
-    col = lambda name: t[name].to_numpy()
-    return Shard(col("h1").view(np.uint64), col("h2").view(np.uint64), col("n"), col("keep"))
+    """One row with the packed arrays of a shard."""
+    col = lambda name: table[name].to_numpy()
+    shard = Shard.of(col("h1").view(np.uint64), col("h2").view(np.uint64), col("n"), col("keep"))
+    return pa.table({"shard": table["shard"][:1], "lines": pa.array([int(col("n").sum())], pa.int64()), "arrays": pa.array([shard.pack()], pa.binary())})
 
 
 def _dropped(hashes: list, doc_ids: list, shards: dict[int, Shard], n_shards: int, least: int) -> list[np.ndarray]:
@@ -134,12 +160,25 @@ def _dropped(hashes: list, doc_ids: list, shards: dict[int, Shard], n_shards: in
 
 
 _RESULT = "struct<text string, n_lines long, n_dropped long>"
-_ARROW = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_docs: int = 5, min_chars: int = 40) -> DataFrame:
+def _kept(lines: list[list[bytes]], gone: list[np.ndarray]) -> pa.Array:
+    """The lines that stay, joined, and the numbers of lines before and dropped."""
+    out, n_lines, n_dropped = [], [], []
+    for ls, g in zip(lines, gone, strict=True):
+        kept = ls if not g.any() else [x for x, off in zip(ls, g.tolist(), strict=True) if not off]
+        out.append(b"\n".join(kept).decode("utf-8", "surrogatepass"))
+        n_lines.append(len(ls))
+        n_dropped.append(len(ls) - len(kept))
+    return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], ["text", "n_lines", "n_dropped"])
+
+
+_EMPTY = _kept([], [])
+
+
+def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_docs: int = 2, min_chars: int = 40) -> DataFrame:
     """(h1, h2, n, keep): the 128-bit hash of each long line in at least ``min_docs`` rows, their number, the largest id."""
-    own = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    own = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
     seen = own.mapInArrow(lambda it: _seen(it, min_chars), "h1 long, h2 long, doc long")
     counted = seen.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc").alias("keep"))
     return counted.where(F.col("n") >= min_docs).withColumn("keep", F.coalesce("keep", F.lit(_NONE)))
@@ -153,34 +192,31 @@ def dedup_lines(
     A text is split at newlines; a null or empty one is one empty line and comes back empty.  A line's key is the line
     without ASCII white space at its ends, A-Z lower-cased.  A key of ``min_chars`` code points or more that ``min_docs``
     or more rows hold loses its lines everywhere but in rows with the largest id that holds it, where all of them stay.
-    Repeated rows count as documents of their own; ids that are null are smaller than any other.  Other columns pass
-    unchanged and rows are never dropped; an empty table stays empty.
+    Rows are documents, repeated rows too; ids are whole numbers or text that casts to them (else the query fails), and
+    a null id is smaller than any other.  Other columns pass unchanged and rows are never dropped; an empty table stays empty.
 
-    The index goes to every executor while it has at most ``max_index_bytes``; beyond that, the lines of each document
-    meet the repeated ones in a shuffle join.
+    The index goes to every executor while it has at most ``max_index_bytes``.  Beyond that each line's hash goes to its
+    shard and probes the same arrays there; a shard that many lines probe is sent to several partitions.
     """
-    hot = cut(repeated_lines(docs, text, doc_id, min_docs, min_chars))
+    hot = cut(repeated_lines(docs, text, doc_id, min(min_docs, 2), min_chars))
     n = hot.count()
-    if n * KEY_BYTES > max_index_bytes:
-        return _by_join(docs, hot, text, doc_id, min_chars)
     n_shards = max(1, -(-n // SHARD_KEYS))
-    dealt = hot.withColumn("shard", F.pmod("h1", F.lit(n_shards)))
-    built = dealt.groupBy("shard").applyInArrow(_build, "shard long, arrays binary")
+    built = hot.withColumn("shard", F.pmod("h1", F.lit(n_shards))).groupBy("shard").applyInArrow(_build, "shard long, lines long, arrays binary")
+    if n * KEY_BYTES > max_index_bytes:
+        return _at_shards(docs, cut(built), n_shards, text, doc_id, min_docs, min_chars)
     index = docs.sparkSession.sparkContext.broadcast({r["shard"]: r["arrays"] for r in built.collect()})  # bounded above
     opened: dict[int, Shard] = {}
 
     @F.arrow_udf(_RESULT)
     def rid(texts: pa.Array, ids: pa.Array) -> pa.Array:
         if index.value and not opened:
-            opened.update({k: _read(v) for k, v in index.value.items()})
-        out, ids = [], ids.to_pylist()
-        for at in range(0, len(texts), 1000):
-            lines = [_lines_of(t.as_py()) for t in texts[at : at + 1000]]
+            opened.update({k: Shard.unpack(v) for k, v in index.value.items()})
+        out = [_EMPTY]
+        for at in range(0, len(texts), 500):
+            lines = [_lines_of(t.as_py()) for t in texts[at : at + 500]]
             hashes = [[line_hashes(x, min_chars) for x in ls] for ls in lines]
-            for ls, gone in zip(lines, _dropped(hashes, ids[at : at + 1000], opened, n_shards, min_docs), strict=True):
-                kept = ls if not gone.any() else [x for x, g in zip(ls, gone.tolist(), strict=True) if not g]
-                out.append({"text": b"\n".join(kept).decode("utf-8", "surrogatepass"), "n_lines": len(ls), "n_dropped": len(ls) - len(kept)})
-        return pa.array(out, _ARROW)
+            out.append(_kept(lines, _dropped(hashes, ids[at : at + 500].to_pylist(), opened, n_shards, min_docs)))
+        return pa.concat_arrays(out)
 
     return _replaced(docs, rid(F.col(text), F.col(doc_id).cast("long")), text)
 
@@ -191,33 +227,53 @@ def _replaced(docs: DataFrame, result: Column, text: str) -> DataFrame:
     return part.select(*[F.col("__rid.text").alias(text) if c == text else F.col(f"`{c}`") for c in own], "__rid.n_lines", "__rid.n_dropped")
 
 
-def _by_join(docs: DataFrame, hot: DataFrame, text: str, doc_id: str, min_chars: int) -> DataFrame:
-    """The same result where the index is too large to send: salted equi-join of line hashes, then lines by position."""
-    hashed = "array<struct<pos long, h1 long, h2 long>>"
-
-    @F.arrow_udf(hashed)
+def _probe(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(row, pos) of lines that go.  In the sorted rows each copy of a shard comes before the lines that probe it."""
+    shard = None
+    for batch in batches:
+        arrays = batch.column("arrays")
+        cuts = np.flatnonzero(arrays.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "doc", "row", "pos")}
+        for a, b in zip([-1, *cuts], [*cuts, batch.num_rows], strict=True):
+            if a >= 0:
+                shard = Shard.unpack(arrays[a].as_py())
+            if b > a + 1:
+                h1, h2, doc, row, pos = (col[c][a + 1 : b] for c in col)
+                gone = shard.drops(h1.view(np.uint64), h2.view(np.uint64), doc, least)
+                yield pa.RecordBatch.from_arrays([pa.array(row[gone]), pa.array(pos[gone])], names=["row", "pos"])
+
+
+def _at_shards(docs: DataFrame, built: DataFrame, n_shards: int, text: str, doc_id: str, min_docs: int, min_chars: int) -> DataFrame:
+    """The same result where the index is too large to send: the hashes of lines go to their shards."""
+
+    @F.arrow_udf("array<struct<pos long, h1 long, h2 long>>")
     def spots(texts: pa.Array) -> pa.Array:
         signed = lambda x: x - (1 << 64) if x >> 63 else x
-        found = []
+        kind, out = pa.list_(pa.struct([("pos", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])), []
         for t in texts:
             hs = enumerate(line_hashes(x, min_chars) for x in _lines_of(t.as_py()))
-            found.append([{"pos": i, "h1": signed(h[0]), "h2": signed(h[1])} for i, h in hs if h])
-        return pa.array(found, pa.list_(pa.struct([("pos", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])))
+            out.append([{"pos": i, "h1": signed(h[0]), "h2": signed(h[1])} for i, h in hs if h])
+        return pa.array(out, kind)
 
     @F.arrow_udf(_RESULT)
     def rid(texts: pa.Array, gone: pa.Array) -> pa.Array:
-        out = []
-        for t, g in zip(texts, gone.to_pylist(), strict=True):
-            lines, g = _lines_of(t.as_py()), set(g or ())
-            kept = [x for i, x in enumerate(lines) if i not in g]
-            out.append({"text": b"\n".join(kept).decode("utf-8", "surrogatepass"), "n_lines": len(lines), "n_dropped": len(lines) - len(kept)})
-        return pa.array(out, _ARROW)
-
-    salts = 16
-    keyed = cut(docs.withColumn("__row", F.expr("uuid()")))
-    probes = keyed.select("__row", F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("doc"), F.explode(spots(F.col(text))).alias("s"))
-    probes = probes.select("__row", "doc", "s.*", F.pmod(F.xxhash64("__row"), F.lit(salts)).alias("salt"))
-    spread = hot.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
-    gone = probes.join(spread, ["h1", "h2", "salt"]).where("keep <> doc").groupBy("__row").agg(F.collect_list("pos").alias("__gone"))
+        out = [_EMPTY]
+        for at in range(0, len(texts), 500):
+            lines = [_lines_of(t.as_py()) for t in texts[at : at + 500]]
+            masks = [np.isin(np.arange(len(ls)), g or []) for ls, g in zip(lines, gone[at : at + 500].to_pylist(), strict=True)]
+            out.append(_kept(lines, masks))
+        return pa.concat_arrays(out)
+
+    keyed = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
+    copies = built.select("shard", F.ceil(F.col("lines") / PROBES).cast("long").alias("copies"))  # one short row a shard
+    lines = keyed.select(F.col("__row").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("doc"), F.explode(spots(F.col(text))).alias("s"))
+    lines = lines.select("row", "doc", "s.*", F.pmod("s.h1", F.lit(n_shards)).alias("shard")).join(F.broadcast(copies), "shard")
+    lines = lines.select("shard", F.pmod(F.xxhash64("row", "pos"), F.col("copies")).alias("copy"), F.lit(1).alias("turn"), F.lit(None).cast("binary").alias("arrays"), "h1", "h2", "doc", "row", "pos")
+    zero = F.lit(0).cast("long")
+    every = F.explode(F.sequence(zero, F.ceil(F.col("lines") / PROBES).cast("long") - 1))
+    sent = built.select("shard", every.alias("copy"), F.lit(0).alias("turn"), "arrays", *[zero.alias(c) for c in ("h1", "h2", "doc", "row", "pos")])
+    met = lines.unionByName(sent).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "turn")
+    gone = met.mapInArrow(lambda it: _probe(it, min_docs), "row long, pos long")
+    gone = gone.groupBy(F.col("row").alias("__row")).agg(F.collect_list("pos").alias("__gone"))
     both = keyed.join(gone, "__row", "left")
     return _replaced(both, rid(F.col(text), F.col("__gone")), text).drop("__row", "__gone")

@@ -151,12 +151,12 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
        cast(sum(length(role) + 4 + stored + 8) as bigint) as formatted_chars
 from sized group by conv_id""",
     "op1_line_dedup": rf"""
-with parts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
-lines as (select doc_id, generate_subscripts(parts, 1) as pos, unnest(parts) as line from parts),
+with parts as (select doc_id, row_number() over () as row, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+lines as (select doc_id, row, generate_subscripts(parts, 1) as pos, unnest(parts) as line from parts),
 keyed as (select *, {_LOW.format(_TRIM.format("line"))} as key from lines),
-hot as (select key, max(doc_id) as keep from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+hot as (select key, max(doc_id) as keep from keyed where length(key) >= 40 group by key having count(distinct row) >= 5),
 marked as (select k.*, h.key is not null and h.keep <> k.doc_id as gone from keyed k left join hot h on k.key = h.key)
 select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
-from marked group by doc_id""",
+from marked group by row, doc_id""",
 }

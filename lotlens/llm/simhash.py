@@ -424,8 +424,11 @@ def similar_documents(
     @F.arrow_udf("array<int>")
     def shingles(texts: pa.Array, asked: pa.Array) -> pa.Array:
         """Null for another text than the one asked for: an id may have several."""
-        both = ((t.as_py(), d.as_py()) for t, d in zip(texts, asked, strict=True))
-        return pa.array([shingle_set(t, shingle) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int32()))
+        out = [pa.array([], pa.list_(pa.int32()))]
+        for at in range(0, len(texts), 500):
+            both = ((t.as_py(), d.as_py()) for t, d in zip(texts[at : at + 500], asked[at : at + 500], strict=True))
+            out.append(pa.array([shingle_set(t, shingle) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int32())))
+        return pa.concat_arrays(out)
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))
     own = cut(own.select("doc_id", "w.*"))

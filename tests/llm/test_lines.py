@@ -38,15 +38,37 @@ def test_same_as_brute_force(odd, limit):
     assert sum(r["n_dropped"] for r in got.collect()) > 0
 
 
-def test_empty_table(none):
-    assert lines.dedup_lines(none).count() == 0
+@pytest.mark.parametrize("limit", [1 << 27, 0])
+def test_empty_table(none, limit):
+    assert lines.dedup_lines(none, max_index_bytes=limit).count() == 0
+
+
+def test_hot_shards_are_copied(odd, monkeypatch):
+    """Many shards, and few lines a copy, so that each shard goes to several partitions."""
+    monkeypatch.setattr(lines, "SHARD_KEYS", 1)
+    monkeypatch.setattr(lines, "PROBES", 2)
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    got = lines.dedup_lines(odd, max_index_bytes=0)
+    assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()), key=repr) == brute(rows)
+
+
+def test_packed_shards():
+    rng = np.random.default_rng(3)
+    h1, h2 = (rng.integers(0, 2**63, 3000).astype(np.uint64) for _ in "ab")
+    keep, n = rng.integers(0, 9, 3000), rng.integers(1, 9, 3000)
+    packed = lines.Shard.of(h1, h2, n, keep).pack()
+    assert len(packed) <= lines.KEY_BYTES * 3000 + 500
+    shard = lines.Shard.unpack(packed)
+    doc = rng.integers(0, 9, 3000)
+    assert (shard.drops(h1, h2, doc, 5) == ((n >= 5) & (keep != doc))).all()
+    assert not shard.drops(h1, h2 ^ np.uint64(1), doc, 1).any()
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64)
     keys = np.unique(keys)
-    h = lines.PerfectHash(keys)
+    h = lines.PerfectHash.of(keys)
     assert sorted(h(keys).tolist()) == list(range(len(keys)))
     other = h(keys + np.uint64(1))
     assert ((other >= -1) & (other < max(1, len(keys)))).all()
