@@ -8,6 +8,7 @@ do not end an overlap.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,13 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotlens.llm.spans import WORDS, mix, runs, slices, token_hashes
+from lotlens.llm.spans import WORDS, mix, runs, slices, tidy, token_hashes
+from lotlens.runtime import cut
 
 #: Fixed masks of weight 6; 1: the token is hashed, 0: it may differ.
 SEEDS = ("1101001011", "1110010101", "1011100101", "111111")
-#: Bytes of test text whose hashes go to every executor at once; more test text is taken in several passes.
-MAX_TEST_BYTES = 32 << 20
-ROWS = "doc_id long, item_id long, n_match long, n_aligned long, doc_token long, item_token long, item_tokens long"
+#: Bytes of distinct test texts whose hashes go to every executor at once; more test text is taken in several passes.
+MAX_TEST_BYTES = 8 << 20
+#: Hits of a seed that are looked at together; a pattern that repeats in text and item has very many.
+HITS = 1 << 18
+ROWS = "doc_id long, key string, n_match long, n_aligned long, doc_token long, item_token long, item_tokens long"
 
 
 def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
@@ -41,7 +45,7 @@ class TestIndex:
 
     __test__ = False
 
-    def __init__(self, ids: list[int | None], texts: list[str | None], seeds: tuple[str, ...] = SEEDS):
+    def __init__(self, ids: list[str], texts: list[str], seeds: tuple[str, ...] = SEEDS):
         self.seeds, self.ids, self.items = list(seeds), ids, []
         found: dict[str, list] = {m: [] for m in seeds}
         for data_from, data_to, data, offsets in slices(pa.array(texts, pa.string())):
@@ -53,30 +57,37 @@ class TestIndex:
             own = seeds if len(tokens) >= longest else ("1" * len(tokens),) if len(tokens) else ()  # a short item is matched whole
             for m in own:
                 h = seed_hashes(tokens, m)
-                found.setdefault(m, []).append((h, np.full(len(h), k), np.arange(len(h))))
+                found.setdefault(m, []).append((h, np.full(len(h), k, np.int32), np.arange(len(h), dtype=np.int32)))
         self.tables = {}
         for m, parts in found.items():
             if parts:
                 h, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
                 order = np.argsort(h, kind="stable")
-                bits = max(16, int(len(h)).bit_length() + 4)
+                bits = max(16, int(len(h)).bit_length() + 3)
                 some = np.zeros(1 << bits, bool)
                 some[(h >> np.uint64(64 - bits)).astype(np.int64)] = True
                 self.tables[m] = (h[order], item[order], at[order], some, np.uint64(64 - bits))
 
-    def diagonals(self, tokens: np.ndarray) -> set[tuple[int, int]]:
-        """(item, token of the text at which the item would start) for every verified-to-be hit."""
-        out: set[tuple[int, int]] = set()
+    def diagonals(self, tokens: np.ndarray) -> list[tuple[int, int]]:
+        """The distinct (item, token of the text at which the item would start) of all hits, sorted."""
+        out = [np.empty(0, np.int64)]
         for m, (keys, item, at, some, shift) in self.tables.items():
             h = seed_hashes(tokens, m)
             where = np.flatnonzero(some[(h >> shift).astype(np.int64)])
             if not len(where):
                 continue
             a, b = np.searchsorted(keys, h[where], "left"), np.searchsorted(keys, h[where], "right")
-            n = b - a
-            row = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            out.update(zip(item[row].tolist(), (np.repeat(where, n) - at[row]).tolist(), strict=True))
-        return out
+            where, a, n = where[b > a], a[b > a], (b - a)[b > a]
+            ends = np.cumsum(n)
+            i = 0
+            while i < len(n):
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + HITS, "right")))
+                m = n[i:j]
+                row = np.repeat(a[i:j], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                out.append(np.unique((item[row].astype(np.int64) << 32) + (np.repeat(where[i:j], m) - at[row] + (1 << 31))))
+                i = j
+        both = np.unique(np.concatenate(out))
+        return list(zip((both >> 32).tolist(), ((both & 0xFFFFFFFF) - (1 << 31)).tolist(), strict=True))
 
     def overlap(self, tokens: np.ndarray, k: int, diagonal: int, share: float) -> tuple[int, int, int]:
         """(matches, length, first token of the text) of the stretch along a diagonal with most matches.
@@ -97,7 +108,7 @@ class TestIndex:
     def found(self, tokens: np.ndarray, least: int, share: float) -> Iterator[tuple[int, int, int, int, int]]:
         """(item, matches, length, token of the text, token of the item) for each item that the text overlaps."""
         best: dict[int, tuple] = {}
-        for k, diagonal in sorted(self.diagonals(tokens)):
+        for k, diagonal in self.diagonals(tokens):
             matches, length, at = self.overlap(tokens, k, diagonal, share)
             need = min(least, int(np.ceil(share * len(self.items[k]))))
             if matches >= need and (k not in best or matches > best[k][0]):
@@ -106,6 +117,18 @@ class TestIndex:
             yield (k, *x)
 
 
+_held: dict[str, TestIndex] = {}
+
+
+def _opened(token: str, sent: tuple[list[str], list[str]], seeds: tuple[str, ...]) -> TestIndex:
+    """The index of a pass, built once in a worker and kept for its next tasks."""
+    if token not in _held:
+        while len(_held) > 1:
+            _held.pop(next(iter(_held)))
+        _held[token] = TestIndex(*sent, seeds)
+    return _held[token]
+
+
 def _scan(batches: Iterable[pa.RecordBatch], index: TestIndex, least: int, share: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc_ids = batch.column("doc_id").to_pylist()
@@ -118,12 +141,22 @@ def _scan(batches: Iterable[pa.RecordBatch], index: TestIndex, least: int, share
                 rows += [(doc_ids[row + i], index.ids[k], *x, len(index.items[k])) for k, *x in index.found(own, least, share)]
         cols = list(zip(*rows, strict=True)) or [[]] * 7
         names = [x.split()[0] for x in ROWS.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "key" else pa.int64()) for k, c in zip(names, cols, strict=True)], names=names)
+        tidy()
 
 
-def _passes(tests: DataFrame, max_test_bytes: int) -> int:
+def _sent(tests: DataFrame, max_test_bytes: int) -> Iterator[tuple[str, tuple[list[str], list[str]]]]:
+    """(name, (keys, texts)) of each pass over the distinct test texts, of about ``max_test_bytes`` each."""
     n = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return -(-n // max_test_bytes) or 1
+    passes = -(-n // max_test_bytes) or 1
+    for k in range(passes):
+        part = tests.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == k).collect()
+        yield uuid.uuid4().hex, ([r["key"] for r in part], [r["text"] for r in part])
+
+
+def _distinct(tests: DataFrame) -> DataFrame:
+    """(key, text): copies of a test text would all fall into one pass, so each text is taken once."""
+    return cut(tests.select("key", "text").dropDuplicates(["key"]))
 
 
 def overlaps(
@@ -137,24 +170,26 @@ def overlaps(
     ``min_match`` of them, or ``share`` of an item that has fewer.  Items shorter than the longest seed are found only
     where some seed-length stretch of them, here the whole item, stands unchanged.  Of several stretches the one with
     most matches counts, the first of equals.  Null and empty texts on either side overlap nothing; repeated rows and
-    items give repeated rows; null ids stay null; other columns are not read; an empty table gives no rows.
+    items give repeated rows; ids are whole numbers or text that casts to them, and null ids stay null; other columns
+    are not read; an empty table gives no rows.
 
-    Documents are scanned whole, in place and without a shuffle.  The test table is taken in passes of about
-    ``max_test_bytes``, so what is sent to the executors does not grow with it.
+    The seed hashes of the test texts are joined in place with those of the documents: the test side is an index that
+    every executor holds, so documents are not shuffled.  It is taken in passes of about ``max_test_bytes`` of distinct
+    text, so what is sent does not grow with the test table.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    tests = tests.select(F.col(test_id).cast("long").alias("item_id"), F.col(test_text).alias("text")).where(F.length("text") > 0)
-    spark, passes, out = docs.sparkSession, _passes(tests, max_test_bytes), None
-    for k in range(passes):
-        part = tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k).collect()  # about max_test_bytes
-        index = spark.sparkContext.broadcast(([r["item_id"] for r in part], [r["text"] for r in part]))
+    tests = tests.select(F.col(test_id).cast("long").alias("item_id"), F.col(test_text).alias("text"), F.md5(F.col(test_text).cast("binary")).alias("key")).where(F.length("text") > 0)
+    spark, out = docs.sparkSession, None
+    for token, part in _sent(_distinct(tests), max_test_bytes):
+        index = spark.sparkContext.broadcast(part)
 
-        def scan(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            return _scan(batches, TestIndex(*index.value, seeds), min_match, share)
+        def scan(batches: Iterable[pa.RecordBatch], index=index, token=token) -> Iterator[pa.RecordBatch]:
+            return _scan(batches, _opened(token, index.value, seeds), min_match, share)
 
         found = own.mapInArrow(scan, ROWS)
         out = found if out is None else out.unionByName(found)
-    return out
+    names = ["doc_id", "item_id", *[x.split()[0] for x in ROWS.split(", ")][2:]]
+    return out.join(tests.select("key", "item_id"), "key").select(*names)
 
 
 def drop_contaminated(
@@ -164,26 +199,22 @@ def drop_contaminated(
 
     Each row is judged where it is read, so nothing is shuffled.
     """
-    tests = tests.select(F.col(test_text).alias("text")).where(F.length("text") > 0)
-    passes, out = _passes(tests, max_test_bytes), docs
-    for k in range(passes):
-        part = [r["text"] for r in tests.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k).collect()]  # about max_test_bytes
-        out = out.where(_clean(docs.sparkSession.sparkContext.broadcast(part), seeds, min_match, share)(F.col(text)))
+    tests = tests.select(F.col(test_text).alias("text"), F.md5(F.col(test_text).cast("binary")).alias("key")).where(F.length("text") > 0)
+    out = docs
+    for token, part in _sent(_distinct(tests), max_test_bytes):
+        out = out.where(_clean(docs.sparkSession.sparkContext.broadcast(part), token, seeds, min_match, share)(F.col(text)))
     return out
 
 
-def _clean(sent, seeds: tuple[str, ...], least: int, share: float):
-    held: list[TestIndex] = []  # built once in a worker
-
+def _clean(sent, token: str, seeds: tuple[str, ...], least: int, share: float):
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
-        if not held:
-            held.append(TestIndex(list(range(len(sent.value))), sent.value, seeds))
-        index, kept = held[0], []
+        index, kept = _opened(token, sent.value, seeds), []
         for row, end_row, data, offsets in slices(texts):
             start, end, first = runs(data, offsets, WORDS)
             tokens = token_hashes(data, start, end)
             kept += [next(index.found(tokens[first[i] : first[i + 1]], least, share), None) is None for i in range(end_row - row)]
+        tidy()
         return pa.array(kept, pa.bool_())
 
     return clean

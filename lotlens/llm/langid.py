@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotlens.llm.spans import LOWER, WORDS, mix, per_text, slices
+from lotlens.llm.spans import LOWER, WORDS, mix, per_text, slices, tidy
 from lotlens.runtime import cut
 
 #: Documents the filter learns from, at most about.
@@ -122,6 +122,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for name in set(langs[a:b]):
                 own, n = np.unique(gram[(langs[a:b] == name)[of] & (gram != 0)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(own), pa.string()), pa.array(own.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+        tidy()
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> LanguageFilter:
@@ -166,6 +167,7 @@ def verdict(model: LanguageFilter, docs: DataFrame, text: Column) -> Column:
                 spoken = has_letter(t.as_py())
                 langs.append(names[k] if spoken else UNKNOWN)
                 scores.append(s if spoken else 0.0)
+        tidy()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     return judge(text)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotlens.llm.spans import mix
+from lotlens.llm.spans import mix, tidy
 from lotlens.runtime import cut
 
 #: Hashes in a shard, and the bytes of all shards up to which they are sent to every executor.
@@ -133,6 +133,8 @@ def _seen(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.Reco
                 h2 += [x[1] for x in found]
                 doc += [doc_id] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (h1, h2)] + [pa.array(doc, pa.int64())], names=["h1", "h2", "doc"])
+        del batch, text
+        tidy()
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -216,6 +218,7 @@ def dedup_lines(
             lines = [_lines_of(t.as_py()) for t in texts[at : at + 500]]
             hashes = [[line_hashes(x, min_chars) for x in ls] for ls in lines]
             out.append(_kept(lines, _dropped(hashes, ids[at : at + 500].to_pylist(), opened, n_shards, min_docs)))
+        tidy()
         return pa.concat_arrays(out)
 
     return _replaced(docs, rid(F.col(text), F.col(doc_id).cast("long")), text)

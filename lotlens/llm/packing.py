@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotlens.llm.spans import SPACED, runs, slices
+from lotlens.llm.spans import SPACED, runs, slices, tidy
 from lotlens.runtime import cut
 
 #: Sequences numbered by one task at once, about.
@@ -72,6 +72,7 @@ def _cut(batches: Iterable[pa.RecordBatch], max_tokens: int) -> Iterator[pa.Reco
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(n, pa.int32()), pa.array(texts, pa.binary()).cast(pa.string())],
                 names=["doc_id", "piece", "n_tokens", "text"],
             )
+        tidy()
 
 
 def sequences(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_tokens: int = 2048) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotlens.llm.components import components
+from lotlens.llm.spans import tidy
 from lotlens.runtime import cut
 
 BITS = 64
@@ -202,6 +203,8 @@ def _meet(batches: Iterable[pa.RecordBatch], keys: list[str], most: int, mark_bi
             cols = [np.where(second, y, x) for x, y in ((fp[a], other[a]), (other[a], fp[a]), (fp[b], other[b]), (other[b], fp[b]))]
         names = ["a", "b"] if other is None else ["a", "a_mark", "b", "b_mark"]
         yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
+        del table
+        tidy()
 
 
 def _parts(own: Column, blocks: Column) -> Column:
@@ -355,6 +358,8 @@ def _search(batches: Iterable[pa.RecordBatch], most: int, mark_bits: int, simila
             found += verified_labels(fp[a:b], mark[a:b], label[a:b], grams[first[a] : first[b]], first[a : b + 1] - first[a], most, mark_bits, similarity)
         ends = [names.dictionary.take(pa.array([e[k] for e in found], pa.int32())) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+        del table
+        tidy()
 
 
 def _blocks(words: str) -> Column:
@@ -417,6 +422,7 @@ def similar_documents(
     @F.arrow_udf("struct<node binary, fp long, mark long, words int>")
     def wide(texts: pa.Array) -> pa.Array:
         found = [(word_digest(t), *word_prints(t)) for t in (x.as_py() for x in texts)]
+        tidy()
         nodes, fps, marks, words = zip(*found, strict=True) if found else ((),) * 4
         prints = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, marks)]
         return pa.StructArray.from_arrays([pa.array(nodes, pa.binary()), *prints, pa.array(words, pa.int32())], ["node", "fp", "mark", "words"])
@@ -428,6 +434,7 @@ def similar_documents(
         for at in range(0, len(texts), 500):
             both = ((t.as_py(), d.as_py()) for t, d in zip(texts[at : at + 500], asked[at : at + 500], strict=True))
             out.append(pa.array([shingle_set(t, shingle) if word_digest(t) == d else None for t, d in both], pa.list_(pa.int32())))
+        tidy()
         return pa.concat_arrays(out)
 
     own = docs.select(F.col(doc_id).alias("doc_id"), wide(F.col(text)).alias("w"))

@@ -64,6 +64,11 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def tidy() -> None:
+    """Give back what Arrow holds and does not use: an executor has several Python workers, and some of them wait."""
+    pa.default_memory_pool().release_unused()
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and their n + 1 offsets; a null is empty."""
     if isinstance(texts, pa.ChunkedArray):

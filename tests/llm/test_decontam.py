@@ -74,3 +74,18 @@ def test_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
     assert decontam.overlaps(none, bench).count() == 0 and decontam.drop_contaminated(none, bench).count() == 0
     assert decontam.overlaps(odd, bench.where(F.lit(False))).count() == 0 and decontam.drop_contaminated(odd, bench.where(F.lit(False))).count() == odd.count()
+
+
+def test_repeated_patterns_and_items(spark, monkeypatch):
+    """A pattern that repeats in text and item, with few hits looked at together, and copies of an item under other ids."""
+    text = "a b c d e f g h " * 60
+    rows = [(1, "x " * 30 + text), (2, "nothing of the kind"), (3, text.upper())]
+    tests = [(k, text) for k in range(3)] + [(None, text), (9, "q " * 50)]
+    df, t = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(tests, "item_id long, text string")
+    got = sorted(((r["doc_id"], r["item_id"], r["n_match"]) for r in decontam.overlaps(df, t).collect()), key=repr)
+    assert got == sorted([(d, k, 480) for d in (1, 3) for k in (0, 1, 2, None)], key=repr)
+    index = decontam.TestIndex(["k"], [text])
+    tokens = index.items[0]
+    want = index.diagonals(tokens)
+    monkeypatch.setattr(decontam, "HITS", 50)
+    assert index.diagonals(tokens) == want and len(want) == len(set(want)) > 50
