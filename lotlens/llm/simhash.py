@@ -454,12 +454,13 @@ def similar_documents(
     large = asked.where("blocks > 1")
     sent = F.broadcast(asked) if asked.count() * 80 <= max_broadcast_bytes else asked
     members = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(sent, F.col("doc_id") == F.col("__id"))
-    members = members.select("node", "root", "blocks", "fp", "mark", "words", F.col("node").alias("label"), shingles("text", "node").alias("grams")).where("grams is not null")
-    members = cut(members.dropDuplicates(["node"]))
-    alike = _searched(members.where("blocks = 1"), most, mark_bits, similarity)
+    names = ["node", "root", "blocks", "fp", "mark", "words"]
+    members = members.select(*names, shingles("text", "node").alias("grams")).groupBy(*names).agg(F.first("grams", ignorenulls=True).alias("grams"))
+    members = cut(members)
+    alike = _searched(members.where("blocks = 1").withColumn("label", F.col("node")), most, mark_bits, similarity)
     if not large.isEmpty():
         inside = near.join(large.select(F.col("node").alias("a")), "a", "left_semi")
-        alike = alike.unionByName(_large_groups(inside, members.where("blocks > 1").drop("label"), most, mark_bits, similarity))
+        alike = alike.unionByName(_large_groups(inside, members.where("blocks > 1"), most, mark_bits, similarity))
     linked = cut(components(alike).join(nodes, "node").select("node", "root", "least"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
     moved = cut(linked.select("node", "root").join(smallest, "root").select("node", "component"))
