@@ -70,21 +70,20 @@ def flag_listed(urls: DataFrame, listed: DataFrame, key: str, row_id: str, max_f
     keys = listed.select(F.col(key).alias("__key")).where("__key is not null").distinct()
     n = keys.count()
     blocks = max(1, -(-n * BITS_PER_KEY // (64 * WORDS_PER_BLOCK)))
-    table = bloom_table(keys, "__key", blocks).withColumnRenamed("block", "__block")
+    table = bloom_table(keys, "__key", blocks)
     if blocks * ROW_BYTES <= max_filter_bytes:
         table = F.broadcast(table)
-    probed = urls.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks))).join(table, "__block", "left")
+    # The row itself travels as one struct, so its columns may have any names.
+    rows = urls.select(F.struct(*[F.col(f"`{c}`") for c in urls.columns]).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{row_id}`").alias("id"))
+    probed = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))).join(table, "block", "left")
     passes = F.lit(True)
-    for k, m in enumerate(_bits(F.col(key))):
+    for k, m in enumerate(_bits(F.col("key"))):
         passes = passes & (F.col(f"__w{k}").bitwiseAND(m) == m)
-    passes = F.coalesce(passes & F.col(key).isNotNull(), F.lit(False))
-    words = ["__block", *[f"__w{k}" for k in range(WORDS_PER_BLOCK)]]
-    probed = probed.withColumn("__maybe", passes).drop(*words)
-    salted = keys.withColumn("__listed_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    maybe = probed.where("__maybe").withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
-    exact = maybe.join(salted, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__listed_salt")), "left")
-    exact = exact.select(*[F.col(f"`{c}`") for c in urls.columns], F.col("__key").isNotNull().alias("__listed"))
-    return exact.unionByName(probed.where("not __maybe").select(*[F.col(f"`{c}`") for c in urls.columns], F.lit(False).alias("__listed")))
+    probed = probed.select("row", "key", "id", F.coalesce(passes & F.col("key").isNotNull(), F.lit(False)).alias("maybe"))
+    salted = keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    maybe = probed.where("maybe").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    exact = maybe.join(salted, (F.col("key") == F.col("__key")) & (F.col("salt") == F.col("__salt")), "left").select("row.*", F.col("__key").isNotNull().alias("__listed"))
+    return exact.unionByName(probed.where("not maybe").select("row.*", F.lit(False).alias("__listed")))
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "url", page_id: str = "page_id", max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
