@@ -144,7 +144,13 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-_DECODERS = {"none": bytes, "packbits": unpack_bits, "lzw": lzw_decode, "deflate": zlib.decompress}
+#: Bytes that a codec gives for a stored one, at most.
+MAX_RATIO = {"none": 1, "packbits": 64, "lzw": 1400, "deflate": 1100}
+MAX_SAMPLES = 1024
+_DECODERS = {
+    "none": lambda data, most: data[:most], "packbits": lambda data, most: unpack_bits(data), "lzw": lambda data, most: lzw_decode(data),
+    "deflate": lambda data, most: zlib.decompressobj().decompress(data, most),
+}
 _ENCODERS = {"none": bytes, "packbits": pack_bits, "lzw": lzw_encode, "deflate": lambda d: zlib.compress(d, 1)}
 
 
@@ -190,24 +196,31 @@ class _Reader:
         one = lambda tag, default=None: f[tag][0] if f.get(tag) else default
         width, length, samples = one(WIDTH), one(LENGTH), one(SAMPLES, 1)
         bits, code, predictor, planar = f.get(BITS, (1,)), one(COMPRESSION, 1), one(PREDICTOR, 1), one(PLANAR, 1)
-        if not width or not length or set(bits) not in ({8}, {16}) or code not in _DECODE_AS or predictor not in (1, 2) or planar not in (1, 2):
+        if not width or not length or not 0 < samples <= MAX_SAMPLES or set(bits) not in ({8}, {16}) or code not in _DECODE_AS or predictor not in (1, 2) or planar not in (1, 2):
             raise TiffError("unsupported page")
         kind = np.dtype("u1" if bits[0] == 8 else self.order + "u2")
         tiled = TILE_WIDTH in f
         across, down = (one(TILE_WIDTH), one(TILE_LENGTH)) if tiled else (width, min(one(ROWS_PER_STRIP, length), length))
         offsets, sizes = (f.get(TILE_OFFSETS, ()), f.get(TILE_BYTES, ())) if tiled else (f.get(STRIP_OFFSETS, ()), f.get(STRIP_BYTES, ()))
+        if not across or not down or across < 1 or down < 1:
+            raise TiffError("parts without a size")
         nx, ny = -(-width // across), -(-length // down)
         planes, each = (samples, 1) if planar == 2 else (1, samples)
         if len(offsets) != nx * ny * planes or len(sizes) != len(offsets):
             raise TiffError("parts do not cover the page")
+        # What a page may take in memory follows from the bytes that are stored for it, whatever its fields say.
+        most = MAX_RATIO[_DECODE_AS[code]] * sum(sizes) + ROW_BYTES
+        if length * width * samples * kind.itemsize > most or across * down * each * kind.itemsize > most:
+            raise TiffError("page too large for its bytes")
         out = np.zeros((length, width, samples), kind.newbyteorder("="))
         for k, (at, size) in enumerate(zip(offsets, sizes, strict=True)):
             if at + size > len(self.data):
                 raise TiffError("part outside the file")
             plane, y, x = k // (nx * ny), k // nx % ny, k % nx
             rows = down if tiled else min(down, length - y * down)
-            raw = _DECODERS[_DECODE_AS[code]](self.data[at : at + size])
-            if len(raw) < rows * across * each * kind.itemsize:
+            need = rows * across * each * kind.itemsize
+            raw = _DECODERS[_DECODE_AS[code]](self.data[at : at + size], need)
+            if len(raw) < need:
                 raise TiffError("part is too short")
             part = np.frombuffer(raw, kind, rows * across * each).reshape(rows, across, each).astype(out.dtype)
             if predictor == 2:
@@ -222,6 +235,8 @@ def read_pages(data: bytes) -> Iterator[Page]:
     """The pages of a file in the order of its directories; TiffError if it is damaged or uses something else."""
     reader = _Reader(data)
     at, seen, number = reader.first, set(), 0
+    if not at:
+        raise TiffError("no directory")
     while at:
         if at in seen:
             raise TiffError("directories run in a circle")
@@ -229,7 +244,7 @@ def read_pages(data: bytes) -> Iterator[Page]:
         fields, following = reader.directory(at)
         try:
             yield reader.page(number, fields)
-        except (zlib.error, struct.error, IndexError) as e:
+        except (zlib.error, struct.error, IndexError, TypeError, ValueError) as e:
             raise TiffError(str(e)) from e
         number, at = number + 1, following
 
@@ -280,9 +295,14 @@ def payload_of(text: str | None) -> bytes:
     return raw.ljust(max(1, -(-len(raw) // ROW_BYTES)) * ROW_BYTES)
 
 
-def stored(payload: bytes, compression: str = "deflate", predictor: int = 2) -> bytes:
+#: Ways to store a payload: (compression, predictor, tile).  A payload's checksum picks one, so equal texts are stored alike.
+LAYOUTS = [("lzw", 2, None), ("packbits", 1, None), ("none", 1, (16, 16)), ("deflate", 2, (32, 64)), ("lzw", 1, (64, 32)), ("packbits", 2, (16, 32))] + [("deflate", 2, None)] * 26
+
+
+def stored(payload: bytes, layout: tuple | None = None) -> bytes:
+    compression, predictor, tile = layout or LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)]
     rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW_PIXELS, ROW_SAMPLES)
-    return write_pages((rows[a : a + PAGE_ROWS] for a in range(0, len(rows), PAGE_ROWS)), compression, predictor)
+    return write_pages((rows[a : a + PAGE_ROWS] for a in range(0, len(rows), PAGE_ROWS)), compression, predictor, tile)
 
 
 def page_feature(samples: np.ndarray) -> str:

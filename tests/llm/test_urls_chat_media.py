@@ -116,6 +116,30 @@ def test_damaged_files(spark):
     assert media.pages(files.where("false")).count() == 0
 
 
+def test_bad_fields_are_errors():
+    """Sizes of zero, missing or huge ones, no samples, and a file without a directory."""
+    page = np.zeros((4, 64, 3), np.uint8)
+
+    def changed(tag, value, tile=None):
+        data = bytearray(media.write_pages([page], tile=tile))
+        at = next(i for i in range(8, len(data) - 12) if data[i : i + 2] == tag.to_bytes(2, "little") and data[i + 2 : i + 4] in (b"\3\0", b"\4\0") and data[i + 4 : i + 8] == b"\1\0\0\0")
+        data[at : at + 2] = (tag if value is not None else 65000).to_bytes(2, "little")
+        data[at + 8 : at + 12] = (value or 0).to_bytes(4, "little")
+        return bytes(data)
+
+    bad = [changed(media.ROWS_PER_STRIP, 0), changed(media.TILE_WIDTH, 0, (16, 16)), changed(media.TILE_LENGTH, None, (16, 16)), changed(media.SAMPLES, 0), changed(media.WIDTH, 1 << 30)]
+    bad += [changed(media.TILE_LENGTH, 1 << 30, (64, 16)), b"II*\0\0\0\0\0"]
+    for data in bad:
+        assert [r[-1] is not None for r in media._page_rows(data)] == [True]
+
+
+def test_every_layout_holds_the_payload():
+    payload = media.payload_of("läuft " * 9000)
+    assert {c for c, _, _ in media.LAYOUTS} == set(media.CODES)
+    for layout in set(media.LAYOUTS):
+        assert b"".join(p.samples.tobytes() for p in media.read_pages(media.stored(payload, layout))) == payload
+
+
 def test_op7_contract(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -130,3 +154,10 @@ def test_long_text_has_many_pages(odd):
     docs = odd.where("doc_id = 10").withColumn("text", F.repeat("text", 3))
     rows = media.pages(docs.select("doc_id", media.encode(F.col("text")).alias("media"))).orderBy("page").collect()
     assert len(rows) == 3 and b"".join(bytes(r["pixels"]) for r in rows).decode().rstrip(" ") == text
+
+
+def test_columns_named_like_the_filters(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c", 5, 6, 7, 8), (2, None, 5, 6, 7, 8)], "page_id long, url string, __block int, __w0 int, block int, key int")
+    listed = spark.createDataFrame([("a.b/c",)], "canonical_url string")
+    got = {r["page_id"]: r for r in urls.judge(pages, listed, []).collect()}
+    assert [got[1][c] for c in ("verdict", "__block", "__w0", "block", "key")] == ["block", 5, 6, 7, 8] and got[2]["verdict"] == "allow"
