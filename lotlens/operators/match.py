@@ -56,10 +56,15 @@ def sync(new: DataFrame, old: DataFrame, keys: list[str], values: list[str]) ->
 
 
 def flag_sync(new: DataFrame, old: DataFrame, keys: list[str], active: str = "is_active") -> DataFrame:
-    """Exclusions after a re-run: vanished ones become inactive, those that reappear active again."""
+    """Exclusions after a re-run: vanished ones become inactive, those that reappear active again.
+
+    old: keys and ``active``.  action: insert, keep, reactivate, deactivate, or none for what was inactive and still is.
+    """
     n = new.select(*keys, F.lit(True).alias("__now")).distinct()
-    both = n.join(old.select(*keys, F.lit(True).alias("__was")), keys, "full_outer")
-    return both.select(*keys, F.col("__now").isNotNull().alias(active), F.when(F.col("__was").isNull(), "insert").when(F.col("__now").isNull(), "deactivate").otherwise("keep").alias("action"))
+    both = n.join(old.select(*keys, F.col(active).alias("__was")), keys, "full_outer")
+    now, was = F.col("__now").isNotNull(), F.col("__was")
+    action = F.when(was.isNull(), "insert").when(now & was, "keep").when(now, "reactivate").when(was, "deactivate").otherwise("none")
+    return both.select(*keys, now.alias(active), action.alias("action"))
 
 
 def review_outcome(status: Column, n_matches: Column, best: Column, accept: float = 0.85) -> Column:

@@ -10,29 +10,30 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``tiers``: (threshold, weight, reason) from the strongest; a rule fires with its first tier that holds.
+    """``tiers``: (threshold, weight) from the strongest; a rule fires with its first tier that holds, always for one reason.
 
     ``metric`` is compared by ``op``; ``needs`` are the inputs without which the rule is skipped; ``guard`` is a SQL
     predicate that must hold as well; ``also`` are thresholds of a second metric (name, op, one value a tier).
     """
 
     name: str
+    reason: str
     metric: str
     op: str
-    tiers: tuple[tuple[float, float, str], ...]
+    tiers: tuple[tuple[float, float], ...]
     needs: tuple[str, ...] = ()
     guard: str = "true"
     also: tuple[str, str, tuple[float, ...]] | None = None
 
 
-#: The thresholds and weights of the first rule set.
+#: The reason codes, thresholds and weights of the first rule set.
 RULES = (
-    Rule("ratio", "assessment_to_sale_ratio", "<", ((0.55, 35, "ratio_very_low"), (0.70, 20, "ratio_low"))),
-    Rule("peer", "peer_percentile", "<=", ((0.05, 20, "peer_bottom_5"), (0.10, 12, "peer_bottom_10"))),
-    Rule("permit_gap", "permit_adjusted_gap", ">=", ((50000, 20, "permit_gap_large"), (20000, 12, "permit_gap"))),
-    Rule("yoy", "yoy_assessment_change_pct", ">=", ((0.35, 16, "yoy_spike_large"), (0.20, 10, "yoy_spike")), guard="permit_adjusted_expected_change is null or permit_adjusted_expected_change <= 10000"),
-    Rule("appeals", "appeal_success_rate_3y", ">=", ((0.75, 12, "appeals_strong"), (0.60, 8, "appeals")), needs=("appeal_value_delta_3y",), also=("appeal_value_delta_3y", "<=", (-15000, -5000))),
-    Rule("lineage", "lineage_value_reset_delta", "<=", ((-100000, 18, "lineage_reset_large"), (-50000, 10, "lineage_reset"))),
+    Rule("ratio", "ratio__assessment_to_sale_below_floor", "assessment_to_sale_ratio", "<", ((0.55, 35), (0.70, 20))),
+    Rule("peer", "peer__assessment_ratio_bottom_peer_percentile", "peer_percentile", "<=", ((0.05, 20), (0.10, 12))),
+    Rule("permit_gap", "permit_gap__assessment_increase_unexplained_by_permits", "permit_adjusted_gap", ">=", ((50000, 20), (20000, 12))),
+    Rule("yoy", "yoy__assessment_spike_without_support", "yoy_assessment_change_pct", ">=", ((0.35, 16), (0.20, 10)), guard="permit_adjusted_expected_change is null or permit_adjusted_expected_change <= 10000"),
+    Rule("appeals", "appeal__recurring_successful_reductions", "appeal_success_rate_3y", ">=", ((0.75, 12), (0.60, 8)), needs=("appeal_value_delta_3y",), also=("appeal_value_delta_3y", "<=", (-15000, -5000))),
+    Rule("lineage", "lineage__post_lineage_value_drop", "lineage_value_reset_delta", "<=", ((-100000, 18), (-50000, 10))),
 )
 
 _OPS = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
@@ -42,12 +43,12 @@ def _trigger(rule: Rule) -> Column:
     metric = F.col(rule.metric).cast("double")
     out = F.lit(None)
     for i in reversed(range(len(rule.tiers))):
-        limit, weight, reason = rule.tiers[i]
+        limit, weight = rule.tiers[i]
         hit = _OPS[rule.op](metric, F.lit(float(limit))) & F.expr(rule.guard)
         if rule.also:
             hit = hit & _OPS[rule.also[1]](F.col(rule.also[0]).cast("double"), F.lit(float(rule.also[2][i])))
         fired = F.struct(
-            F.lit(rule.name).alias("rule"), F.lit(reason).alias("reason"), F.lit(float(weight)).alias("weight"), F.lit(rule.metric).alias("metric"),
+            F.lit(rule.name).alias("rule"), F.lit(rule.reason).alias("reason"), F.lit(float(weight)).alias("weight"), F.lit(rule.metric).alias("metric"),
             metric.alias("value"), F.lit(float(limit)).alias("threshold"), F.lit(rule.op).alias("operator"),
         )
         out = F.when(hit, fired).otherwise(out)

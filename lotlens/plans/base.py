@@ -21,7 +21,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(txn, parcel_id, yr, price, st, seg)"""
+    """(txn, parcel_id, yr, price, st, seg, sold)"""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     line = line.withColumns({"a": -F.col("l_linenumber"), "b": -F.col("l_partkey")})
     first = largest_row(line, ["l_orderkey"], ["a", "b"], ["l_partkey"])
@@ -29,7 +29,7 @@ def sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = orders.join(first, F.col("o_orderkey") == F.col("l_orderkey"))
     return both.select(
         F.col("o_orderkey").alias("txn"), F.col("l_partkey").alias("parcel_id"), F.year("o_orderdate").alias("yr"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
-        F.col("o_orderstatus").alias("st"), F.col("o_orderpriority").alias("seg"),
+        F.col("o_orderstatus").alias("st"), F.col("o_orderpriority").alias("seg"), F.col("o_orderdate").alias("sold"),
     )
 
 
@@ -40,5 +40,5 @@ FACT = """fact as (
 SALE = """first_line as (
   select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) as n from lineitem),
 sale as (
-  select o_orderkey as txn, l_partkey as parcel_id, year(o_orderdate) as yr, cast(o_totalprice as decimal(14,2)) as price, o_orderstatus as st, o_orderpriority as seg
+  select o_orderkey as txn, l_partkey as parcel_id, year(o_orderdate) as yr, cast(o_totalprice as decimal(14,2)) as price, o_orderstatus as st, o_orderpriority as seg, o_orderdate as sold
   from orders join first_line on o_orderkey = l_orderkey and n = 1)"""

@@ -109,7 +109,7 @@ def _snapshot(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
     wide = half.groupBy((F.col("user_id") % 40).alias("profile")).agg(
         F.count("*").alias("den"), F.count_if(~F.col("ok")).alias("a"), F.count_if(F.col("k") < 30).alias("b"), F.count_if(F.col("k") > 80).alias("c"), F.count_if(F.col("seconds") > 15).alias("d"),
     )
-    long = wide.select("profile", "den", F.expr("stack(4, 'coverage.parse_error', a, 'selector_miss', b, 'presence', c, 'null_rate', d) as (name, num)"))
+    long = wide.select("profile", "den", F.expr("stack(4, 'coverage.parse_error_successful_fetch_rate', a, 'selector_miss', b, 'tax_detail_field_presence', c, 'extraction_null_rate', d) as (name, num)"))
     return long.select(F.concat_ws(".", "name", F.concat(F.lit("p"), "profile")).alias("metric"), "num", "den")
 
 
@@ -118,8 +118,8 @@ _SNAP = """snap as (
          count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) < 30) as b, count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) > 80) as c,
          count(*) filter (where round(value, 2) > 15) as d from events group by all),
 long as (
-  select late, 'coverage.parse_error.p' || p as metric, a as num, den from snap union all select late, 'selector_miss.p' || p, b, den from snap
-  union all select late, 'presence.p' || p, c, den from snap union all select late, 'null_rate.p' || p, d, den from snap)"""
+  select late, 'coverage.parse_error_successful_fetch_rate.p' || p as metric, a as num, den from snap union all select late, 'selector_miss.p' || p, b, den from snap
+  union all select late, 'tax_detail_field_presence.p' || p, c, den from snap union all select late, 'extraction_null_rate.p' || p, d, den from snap)"""
 
 
 def drift_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +138,7 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mix(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
     half = _runs(spark, sf_dir).where((F.col("at") >= "2024-01-15") == late)
     wide = half.groupBy().agg(F.count("*").alias("den"), *[F.count_if(F.col("event_type") == t).alias(t) for t in ("click", "error", "purchase", "signup", "view")])
-    return wide.select("den", F.expr("stack(5, 'coverage.review_rate', view, 'band.high', purchase, 'band.medium', click, 'disposition.false_positive', error, 'disposition.confirmed', signup) as (metric, num)"))
+    return wide.select("den", F.expr("stack(5, 'coverage.review_rate', view, 'risk_band_mix.high.rate', purchase, 'risk_band_mix.medium.rate', click, 'disposition_mix.false_positive.rate', error, 'disposition_mix.confirmed_issue.rate', signup) as (metric, num)"))
 
 
 def benchmark_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +161,7 @@ def load_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("percentile_disc(0.5) within group (order by past)").alias("baseline"), F.count("past").alias("history"),
         F.round(F.avg(F.when(F.col("at") > split, F.col("seconds"))), 4).alias("value"), F.round(F.count_if(~F.col("ok")) / F.count("*"), 4).alias("failed"),
     )
-    long = rows.select("user_id", "baseline", "history", F.expr("stack(3, 'duration', value, 'volume', value, 'failure', failed) as (family, value)"))
+    long = rows.select("user_id", "baseline", "history", F.expr("stack(3, 'duration', value, 'volume', value, 'failure_rate', failed) as (family, value)"))
     severity, reason = monitor.load_severity(F.col("family"), F.col("value"), F.col("baseline"), F.col("history"))
     return long.select("user_id", "family", "value", "baseline", severity.alias("severity"), reason.alias("reason"))
 
@@ -303,23 +303,23 @@ signals as (
   select * exclude (ign), coalesce(ign, case severity when '{top}' then '{top}_threshold' when 'warn' then 'warn_threshold' else 'no_drift' end) as reason from diff)"""
 
 
-_DRIFT = _diff_sql("long", """when starts_with(metric, 'coverage.parse_error') then case when delta >= 0.03 then 'error' when delta >= 0.01 then 'warn' else 'ok' end
+_DRIFT = _diff_sql("long", """when starts_with(metric, 'coverage.parse_error_successful_fetch_rate') then case when delta >= 0.03 then 'error' when delta >= 0.01 then 'warn' else 'ok' end
   when starts_with(metric, 'selector_miss.') then case when delta >= 0.05 then 'error' when delta >= 0.02 then 'warn' else 'ok' end
-  when starts_with(metric, 'presence.') then case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end
-  when starts_with(metric, 'null_rate.') then case when delta >= 0.08 then 'error' when delta >= 0.03 then 'warn' else 'ok' end
+  when starts_with(metric, 'tax_detail_field_presence.') then case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end
+  when starts_with(metric, 'extraction_null_rate.') then case when delta >= 0.08 then 'error' when delta >= 0.03 then 'warn' else 'ok' end
   else case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end""", "error", 25, True)
 
 _MIXED = """m as (
   select ts >= timestamp '2024-01-15' as late, count(*) as den, count(*) filter (where event_type = 'view') as a, count(*) filter (where event_type = 'purchase') as b,
          count(*) filter (where event_type = 'click') as c, count(*) filter (where event_type = 'error') as d, count(*) filter (where event_type = 'signup') as e from events group by all),
 mix as (
-  select late, 'coverage.review_rate' as metric, a as num, den from m union all select late, 'band.high', b, den from m union all select late, 'band.medium', c, den from m
-  union all select late, 'disposition.false_positive', d, den from m union all select late, 'disposition.confirmed', e, den from m)"""
+  select late, 'coverage.review_rate' as metric, a as num, den from m union all select late, 'risk_band_mix.high.rate', b, den from m union all select late, 'risk_band_mix.medium.rate', c, den from m
+  union all select late, 'disposition_mix.false_positive.rate', d, den from m union all select late, 'disposition_mix.confirmed_issue.rate', e, den from m)"""
 
 _BENCH = _diff_sql("mix", """when metric = 'coverage.review_rate' then case when -delta >= 0.2 then 'critical' when -delta >= 0.1 then 'warn' else 'ok' end
-  when metric = 'band.high' then case when delta >= 0.08 then 'critical' when delta >= 0.04 then 'warn' else 'ok' end
-  when metric = 'band.medium' then case when abs(delta) >= 0.1 then 'critical' when abs(delta) >= 0.06 then 'warn' else 'ok' end
-  when metric = 'disposition.false_positive' then case when delta >= 0.06 then 'critical' when delta >= 0.03 then 'warn' else 'ok' end
+  when metric = 'risk_band_mix.high.rate' then case when delta >= 0.08 then 'critical' when delta >= 0.04 then 'warn' else 'ok' end
+  when metric = 'risk_band_mix.medium.rate' then case when abs(delta) >= 0.1 then 'critical' when abs(delta) >= 0.06 then 'warn' else 'ok' end
+  when metric = 'disposition_mix.false_positive.rate' then case when delta >= 0.06 then 'critical' when delta >= 0.03 then 'warn' else 'ok' end
   else case when -delta >= 0.06 then 'critical' when -delta >= 0.03 then 'warn' else 'ok' end""", "critical", 20, False)
 
 _ALERTS = """raw as (
@@ -384,14 +384,14 @@ u as (
   select user_id, quantile_disc(case when ok and at_ <= timestamp '{NOW}' - interval 1 day then seconds end, 0.5) as baseline, count(seconds) filter (where ok and at_ <= timestamp '{NOW}' - interval 1 day) as history,
          round(avg(seconds) filter (where at_ > timestamp '{NOW}' - interval 1 day), 4) as value, round(count(*) filter (where not ok) / count(*), 4) as failed from runs group by all),
 l as (
-  select user_id, baseline, history, 'duration' as family, value from u union all select user_id, baseline, history, 'volume', value from u union all select user_id, baseline, history, 'failure', failed from u),
+  select user_id, baseline, history, 'duration' as family, value from u union all select user_id, baseline, history, 'volume', value from u union all select user_id, baseline, history, 'failure_rate', failed from u),
 g as (
-  select *, case when value is null then 'ignored_missing_subject_value' when family <> 'failure' and history < 3 then 'ignored_insufficient_history' when family <> 'failure' and coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
+  select *, case when value is null then 'ignored_missing_subject_value' when family <> 'failure_rate' and history < 3 then 'ignored_insufficient_history' when family <> 'failure_rate' and coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
          case family when 'duration' then case when (value - baseline) / nullif(baseline, 0) >= 1 then 'critical' when (value - baseline) / nullif(baseline, 0) >= 0.5 then 'warn' else 'ok' end
                      when 'volume' then case when abs((value - baseline) / nullif(baseline, 0)) >= 0.6 then 'critical' when abs((value - baseline) / nullif(baseline, 0)) >= 0.35 then 'warn' else 'ok' end
                      else case when value >= 0.2 then 'critical' when value >= 0.1 then 'warn' else 'ok' end end as sev from l),
 h as (select *, case when ign is not null then 'ok' else sev end as severity from g)
-select user_id, family, value, baseline, severity, coalesce(ign, case when severity = 'ok' then 'ok_within_threshold' else severity || '_' || family end) as reason from h""",
+select user_id, family, value, baseline, severity, coalesce(ign, case when severity = 'ok' then 'ok_within_threshold' else severity || case family when 'failure_rate' then '_failure_rate' else '_relative_delta' end end) as reason from h""",
     "failure_fractions": f"""with {_RUNS}, r as (select profile, user_id, cast(at_ as date) as day, bool_or(event_type = 'error') as f, bool_or(event_type = 'signup') as b from runs group by all)
 select profile, count(*) as n, round(count(*) filter (where f) / count(*), 4) as failed, round(count(*) filter (where b) / count(*), 4) as blocked from r group by all""",
     "freshness_hours": f"""with {_RUNS} select profile, event_type, round(greatest((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where k > 10)))) / 3600.0, 0), 2) as hours from runs group by all""",

@@ -50,7 +50,7 @@ def match_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = entity_match_cascade(spark, sf_dir)
     dear = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select("o_orderkey")
     old = new.join(dear, "o_orderkey", "left_semi").withColumn("confidence", F.when(F.col("method") == "crosswalk", 0.9).otherwise(F.col("confidence")))
-    old = old.unionByName(new.where("match_rank = 1").limit(0)).withColumn("s_suppkey", F.when(F.col("method") == "exact_number", F.col("s_suppkey") + 1).otherwise(F.col("s_suppkey")))
+    old = old.withColumn("s_suppkey", F.when(F.col("method") == "exact_number", F.col("s_suppkey") + 1).otherwise(F.col("s_suppkey")))
     return match.sync(new, old, ["o_orderkey", "s_suppkey", "method"], ["confidence", "match_rank"])
 
 
@@ -58,6 +58,7 @@ def exclusion_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = scoring.sale_exclusions(spark, sf_dir)
     dear = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select("o_orderkey")
     old = new.join(dear, "o_orderkey", "left_semi").unionByName(dear.select("o_orderkey", F.lit("retired_code").alias("exclusion_code")))
+    old = old.withColumn("is_active", F.col("o_orderkey") % 3 != 0)
     return match.flag_sync(new, old, ["o_orderkey", "exclusion_code"])
 
 
@@ -313,7 +314,8 @@ from found n full join o on n.o_orderkey = o.o_orderkey and n.s_suppkey = o.s_su
     "exclusion_sync": f"""with n as ({_EXCL}), d as (select o_orderkey from orders where o_totalprice > 100000),
 o as (select * from n where o_orderkey in (select o_orderkey from d) union all select o_orderkey, 'retired_code' from d)
 select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey, coalesce(n.exclusion_code, o.exclusion_code) as exclusion_code, n.o_orderkey is not null as is_active,
-       case when o.o_orderkey is null then 'insert' when n.o_orderkey is null then 'deactivate' else 'keep' end as action from n full join o on n.o_orderkey = o.o_orderkey and n.exclusion_code = o.exclusion_code""",
+       case when o.o_orderkey is null then 'insert' when n.o_orderkey is null then case when o.o_orderkey % 3 <> 0 then 'deactivate' else 'none' end
+            when o.o_orderkey % 3 <> 0 then 'keep' else 'reactivate' end as action from n full join o on n.o_orderkey = o.o_orderkey and n.exclusion_code = o.exclusion_code""",
     "match_audit": f"""with {_HITS},
 b as (select *, row_number() over (partition by o_orderkey order by is_primary desc, match_rank, confidence desc) as k from found),
 a as (

@@ -221,26 +221,26 @@ feat as (
          a.appeal_rate as appeal_success_rate_3y, l.reset as lineage_value_reset_delta
   from peer p left join yoy y using (parcel_id, yr) left join exp e using (parcel_id, yr) left join app a using (parcel_id, yr) left join lin l using (parcel_id, yr)),
 flag0 as (
-  select parcel_id, yr, 'ratio' as rule, case when assessment_to_sale_ratio < 0.55 then 'ratio_very_low' else 'ratio_low' end as reason,
+  select parcel_id, yr, 'ratio' as rule, 'ratio__assessment_to_sale_below_floor' as reason,
          case when assessment_to_sale_ratio < 0.55 then 35.0 else 20.0 end as weight, 'assessment_to_sale_ratio' as metric, assessment_to_sale_ratio as value,
          case when assessment_to_sale_ratio < 0.55 then 0.55 else 0.7 end as threshold, '<' as operator from feat where assessment_to_sale_ratio < 0.7
   union all
-  select parcel_id, yr, 'peer', case when peer_percentile <= 0.05 then 'peer_bottom_5' else 'peer_bottom_10' end, case when peer_percentile <= 0.05 then 20 else 12 end,
+  select parcel_id, yr, 'peer', 'peer__assessment_ratio_bottom_peer_percentile', case when peer_percentile <= 0.05 then 20 else 12 end,
          'peer_percentile', peer_percentile, case when peer_percentile <= 0.05 then 0.05 else 0.1 end, '<=' from feat where peer_percentile <= 0.1
   union all
-  select parcel_id, yr, 'permit_gap', case when permit_adjusted_gap >= 50000 then 'permit_gap_large' else 'permit_gap' end, case when permit_adjusted_gap >= 50000 then 20 else 12 end,
+  select parcel_id, yr, 'permit_gap', 'permit_gap__assessment_increase_unexplained_by_permits', case when permit_adjusted_gap >= 50000 then 20 else 12 end,
          'permit_adjusted_gap', permit_adjusted_gap, case when permit_adjusted_gap >= 50000 then 50000 else 20000 end, '>=' from feat where permit_adjusted_gap >= 20000
   union all
-  select parcel_id, yr, 'yoy', case when yoy_assessment_change_pct >= 0.35 then 'yoy_spike_large' else 'yoy_spike' end, case when yoy_assessment_change_pct >= 0.35 then 16 else 10 end,
+  select parcel_id, yr, 'yoy', 'yoy__assessment_spike_without_support', case when yoy_assessment_change_pct >= 0.35 then 16 else 10 end,
          'yoy_assessment_change_pct', yoy_assessment_change_pct, case when yoy_assessment_change_pct >= 0.35 then 0.35 else 0.2 end, '>='
   from feat where yoy_assessment_change_pct >= 0.2 and (permit_adjusted_expected_change is null or permit_adjusted_expected_change <= 10000)
   union all
-  select parcel_id, yr, 'appeals', case when appeal_success_rate_3y >= 0.75 and appeal_value_delta_3y <= -15000 then 'appeals_strong' else 'appeals' end,
+  select parcel_id, yr, 'appeals', 'appeal__recurring_successful_reductions',
          case when appeal_success_rate_3y >= 0.75 and appeal_value_delta_3y <= -15000 then 12 else 8 end, 'appeal_success_rate_3y', appeal_success_rate_3y,
          case when appeal_success_rate_3y >= 0.75 and appeal_value_delta_3y <= -15000 then 0.75 else 0.6 end, '>='
   from feat where appeal_success_rate_3y >= 0.6 and appeal_value_delta_3y <= -5000
   union all
-  select parcel_id, yr, 'lineage', case when lineage_value_reset_delta <= -100000 then 'lineage_reset_large' else 'lineage_reset' end, case when lineage_value_reset_delta <= -100000 then 18 else 10 end,
+  select parcel_id, yr, 'lineage', 'lineage__post_lineage_value_drop', case when lineage_value_reset_delta <= -100000 then 18 else 10 end,
          'lineage_value_reset_delta', lineage_value_reset_delta, case when lineage_value_reset_delta <= -100000 then -100000 else -50000 end, '<='
   from feat where lineage_value_reset_delta <= -50000),
 skip0 as (

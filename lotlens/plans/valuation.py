@@ -37,10 +37,8 @@ def insufficient_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def selected_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sale that counts for a parcel-year: the dearest, then the last; excluded ones are left out by an anti join."""
-    gone = sale(spark, sf_dir).where("st = 'P'").select("txn")
-    rows = sale(spark, sf_dir).join(gone, "txn", "left_anti")
-    return pick.largest_row(rows, ["parcel_id", "yr"], ["price", "txn"], ["txn", "price"])
+    """The sale that counts for a parcel-year: the latest, of one moment that with the largest id; excluded ones do not count."""
+    return pick.largest_row(sale(spark, sf_dir).where("st <> 'P'"), ["parcel_id", "yr"], ["sold", "txn"], ["txn", "price"])
 
 
 def peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +167,7 @@ study as (
 
 _SELECTED = f"""with {FACT}, {SALE},
 chosen as (select parcel_id, yr, txn, price from (
-  select *, row_number() over (partition by parcel_id, yr order by price desc, txn desc) as n from sale where st <> 'P') where n = 1)
+  select *, row_number() over (partition by parcel_id, yr order by sold desc, txn desc) as n from sale where st <> 'P') where n = 1)
 """
 
 _PERMIT = """permit as (

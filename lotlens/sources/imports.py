@@ -62,8 +62,9 @@ def _parse(batches: Iterable[pa.RecordBatch], loose: bool) -> Iterator[pa.Record
     for batch in batches:
         for path, digest, content in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             reader = csv.reader(io.StringIO((content or b"").decode("utf-8-sig", "replace"), newline=""))
+            csv.field_size_limit(1 << 30)
             names, held = [plain_name(n, loose) for n in next(reader, [])], []
-            for number, cells in enumerate(reader, 1):
+            for number, cells in enumerate(filter(None, reader), 1):  # blank lines are no rows and have no number
                 first = dict(reversed(list(zip(names, cells, strict=False))))  # of equal names the first
                 held.append((path, digest, number, names, len(cells), not any(c.strip() for c in cells), list(first.items())))
                 if len(held) == 2000:

@@ -115,9 +115,9 @@ def key_values(long: DataFrame) -> DataFrame:
 
 
 def table_records(long: DataFrame, heading: str | None = None) -> DataFrame:
-    """(page_id, record, row, data map) of tables with a header row; columns without a fitting header are col_n.
+    """(page_id, record, row, data map) of tables; columns without a fitting header, or of tables without one, are col_n.
 
-    Rows that are empty throughout go.  With ``heading``: only tables below a heading with this text, up to the next.
+    Of columns with one name the last counts.  Rows that are empty throughout go.  With ``heading``: only tables below a heading with this text, up to the next.
     """
     cells = long.where("kind = 'cell'")
     if heading is not None:
@@ -126,20 +126,22 @@ def table_records(long: DataFrame, heading: str | None = None) -> DataFrame:
     heads = cells.join(head_at, ["page_id", "record"]).where("row = head")
     heads = heads.select("page_id", "record", "head", "col", F.when(F.col("value") != "", F.col("value")).alias("name"))
     widths = heads.groupBy("page_id", "record", "head").agg(F.max("col").alias("head_last"))
-    body = cells.join(widths, ["page_id", "record"]).where("row > head")
-    fits = F.max("col").over(Window.partitionBy("page_id", "record", "row")) == F.col("head_last")
+    body = cells.join(widths, ["page_id", "record"], "left").where("head is null or row > head")
+    fits = F.coalesce(F.max("col").over(Window.partitionBy("page_id", "record", "row")) == F.col("head_last"), F.lit(False))
     named = body.withColumn("fits", fits).join(heads.select("page_id", "record", "col", "name").withColumnRenamed("name", "head_name"), ["page_id", "record", "col"], "left")
     name = F.coalesce(F.when(F.col("fits"), F.col("head_name")), F.concat(F.lit("col_"), F.col("col") + 1))
-    kept = F.map_from_entries(F.array_sort(F.collect_list(F.struct(name.alias("name"), "value"))))
-    rows = named.groupBy("page_id", "record", "row").agg(kept.alias("data"), F.max(F.col("value") != "").alias("some"))
+    last = named.groupBy("page_id", "record", "row", name.alias("name")).agg(F.max_by("value", "col").alias("value"), F.max(F.col("value") != "").alias("some"))
+    kept = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))
+    rows = last.groupBy("page_id", "record", "row").agg(kept.alias("data"), F.max("some").alias("some"))
     return rows.where("some").drop("some")
 
 
 def year_columns(records: DataFrame, label: str) -> DataFrame:
     """Detail tables turned: one row for each page, table and year column, with a map from the row labels to its values."""
-    long = records.select("page_id", "record", F.col("data")[label].alias("name"), F.explode("data").alias("head", "value"))
+    long = records.select("page_id", "record", "row", F.col("data")[label].alias("name"), F.explode("data").alias("head", "value"))
     years = long.where(F.col("head").rlike(r"^\d{4}$") & F.col("name").isNotNull())
-    return years.groupBy("page_id", "record", F.col("head").cast("int").alias("year")).agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("name", "value")))).alias("data"))
+    last = years.groupBy("page_id", "record", F.col("head").cast("int").alias("year"), "name").agg(F.max_by("value", "row").alias("value"))
+    return last.groupBy("page_id", "record", "year").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("data"))
 
 
 def forward_fill(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:

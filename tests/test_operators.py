@@ -59,7 +59,7 @@ def test_rules_all_fire_and_none(spark):
     assert rows(out.select("id", "raw_score", "score", "band", F.size("triggers"), F.size("skipped")), "id") == [("a", 121.0, 100.0, "high", 6, 0), ("b", 0.0, 0.0, "low", 0, 6)]
     flags = rules.flag_rows(out, ["id"])
     assert [r["weight"] for r in flags.orderBy("reason_rank").collect()] == [35.0, 20.0, 20.0, 18.0, 16.0, 12.0]
-    assert rows(rules.primary_reason(flags, ["id"])) == [("a", "ratio_very_low")]
+    assert rows(rules.primary_reason(flags, ["id"])) == [("a", "ratio__assessment_to_sale_below_floor")]
 
 
 def test_rescore_keeps_reviewed_ids(spark):
@@ -91,11 +91,12 @@ def test_resolve_parcels_does_not_fall_through_when_ambiguous(spark):
 
 
 def test_small_samples_cap_severity(spark):
-    base = spark.createDataFrame([("selector_miss.a", 0, 100), ("selector_miss.b", 0, 20), ("presence.c", 0, 0), ("gone", 1, 100)], "metric string, num long, den long")
-    now = spark.createDataFrame([("selector_miss.a", 5, 100), ("selector_miss.b", 5, 20), ("presence.c", 1, 50)], "metric string, num long, den long")
+    base = spark.createDataFrame([("selector_miss.a", 0, 100), ("selector_miss.b", 0, 20), ("tax_detail_field_presence.c", 0, 0), ("extraction_null_rate.owner", 5, 100), ("gone", 1, 100)], "metric string, num long, den long")
+    now = spark.createDataFrame([("selector_miss.a", 5, 100), ("selector_miss.b", 5, 20), ("tax_detail_field_presence.c", 1, 50), ("extraction_null_rate.owner", 60, 100)], "metric string, num long, den long")
     got = monitor.metric_diff(base, now)
     assert rows(got.select("metric", "severity", "reason"), "metric") == [
-        ("gone", "ok", "missing_metric_value"), ("presence.c", "ok", "insufficient_denominator"), ("selector_miss.a", "error", "error_threshold"), ("selector_miss.b", "warn", "warn_threshold"),
+        ("extraction_null_rate.owner", "error", "error_threshold"), ("gone", "ok", "missing_metric_value"), ("selector_miss.a", "error", "error_threshold"), ("selector_miss.b", "warn", "warn_threshold"),
+        ("tax_detail_field_presence.c", "ok", "insufficient_denominator"),
     ]
 
 
@@ -149,3 +150,31 @@ def test_pages(spark):
     assert dict(rows(pages.key_values(long).select("name", "value")))["Owner"] == "Zed"
     assert rows(pages.parcel_links(pages.links(long)).select("number", "rank"), "rank") == [("061012345678", 1), ("061/0601-234-5678-9", 2)]
     assert rows(pages.lineage_links(pages.links(long), F.lit("parent"))) == [(1, "061012345678", "parent")]
+
+
+def test_flag_sync_reads_the_old_flag(spark):
+    old = spark.createDataFrame([(1, "a", True), (1, "b", False), (2, "a", True), (2, "b", False)], "id int, code string, is_active boolean")
+    new = spark.createDataFrame([(1, "a"), (1, "b"), (3, "a")], "id int, code string")
+    got = match.flag_sync(new, old, ["id", "code"]).orderBy("id", "code").collect()
+    assert [(r["id"], r["code"], r["is_active"], r["action"]) for r in got] == [
+        (1, "a", True, "keep"), (1, "b", True, "reactivate"), (2, "a", False, "deactivate"), (2, "b", False, "none"), (3, "a", True, "insert"),
+    ]
+
+
+def test_burn_with_a_target_of_one(spark):
+    names = [f"{c}_{w}" for w in ("1h", "6h", "24h", "w") for c in ("pass", "total")]
+    df = spark.createDataFrame([tuple([30, 30] * 4), tuple([29, 30] * 4), tuple([0, 0] * 4)], ", ".join(f"{n} long" for n in names))
+    got = [(r["burn_1h"], r["budget_left"]) for r in monitor.burn_rates(df, 1.0).orderBy(F.desc("pass_w")).collect()]
+    assert got == [(0.0, 1.0), (1e6, 0.0), (0.0, 1.0)]
+
+
+def test_tables_without_and_with_repeated_headers(spark):
+    html = "<table><tr><td>1</td><td>2</td></tr></table><table><tr><th>A</th><th>A</th></tr><tr><td>x</td><td>y</td></tr></table>"
+    long = pages.extract(spark.createDataFrame([(1, html)], "page_id long, html string"))
+    assert [r["data"] for r in pages.table_records(long).orderBy("record").collect()] == [{"col_1": "1", "col_2": "2"}, {"A": "y"}]
+
+
+def test_blank_lines_and_long_fields(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("Sale Date,PIN,Note\n\n01/02/2020,7," + "x" * 200_000 + "\n\n01/03/2020,8,y\n")
+    got = imports.csv_rows(spark, str(tmp_path / "l.csv")).orderBy("row_number").collect()
+    assert [(r["row_number"], len(r["cells"]["Note"])) for r in got] == [(1, 200_000), (2, 1)]
