@@ -12,18 +12,19 @@ def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tier
     """All candidates of the first tier that hits: left id, right id, method, confidence, match_rank, is_primary, review_status.
 
     tiers: (method, confidence, key of left rows, key of right rows).  A single candidate with confidence >= accept is
-    primary and auto_accepted; others need review.  Null keys never match.  Tiers are equi-joins and their union is
-    ranked by left id, so no index is built by hand.
+    primary and auto_accepted; others need review.  Null keys never match.  Tiers are equi-joins; a tier takes only the
+    left rows that no earlier tier has matched.
     """
-    hits = []
-    for level, (method, confidence, a, b) in enumerate(tiers):
-        l = left.select(left_id, a.alias("__key")).where("__key is not null")  # noqa: E741
+    hits, open_rows = [], left
+    for method, confidence, a, b in tiers:
+        l = open_rows.select(left_id, a.alias("__key")).where("__key is not null")  # noqa: E741
         r = right.select(right_id, b.alias("__key")).where("__key is not null").distinct()
-        hits.append(l.join(r, "__key").select(left_id, right_id, F.lit(level).alias("level"), F.lit(method).alias("method"), F.lit(confidence).cast("double").alias("confidence")))
+        hits.append(l.join(r, "__key").select(left_id, right_id, F.lit(method).alias("method"), F.lit(confidence).cast("double").alias("confidence")))
+        settled = l.join(r.select("__key").distinct(), "__key", "left_semi").select(left_id).distinct()
+        open_rows = open_rows.join(settled, left_id, "left_anti")
     every = reduce(DataFrame.unionByName, hits).distinct()
     by = Window.partitionBy(left_id)
-    first = every.withColumn("__first", F.min("level").over(by)).where("level = __first")
-    ranked = first.withColumns({"match_rank": F.row_number().over(by.orderBy(right_id)), "__n": F.count("*").over(by)})
+    ranked = every.withColumns({"match_rank": F.row_number().over(by.orderBy(right_id)), "__n": F.count("*").over(by)})
     sure = (F.col("__n") == 1) & (F.col("confidence") >= accept)
     status = F.when(sure, "auto_accepted").otherwise("needs_review")
     return ranked.select(left_id, right_id, "method", "confidence", "match_rank", sure.alias("is_primary"), status.alias("review_status"))

@@ -17,19 +17,19 @@ from lotlens.sources import imports, pages
 
 
 def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as transactions with three keys: customer number as text, a coarse number, nation and segment."""
+    """Orders as transactions with three keys: customer number as text, a coarse number, and an address that some customers share."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     rows = orders.join(customer, "o_custkey")
     return rows.select(
         "o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit(" sup/"), F.col("o_custkey").cast("string"))).alias("k1"),
-        F.when(F.col("o_totalprice") > 150000, F.concat(F.lit("S "), (F.col("o_custkey") % 997).cast("string"))).alias("k2"), F.concat(F.lit("n-"), F.col("c_nationkey").cast("string")).alias("k3"), "c_mktsegment",
+        F.when(F.col("o_totalprice") > 150000, F.concat(F.lit("S "), (F.col("o_custkey") % 997).cast("string"))).alias("k2"), F.concat(F.lit("n-"), F.expr("o_custkey div 10").cast("string")).alias("k3"), "c_mktsegment",
     )
 
 
 def _right(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    return supplier.select("s_suppkey", F.concat(F.lit("SUP."), F.col("s_suppkey").cast("string")).alias("r1"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("r2"), F.concat(F.lit("N_"), F.col("s_nationkey").cast("string")).alias("r3"))
+    return supplier.select("s_suppkey", F.concat(F.lit("SUP."), F.col("s_suppkey").cast("string")).alias("r1"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("r2"), F.concat(F.lit("N_"), F.expr("s_suppkey div 2").cast("string")).alias("r3"))
 
 
 def _tiers() -> list:
@@ -259,9 +259,9 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SIDES = """l as (
-  select o_orderkey, case when o_orderpriority = '1-URGENT' then 'SUP' || o_custkey end as k1, case when o_totalprice > 150000 then 'S' || (o_custkey % 997) end as k2, 'N' || c_nationkey as k3
+  select o_orderkey, case when o_orderpriority = '1-URGENT' then 'SUP' || o_custkey end as k1, case when o_totalprice > 150000 then 'S' || (o_custkey % 997) end as k2, 'N' || (o_custkey // 10) as k3
   from orders join customer on c_custkey = o_custkey),
-r as (select s_suppkey, 'SUP' || s_suppkey as r1, 'S' || s_suppkey as r2, 'N' || s_nationkey as r3 from supplier)"""
+r as (select s_suppkey, 'SUP' || s_suppkey as r1, 'S' || s_suppkey as r2, 'N' || (s_suppkey // 2) as r3 from supplier)"""
 
 _HITS = f"""{_SIDES},
 h as (
