@@ -16,12 +16,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     two.  No group is ever gathered: minima are pre-aggregated and the joins are plain equi-joins that AQE can split.
     Loops and nulls are ignored; no edges give no rows.
     """
-    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    links = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+
+    def apart(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        return cut(pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct())
+
+    links = apart(edges.where(F.col(a) != F.col(b)), a, b)
+    ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), F.col("a").alias("to")))
     labels = None
     while not links.isEmpty():
-        step = links.groupBy("a").agg(F.min("b").alias("b"))
-        step = cut(step.select(F.col("a").alias("node"), F.least("a", "b").alias("to"), F.lit(True).alias("moved")))
+        step = links.select(F.inline(ends)).groupBy("node").agg(F.min("to").alias("to"))
+        step = cut(step.select("node", F.least("node", "to").alias("to"), F.lit(True).alias("moved")))
         while not step.where("moved").isEmpty():  # pointers double in length, so this ends after the logarithm of the depth
             far = step.select(F.col("node").alias("mid"), F.col("to").alias("next"))
             ahead = step.join(far, F.col("to") == F.col("mid"))
@@ -35,7 +39,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = cut(labels)
         for end in ("a", "b"):
             links = links.join(step.select(F.col("node").alias(end), "to"), end).drop(end).withColumnRenamed("to", end)
-        links = cut(links.where("a <> b").select("a", "b").distinct())
+        links = apart(links, "a", "b")
     if labels is None:
         labels = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return labels

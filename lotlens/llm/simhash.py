@@ -8,6 +8,7 @@ rows of one variant meet in an equality join, and the whole distance is verified
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -96,7 +97,7 @@ def _variants(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Recor
 def first_variant(diff: np.ndarray, most: int) -> np.ndarray:
     """For differences of at most ``most`` bits: the wildcard bit of the first variant that both fingerprints have.
 
-    Two fingerprints may share many variants; a link counts in this one only, so it is found once.
+    Two fingerprints may share many variants; among few members a link counts in this one only, so it is found once.
     """
     out = np.full(len(diff), -1)
     for low, width in segments(most):
@@ -106,28 +107,26 @@ def first_variant(diff: np.ndarray, most: int) -> np.ndarray:
     return out
 
 
-def _linked(fp: np.ndarray, other: np.ndarray | None, a: np.ndarray, b: np.ndarray | int, bit: np.ndarray | int, most: int, mark_bits: int) -> np.ndarray:
-    """Which of the pairs (a, b) are links that count in the variant with this wildcard bit."""
-    diff = fp[a] ^ fp[b]
-    out = np.bitwise_count(diff) <= most
+def _near(fp: np.ndarray, other: np.ndarray | None, a: np.ndarray, b: np.ndarray | int, most: int, mark_bits: int) -> np.ndarray:
+    """Which of the pairs (a, b) are links."""
+    out = np.bitwise_count(fp[a] ^ fp[b]) <= most
     if other is not None:
         out &= np.bitwise_count(other[a] ^ other[b]) <= mark_bits
-    if out.any():
-        out[out] = first_variant(diff[out], most) == (bit if np.isscalar(bit) else bit[out])
     return out
 
 
-def spanning_edges(fp: np.ndarray, bit: int, most: int = 3, other: np.ndarray | None = None, mark_bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places that join what links of this variant join, one less than there are members in each component.
+def spanning_edges(fp: np.ndarray, most: int = 3, other: np.ndarray | None = None, mark_bits: int = BITS, by: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places that join what links join, one less than there are members in each component.
 
-    A search from each unvisited member compares the frontier with the members not yet visited only.
+    A search from each unvisited member compares the frontier with the members not yet visited only.  Members are taken
+    by rising ``by`` (the fingerprint if None): runs of many variants then list the same links, to few members.
     """
-    left, a, b = np.arange(len(fp)), [], []
+    left, a, b = np.argsort(fp if by is None else by, kind="stable"), [], []
     while len(left):
-        frontier, left = [int(left[0])], left[1:]
+        frontier, left = deque([int(left[0])]), left[1:]
         while frontier and len(left):
-            at = frontier.pop()
-            near = _linked(fp, other, left, at, bit, most, mark_bits)
+            at = frontier.popleft()
+            near = _near(fp, other, left, at, most, mark_bits)
             if near.any():
                 found = left[near]
                 a.append(np.full(len(found), at))
@@ -138,8 +137,8 @@ def spanning_edges(fp: np.ndarray, bit: int, most: int = 3, other: np.ndarray |
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def _verified(run: np.ndarray, bit: np.ndarray, fp: np.ndarray, other: np.ndarray | None, most: int, mark_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between places of one run (their starts are given), each in its first variant only."""
+def _verified(run: np.ndarray, bit: np.ndarray, fp: np.ndarray, other: np.ndarray | None, most: int, mark_bits: int, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between places of one run (their starts are given): in short runs each in its first variant only."""
     size = np.diff(np.append(run, len(fp)))
     a, b = [], []
     short = np.repeat(size <= SHORT_RUN, size)
@@ -148,12 +147,13 @@ def _verified(run: np.ndarray, bit: np.ndarray, fp: np.ndarray, other: np.ndarra
         hit = np.flatnonzero((of[d:] == of[:-d]) & short[d:])
         if not len(hit):
             break
-        hit = hit[_linked(fp, other, hit, hit + d, bit[hit], most, mark_bits)]
+        hit = hit[_near(fp, other, hit, hit + d, most, mark_bits)]
+        hit = hit[first_variant(fp[hit] ^ fp[hit + d], most) == bit[hit]]
         a.append(hit)
         b.append(hit + d)
     for i in np.flatnonzero(size > SHORT_RUN):
         own = slice(run[i], run[i] + size[i])
-        x, y = spanning_edges(fp[own], int(bit[run[i]]), most, None if other is None else other[own], mark_bits)
+        x, y = spanning_edges(fp[own], most, None if other is None else other[own], mark_bits, by[own])
         a.append(x + run[i])
         b.append(y + run[i])
     none = np.empty(0, np.int64)
@@ -194,13 +194,17 @@ def _meet(batches: Iterable[pa.RecordBatch], keys: list[str], most: int, mark_bi
         key = table["key"].to_numpy()
         fp = table["fp"].to_numpy().view(np.uint64)
         other = table["other"].to_numpy().view(np.uint64) if "other" in table.column_names else None
-        a, b = _verified(run, (key >> 32) & 63, fp, other, most, mark_bits)
+        first = fp if other is None else np.where((key >> 38) & 1 == 1, other, fp)  # the other way where the second was indexed
+        a, b = _verified(run, (key >> 32) & 63, fp, other, most, mark_bits, first)
         if not len(a):
             continue
-        cols = [fp[a], fp[b]]
-        if other is not None:
-            second = (key[a] >> 38) & 1 == 1  # there the second fingerprint was indexed
-            cols = [np.where(second, y, x) for x, y in ((fp[a], other[a]), (other[a], fp[a]), (fp[b], other[b]), (other[b], fp[b]))]
+        if other is None:
+            cols = [np.minimum(fp[a], fp[b]), np.maximum(fp[a], fp[b])]
+        else:
+            second = fp ^ other ^ first
+            turn = (first[a] > first[b]) | ((first[a] == first[b]) & (second[a] > second[b]))
+            a, b = np.where(turn, b, a), np.where(turn, a, b)  # one way round, whatever the variant
+            cols = [first[a], second[a], first[b], second[b]]
         names = ["a", "b"] if other is None else ["a", "a_mark", "b", "b_mark"]
         yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], names=names)
         del table
