@@ -27,26 +27,34 @@ def _known(amount: Column, name: str) -> list[Column]:
     return [F.count(amount).alias(f"{name}_known"), F.sum(amount).alias(f"{name}_sum")]
 
 
-def permit_rollup(events: DataFrame, keys: list[str], status: str, statuses: list[str], declared: str, estimated: str) -> DataFrame:
-    """For each key: events, known counts and sums of both amounts, and a count for each status and ``unknown``.
+def permit_columns(status: str, statuses: list[str], declared: str, estimated: str) -> list[Column]:
+    """Aggregates: events, known counts and sums of both amounts, and a count for each status and ``unknown``.
 
     Status counts are all null when no event of the key has a status.
     """
     has, s = F.count(status), F.col(status)
     counts = [F.when(has > 0, F.count_if(s == x)).alias(f"{x}_count") for x in statuses]
     other = F.when(has > 0, F.count_if(s.isNotNull() & ~s.isin(statuses))).alias("unknown_count")
-    return events.groupBy(*keys).agg(F.count("*").alias("event_count"), *_known(F.col(declared), "declared"), *_known(F.col(estimated), "estimated"), *counts, other)
+    return [F.count("*").alias("event_count"), *_known(F.col(declared), "declared"), *_known(F.col(estimated), "estimated"), *counts, other]
 
 
-def appeal_rollup(events: DataFrame, keys: list[str], outcome: str, explicit: list[str], change: str) -> DataFrame:
-    """For each key: events, counts of explicit outcomes (null unless there is some), unknown ones, and value changes."""
+def permit_rollup(events: DataFrame, keys: list[str], status: str, statuses: list[str], declared: str, estimated: str) -> DataFrame:
+    return events.groupBy(*keys).agg(*permit_columns(status, statuses, declared, estimated))
+
+
+def appeal_columns(outcome: str, explicit: list[str], change: str) -> list[Column]:
+    """Aggregates: events, counts of explicit outcomes (null unless there is some), unknown ones, and value changes."""
     o, v = F.col(outcome), F.col(change)
     some = F.count_if(o.isin(explicit)) > 0
     counts = [F.when(some, F.count_if(o == x)).alias(f"{x}_count") for x in explicit]
-    return events.groupBy(*keys).agg(
+    return [
         F.count("*").alias("event_count"), *counts, F.count_if(o.isNull() | ~o.isin(explicit)).alias("unknown_count"), F.count(v).alias("change_known"),
         F.sum(v).alias("change_total"), F.sum(F.when(v < 0, v)).alias("reduction_total"), F.sum(F.when(v > 0, v)).alias("increase_total"),
-    )
+    ]
+
+
+def appeal_rollup(events: DataFrame, keys: list[str], outcome: str, explicit: list[str], change: str) -> DataFrame:
+    return events.groupBy(*keys).agg(*appeal_columns(outcome, explicit, change))
 
 
 def payment_rollup(payments: DataFrame, keys: list[str], fetch: str, fetched_at: str, date: str, amount: str, placeholder: Column) -> DataFrame:

@@ -5,25 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotlens.operators import review, rules
+from lotlens.operators import features, pick, review, rules
 from lotlens.plans import valuation as v
-from lotlens.runtime import table
+from lotlens.runtime import cut, table
 
 KEYS = ["parcel_id", "yr"]
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        v.peer_percentile(spark, sf_dir).select(*KEYS, "muni", "cls", F.col("ratio").alias("assessment_to_sale_ratio"), F.col("percentile").alias("peer_percentile")),
-        v.yoy_change(spark, sf_dir).select(*KEYS, F.col("change").alias("yoy_assessment_change_pct")),
-        v.permit_expected_change(spark, sf_dir).select(*KEYS, F.col("expected").alias("permit_adjusted_expected_change"), F.col("gap").alias("permit_adjusted_gap")),
-        v.appeal_window_3y(spark, sf_dir).select(*KEYS, F.col("appeal_delta").alias("appeal_value_delta_3y"), F.col("appeal_rate").alias("appeal_success_rate_3y")),
-        v.lineage_reset(spark, sf_dir).select(*KEYS, F.col("reset").alias("lineage_value_reset_delta")),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, KEYS, "left")
-    return out
+    """All features of part-years.  The lines are rolled up once and the result is written, so that peers, prior years, windows and parents read it."""
+    price = F.col("l_extendedprice").cast("decimal(14,2)")
+    lines = v.events(spark, sf_dir, price.alias("cents"))
+    sums = lines.groupBy(*KEYS).agg(F.sum("cents").alias("v"), F.struct(*v.permit_columns()).alias("permit"), F.struct(*v.appeal_columns()).alias("appeal"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("parcel_id"), F.col("p_brand").alias("muni"), F.col("p_type").alias("cls"))
+    base = cut(sums.join(part, "parcel_id"))
+
+    prior, p = pick.prior_year(["parcel_id"], "yr", "v"), F.col("permit")
+    expected = features.expected_permit_change(p["event_count"], p["declared_known"], p["declared_sum"], p["estimated_known"], p["estimated_sum"])["value"]
+    known = F.when(F.col("appeal.change_known") == F.col("appeal.event_count"), F.col("appeal.change_total").cast("double"))
+    rows = base.withColumns({"prior": prior, "expected": expected, "delta": known})
+    rows = features.appeal_window(rows, ["parcel_id"], "yr", "appeal.event_count", "delta", "appeal.F_count", "appeal.unknown_count")
+    rows = features.lineage_reset(rows, v.lineage_edges(spark, sf_dir), base)
+    rows = v.with_sale_ratio(rows, v.selected_sale(spark, sf_dir))
+    rows = pick.mid_rank_percentile(rows, v.GROUPS, "ratio", "percentile")
+    gap = features.permit_gap(F.col("v").cast("double"), F.col("prior").cast("double"), F.col("expected"))
+    return rows.select(
+        *KEYS, "muni", "cls", F.col("ratio").alias("assessment_to_sale_ratio"), F.col("percentile").alias("peer_percentile"),
+        features.change_pct(F.col("v"), F.col("prior")).alias("yoy_assessment_change_pct"), F.col("expected").alias("permit_adjusted_expected_change"),
+        F.round(gap, 2).alias("permit_adjusted_gap"), F.round("appeal_delta", 2).alias("appeal_value_delta_3y"), F.col("appeal_rate").alias("appeal_success_rate_3y"),
+        F.round("reset", 2).alias("lineage_value_reset_delta"),
+    )
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

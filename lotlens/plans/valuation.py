@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotlens.operators import facts, features, pick, ratio
@@ -41,10 +41,13 @@ def selected_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pick.largest_row(sale(spark, sf_dir).where("st <> 'P'"), ["parcel_id", "yr"], ["sold", "txn"], ["txn", "price"])
 
 
-def peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = selected_sale(spark, sf_dir)
+def with_sale_ratio(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     value, flag = features.assessment_ratio(F.col("v"), F.col("price"))
-    rows = fact(spark, sf_dir).join(chosen, ["parcel_id", "yr"], "left").withColumns({"ratio": value, "ratio_flag": flag})
+    return rows.join(chosen, ["parcel_id", "yr"], "left").withColumns({"ratio": value, "ratio_flag": flag})
+
+
+def peer_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_sale_ratio(fact(spark, sf_dir), selected_sale(spark, sf_dir))
     out = pick.mid_rank_percentile(rows.select("parcel_id", *GROUPS, "ratio", "ratio_flag"), GROUPS, "ratio", "percentile")
     return out
 
@@ -54,14 +57,14 @@ def yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("parcel_id", "yr", features.change_pct(F.col("v"), F.col("prior")).alias("change"))
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     cents = F.col("l_extendedprice").cast("decimal(14,2)")
     return line.select(
         F.col("l_partkey").alias("parcel_id"), F.year("l_shipdate").alias("yr"), F.when(F.col("l_quantity") > 10, F.col("l_returnflag")).alias("status"),
         F.when(F.col("l_discount") > 0.05, cents).alias("declared"), F.when(F.col("l_tax") > 0.04, cents).alias("estimated"),
         F.when(F.col("l_discount") < 0.08, F.col("l_linestatus")).alias("outcome"), F.when(F.col("l_tax") < 0.06, cents - 30000).alias("change"),
-        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), F.col("l_shipdate").alias("seen_at"), "l_quantity",
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), F.col("l_shipdate").alias("seen_at"), "l_quantity", *more,
     )
 
 
@@ -75,22 +78,30 @@ _EVENTS = """ev as (
   from lineitem)"""
 
 
+def permit_columns() -> list[Column]:
+    return facts.permit_columns("status", ["A", "N"], "declared", "estimated")
+
+
+def appeal_columns() -> list[Column]:
+    return facts.appeal_columns("outcome", ["F"], "change")
+
+
 def permit_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.permit_rollup(_events(spark, sf_dir), ["parcel_id", "yr"], "status", ["A", "N"], "declared", "estimated")
+    return facts.permit_rollup(events(spark, sf_dir), ["parcel_id", "yr"], "status", ["A", "N"], "declared", "estimated")
 
 
 def appeal_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.appeal_rollup(_events(spark, sf_dir), ["parcel_id", "yr"], "outcome", ["F"], "change")
+    return facts.appeal_rollup(events(spark, sf_dir), ["parcel_id", "yr"], "outcome", ["F"], "change")
 
 
 def payment_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders play the fetches of a part-year."""
-    rows = _events(spark, sf_dir).withColumn("pay_day", F.when(F.col("l_quantity") > 5, F.col("day")))
+    rows = events(spark, sf_dir).withColumn("pay_day", F.when(F.col("l_quantity") > 5, F.col("day")))
     return facts.payment_rollup(rows, ["parcel_id", "yr"], "l_orderkey", "seen_at", "pay_day", "declared", F.col("l_quantity") <= 2)
 
 
 def recent_permits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _events(spark, sf_dir).groupBy("parcel_id", "yr").agg(F.count("status").alias("n"))
+    counts = events(spark, sf_dir).groupBy("parcel_id", "yr").agg(F.count("status").alias("n"))
     return counts.select("parcel_id", "yr", pick.recent_sum(["parcel_id"], "yr", "n", 1).alias("recent_1y"), pick.recent_sum(["parcel_id"], "yr", "n", 2).alias("recent_2y"))
 
 
@@ -101,7 +112,7 @@ def appeal_window_3y(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir)
+    rows = events(spark, sf_dir)
     source = F.when(F.col("status") == "A", "detail").when(F.col("status") == "N", "summary").when(F.col("status") == "R", "valuation_breakout")
     rows = rows.withColumn("source", source).withColumn("complete", sum(F.col(c).isNotNull().cast("int") for c in ("declared", "estimated", "change")))
     best = facts.best_assessment(rows, ["parcel_id", "yr"], "source", ["complete", "seen_at", "l_orderkey", "l_linenumber", "l_quantity"])
@@ -109,11 +120,11 @@ def best_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pick.largest_row(_events(spark, sf_dir), ["parcel_id"], ["seen_at", "l_orderkey", "l_linenumber"], ["seen_at", "l_orderkey", "l_linenumber"])
+    return pick.largest_row(events(spark, sf_dir), ["parcel_id"], ["seen_at", "l_orderkey", "l_linenumber"], ["seen_at", "l_orderkey", "l_linenumber"])
 
 
 def year_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.year_universe(fact(spark, sf_dir).select("parcel_id", "yr"), sale(spark, sf_dir).select("parcel_id", "yr"), _events(spark, sf_dir).where("status is not null").select("parcel_id", "yr"))
+    return facts.year_universe(fact(spark, sf_dir).select("parcel_id", "yr"), sale(spark, sf_dir).select("parcel_id", "yr"), events(spark, sf_dir).where("status is not null").select("parcel_id", "yr"))
 
 
 def parcel_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +144,19 @@ def permit_expected_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*keys, F.col("e.value").alias("expected"), F.col("e.basis").alias("basis"), F.col("e.flag").alias("flag"), F.round(gap, 2).alias("gap"))
 
 
+def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of even size are parents of the next."""
+    return table(spark, sf_dir, "part").where("p_size % 2 = 0").select((F.col("p_partkey") + 1).alias("parcel_id"), F.col("p_partkey").alias("parent_id"))
+
+
 def lineage_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = table(spark, sf_dir, "part").where("p_size % 2 = 0").select((F.col("p_partkey") + 1).alias("parcel_id"), F.col("p_partkey").alias("parent_id"))
+    edges = lineage_edges(spark, sf_dir)
     rows = fact(spark, sf_dir).select("parcel_id", "yr", "v")
     return features.lineage_reset(rows, edges, rows).select("parcel_id", "yr", F.round("reset", 2).alias("reset"))
 
 
 def carry_forward_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _events(spark, sf_dir).select("parcel_id", "yr", F.col("outcome").alias("state")).where("state is not null")
+    rows = events(spark, sf_dir).select("parcel_id", "yr", F.col("outcome").alias("state")).where("state is not null")
     return pick.runs_of_years(rows, ["parcel_id"], "yr", ["state"], 5)
 
 
