@@ -175,7 +175,49 @@ def township_range(c: Column) -> Column:
     return F.when(c.rlike(pattern), F.struct(two(1).alias("township"), two(3).alias("range")))
 
 
-def exempt_flag(class_code: Column, valuation_empty: Column, tax: Column, owner: Column, public: list[str]) -> Column:
-    """Three-valued: true for an X class, or for an empty valuation without tax under a public owner; false with tax; else null."""
-    by_owner = valuation_empty & (F.coalesce(tax, F.lit(0)) == 0) & F.lower(owner).rlike("|".join(public))
-    return F.when(F.upper(class_code).startswith("X"), True).when(by_owner, True).when(tax > 0, False)
+def quarter_quarter(description: Column) -> Column:
+    """``NE of the SW`` from a description such as ``NE 1/4 SW1/4 of section 3``; null without such a pair."""
+    pattern = r"\b([NS][EW])\s*1/4\s*([NS][EW])\s*1/4\b"
+    text = F.upper(description)
+    return F.when(text.rlike(pattern), F.concat(F.regexp_extract(text, pattern, 1), F.lit(" of the "), F.regexp_extract(text, pattern, 2)))
+
+
+#: Texts of pages, and words of public owners.
+NO_TAX, TAX_TITLE = "No tax information available.", "Tax Information"
+NO_PAYMENTS, NO_PAYMENT_ROW = "No historic payments found.", "No payments found."
+PAYMENT_DATE_FIELDS = ["Date of Payment", "Date Paid", "col_2"]
+PUBLIC_OWNERS = ["VILLAGE OF", "CITY OF", "TOWN OF", "COUNTY OF", "STATE OF", "SCHOOL DISTRICT", "SCHOOL DIST", "WI DOT"]
+
+
+def placeholder_payment(data: Column) -> Column:
+    """Whether a payment row (map of texts) only says that there are none; its first date field that is not empty decides."""
+    date = F.coalesce(*[F.nullif(data[k], F.lit("")) for k in PAYMENT_DATE_FIELDS])
+    return F.coalesce(F.trim(date) == NO_PAYMENT_ROW, F.lit(False))
+
+
+def tax_available(page_text: Column, has_rows: Column) -> Column:
+    """Three-valued: false if the page says that there is none, true with rows or the section's title, else null."""
+    return F.when(page_text.contains(NO_TAX), False).when(has_rows | page_text.contains(TAX_TITLE), True)
+
+
+def tax_section_empty(page_text: Column) -> Column:
+    return F.when(page_text.contains(NO_TAX), True).when(page_text.contains(TAX_TITLE), False)
+
+
+def payments_available(page_text: Column, real: Column, placeholders: Column) -> Column:
+    """Three-valued, from the page's text and the numbers of real and placeholder rows (those of detail pages not counted)."""
+    return F.when(page_text.contains(NO_PAYMENTS), False).when(real > 0, True).when(placeholders > 0, False)
+
+
+def exempt_flag(class_code: Column, empty_breakout: Column, tax: Column, owner: Column, public: list[str] | None = None) -> Column:
+    """Three-valued: true for an X class, or for an empty value table without tax information under a public owner.
+
+    Else false if the class is known, or owner and value table are; else null.
+    """
+    words = F.array(*[F.lit(w) for w in public or PUBLIC_OWNERS])
+    is_public = F.coalesce(F.exists(words, lambda w: F.upper(owner).contains(w)), F.lit(False))
+    no_sections = F.coalesce(empty_breakout & ~tax, F.lit(False))
+    return (
+        F.when(F.upper(class_code).startswith("X"), True).when(no_sections & is_public, True)
+        .when(class_code.isNotNull() | (owner.isNotNull() & empty_breakout.isNotNull()), False)
+    )

@@ -43,3 +43,9 @@ def investigation_set(queue: DataFrame, summaries: DataFrame, reviews: DataFrame
     """Queue rows with the number of their dossier sections and events, and with their latest review."""
     counts = summaries.groupBy(key).agg(F.count("*").alias("n_sections"), F.sum("n").alias("n_events"))
     return queue.join(counts, key, "left").join(reviews, key, "left")
+
+
+def peer_context(features: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Feature rows with the fact of their parcel-year where there is one; fact columns that features have too are prefixed."""
+    renamed = facts.select(*keys, *[F.col(c).alias(f"fact_{c}" if c in features.columns else c) for c in facts.columns if c not in keys])
+    return features.join(renamed, keys, "left")

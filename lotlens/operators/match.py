@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotlens.functions.parsing import price_gap_flag
+from lotlens.operators.pick import best_row
+
 
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, float, Column, Column]], accept: float = 0.85) -> DataFrame:
     """All candidates of the first tier that hits: left id, right id, method, confidence, match_rank, is_primary, review_status.
@@ -79,6 +82,48 @@ def best_match(matches: DataFrame, key: str) -> DataFrame:
     return matches.withColumn("__n", F.row_number().over(at)).where("__n = 1").drop("__n")
 
 
+def dossier_match(matches: DataFrame, key: str, row_id: str) -> DataFrame:
+    """The match that a dossier shows: primary, known confidence, confidence, rank (nulls last), smallest id."""
+    order = [F.desc("is_primary"), F.desc_nulls_last("confidence"), F.asc_nulls_last("match_rank"), F.asc(row_id)]
+    return best_row(matches.withColumn("is_primary", F.coalesce("is_primary", F.lit(False))), [key], order)
+
+
+def sale_signals(sales: DataFrame, facts: DataFrame) -> DataFrame:
+    """sales (txn, parcel_id, yr, price) with context: facts at all, a fact of the year, permits, appeals, price gap, area.
+
+    facts: parcel_id, yr, area, v, recent_permit (boolean), appeals (number).  The area is that of the year, else the newest known.
+    """
+    known = F.nullif("area", F.lit(""))
+    newest = facts.groupBy("parcel_id").agg(F.max_by(known, F.when(known.isNotNull(), F.col("yr"))).alias("__newest"), F.lit(True).alias("__any"))
+    year = facts.select("parcel_id", "yr", known.alias("__area"), "v", "recent_permit", "appeals", F.lit(True).alias("__year"))
+    rows = sales.join(year, ["parcel_id", "yr"], "left").join(newest, "parcel_id", "left")
+    no = F.lit(False)
+    return rows.select(
+        *sales.columns, F.coalesce("__any", no).alias("has_context"), F.coalesce("__year", no).alias("has_year"),
+        F.coalesce("recent_permit", no).alias("has_permit"), F.coalesce(F.col("appeals") > 0, no).alias("has_appeal"), price_gap_flag(F.col("price"), F.col("v")).alias("has_gap"),
+        F.coalesce("__area", "__newest", F.lit("UNKNOWN")).alias("area"),
+    )
+
+
+def area_signals(signals: DataFrame) -> DataFrame:
+    """For each area the sales with a fact of their year, how many carry each signal, and the rates."""
+    n, names = F.count("*"), ["permit", "appeal", "gap"]
+    counts = [F.count_if(f"has_{x}").alias(f"n_{x}") for x in names]
+    return signals.where("has_year").groupBy("area").agg(n.alias("n"), *counts, *[F.round(F.count_if(f"has_{x}") / n, 4).alias(f"{x}_rate") for x in names])
+
+
+def context_years(sales: DataFrame, facts: DataFrame, years: int = 2, newest: int = 5) -> DataFrame:
+    """(txn, fact_yr, fact columns): facts within ``years`` of the sale's year, or the parcel's ``newest`` if none is.
+
+    sales: txn, parcel_id, yr; facts: one row a parcel and year.
+    """
+    order = Window.partitionBy("parcel_id").orderBy(F.desc("yr"))
+    ranked = facts.withColumn("__rank", F.row_number().over(order)).withColumnRenamed("yr", "fact_yr")
+    both = sales.select("txn", "parcel_id", "yr").join(ranked, "parcel_id").withColumn("__near", F.abs(F.col("fact_yr") - F.col("yr")) <= years)
+    any_near = F.max("__near").over(Window.partitionBy("txn"))
+    return both.withColumn("__some", any_near).where(F.col("__near") | (~F.col("__some") & (F.col("__rank") <= newest))).drop("__rank", "__near", "__some", "yr")
+
+
 def first_ids(df: DataFrame, by: str, row_id: str, most: int) -> DataFrame:
     """For each group its count and its first ``most`` ids; only those are ever collected."""
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(by).orderBy(row_id))).where(F.col("__n") <= most)

@@ -20,8 +20,9 @@ def parcel_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.lpad(F.col("p_partkey").cast("string"), 12, "0")
     number = F.concat(F.lit(" 061/"), F.substring(k, 1, 4), F.lit("-"), F.substring(k, 5, 3), F.when(F.col("p_size") % 2 == 0, "0").otherwise(""), F.lit("-"), F.substring(k, 8, 4), F.lit("-"), F.substring(k, 12, 1))
     place = F.when(F.col("p_size") > 25, F.concat(F.lit("T"), (F.col("p_size") % 20).cast("string"), F.lit("N R"), (F.col("p_size") % 9).cast("string"), F.lit("E"))).otherwise("none")
-    tax = F.when(F.col("p_size") > 10, F.col("p_retailprice") - 1000)
-    flag = P.exempt_flag(F.substring("p_type", 1, 1), F.col("p_size") < 20, tax, F.col("p_name"), ["city", "7"])
+    tax = F.when(F.col("p_size") > 10, F.col("p_retailprice") > 1000)
+    class_code = F.when(F.col("p_size") > 15, F.substring("p_type", 1, 1))
+    flag = P.exempt_flag(class_code, F.when(F.col("p_size") != 5, F.col("p_size") < 20), tax, F.col("p_name"), ["CITY", "7"])
     rows = p.select("p_partkey", P.parcel_parts(number).alias("n"), P.township_range(place).alias("t"), flag.alias("exempt"))
     return rows.select("p_partkey", "n.township", "n.section", "n.parcel", F.col("t.township").alias("t_town"), F.col("t.range").alias("t_range"), "exempt")
 
@@ -106,8 +107,8 @@ SQL = {
     "parcel_codes": """with p as (select *, lpad(cast(p_partkey as varchar), 12, '0') as k from part)
 select p_partkey, case when p_size % 2 = 1 then substr(k, 1, 2) end as township, case when p_size % 2 = 1 then substr(k, 5, 2) end as section, case when p_size % 2 = 1 then substr(k, 8, 4) end as parcel,
        case when p_size > 25 then lpad(cast(p_size % 20 as varchar), 2, '0') end as t_town, case when p_size > 25 then lpad(cast(p_size % 9 as varchar), 2, '0') end as t_range,
-       case when upper(substr(p_type, 1, 1)) = 'X' then true when p_size < 20 and coalesce(case when p_size > 10 then p_retailprice - 1000 end, 0) = 0 and regexp_matches(lower(p_name), 'city|7') then true
-            when p_size > 10 and p_retailprice - 1000 > 0 then false end as exempt from p""",
+       case when p_size > 15 and upper(substr(p_type, 1, 1)) = 'X' then true when p_size <> 5 and p_size < 20 and p_size > 10 and not p_retailprice > 1000 and regexp_matches(upper(p_name), 'CITY|7') then true
+            when p_size > 15 or (p_name is not null and p_size <> 5) then false end as exempt from p""",
     "negative_amounts": """select event_id, 'deed:d1:x|photo:' || user_id as links from events where round(value - 5, 2) < 0""",
     "feature_validation": _FEAT + """, e as (select parcel_id, yr, concat_ws(',', case when abs(yoy_assessment_change_pct) > 2 then 'change_too_large' end, case when permit_adjusted_gap is null then 'missing_gap' end,
   case when peer_percentile > 0.95 then 'percentile_at_top' end, case when appeal_success_rate_3y not between 0 and 0.9 then 'rate_out_of_range' end, case when assessment_to_sale_ratio > 3 then 'ratio_too_large' end) as errors from feat),

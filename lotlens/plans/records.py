@@ -88,12 +88,16 @@ def sale_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def context_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts within two years of each sale, by a range that is an equi-join on the parcel first."""
-    f = fact(spark, sf_dir).select("parcel_id", F.col("yr").alias("fact_yr"), "v")
-    near = sale(spark, sf_dir).select("txn", "parcel_id", "yr").join(f, "parcel_id").where("abs(fact_yr - yr) <= 2")
+    """Facts within two years of each sale, or the newest five of its parcel; an equi-join on the parcel first."""
+    near = match.context_years(_early(sale(spark, sf_dir)), fact(spark, sf_dir).select("parcel_id", "yr", "v"))
     return near.groupBy("txn").agg(F.count("*").alias("n"), F.min("fact_yr").alias("first"), F.max("fact_yr").alias("last"), F.sum("v").alias("total"))
 
 
+def _early(sales: DataFrame) -> DataFrame:
+    """Every seventh sale moved to a year without facts."""
+    return sales.withColumn("yr", F.when(F.col("txn") % 7 == 0, F.col("yr") - 20).otherwise(F.col("yr")))
+
+
 def normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text keys of strings made from customers and their nations."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
@@ -331,7 +335,11 @@ r as (
   select coalesce(f.muni, newest, 'UNKNOWN') as area, f.v is not null as has_fact, coalesce(f.v > 0 and (cast(price as double) / cast(f.v as double) >= 1.5 or cast(price as double) / cast(f.v as double) <= 0.5), false) as gap
   from sale s left join fact f on f.parcel_id = s.parcel_id and f.yr = s.yr left join w on w.parcel_id = s.parcel_id)
 select area, count(*) as n, count(*) filter (where has_fact) as n_fact, count(*) filter (where gap) as n_gap, round(count(*) filter (where has_fact) / count(*), 4) as fact_rate, round(count(*) filter (where gap) / count(*), 4) as gap_rate from r group by area""",
-    "context_sample": f"with {FACT}, {SALE} select txn, count(*) as n, min(f.yr) as first, max(f.yr) as last, sum(v) as total from sale s join fact f on f.parcel_id = s.parcel_id where abs(f.yr - s.yr) <= 2 group by txn",
+    "context_sample": f"""with {FACT}, {SALE}, s as (select txn, parcel_id, case when txn % 7 = 0 then yr - 20 else yr end as yr from sale),
+r as (select *, row_number() over (partition by parcel_id order by yr desc) as k from fact),
+j as (select txn, r.yr as fy, r.v, k, abs(r.yr - s.yr) <= 2 as near from s join r using (parcel_id)),
+w as (select *, bool_or(near) over (partition by txn) as any_near from j)
+select txn, count(*) as n, min(fy) as first, max(fy) as last, sum(v) as total from w where near or (not any_near and k <= 5) group by txn""",
     "normalize_keys": """with c as (select *, lpad(cast(c_custkey as varchar), 6, '0') as k, cast(c_custkey % 50 as varchar) as u, cast(c_custkey % 40 as varchar) as lot, upper(replace(n_name, '_', ' ')) as area from customer join nation on n_nationkey = c_nationkey)
 select c_custkey, 'AB' || substr(k, 1, 3) || k || k as parcel_key, 'AB' || substr(k, 1, 3) || substr(k, 1, 2) || substr(k, 4, 1) || substr(k, 3, 1) || substr(k || k, 5) as crosswalk,
        k || ' NORTH ' || area || case when c_acctbal > 0 then ' AVENUE' else ' COURT' end || ' ' || u || case when c_acctbal > 3000 then ' MADISON WI 53703' else '' end as site,

@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotlens.functions import parsing as P
+from lotlens.functions.text import collapsed
+
 LONG = "page_id long, kind string, record int, row int, col int, section string, is_header boolean, name string, value string"
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -195,3 +198,42 @@ def lineage_links(found: DataFrame, kind: Column) -> DataFrame:
 
 def errors(long: DataFrame) -> DataFrame:
     return long.where("kind = 'error'").select("page_id", F.col("name").alias("error"), F.col("value").alias("message"))
+
+
+#: Link texts and parts of addresses that name a map.  A county's own map is an argument.
+MAP_LINKS = {"has_google_map_link": ("Google Map", ("maps.google.com", "google.com/maps")), "has_bing_map_link": ("Bing Map", ("bing.com/maps",))}
+
+
+def map_links(found: DataFrame, county: tuple[str, tuple[str, ...]]) -> DataFrame:
+    """For each page with links: true for each map that one of them names, else null.  county: link text and address parts."""
+    def hit(text: str, parts: tuple[str, ...]) -> Column:
+        named = F.col("text") == text
+        for part in parts:
+            named = named | F.lower("href").contains(part)
+        return F.when(F.count_if(named) > 0, True)
+
+    return found.groupBy("page_id").agg(*[hit(*v).alias(k) for k, v in {"has_county_map_link": county, **MAP_LINKS}.items()])
+
+
+def characteristics(rows: DataFrame, maps: DataFrame) -> DataFrame:
+    """One row for each page with what is known of its parcel; pages of which nothing is known are left out.
+
+    rows: page_id, page_text, number, municipality, township_range, section, quarter, description, owner, year, class_code,
+    acres, ratio, fair_value, n_tax, n_paid, n_placeholder, n_jurisdictions (null: no table), n_values (filled rows of the
+    value table; null: no table).  Fields of the page come before what the formatted number says.  ``complete`` counts the known ones.
+    """
+    text, parts, place = F.coalesce("page_text", F.lit("")), P.parcel_parts(F.col("number")), P.township_range(F.col("township_range"))
+    clean = lambda c: F.nullif(collapsed(F.col(c)), F.lit(""))
+    tax, empty = P.tax_available(text, F.coalesce("n_tax", F.lit(0)) > 0), F.col("n_values") == 0
+    fields = {
+        "formatted_parcel_number": clean("number"), "state_municipality_code": F.coalesce(clean("municipality"), parts["municipality"]),
+        "township": F.coalesce(place["township"], parts["township"]), "range": F.coalesce(place["range"], parts["range"]),
+        "section": F.coalesce(clean("section"), parts["section"]), "quarter_quarter": F.coalesce(clean("quarter"), P.quarter_quarter(F.col("description"))),
+        **{k: F.col(k) for k in ("has_county_map_link", *MAP_LINKS)}, "current_assessment_year": F.col("year"), "current_valuation_classification": clean("class_code"),
+        "current_assessment_acres": F.col("acres"), "current_assessment_ratio": F.col("ratio"), "current_estimated_fair_market_value": F.col("fair_value"),
+        "current_tax_info_available": tax, "current_payment_history_available": P.payments_available(text, F.col("n_paid"), F.col("n_placeholder")),
+        "tax_jurisdiction_count": F.col("n_jurisdictions"), "is_exempt_style_page": P.exempt_flag(clean("class_code"), empty, tax, clean("owner")),
+        "has_empty_valuation_breakout": empty, "has_empty_tax_section": P.tax_section_empty(text),
+    }
+    out = rows.join(maps, "page_id", "left").select("page_id", *[c.alias(n) for n, c in fields.items()])
+    return out.withColumn("complete", P.filled(*[F.col(n) for n in fields])).where("complete > 0")
