@@ -84,3 +84,18 @@ def test_clamp_and_amounts(spark):
 def test_evidence_links(spark):
     got = values(spark, ["kind=photo,ref=a,label=x;kind=photo,ref=a,label=x;kind=bad,ref=b;kind=deed,ref="], lambda c: T.evidence_links(c, ["photo", "deed"]))
     assert [tuple(x) for x in got[0]] == [("photo", "a", "x")]
+
+
+def test_page_flags(spark):
+    """Exempt flags, quarters, placeholder rows and three-valued sections."""
+    rows = spark.createDataFrame(
+        [(1, "X1", None, None, None), (2, None, True, False, "Town of A"), (3, None, True, None, "Town of A"), (4, "G1", None, None, None), (5, None, False, None, "B"), (6, None, None, None, "B")],
+        "id int, cls string, empty boolean, tax boolean, owner string",
+    )
+    flags = rows.select("id", P.exempt_flag(F.col("cls"), F.col("empty"), F.col("tax"), F.col("owner")).alias("x")).orderBy("id").collect()
+    assert [r.x for r in flags] == [True, True, False, False, False, None]
+    texts = spark.createDataFrame([(1, "pt NE 1/4 se1/4 sec 2", "No tax information available."), (2, "NE 1/4", "Tax Information"), (3, None, "")], "id int, d string, t string")
+    got = texts.select("id", P.quarter_quarter(F.col("d")), P.tax_available(F.col("t"), F.lit(False)), P.tax_section_empty(F.col("t")), P.payments_available(F.col("t"), F.lit(0), F.lit(1))).orderBy("id").collect()
+    assert [tuple(r)[1:] for r in got] == [("NE of the SE", False, True, False), (None, True, False, False), (None, None, None, False)]
+    data = spark.createDataFrame([(1, {"Date of Payment": "", "col_2": " No payments found. "}), (2, {"Date Paid": "1/2/2020", "col_2": "No payments found."}), (3, {}), (4, None)], "id int, m map<string,string>")
+    assert [r[1] for r in data.select("id", P.placeholder_payment(F.col("m"))).orderBy("id").collect()] == [True, False, False, False]

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from lotlens.operators import alerts, facts, features, match, monitor, pick, ratio, review, rules
+from lotlens.operators import alerts, facts, features, match, monitor, pick, profile, quality, ratio, review, rules
 from lotlens.sources import imports, pages
 
 
@@ -178,3 +178,32 @@ def test_blank_lines_and_long_fields(spark, tmp_path):
     (tmp_path / "l.csv").write_text("Sale Date,PIN,Note\n\n01/02/2020,7," + "x" * 200_000 + "\n\n01/03/2020,8,y\n")
     got = imports.csv_rows(spark, str(tmp_path / "l.csv")).orderBy("row_number").collect()
     assert [(r["row_number"], len(r["cells"]["Note"])) for r in got] == [(1, 200_000), (2, 1)]
+
+
+def test_context_years_and_dossier_match(spark):
+    facts_ = spark.createDataFrame([(1, y, float(y)) for y in range(2000, 2008)], "parcel_id int, yr int, v double")
+    sales = spark.createDataFrame([(1, 1, 2001), (2, 1, 1990), (3, 9, 2001), (4, 1, None)], "txn int, parcel_id int, yr int")
+    got = rows(match.context_years(sales, facts_).select("txn", "fact_yr"), "txn", "fact_yr")
+    assert got == [(1, y) for y in range(2000, 2004)] + [(2, y) for y in range(2003, 2008)]
+    m = spark.createDataFrame(
+        [("a", 1, None, 0.9, 1), ("a", 2, True, None, None), ("b", 3, False, None, 1), ("b", 4, False, 0.1, None), ("c", 6, False, 0.5, None), ("c", 5, False, 0.5, None), ("c", 7, None, 0.5, 9)],
+        "txn string, id int, is_primary boolean, confidence double, match_rank int",
+    )
+    assert rows(match.dossier_match(m, "txn", "id").select("txn", "id"), "txn") == [("a", 2), ("b", 4), ("c", 7)]
+
+
+def test_profile_of_empty_tables(spark):
+    fetches = spark.createDataFrame([], "fetch_id long, parcel_id long, status_code int, parsed_at date, parse_error string")
+    named = profile.counts(fetches, fetches, {"fact": fetches}, {"tax": fetches})
+    out = profile.snapshot(profile.coverage(named, ["fact"], ["tax"]), profile.field_presence(fetches, ["parse_error"]))
+    assert rows(out, "metric")[0] == ("extraction_null_rate.parse_error", 0, 0, None)
+    assert out.count() == 7
+
+
+def test_payment_semantics(spark):
+    signals = spark.createDataFrame([(1, True, True), (2, False, True)], "fetch_id int, has_real boolean, has_placeholder boolean")
+    flags = spark.createDataFrame([("a", 1, True), ("b", 2, None), ("c", 3, None)], "key string, fetch_id int, available boolean")
+    facts_ = spark.createDataFrame([("f", 2, True, 0, None), ("g", 2, True, 1, None), ("h", 9, True, None, 5.0), ("i", None, None, 3, 5.0), ("j", 1, None, None, None)], "key string, fetch_id int, placeholder boolean, event_count int, total double")
+    facts_ = facts_.withColumns({"first_date": F.lit(None).cast("date"), "last_date": F.lit(None).cast("date")})
+    got = rows(quality.payment_semantics(signals, flags, facts_).select("key", "code"), "key", "code")
+    assert got == [("b", "payment_history_flag_mismatch"), ("g", "placeholder_payment_rollup_conflict"), ("h", "placeholder_payment_rollup_conflict"), ("j", "payment_placeholder_flag_mismatch")]
