@@ -84,6 +84,9 @@ def field_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.field_presence(rows, ["tax_amount_summary", "tax_rate_rows", "installment_rows"])
 
 
+#: num / den at four digits, ties half up in whole numbers (a quotient of doubles may lie on either side of a tie).
+_RATE = "((num * 20000 + den) // (2 * den)) / 10000"
+
 _PRESENCE = """presence as (
   select unnest(['tax_amount_summary', 'tax_rate_rows', 'installment_rows']) as field, unnest([a, b, c]) as num, den from (
     select count(*) filter (where l_quantity > 20) as a, count(*) filter (where l_tax > 0.03) as b, count(*) filter (where l_discount > 0.02) as c, count(*) as den from lineitem))"""
@@ -257,7 +260,7 @@ select 'payment_history_semantics' as "check", cast(k as varchar) as key, code f
   select o.k, 'payment_history_flag_mismatch' as code from o join sig using (k) where (case when n <> 3 then n > 0 end) is distinct from (case when has_real then true when has_none then false end)
   union all select o.k, 'payment_placeholder_flag_mismatch' from o join sig using (k) where (case when n <> 1 then n = 2 end) is distinct from has_none
   union all select o.k, 'placeholder_payment_rollup_conflict' from o left join sig using (k) where (coalesce(has_none, false) or n = 2) and filled)""",
-    "field_presence": f"with {_PRESENCE} select field, num, den, round(num / den, 4) as rate from presence",
+    "field_presence": f"with {_PRESENCE} select field, num, den, {_RATE} as rate from presence",
     "profile_snapshot": f"""with {_FETCHES}, {_PRESENCE},
 ok as (select fetch_id from fetches where status_code = 200),
 n as (
@@ -271,7 +274,7 @@ m as (
   union all select 'field_coverage.parcel_year_fact_parcel_rate', f, parcels from n union all select 'selector_miss.assessment_fetch_rate', m1, good from n
   union all select 'selector_miss.tax_fetch_rate', m2, good from n union all select 'selector_miss.payment_fetch_rate', m3, good from n
   union all select 'tax_detail_field_presence.' || field, num, den from presence union all select 'extraction_null_rate.' || field, den - num, den from presence)
-select metric, num, den, round(num / den, 4) as rate from m""",
+select metric, num, den, {_RATE} as rate from m""",
     "run_failures": """with s as (select l_orderkey as o_orderkey, bool_or(l_discount > 0.09) as f, bool_or(l_discount <= 0.09 and l_tax > 0.07) as b from lineitem group by all)
 select o_orderpriority, count(*) as n, round(count(*) filter (where o_orderstatus = 'P') / count(*), 4) as run_failed, round(count(*) filter (where f) / count(*), 4) as stage_failed,
        round(count(*) filter (where b) / count(*), 4) as stage_blocked from orders left join s using (o_orderkey) group by all""",
