@@ -145,6 +145,13 @@ def benchmark_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.metric_diff(_mix(spark, sf_dir, False), _mix(spark, sf_dir, True), monitor.BENCHMARK_LIMITS, "critical", 20, cap=False)
 
 
+def benchmark_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of two runs: the second half of the events against the first, and against itself."""
+    first, second = _mix(spark, sf_dir, False), _mix(spark, sf_dir, True)
+    parts = [monitor.metric_diff(a, b, monitor.BENCHMARK_LIMITS, "critical", 20, cap=False).withColumn("run_id", F.lit(run)) for run, a, b in (("later", first, second), ("same", second, second))]
+    return monitor.trend_rows(parts[0].unionByName(parts[1]), ["run_id"])
+
+
 WINDOWS = {"1d": "1 day", "7d": "7 days", "30d": "30 days"}
 
 
@@ -332,7 +339,7 @@ al as (
 
 QUERIES = {f.__name__: f for f in (
     quality_issues, quality_report, lineage_issues, fetch_consistency, payment_semantics, anomalies, data_profile, section_gaps, drift_snapshot, drift_diff, drift_alerts,
-    benchmark_signals, load_rollups, load_signals, failure_fractions, freshness_hours, sli_compliance, burn_rates, panel_status, metric_rows, asof_freshness, missing_sources,
+    benchmark_signals, benchmark_trend, load_rollups, load_signals, failure_fractions, freshness_hours, sli_compliance, burn_rates, panel_status, metric_rows, asof_freshness, missing_sources,
     run_events, alert_canonical, alert_fanout, escalations_due,
 )}
 
@@ -374,6 +381,13 @@ f as (select *, split_part(metric, '.', 1) as family, case severity when 'error'
 t as (select family, max(r) as r from f group by all)
 select f.family, severity, string_agg(distinct reason, ',' order by reason) as reasons, count(*) as n_signals from f join t on t.family = f.family and t.r = f.r group by f.family, severity""",
     "benchmark_signals": f"with {_MIXED}, {_BENCH} select * from signals",
+    "benchmark_trend": f"""with {_MIXED}, {_BENCH},
+g as (select *, reason in ('insufficient_denominator', 'missing_metric_value', 'insufficient_sample_size') as gone from signals),
+series as (
+  select 'later' as run_id, metric, base_value, current_value, delta, severity, gone as ignored from g
+  union all select 'same', metric, current_value, current_value, current_value - current_value, 'ok', gone from g)
+select *, case when bool_or(severity = 'critical') over w then 'critical' when bool_or(severity = 'warn') over w then 'warn' else 'ok' end as overall_severity
+from series window w as (partition by run_id)""",
     "load_rollups": f"""with {_RUNS}, win as (select unnest(['1d', '7d', '30d']) as w, unnest([1, 7, 30]) as days),
 x as (select * from runs join win on at_ > timestamp '{NOW}' - to_days(days) and at_ <= timestamp '{NOW}')
 select profile, w as "window", count(*) as n, count(*) filter (where not ok) as n_failed, case when count(seconds) filter (where ok) >= 5 then quantile_disc(case when ok then seconds end, 0.5) end as p50,
