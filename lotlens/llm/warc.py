@@ -28,8 +28,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 #: An archive is closed when its frames reach this size; it is read back as one value, so it must fit a task.
 ARCHIVE_BYTES = 32 << 20
-#: The dictionary is built from so many records, of each of which so many bytes of payload are taken; it bounds what the
-#: driver holds (8 MB) and decides about nothing but the archives' size.
+#: The dictionary is built from about so many records drawn at random, of each of which so many bytes of payload are taken;
+#: that bounds what the driver gets from all tasks together (8 MB) and decides about nothing but the archives' size.
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 8192, 65536
 LEVEL = 3
 #: Revisits are broadcast up to this many (some 60 bytes each); beyond, pages meet them by a shuffle.
@@ -143,8 +143,8 @@ def frames(archive: bytes) -> Iterator[tuple[int, int, bytes]]:
         at = end
 
 
-def _assigned(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pages that keep their payload, revisits with their digest, size and the key of the response)."""
+def _assigned(pages: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(pages that keep their payload, revisits with their digest, size and the key of the response, number of pages)."""
     keyed = pages.withColumn("sha", F.unhex(F.sha1("payload")))
     keys = cut(keyed.select("key", "url", "sha", F.octet_length("payload").cast("long").alias("size")))
     first = keys.groupBy("sha", "size").agg(F.max("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -153,7 +153,15 @@ def _assigned(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     if again.count() <= MAX_BROADCAST_ROWS:
         gone = F.broadcast(gone)
     kept = keyed.alias("p").join(gone.alias("g"), F.col("p.key").eqNullSafe(F.col("g.key")) & (F.col("p.sha") == F.col("g.sha")), "left_anti")
-    return kept, again
+    return kept, again, keys.count()
+
+
+def _sample(pages: DataFrame, n: int) -> DataFrame:
+    """About SAMPLE_RECORDS of n pages, each with a piece of its payload, drawn by a hash of the row and its place."""
+    share = min(1.0, SAMPLE_RECORDS / max(1, n))
+    drawn = F.xxhash64("payload", "key", F.monotonically_increasing_id()) <= min(2**63 - 1, int(2**64 * share) - 2**63)
+    spot = F.pmod(F.xxhash64("payload"), F.greatest(F.lit(1), F.octet_length("payload") - SAMPLE_BYTES)).cast("int") + 1
+    return pages.where(drawn).select(F.col("key").cast("string"), "url", F.substring("payload", spot, F.lit(SAMPLE_BYTES)).alias("part"))
 
 
 def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -166,10 +174,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
     """
     col = lambda name: F.col(f"`{name}`")
     own = pages.select(col(key).alias("key"), col(url).cast("string").alias("url"), F.coalesce(col(payload).cast("binary"), F.lit(b"")).alias("payload"))
-    kept, again = _assigned(own)
-    spot = F.pmod(F.xxhash64("payload"), F.greatest(F.lit(1), F.octet_length("payload") - SAMPLE_BYTES)).cast("int") + 1
-    sample = own.orderBy(F.xxhash64("payload", "key")).limit(SAMPLE_RECORDS).select(F.col("key").cast("string"), "url", F.substring("payload", spot, F.lit(SAMPLE_BYTES)).alias("part"))
-    dictionary = build_dictionary([render(r.key, r.url, bytes(r.part), payload_digest(bytes(r.part)), date) for r in sample.collect()])
+    kept, again, n = _assigned(own)
+    dictionary = build_dictionary([render(r.key, r.url, bytes(r.part), payload_digest(bytes(r.part)), date) for r in _sample(own, n).collect()])
     none = F.lit(None)
     rows = kept.select(F.col("key").cast("string"), "url", "sha", F.lit(False).alias("revisit"), none.cast("string").alias("first"), none.cast("long").alias("size"), "payload")
     rows = rows.unionByName(again.select(F.col("key").cast("string"), "url", "sha", F.lit(True).alias("revisit"), F.col("first").cast("string"), "size", F.lit(b"").alias("payload")))
