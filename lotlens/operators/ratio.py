@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotlens.operators.order import MEDIAN, order_statistics
+
 
 def label_sales(sales: DataFrame, groups: list[str], assessed: str, price: str, excluded: Column, in_scope: Column | None = None) -> DataFrame:
     """sales with ``outcome``, the first that applies: no_fact, blank_group, out_of_scope, excluded, no_value, included.
@@ -33,19 +35,15 @@ def ratio_study(labelled: DataFrame, groups: list[str], assessed: str, price: st
     """
     rows = labelled.where(F.col("outcome").isin("included", "excluded"))
     r = F.col("ratio")
-    kept = F.when(r.isNotNull(), F.col(price).cast("double"))
-    base = rows.groupBy(*groups).agg(
-        F.count("ratio").alias("n"), F.count_if(F.col("outcome") == "excluded").alias("n_excluded"), F.median("ratio").alias("__median"), F.avg("ratio").alias("__mean"),
-        F.sum(F.when(r.isNotNull(), F.col(assessed).cast("double"))).alias("__assessed"), F.sum(kept).alias("__price"),
-        F.count_if(r < low).alias("n_low"), F.count_if(r > high).alias("n_high"),
-    )
-    spread = rows.where(r.isNotNull()).join(base.select(*groups, "__median"), groups).groupBy(*groups).agg(F.sum(F.abs(r - F.col("__median"))).alias("__spread"))
-    both = base.join(spread, groups, "left")
+    one = lambda cond: F.when(cond, 1).otherwise(0)
+    kept = lambda c: F.when(r.isNotNull(), F.col(c).cast("double"))
+    sums = {"n_excluded": one(F.col("outcome") == "excluded"), "assessed": kept(assessed), "paid": kept(price), "n_low": one(r < low), "n_high": one(r > high)}
+    found = order_statistics(rows, groups, "ratio", {"median": MEDIAN}, sums, spread="median")
     enough = F.col("n") >= 2
-    cod = F.try_divide(F.col("__spread"), F.col("n") * F.col("__median")) * 100
-    prd = F.try_divide(F.col("__mean"), F.try_divide(F.col("__assessed"), F.col("__price")))
-    return both.select(
-        *groups, "n", "n_excluded", F.round("__median", 6).alias("median_ratio"), F.when(enough, F.round(cod, 4)).alias("cod"),
+    cod = F.try_divide(F.col("deviation"), F.col("n") * F.col("median")) * 100
+    prd = F.try_divide(F.try_divide(F.col("total"), F.col("n")), F.try_divide(F.col("assessed"), F.col("paid")))
+    return found.select(
+        *groups, "n", "n_excluded", F.round("median", 6).alias("median_ratio"), F.when(enough, F.round(cod, 4)).alias("cod"),
         F.when(enough, F.round(prd, 4)).alias("prd"), "n_low", "n_high",
     )
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotlens.operators.order import MEDIAN, order_statistics
+
 REVIEWED = ["resolved", "closed"]
 #: The legal changes of a review's status.
 TRANSITIONS = [
@@ -58,12 +62,19 @@ def outcomes(cases: DataFrame, by: list[str], dispositions: list[str], false_pos
     Reviewed cases are resolved or closed with a disposition; ``distinct`` counts ids once.
     """
     rows = cases.where(F.col("status").isin(REVIEWED) & F.col("disposition").isNotNull())
-    count = (lambda cond: F.countDistinct(F.when(cond, F.col(distinct)))) if distinct else F.count_if
-    n = count(F.lit(True))
-    false = count(F.col("disposition") == false_positive)
-    return rows.groupBy(*by).agg(
-        n.alias("n"), false.alias("n_false"), F.round(false / n, 4).alias("false_rate"), F.round(F.median(F.col("score").cast("double")), 4).alias("median_score"),
-        *[count(F.col("disposition") == d).alias(f"n_{d}") for d in dispositions if d != false_positive],
+    kinds = [false_positive, *[d for d in dispositions if d != false_positive]]
+    if distinct is None:
+        one = lambda cond: F.when(cond, 1).otherwise(0)
+        sums = {"cases": F.lit(1)} | {f"n_{d}": one(F.col("disposition") == d) for d in kinds}
+        found = order_statistics(rows, by, "score", {"median": MEDIAN}, sums)
+    else:
+        count = lambda cond: F.countDistinct(F.when(cond, F.col(distinct)))
+        ids = rows.groupBy(*by).agg(count(F.lit(True)).alias("cases"), *[count(F.col("disposition") == d).alias(f"n_{d}") for d in kinds])
+        middle = order_statistics(rows, by, "score", {"median": MEDIAN}).select(*[F.col(c).alias(f"__{c}") for c in by], "median")
+        found = ids.join(middle, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]))
+    return found.select(
+        *by, F.col("cases").alias("n"), F.col(f"n_{false_positive}").alias("n_false"), F.round(F.col(f"n_{false_positive}") / F.col("cases"), 4).alias("false_rate"),
+        F.round("median", 4).alias("median_score"), *[f"n_{d}" for d in kinds[1:]],
     )
 
 

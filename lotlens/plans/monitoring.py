@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotlens.operators import alerts, monitor, pick, quality
+from lotlens.operators import alerts, monitor, order, pick, quality
+from lotlens.operators.order import nearest_rank, order_statistics
 from lotlens.runtime import table
 
 #: What the clock reads in these queries; the events end before it.
@@ -164,10 +165,10 @@ def load_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _runs(spark, sf_dir).where("user_id is not null")
     split = _now() - F.expr("interval 1 day")
     good = F.col("ok") & (F.col("at") <= split)
-    rows = runs.withColumn("past", F.when(good, F.col("seconds"))).groupBy("user_id").agg(
-        F.expr("percentile_disc(0.5) within group (order by past)").alias("baseline"), F.count("past").alias("history"),
-        F.round(F.avg(F.when(F.col("at") > split, F.col("seconds"))), 4).alias("value"), F.round(F.count_if(~F.col("ok")) / F.count("*"), 4).alias("failed"),
-    )
+    late = F.when(F.col("at") > split, F.col("seconds"))
+    sums = {"late": late, "n_late": F.when(late.isNotNull(), 1).otherwise(0), "bad": F.when(F.col("ok"), 0).otherwise(1), "all": F.lit(1)}
+    rows = order_statistics(runs.withColumn("past", F.when(good, F.col("seconds"))), ["user_id"], "past", {"baseline": nearest_rank(0.5)}, sums)
+    rows = rows.select("user_id", "baseline", F.col("n").alias("history"), F.round(F.try_divide(F.col("late"), F.col("n_late")), 4).alias("value"), F.round(F.col("bad") / F.col("all"), 4).alias("failed"))
     long = rows.select("user_id", "baseline", "history", F.expr("stack(3, 'duration', value, 'volume', value, 'failure_rate', failed) as (family, value)"))
     severity, reason = monitor.load_severity(F.col("family"), F.col("value"), F.col("baseline"), F.col("history"))
     return long.select("user_id", "family", "value", "baseline", severity.alias("severity"), reason.alias("reason"))
@@ -212,7 +213,7 @@ def asof_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly checks from the first event to now: passed if the last purchase is at most 24 hours old."""
     runs = _runs(spark, sf_dir)
     grid = runs.groupBy("profile").agg(F.min(F.date_trunc("hour", "at")).alias("a")).select("profile", F.explode(F.sequence(F.col("a"), _now(), F.expr("interval 1 hour"))).alias("at"))
-    seen = monitor.as_of(grid, runs.where("event_type = 'purchase'").select("profile", "at"), ["profile"], "at")
+    seen = order.as_of(grid, runs.where("event_type = 'purchase'").select("profile", "at"), ["profile"], "at")
     age = (F.unix_timestamp("at") - F.unix_timestamp("last_at")) / 3600.0
     return seen.select("profile", F.col("at").alias("check_at"), "last_at", F.coalesce(age <= 24, F.lit(False)).alias("passed"))
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotlens.operators import facts, monitor, review
+from lotlens.operators import facts, monitor, order, review
 from lotlens.sources import imports
 
 
@@ -30,4 +30,4 @@ def test_scopes(spark):
 def test_as_of_takes_the_latest_not_after(spark):
     checks = spark.createDataFrame([("p", 5), ("p", 1), ("q", 9)], "p string, at int")
     events = spark.createDataFrame([("p", 2), ("p", 5), ("p", 6)], "p string, at int")
-    assert sorted(map(repr, (tuple(r) for r in monitor.as_of(checks, events, ["p"], "at").collect()))) == ["('p', 1, None)", "('p', 5, 5)", "('q', 9, None)"]
+    assert sorted(map(repr, (tuple(r) for r in order.as_of(checks, events, ["p"], "at").collect()))) == ["('p', 1, None)", "('p', 5, 5)", "('q', 9, None)"]
