@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotlens.operators import facts, features, pick, ratio
+from lotlens.operators import facts, features, pick, ratio, wide
 from lotlens.plans.base import FACT, SALE, fact, sale
 from lotlens.runtime import table
 
@@ -127,11 +127,43 @@ def year_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.year_universe(fact(spark, sf_dir).select("parcel_id", "yr"), sale(spark, sf_dir).select("parcel_id", "yr"), events(spark, sf_dir).where("status is not null").select("parcel_id", "yr"))
 
 
+def fact_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six sources of the wide fact: lines by their number, parts as first summaries."""
+    line = table(spark, sf_dir, "lineitem")
+    cents, at = F.col("l_extendedprice").cast("decimal(14,2)"), F.when(F.col("l_suppkey") % 10 != 0, F.col("l_shipdate"))
+    money = lambda cond, less: F.when(cond, (cents - less).cast("decimal(14,2)"))
+    base = [F.col("l_partkey").alias("parcel_id"), F.year("l_shipdate").alias("year"), F.col("l_orderkey").alias("fetch_id"), at.alias("fetched_at"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")]
+    of = lambda *numbers: line.where(F.col("l_linenumber").isin(*numbers))
+    d, q, t = F.col("l_discount"), F.col("l_quantity"), F.col("l_tax")
+    text = lambda cond, c: F.when(cond, F.col(c).cast("string"))
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("parcel_id"), F.col("p_size").cast("long").alias("fetch_id"), F.lit(None).cast("timestamp").alias("fetched_at"), F.col("p_brand").alias("municipality_name"),
+        F.col("p_name").alias("parcel_description"), F.col("p_type").alias("owner_name"), F.lit(None).cast("string").alias("primary_address"), F.lit("x").alias("billing_address"),
+    )
+    later = of(2).where(q > 45).select(
+        base[0], base[2], base[3], text(F.lit(True), "l_returnflag").alias("municipality_name"), text(d > 0.03, "l_linestatus").alias("parcel_description"), text(t > 0.03, "l_returnflag").alias("owner_name"),
+        text(q > 47, "l_linestatus").alias("primary_address"), text(q > 48, "l_returnflag").alias("billing_address"),
+    )
+    assessments = of(1, 2, 3).select(
+        *base, F.when(F.col("l_returnflag") == "A", "detail").when(F.col("l_returnflag") == "N", "summary").when(d > 0.05, "valuation_breakout").alias("source"),
+        text(q > 10, "l_linestatus").alias("valuation_classification"), money(q > 20, 1).alias("assessment_acres"), money(d > 0.02, 2).alias("land_value"), money(t > 0.02, 3).alias("improved_value"),
+        money(d < 0.09, 0).alias("total_value"), money(q < 9, 4).alias("average_assessment_ratio"), money(t < 0.07, 5).alias("estimated_fair_market_value"), F.when(q > 25, F.to_date("l_shipdate")).alias("valuation_date"),
+    )
+    taxes = of(3, 4).select(
+        *base, F.when(t < 0.06, "summary").when(t < 0.07, "detail").alias("source"), money(q > 5, 0).alias("total_assessed_value"), money(q > 10, 1).alias("assessed_land_value"), money(q > 15, 2).alias("assessed_improvement_value"),
+        money(q > 20, 3).alias("taxes"), money(q > 25, 4).alias("specials"), money(q > 30, 5).alias("first_dollar_credit"), money(q > 35, 6).alias("lottery_credit"), money(q > 40, 7).alias("amount"),
+    )
+    payments = of(4, 5).select(*base, F.when(d > 0.09, "tax_detail_payments").when(d > 0.03, "summary").alias("source"), F.when(q > 5, F.to_date("l_shipdate")).alias("date"), money(t > 0.01, 0).alias("amount"), (q <= 2).alias("placeholder"))
+    status = F.when(q > 40, "applied").when(q > 30, "issued").when(q > 20, "finaled").when(q > 15, "unknown").when(q > 10, "odd")
+    permits = of(6).select(*base[:2], status.alias("status"), money(d > 0.05, 0).alias("declared"), money(t > 0.04, 0).alias("estimated"))
+    outcome = F.when(q > 40, "denied").when(q > 30, "reduction_granted").when(q > 20, "pending").when(q > 10, "unknown")
+    appeals = of(7).select(*base[:2], outcome.alias("outcome"), money(t < 0.06, 30000).alias("change"))
+    return {"summaries": part.unionByName(later), "assessments": assessments, "taxes": taxes, "payments": payments, "permits": permits, "appeals": appeals}
+
+
 def parcel_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide row: universe, value, permit and appeal roll-ups."""
-    keys = ["parcel_id", "yr"]
-    wide = facts.assemble(year_universe(spark, sf_dir), keys, fact=fact(spark, sf_dir), permit=permit_rollup(spark, sf_dir), appeal=appeal_rollup(spark, sf_dir))
-    return wide.select(*keys, "fact_v", "permit_event_count", "permit_declared_sum", "permit_A_count", "appeal_event_count", "appeal_change_total")
+    """The wide row of each part-year: summary, assessment, tax, payment, permit and appeal columns."""
+    return wide.parcel_year_facts(**fact_sources(spark, sf_dir))
 
 
 def permit_expected_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +234,77 @@ _APPEAL = """appeal as (
 
 _UNIVERSE = "universe as (select parcel_id, yr from fact union select parcel_id, yr from sale union select parcel_id, yr from ev where status is not null)"
 
+_MONEY = "case when {0} then c - {1} end"
+_SUMMARY_OUT = "municipality_name, parcel_description as current_parcel_description, owner_name as current_owner_name, primary_address as current_primary_address, billing_address as current_billing_address"
+
+
+def _list_of(text: str, *pairs: tuple) -> str:
+    return ", ".join(text.format(*p) for p in pairs)
+
+
+_WIDE = f"""with l as (
+  select l_partkey as parcel_id, year(l_shipdate) as year, l_orderkey as fetch_id, case when l_suppkey % 10 <> 0 then l_shipdate end as fetched_at, l_orderkey * 10 + l_linenumber as id, l_linenumber as k,
+         cast(l_extendedprice as decimal(14,2)) as c, l_discount as d, l_quantity as q, l_tax as t, l_returnflag as rf, l_linestatus as ls, cast(l_shipdate as date) as day from lineitem),
+s as (
+  select p_partkey as parcel_id, cast(p_size as bigint) as fetch_id, cast(null as timestamp) as fetched_at, p_brand as municipality_name, p_name as parcel_description, p_type as owner_name,
+         cast(null as varchar) as primary_address, 'x' as billing_address from part
+  union all select parcel_id, fetch_id, fetched_at, rf, case when d > 0.03 then ls end, case when t > 0.03 then rf end, case when q > 47 then ls end, case when q > 48 then rf end from l where k = 2 and q > 45),
+s1 as (
+  select parcel_id, fetch_id as parcel_summary_fetch_id, {_SUMMARY_OUT}
+  from (select *, row_number() over (partition by parcel_id order by coalesce(fetched_at, timestamp '0001-01-01') desc, fetch_id desc, municipality_name desc nulls last, parcel_description desc nulls last, owner_name desc nulls last) as n from s) where n = 1),
+a as (
+  select parcel_id, year, id, fetch_id, fetched_at, case when rf = 'A' then 'detail' when rf = 'N' then 'summary' when d > 0.05 then 'valuation_breakout' end as source,
+         case when q > 10 then ls end as valuation_classification, {_list_of(_MONEY + " as {2}", ("q > 20", 1, "acres"), ("d > 0.02", 2, "land_value"), ("t > 0.02", 3, "improved_value"), ("d < 0.09", 0, "total_value"), ("q < 9", 4, "average_assessment_ratio"), ("t < 0.07", 5, "estimated_fair_market_value"))},
+         case when q > 25 then day end as valuation_date from l where k in (1, 2, 3)),
+a1 as (
+  select * exclude (n, id, fetched_at, source) from (
+    select *, row_number() over (partition by parcel_id, year order by case source when 'detail' then 3 when 'summary' then 2 else 1 end desc,
+      {" + ".join(f"cast({f} is not null as int)" for f in ("valuation_classification", "acres", "land_value", "improved_value", "total_value", "average_assessment_ratio", "estimated_fair_market_value", "valuation_date"))} desc,
+      coalesce(fetched_at, timestamp '0001-01-01') desc, fetch_id desc, id desc) as n from a where source is distinct from 'valuation_breakout') where n = 1),
+t as (
+  select parcel_id, year, id, fetch_id, fetched_at, case when t < 0.06 then 'summary' when t < 0.07 then 'detail' end as source,
+         {_list_of(_MONEY + " as {2}", ("q > 5", 0, "total_assessed_value"), ("q > 10", 1, "assessed_land_value"), ("q > 15", 2, "assessed_improvement_value"), ("q > 20", 3, "taxes"), ("q > 25", 4, "specials"), ("q > 30", 5, "first_dollar_credit"), ("q > 35", 6, "lottery_credit"), ("q > 40", 7, "amount"))}
+  from l where k in (3, 4)),
+t1 as (
+  select * exclude (n, id, fetched_at, source) from (
+    select *, row_number() over (partition by parcel_id, year order by {" + ".join(f"cast({f} is not null as int)" for f in wide.TAX_FIELDS)} desc, coalesce(fetched_at, timestamp '0001-01-01') desc, fetch_id desc, id desc) as n
+    from t where source = 'summary') where n = 1),
+p as (
+  select parcel_id, year, fetch_id, fetched_at, case when q > 5 then day end as date, case when t > 0.01 then c end as amount, q <= 2 as placeholder from l where k in (4, 5) and d <= 0.09),
+pf as (
+  select parcel_id, year, fetch_id, max(coalesce(fetched_at, timestamp '0001-01-01')) as at_, count(*) filter (where date is not null and amount is not null) as n_paid, sum(amount) filter (where date is not null) as paid,
+         min(date) filter (where amount is not null) as first_paid, max(date) filter (where amount is not null) as last_paid, bool_or(placeholder) as placeholder from p group by all),
+p1 as (
+  select parcel_id, year, fetch_id as payment_fetch_id, n_paid as payment_event_count, case when n_paid > 0 then paid end as payment_total_amount, first_paid as payment_first_date, last_paid as payment_last_date,
+         placeholder as payment_has_placeholder_row from (
+    select *, row_number() over (partition by parcel_id, year order by n_paid desc, at_ desc, fetch_id desc) as n from pf where n_paid > 0 or placeholder) where n = 1),
+m as (
+  select parcel_id, year, case when q > 40 then 'applied' when q > 30 then 'issued' when q > 20 then 'finaled' when q > 15 then 'unknown' when q > 10 then 'odd' end as status, case when d > 0.05 then c end as declared,
+         case when t > 0.04 then c end as estimated from l where k = 6),
+m1 as (
+  select parcel_id, year, count(*) as permit_event_count, count(declared) as permit_declared_valuation_known_count, sum(declared) as permit_declared_valuation_sum, count(estimated) as permit_estimated_cost_known_count,
+         sum(estimated) as permit_estimated_cost_sum, {_list_of("case when count(status) > 0 then count(*) filter (where status = '{0}') end as permit_status_{0}_count", *((s,) for s in wide.PERMIT_STATUSES))} from m group by all),
+e as (
+  select parcel_id, year, case when q > 40 then 'denied' when q > 30 then 'reduction_granted' when q > 20 then 'pending' when q > 10 then 'unknown' end as outcome, case when t < 0.06 then c - 30000 end as change from l where k = 7),
+e1 as (
+  select parcel_id, year, count(*) as appeal_event_count,
+         {_list_of("case when count(*) filter (where outcome in ('denied', 'reduction_granted', 'pending')) > 0 then count(*) filter (where outcome = '{0}') end as appeal_{0}_count", *((o,) for o in wide.APPEAL_OUTCOMES))},
+         count(*) filter (where outcome is null or outcome = 'unknown') as appeal_unknown_outcome_count, count(change) as appeal_value_change_known_count, sum(change) as appeal_value_change_total,
+         case when count(change) > 0 then coalesce(sum(change) filter (where change < 0), 0) end as appeal_value_change_reduction_total,
+         case when count(change) > 0 then coalesce(sum(change) filter (where change > 0), 0) end as appeal_value_change_increase_total from e group by all),
+u as (
+  select parcel_id, year from a union select parcel_id, year from t union select parcel_id, year from l where k in (4, 5) union select parcel_id, year from m union select parcel_id, year from e),
+r as (
+  select u.parcel_id, u.year, nullif(sum(case when m.year >= u.year - 1 then 1 else 0 end), 0) as r1, nullif(count(m.year), 0) as r2
+  from u left join m on m.parcel_id = u.parcel_id and m.year between u.year - 2 and u.year group by all)
+select u.parcel_id, u.year, s1.* exclude (parcel_id), a1.fetch_id as assessment_fetch_id, t1.fetch_id as tax_fetch_id,
+       valuation_classification as assessment_valuation_classification, acres as assessment_acres, {_list_of("{0} as assessment_{0}", ("land_value",), ("improved_value",), ("total_value",), ("average_assessment_ratio",), ("estimated_fair_market_value",), ("valuation_date",))},
+       {_list_of("{0} as tax_{0}", *((f,) for f in wide.TAX_FIELDS))}, p1.* exclude (parcel_id, year), m1.* exclude (parcel_id, year), cast(r1 as bigint) as permit_recent_1y_count, r2 as permit_recent_2y_count,
+       case when r1 > 0 then true end as permit_has_recent_1y, case when r2 > 0 then true end as permit_has_recent_2y, e1.* exclude (parcel_id, year)
+from u left join s1 on s1.parcel_id = u.parcel_id left join a1 on a1.parcel_id = u.parcel_id and a1.year = u.year left join t1 on t1.parcel_id = u.parcel_id and t1.year = u.year
+left join p1 on p1.parcel_id = u.parcel_id and p1.year = u.year left join m1 on m1.parcel_id = u.parcel_id and m1.year = u.year left join e1 on e1.parcel_id = u.parcel_id and e1.year = u.year
+join r on r.parcel_id = u.parcel_id and r.year = u.year"""
+
 QUERIES = {f.__name__: f for f in (
     sales_ratio_study, study_skips, study_years_without_sales, insufficient_groups, selected_sale, peer_percentile, yoy_change, permit_rollup, appeal_rollup,
     payment_rollup, recent_permits, appeal_window_3y, best_record, latest_summary, year_universe, parcel_year_facts, permit_expected_change, lineage_reset,
@@ -256,10 +359,7 @@ select parcel_id, yr, source, complete, l_orderkey, l_linenumber from (
     "latest_summary": f"""with {_EVENTS} select parcel_id, seen_at, l_orderkey, l_linenumber from (
   select *, row_number() over (partition by parcel_id order by seen_at desc, l_orderkey desc, l_linenumber desc) as n from ev) where n = 1""",
     "year_universe": f"with {FACT}, {SALE}, {_EVENTS}, {_UNIVERSE} select * from universe",
-    "parcel_year_facts": f"""with {FACT}, {SALE}, {_EVENTS}, {_UNIVERSE}, {_PERMIT}, {_APPEAL}
-select u.parcel_id, u.yr, f.v as fact_v, p.event_count as permit_event_count, p.declared_sum as permit_declared_sum, p.A_count as permit_A_count,
-       a.event_count as appeal_event_count, a.change_total as appeal_change_total
-from universe u left join fact f using (parcel_id, yr) left join permit p using (parcel_id, yr) left join appeal a using (parcel_id, yr)""",
+    "parcel_year_facts": _WIDE,
     "permit_expected_change": f"""with {FACT}, {_EVENTS}, {_PERMIT},
 j as (
   select f.parcel_id, f.yr, cast(f.v as double) as v, cast(b.v as double) as prior, coalesce(event_count, 0) as n, coalesce(declared_known, 0) as dn, coalesce(estimated_known, 0) as en,
