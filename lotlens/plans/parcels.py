@@ -208,13 +208,6 @@ def parcel_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.key_scope(fact(spark, sf_dir), sale(spark, sf_dir).where("st = 'P'"), "parcel_id").select("parcel_id", "yr", "v")
 
 
-def scoped_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts whose years from 1996 on are built anew, without even parcels."""
-    rows = fact(spark, sf_dir).select("parcel_id", "yr", "v")
-    new = rows.where("yr >= 1996 and parcel_id % 2 = 1").withColumn("v", (F.col("v") + 1).cast(rows.schema["v"].dataType))
-    return facts.replace_scope(rows, new, F.col("yr") >= 1996)
-
-
 def resolved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders name a part by its number, directly or formatted; some numbers are ambiguous, some ids are known."""
     p = table(spark, sf_dir, "part")
@@ -239,7 +232,7 @@ def feature_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     fetch_parse_checks, exempt_checks, payment_checks, profile_snapshot, field_presence, run_failures, dossier_match, sale_signals, area_signals, peer_context, characteristics,
-    best_characteristics, latest_lineage, parcel_scope, scoped_replace, resolved_events, parse_outcomes, feature_flags,
+    best_characteristics, latest_lineage, parcel_scope, resolved_events, parse_outcomes, feature_flags,
 )}
 
 SQL = {
@@ -296,7 +289,6 @@ from fact a left join fact b on b.parcel_id = a.parcel_id and b.yr = a.yr - 1"""
   select o_custkey as parcel_id, l_partkey as related, o_orderpriority as kind, o_orderkey, row_number() over (partition by o_custkey, l_partkey, o_orderpriority order by o_orderdate desc, o_orderkey desc) as n
   from orders join lineitem on l_orderkey = o_orderkey) where n = 1""",
     "parcel_scope": f"with {FACT}, {SALE} select parcel_id, yr, v from fact where parcel_id in (select parcel_id from sale where st = 'P')",
-    "scoped_replace": f"with {FACT} select parcel_id, yr, case when yr >= 1996 then v + 1 else v end as v from fact where yr < 1996 or parcel_id % 2 = 1",
     "resolved_events": """with d as (select p_partkey // 2 as num, count(distinct p_partkey) as n, min(p_partkey) as id from part where p_partkey % 3 <> 0 group by all),
 f as (select p_partkey + 1 as num, count(distinct p_partkey) as n, min(p_partkey) as id from part group by all)
 select o_orderkey, case when o_orderstatus = 'P' then o_custkey when d.n = 1 then d.id when d.n is null and f.n = 1 then f.id end as resolved

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +10,9 @@ from lotlens.functions import text as T
 from lotlens.operators import dossier, match, review
 from lotlens.plans import scoring
 from lotlens.plans.base import FACT, SALE, fact, sale
-from lotlens.runtime import shared_folder, table
+from lotlens.runtime import scratch, table
 from lotlens.sources import imports, pages
+from lotlens.sources.tables import KeyedTable
 
 
 def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +196,7 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_folder(spark: SparkSession, rows: DataFrame, name: str) -> str:
-    folder = f"{shared_folder(spark)}/csv-{name}-{uuid.uuid4().hex}"
+    folder = scratch(spark, f"csv-{name}")
     rows.write.option("header", True).csv(folder)
     return folder
 
@@ -245,17 +244,19 @@ def csv_import_appeals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files imported twice: as many rows as once, each key once."""
-    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "MM/dd/yyyy").alias("Sale Date"), F.col("o_totalprice").cast("string").alias("Sale Price"), F.col("o_orderkey").cast("string").alias("PIN"))
-    folder = _csv_folder(spark, o, "upsert")
-    once = imports.import_sales(spark, folder)
-    both = imports.upsert(once, imports.import_sales(spark, folder))
-    return both.groupBy("import_status").agg(F.count("*").alias("n"), F.countDistinct("sha256", "row_number").alias("n_keys"))
+    """Sales files imported, and imported again, into one table: the second time updates each row and inserts none."""
+    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "MM/dd/yyyy").alias("Sale Date"), F.col("o_totalprice").cast("decimal(14,2)").cast("string").alias("Sale Price"), F.col("o_orderkey").cast("string").alias("PIN"))
+    rows = imports.import_sales(spark, _csv_folder(spark, o, "upsert")).select("sha256", "row_number", "parcel_number_norm", "consideration", "import_status")
+    target = KeyedTable(spark, scratch(spark, "sales"), ["sha256", "row_number"], buckets=8)
+    target.upsert(rows)
+    counts = target.upsert(rows).counts
+    found = target.read().select(F.col("parcel_number_norm").cast("long").alias("o_orderkey"), F.col("consideration").cast("double").alias("price"), "import_status")
+    return found.withColumns({k: F.lit(n).cast("long") for k, n in counts.items()})
 
 
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event settings written as JSON artifacts and read back with a schema and the path they came from."""
-    folder = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    folder = scratch(spark, "json")
     table(spark, sf_dir, "events").select("event_type", "user_id", F.struct(F.get_json_object("props", "$.k").cast("long").alias("k")).alias("settings")).write.partitionBy("event_type").json(folder)
     read = spark.read.schema("user_id long, settings struct<k: long>, _corrupt_record string").option("mode", "PERMISSIVE").json(folder + "/*")
     rows = read.withColumn("kind", F.regexp_extract(F.input_file_name(), "event_type=([a-z]+)", 1))
@@ -376,6 +377,6 @@ union all select 'warning', name, count(*) from w group by all""",
     "csv_import_appeals": """with a as (select *, cast(cast(o_totalprice as decimal(14,2)) as double) - 100000 as change from orders)
 select o_orderkey, 'loaded' as import_status, case o_orderstatus when 'F' then 'denied' when 'O' then 'partial_reduction' end as outcome_norm, year(o_orderdate) as tax_year, change,
        case when o_orderstatus = 'O' and change > 0 then 'increase_with_reduction_outcome' else '' end as warnings from a""",
-    "upsert_import": "select 'loaded' as import_status, count(*) as n, count(*) as n_keys from orders",
+    "upsert_import": "select o_orderkey, round(o_totalprice, 2) as price, 'loaded' as import_status, 0::bigint as inserted, (select count(*) from orders) as updated from orders",
     "json_scan": "select event_type as kind, count(*) as n, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as k from events group by all",
 }

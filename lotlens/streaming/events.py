@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lotlens.sources.imports import upsert
+from lotlens.sources.tables import KeyedTable
 
 
 def sli_windows(events: DataFrame, by: list[str], at: str, passed: str, key: str, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -22,35 +22,30 @@ def sli_windows(events: DataFrame, by: list[str], at: str, passed: str, key: str
     return windows.select(*by, F.col("w.start").alias("start"), "n_passed", "n")
 
 
-def import_stream(
-    spark: SparkSession, folder: str, target: str, checkpoint: str, parse: Callable[[SparkSession, list[str]], DataFrame], pattern: str = "*.csv"
-) -> StreamingQuery:
-    """Files dropped into a folder are imported once each; rows of a file that was imported before replace themselves.
+def into_table(rows: DataFrame, target: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Add a stream's finished rows to a keyed table, each batch as one version.
 
-    The table is written as numbered versions below ``target``, so that a batch that is repeated after a failure writes
-    the same version again.  Only the files of the batch are parsed.
+    A version is marked with its batch, so a batch that is repeated after a failure is not added twice, and a query that
+    is stopped goes on from its checkpoint.  Takes what is there, then ends.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            target.upsert(batch, token=f"batch {number}")
+
+    return rows.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def import_stream(spark: SparkSession, folder: str, target: KeyedTable, checkpoint: str, parse: Callable[[SparkSession, list[str]], DataFrame], pattern: str = "*.csv") -> StreamingQuery:
+    """Files dropped into a folder are imported once each; a row takes the place of that with its key, from whichever file.
+
+    Only the files of a batch are parsed, and only the buckets of their keys are written again.
     """
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", pattern).load(folder)
 
-    def write(batch: DataFrame, version: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         paths = [r["path"] for r in batch.select("path").collect()]  # names of the files of one batch
-        if not paths:
-            return
-        session = batch.sparkSession
-        new = parse(session, paths)
-        old = latest(session, target, version)
-        (new if old is None else upsert(old, new)).write.mode("overwrite").parquet(f"{target}/version={version}")
+        if paths:
+            target.upsert(parse(batch.sparkSession, paths), token=f"batch {number}")
 
     return files.select("path").writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def latest(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a table of import_stream (older than ``before``), or None."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    versions = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
-    versions = [v for v in versions if before is None or v < before]
-    return spark.read.parquet(f"{target}/version={max(versions)}") if versions else None

@@ -3,7 +3,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotlens.sources import imports
-from lotlens.streaming.events import import_stream, latest, sli_windows
+from lotlens.sources.tables import KeyedTable
+from lotlens.streaming.events import import_stream, into_table, sli_windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,12 +28,32 @@ def test_windows_equal_batch(spark, tmp_path):
 def test_dropped_files_are_imported_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     parse = lambda s, paths: imports.import_sales(s, paths)
-    run = lambda: import_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), parse).awaitTermination()
+    target = KeyedTable(spark, f"file://{tmp_path}/out", ["sha256", "row_number"], buckets=4)
+    run = lambda: import_stream(spark, str(tmp_path / "in"), target, str(tmp_path / "check"), parse).awaitTermination()
     head = "Sale Date,Sale Price,PIN\n"
     (tmp_path / "in" / "a.csv").write_text(head + "1/2/2024,5,1\n1/2/2024,x,1\n")
     run()
     (tmp_path / "in" / "b.csv").write_text(head + "1/2/2024,6,2\n")
     (tmp_path / "in" / "again.csv").write_text(head + "1/2/2024,5,1\n1/2/2024,x,1\n")
     run()
-    got = latest(spark, str(tmp_path / "out"))
-    assert sorted((r["import_status"], r["parcel_number_norm"]) for r in got.collect()) == [("loaded", "1"), ("loaded", "2"), ("rejected", "1")]
+    run()
+    got = target.read()
+    assert target.versions() == [1, 2] and sorted((r["import_status"], r["parcel_number_norm"]) for r in got.collect()) == [("loaded", "1"), ("loaded", "2"), ("rejected", "1")]
+
+
+def test_a_stopped_stream_goes_on_and_drops_late_rows(spark, tmp_path):
+    """Three runs over growing input: windows come once, closed, whatever was repeated; rows behind the watermark are dropped."""
+    target = KeyedTable(spark, f"file://{tmp_path}/windows", ["g", "start"], buckets=2)
+    schema = "id long, g string, at timestamp, ok boolean"
+
+    def run(rows):
+        spark.createDataFrame(rows, "id long, g string, at string, ok boolean").withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        into_table(sli_windows(stream, ["g"], "at", "ok", "id", window="1 hour", late="1 hour"), target, str(tmp_path / "check")).awaitTermination()
+
+    run([(1, "a", "2024-01-01 00:10:00", True), (2, "a", "2024-01-01 00:20:00", False), (1, "a", "2024-01-01 00:10:00", True), (3, "a", "2024-01-01 03:30:00", True)])
+    assert [(r.start.hour, r.n_passed, r.n) for r in target.read().collect()] == [(0, 1, 2)]
+    run([(3, "a", "2024-01-01 03:30:00", True), (4, "a", "2024-01-01 00:30:00", True), (5, "a", "2024-01-01 03:40:00", True)])  # 4 comes too late
+    assert [(r.start.hour, r.n) for r in target.read().collect()] == [(0, 2)]
+    run([(6, "a", "2024-01-01 06:00:00", True)])
+    assert sorted((r.start.hour, r.n) for r in target.read().collect()) == [(0, 2), (3, 2)]
