@@ -21,6 +21,8 @@ from lotlens.runtime import cut
 MAX_TRAIN_DOCS = 20_000
 #: Documents of each language that it learns from at least, if there are so many, about.
 MIN_TRAIN_DOCS = 500
+#: Values of the language column that are learned at most, those with the most documents: a bound of the filter's width.
+MAX_LANGUAGES = 256
 #: Share of a language's n-grams that one must reach; no language can then have more than 1 / MIN_RATE of them.
 MIN_RATE = 1e-5
 GRAM = 4
@@ -128,24 +130,24 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> LanguageFilter:
     """A filter from rows with known languages: about ``max_docs`` of them, chosen by a hash of the id, whole texts.
 
-    A language has the share of the rows that it has in all, but about MIN_TRAIN_DOCS rows (or all) if that is less.  Rows whose text or language is null teach nothing.  A language keeps the n-grams with a share of MIN_RATE or more that
+    A language has the share of the rows that it has in all, but about MIN_TRAIN_DOCS rows (or all) if that is less.  Rows whose text or language is null teach nothing, and
+    of more than MAX_LANGUAGES values those with the fewest rows are not learned.  A language keeps the n-grams with a share of MIN_RATE or more that
     are not much more frequent elsewhere, so the model is bounded whatever the corpus.
     """
     rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    docs_in = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    n = sum(docs_in.values())
+    per_lang = rows.groupBy("lang").count()
+    n = per_lang.agg(F.sum("count")).first()[0] or 0
+    docs_in = {r["lang"]: r["count"] for r in per_lang.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    share = max_docs / n if n else 1.0
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame([(name, min(1 << 30, max(int(share * (1 << 30)), -(-(MIN_TRAIN_DOCS << 30) // own)))) for name, own in docs_in.items()], "lang string, most long")
+    rows = rows.join(F.broadcast(shares), "lang")  # MAX_LANGUAGES rows at most
     if n > max_docs:
-        most = F.lit(int(max_docs / n * (1 << 30)))
-        for name, own in docs_in.items():
-            if own * max_docs < MIN_TRAIN_DOCS * n:
-                most = F.when(F.col("lang") == name, min(1 << 30, -(-(MIN_TRAIN_DOCS << 30) // own))).otherwise(most)
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < most)
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("most"))
     counts = cut(rows.select("text", "lang").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    rate = F.lit(0.0)
-    for name, n in total.items():
-        rate = F.when(F.col("lang") == name, F.col("n") / n).otherwise(rate)
-    rated = counts.withColumn("rate", rate).withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
+    totals = spark.createDataFrame(list(total.items()), "lang string, total long")
+    rated = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total")).withColumn("best", F.max("rate").over(Window.partitionBy("gram")))
     kept = rated.where((F.col("rate") >= NEAR_BEST * F.col("best")) & (F.col("rate") >= MIN_RATE) & (F.col("n") >= 2))
     found = kept.select("lang", "gram").toArrow()  # 1 / MIN_RATE rows a language at most
     langs, gram = np.array(found["lang"].to_pylist(), object), found["gram"].to_numpy().astype(np.uint64)
@@ -181,8 +183,8 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
     with score 0, or ``und`` if nothing was learned.  Rows and other columns stay as they are.
     """
     own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    found = docs.select(*[F.col(f"`{c}`") for c in own], verdict(model, docs, F.col(text)).alias("__lang"))
-    return found.select(*[F.col(f"`{c}`") for c in own], F.col("__lang.lang").alias("lang_pred"), F.col("__lang.score").alias("score"))
+    found = docs.select(*[F.col(f"`{c}`") for c in own], verdict(model, docs, F.col(text)).alias("lang_pred"))  # ``own`` has no such column
+    return found.select(*[F.col(f"`{c}`") for c in own], F.col("lang_pred.lang").alias("lang_pred"), F.col("lang_pred.score").alias("score"))
 
 
 def keep_known(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
@@ -190,5 +192,6 @@ def keep_known(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Da
 
     A text with letters but no known n-gram stays, as what it holds may only be missing from what was learned.
     """
-    found = docs.withColumn("__lang", verdict(model, docs, F.col(text)))
-    return found.where(F.col("__lang.lang") != UNKNOWN).drop("__lang")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # columns may have any names
+    found = docs.select(row.alias("row"), verdict(model, docs, F.col(text)).alias("found"))
+    return found.where(F.col("found.lang") != UNKNOWN).select("row.*")

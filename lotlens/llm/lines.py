@@ -30,39 +30,48 @@ _SPACE = b" \t\n\x0b\x0c\r"
 _NONE = np.iinfo(np.int64).min
 
 
+#: From this level on a key's second hash counts too: keys that are equal in the first one part there.
+_SECOND_LEVEL, _MOST_LEVELS = 8, 200
+
+
 class PerfectHash:
-    """Minimal perfect hash of distinct 64-bit keys: levels of bit arrays, each key marked at the first level where it is alone.
+    """Minimal perfect hash of distinct pairs of 64-bit keys: levels of bit arrays, each key marked at the first level where it is alone.
 
-    ``words`` are the bits of all levels in 64-bit words, ``ranks`` the marked bits before each word.
+    ``words`` are the bits of all levels in 64-bit words, ``ranks`` the marked bits before each word.  Few keys are left
+    when the second key begins to count, so it is rarely looked at.
     """
 
     def __init__(self, sizes: list[int], words: np.ndarray, ranks: np.ndarray):
         self.sizes, self.words, self.ranks = sizes, words, ranks
 
     @classmethod
-    def of(cls, keys: np.ndarray) -> PerfectHash:
-        sizes, words, left = [], [np.empty(0, np.uint64)], keys
+    def of(cls, keys: np.ndarray, second: np.ndarray) -> PerfectHash:
+        sizes, words, left, more = [], [np.empty(0, np.uint64)], keys, second
         while len(left):
+            if len(sizes) == _MOST_LEVELS:
+                raise ValueError("keys repeat")
             size = max(64, -(-2 * len(left) // 64) * 64)
-            at = cls._place(left, len(sizes), size)
+            at = cls._place(left, more, len(sizes), size)
             alone = np.bincount(at, minlength=size) == 1
             sizes.append(size)
             words.append(np.packbits(alone, bitorder="little").view("<u8"))
-            left = left[~alone[at]]
+            left, more = left[~alone[at]], more[~alone[at]]
         bits = np.concatenate(words)
         ranks = np.cumsum(np.bitwise_count(bits), dtype=np.int32) - np.bitwise_count(bits).astype(np.int32)
         return cls(sizes, bits, ranks)
 
     @staticmethod
-    def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (mix(keys + np.uint64(0x9E3779B97F4A7C15 * (level + 1) & (2**64 - 1))) % np.uint64(size)).astype(np.int64)
+    def _place(keys: np.ndarray, second: np.ndarray, level: int, size: int) -> np.ndarray:
+        step = np.uint64(0x9E3779B97F4A7C15 * (level + 1) & (2**64 - 1))
+        own = keys + step if level < _SECOND_LEVEL else keys ^ mix(second + step)
+        return (mix(own) % np.uint64(size)).astype(np.int64)
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
+    def __call__(self, keys: np.ndarray, second: np.ndarray) -> np.ndarray:
         """The slot of each key; for what is no key, some slot or -1."""
         slot = np.full(len(keys), -1, np.int64)
         left, before = np.arange(len(keys)), 0
         for level, size in enumerate(self.sizes):
-            at = before + self._place(keys[left], level, size)
+            at = before + self._place(keys[left], second[left], level, size)
             word, bit = self.words[at >> 6], (at & 63).astype(np.uint64)
             hit = (word >> bit) & np.uint64(1) == 1
             below = np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
@@ -79,8 +88,8 @@ class Shard:
 
     @classmethod
     def of(cls, h1: np.ndarray, h2: np.ndarray, count: np.ndarray, keep: np.ndarray) -> Shard:
-        index = PerfectHash.of(h1)
-        order = np.argsort(index(h1))
+        index = PerfectHash.of(h1, h2)
+        order = np.argsort(index(h1, h2))
         return cls(index, h2[order], np.minimum(count, 2**31 - 1).astype(np.int32)[order], keep[order])
 
     def pack(self) -> bytes:
@@ -102,7 +111,7 @@ class Shard:
 
     def drops(self, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
         """Whether the line with these hashes goes from document ``doc``."""
-        slot = self.hash(h1)
+        slot = self.hash(h1, h2)
         known = slot >= 0
         known[known] = (self.mark[slot[known]] == h2[known]) & (self.count[slot[known]] >= least)
         known[known] = self.keep[slot[known]] != doc[known]
@@ -221,13 +230,18 @@ def dedup_lines(
         tidy()
         return pa.concat_arrays(out)
 
-    return _replaced(docs, rid(F.col(text), F.col(doc_id).cast("long")), text)
+    return _replaced(docs.select(_row(docs), rid(F.col(text), F.col(doc_id).cast("long")).alias("rid")), text)
+
+
+def _row(docs: DataFrame) -> Column:
+    """All columns as one, so that they may have any names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
-def _replaced(docs: DataFrame, result: Column, text: str) -> DataFrame:
-    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    part = docs.withColumn("__rid", result)
-    return part.select(*[F.col("__rid.text").alias(text) if c == text else F.col(f"`{c}`") for c in own], "__rid.n_lines", "__rid.n_dropped")
+def _replaced(found: DataFrame, text: str) -> DataFrame:
+    """The columns of ``row`` with the text and the counts of ``rid``."""
+    own = [c for c in found.schema["row"].dataType.names if c not in ("n_lines", "n_dropped")]
+    return found.select(*[F.col("rid.text").alias(text) if c == text else F.col("row").getField(c).alias(c) for c in own], "rid.n_lines", "rid.n_dropped")
 
 
 def _probe(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -267,9 +281,10 @@ def _at_shards(docs: DataFrame, built: DataFrame, n_shards: int, text: str, doc_
             out.append(_kept(lines, masks))
         return pa.concat_arrays(out)
 
-    keyed = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
+    keyed = cut(docs.select(_row(docs), F.monotonically_increasing_id().alias("at")))
+    body, own_id = F.col("row").getField(text), F.col("row").getField(doc_id)
     copies = built.select("shard", F.ceil(F.col("lines") / PROBES).cast("long").alias("copies"))  # one short row a shard
-    lines = keyed.select(F.col("__row").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("doc"), F.explode(spots(F.col(text))).alias("s"))
+    lines = keyed.select(F.col("at").alias("row"), F.coalesce(own_id.cast("long"), F.lit(_NONE)).alias("doc"), F.explode(spots(body)).alias("s"))
     lines = lines.select("row", "doc", "s.*", F.pmod("s.h1", F.lit(n_shards)).alias("shard")).join(F.broadcast(copies), "shard")
     lines = lines.select("shard", F.pmod(F.xxhash64("row", "pos"), F.col("copies")).alias("copy"), F.lit(1).alias("turn"), F.lit(None).cast("binary").alias("arrays"), "h1", "h2", "doc", "row", "pos")
     zero = F.lit(0).cast("long")
@@ -277,6 +292,5 @@ def _at_shards(docs: DataFrame, built: DataFrame, n_shards: int, text: str, doc_
     sent = built.select("shard", every.alias("copy"), F.lit(0).alias("turn"), "arrays", *[zero.alias(c) for c in ("h1", "h2", "doc", "row", "pos")])
     met = lines.unionByName(sent).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "turn")
     gone = met.mapInArrow(lambda it: _probe(it, min_docs), "row long, pos long")
-    gone = gone.groupBy(F.col("row").alias("__row")).agg(F.collect_list("pos").alias("__gone"))
-    both = keyed.join(gone, "__row", "left")
-    return _replaced(both, rid(F.col(text), F.col("__gone")), text).drop("__row", "__gone")
+    gone = gone.groupBy(F.col("row").alias("at")).agg(F.collect_list("pos").alias("gone"))
+    return _replaced(keyed.join(gone, "at", "left").select("row", rid(body, F.col("gone")).alias("rid")), text)

@@ -111,7 +111,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, text: str
     if n > most:
         own = own.where(F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1 << 30)) < int(most / n * (1 << 30)))
     own = F.broadcast(own)  # about ``most`` rows of two numbers
-    return docs.join(own, docs[doc_id] == own["__id"]).select(F.col(text).alias("text"), "label", *more)
+    wanted = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"), F.struct(*[F.col(c).alias(c) for c in more] or [F.lit(0).alias("none")]).alias("__more"))
+    return wanted.join(own, F.col("__doc") == F.col("__id")).select(F.col("__text").alias("text"), "label", *[F.col("__more").getField(c).alias(c) for c in more])
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> QualityModel:

@@ -68,12 +68,26 @@ def test_packed_shards():
 def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64)
     keys = np.unique(keys)
-    h = lines.PerfectHash.of(keys)
-    assert sorted(h(keys).tolist()) == list(range(len(keys)))
-    other = h(keys + np.uint64(1))
+    second = keys[::-1].copy()
+    h = lines.PerfectHash.of(keys, second)
+    assert sorted(h(keys, second).tolist()) == list(range(len(keys)))
+    other = h(keys + np.uint64(1), second)
     assert ((other >= -1) & (other < max(1, len(keys)))).all()
 
 
+@pytest.mark.parametrize("n", [2, 3, 400])
+def test_equal_first_hashes_part_by_the_second(n):
+    """Keys whose first hashes collide still get slots of their own; a pair that repeats is an error, not an endless loop."""
+    h1 = np.r_[np.full(n, 5, np.uint64), np.arange(100, 200, dtype=np.uint64)]
+    h2 = np.arange(len(h1), dtype=np.uint64)
+    keep, count = np.arange(len(h1)), np.full(len(h1), 7)
+    shard = lines.Shard.unpack(lines.Shard.of(h1, h2, count, keep).pack())
+    assert not shard.drops(h1, h2, keep, 5).any() and shard.drops(h1, h2, keep + 1, 5).all()
+    assert not shard.drops(h1, h2 + np.uint64(10_000), keep, 5).any()
+    with pytest.raises(ValueError):
+        lines.PerfectHash.of(np.array([5, 5, 9], np.uint64), np.array([1, 1, 1], np.uint64))
+
+
 def test_documents_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
