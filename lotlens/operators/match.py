@@ -11,26 +11,37 @@ from lotlens.functions.parsing import price_gap_flag
 from lotlens.operators.pick import best_row
 
 
-def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, float, Column, Column]], accept: float = 0.85) -> DataFrame:
+# The tiers of matching sales to parcels and what a match of each is worth; below ACCEPT a match needs review.
+TIERS = {"exact_parcel_number": 1.0, "parcel_number_crosswalk": 0.95, "normalized_address": 0.9, "normalized_legal_description": 0.8}
+ACCEPT = 0.85
+
+
+def _long(df: DataFrame, row_id: str, keys: list[Column]) -> DataFrame:
+    """(row_id, level, key) for each key that is known."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("level"), c.cast("string").alias("key")) for k, c in enumerate(keys)])
+    return df.select(row_id, F.explode(pairs).alias("p")).select(row_id, "p.level", "p.key").where("key is not null")
+
+
+def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, float, Column, Column]], accept: float = ACCEPT) -> DataFrame:
     """All candidates of the first tier that hits: left id, right id, method, confidence, match_rank, is_primary, review_status.
 
     tiers: (method, confidence, key of left rows, key of right rows).  A single candidate with confidence >= accept is
-    primary and auto_accepted; others need review.  Null keys never match.  Tiers are equi-joins; a tier takes only the
-    left rows that no earlier tier has matched.
+    primary and auto_accepted; others need review.  Null keys never match; left ids are distinct.  All tiers are one join
+    on (tier, key): first with the distinct keys of the right side, from which each left row keeps its first tier, then
+    with the candidates of that one key, ranked once for all left rows that share it.
     """
-    hits, open_rows = [], left
-    for method, confidence, a, b in tiers:
-        l = open_rows.select(left_id, a.alias("__key")).where("__key is not null")  # noqa: E741
-        r = right.select(right_id, b.alias("__key")).where("__key is not null").distinct()
-        hits.append(l.join(r, "__key").select(left_id, right_id, F.lit(method).alias("method"), F.lit(confidence).cast("double").alias("confidence")))
-        settled = l.join(r.select("__key").distinct(), "__key", "left_semi").select(left_id).distinct()
-        open_rows = open_rows.join(settled, left_id, "left_anti")
-    every = reduce(DataFrame.unionByName, hits).distinct()
-    by = Window.partitionBy(left_id)
-    ranked = every.withColumns({"match_rank": F.row_number().over(by.orderBy(right_id)), "__n": F.count("*").over(by)})
-    sure = (F.col("__n") == 1) & (F.col("confidence") >= accept)
+    methods = F.array(*[F.lit(t[0]) for t in tiers])
+    worth = F.array(*[F.lit(float(t[1])) for t in tiers])
+    theirs = _long(right, right_id, [t[3] for t in tiers]).distinct()
+    of_key = Window.partitionBy("level", "key")
+    theirs = theirs.withColumns({"match_rank": F.row_number().over(of_key.orderBy(right_id)), "__n": F.count("*").over(of_key)})
+    known = theirs.where("match_rank = 1").select("level", "key")
+    first = _long(left, left_id, [t[2] for t in tiers]).join(known, ["level", "key"]).groupBy(left_id).agg(F.min(F.struct("level", "key")).alias("m"))
+    found = first.select(left_id, "m.level", "m.key").join(theirs, ["level", "key"])
+    confidence = F.element_at(worth, F.col("level") + 1)
+    sure = (F.col("__n") == 1) & (confidence >= accept)
     status = F.when(sure, "auto_accepted").otherwise("needs_review")
-    return ranked.select(left_id, right_id, "method", "confidence", "match_rank", sure.alias("is_primary"), status.alias("review_status"))
+    return found.select(left_id, right_id, F.element_at(methods, F.col("level") + 1).alias("method"), confidence.alias("confidence"), "match_rank", sure.alias("is_primary"), status.alias("review_status"))
 
 
 def unique_cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, Column, list[Column]]]) -> DataFrame:

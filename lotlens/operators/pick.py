@@ -55,6 +55,19 @@ def runs_of_years(df: DataFrame, keys: list[str], year: str, same: list[str], le
     return found.where(F.col("n_years") >= least).drop("__island")
 
 
+def in_long_run(df: DataFrame, same: list[str], year: str, least: int, name: str = "in_run") -> DataFrame:
+    """df with ``name``: whether the row's year lies in a run of at least ``least`` consecutive years with equal values of ``same``.
+
+    Nulls in ``same`` equal each other; a row without a year is in no run.  One shuffle by ``same`` serves both windows,
+    since the islands of a key lie where the key lies.
+    """
+    key = Window.partitionBy(*same)
+    island = F.col(year) - F.dense_rank().over(key.orderBy(F.col(year).asc_nulls_first()))
+    own = Window.partitionBy(*same, "__island")
+    long = F.max(year).over(own) - F.min(year).over(own) + 1 >= least
+    return df.withColumn("__island", island).withColumn(name, F.coalesce(F.col(year).isNotNull() & long, F.lit(False))).drop("__island")
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 

@@ -61,10 +61,7 @@ def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasons and bands over all rows that need review."""
-    flags = scoring.rule_flags(spark, sf_dir).where("band <> 'low'")
-    reasons = flags.groupBy(F.lit("reason").alias("kind"), F.col("reason").alias("name")).agg(F.count("*").alias("n"))
-    bands = scoring.rule_scores(spark, sf_dir).where("requires_review").groupBy(F.lit("band").alias("kind"), F.col("band").alias("name")).agg(F.count("*").alias("n"))
-    return reasons.unionByName(bands)
+    return scoring.review_reasons(spark, sf_dir).groupBy("kind", "name").agg(F.count("*").alias("n"))
 
 
 def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,16 +31,29 @@ _RUNS = """runs as (
   from events)"""
 
 
+def _assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as assessments of their parts: values that stay for years, dates of the eighties, and some that are odd."""
+    l = table(spark, sf_dir, "lineitem").where("l_linenumber <= 3")  # noqa: E741
+    cents, odd = F.col("l_extendedprice").cast("decimal(14,2)"), F.col("l_quantity")
+    year = F.year("l_shipdate")
+    day = F.when(odd == 49, F.make_date(year + 10, F.lit(1), F.lit(2))).when(odd == 2, F.make_date(year + 1, F.lit(6), F.lit(1))).when(odd != 3, F.make_date(F.lit(1982) + F.pmod("l_partkey", F.lit(9)), F.lit(1), F.lit(1)))
+    base = F.col("l_partkey").cast("decimal(14,2)")
+    return l.select(
+        F.concat_ws("|", "l_orderkey", "l_linenumber").alias("id"), F.col("l_partkey").alias("parcel_id"), F.when(odd != 7, year).alias("year"), day.alias("valuation_date"),
+        F.when(F.pmod("l_partkey", F.lit(3)) > 0, "R").alias("valuation_classification"), F.when(odd == 11, -base).otherwise(base).alias("assessment_acres"),
+        F.when(odd != 12, base + 10).alias("land_value"), F.when(odd > 45, cents - 30000).otherwise(base).cast("decimal(14,2)").alias("improved_value"), F.when(odd == 13, -base).otherwise(base * 2 + 10).cast("decimal(14,2)").alias("total_value"),
+    )
+
+
 def _lineitem_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem")
+    own, line = _assessments(spark, sf_dir), table(spark, sf_dir, "lineitem")
+    dates = quality.suspicious_dates(own, F.col("id"), F.lit("2001-01-01").cast("date"))
+    numbers = quality.impossible_assessments(own, F.col("id"))
     key = F.concat_ws("|", "l_orderkey", "l_linenumber")
-    day, year = F.to_date("l_shipdate"), F.year("l_shipdate") + F.when(F.col("l_quantity") > 45, F.lit(6)).when(F.col("l_quantity") < 3, F.lit(-1)).otherwise(F.lit(0))
-    carried = F.col("l_linestatus") == "F"
-    dates = quality.suspicious_dates(line, key, day, year, F.lit("2001-01-01").cast("date"), carried)
-    cents = F.col("l_extendedprice").cast("decimal(14,2)")
-    numbers = quality.issues(line, "impossible_numbers", key, {"negative_net": (cents - 50000) * (1 - F.col("l_discount")) < -45000, "total_below_parts": F.col("l_tax") < F.col("l_discount") - 0.05})
-    twice = quality.duplicate_keys(line, "duplicates", ["l_orderkey", "l_linenumber"])
-    return quality.report(dates, numbers, twice)
+    taxes = quality.negative_amounts(line.where("l_linenumber = 4"), key, F.col("l_tax") < 0.01, "tax")
+    payments = quality.negative_amounts(line.where("l_linenumber = 5"), key, F.col("l_discount") < 0.01, "payment")
+    twice = quality.duplicate_summaries(line.where("l_quantity = 50").select(F.col("l_partkey").alias("parcel_id")))
+    return quality.report(dates, numbers, taxes, payments, twice)
 
 
 def quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +61,7 @@ def quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = spark.createDataFrame([("suspicious_dates",), ("impossible_numbers",), ("duplicates",), ("lineage",)], "check string")
+    checks = spark.createDataFrame([(quality.DATES,), (quality.NUMBERS,), (quality.DUPLICATES[0],), (quality.LINEAGE,)], "check string")
     return quality.summary(_lineitem_issues(spark, sf_dir), checks)
 
 
@@ -57,7 +70,7 @@ def lineage_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
     edges = line.join(orders, "l_orderkey").select(F.col("o_custkey").cast("string").alias("a"), F.col("l_partkey").cast("string").alias("b"), F.col("o_orderpriority").alias("kind"))
-    return quality.conflicting_types(edges, "a", "b", "kind", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]).groupBy("check", "key", "code").agg(F.count("*").alias("n"))
+    return quality.lineage_consistency(edges, "a", "b", "kind", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]).groupBy("check", "key", "code").agg(F.count("*").alias("n"))
 
 
 def fetch_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,15 +277,22 @@ def escalations_due(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ISSUES = """l as (
-  select *, l_orderkey || '|' || l_linenumber as key, cast(l_shipdate as date) as day,
-         year(l_shipdate) + case when l_quantity > 45 then 6 when l_quantity < 3 then -1 else 0 end as y, cast(l_extendedprice as decimal(14,2)) as cents from lineitem),
+  select l_orderkey || '|' || l_linenumber as key, l_partkey as parcel_id, case when l_quantity <> 7 then year(l_shipdate) end as year, l_quantity as q, cast(l_partkey as decimal(14,2)) as base, cast(l_extendedprice as decimal(14,2)) as cents,
+         case when l_quantity = 49 then make_date(year(l_shipdate) + 10, 1, 2) when l_quantity = 2 then make_date(year(l_shipdate) + 1, 6, 1) when l_quantity <> 3 then make_date(1982 + l_partkey % 9, 1, 1) end as day
+  from lineitem where l_linenumber <= 3),
+a as (
+  select key, parcel_id, year, day, case when parcel_id % 3 > 0 then 'R' end as cls, case when q = 11 then -base else base end as acres, case when q <> 12 then base + 10 end as land,
+         case when q > 45 then cents - 30000 else base end as improved, case when q = 13 then -base else base * 2 + 10 end as total from l),
+t as (select *, year - dense_rank() over (partition by parcel_id, day, cls, acres, land, improved, total order by year nulls first) as island from a where day is not null),
+r as (select *, year is not null and max(year) over w - min(year) over w + 1 >= 5 as carried from t window w as (partition by parcel_id, day, cls, acres, land, improved, total, island)),
 iss as (
-  select 'suspicious_dates' as "check", key, 'future_date' as code from l where day > date '2001-01-01'
-  union all select 'suspicious_dates', key, 'date_after_year' from l where year(day) > y
-  union all select 'suspicious_dates', key, 'stale_date' from l where year(day) < y - 4 and l_linestatus <> 'F'
-  union all select 'impossible_numbers', key, 'negative_net' from l where cast(cents - 50000 as double) * (1 - l_discount) < -45000
-  union all select 'impossible_numbers', key, 'total_below_parts' from l where l_tax < l_discount - 0.05
-  union all select 'duplicates', key, 'duplicate_key' from l group by key having count(*) > 1)"""
+  select 'suspicious_assessment_dates' as "check", key, case when day > date '2001-01-01' then 'future_assessment_date' when year(day) > year then 'assessment_date_after_year'
+         when year(day) < year - 4 and not carried then 'stale_assessment_date' end as code from r where code is not null
+  union all select 'impossible_numeric_values', key, unnest(list_filter([case when acres < 0 then 'negative_assessment_value' end, case when land < 0 then 'negative_assessment_value' end, case when improved < 0 then 'negative_assessment_value' end,
+    case when total < 0 then 'negative_assessment_value' end, case when total < land + improved then 'assessment_total_less_than_components' end], lambda x: x is not null)) from a
+  union all select 'impossible_numeric_values', l_orderkey || '|' || l_linenumber, 'negative_tax_amount' from lineitem where l_linenumber = 4 and l_tax < 0.01
+  union all select 'impossible_numeric_values', l_orderkey || '|' || l_linenumber, 'negative_payment_amount' from lineitem where l_linenumber = 5 and l_discount < 0.01
+  union all select 'duplicate_parcel_summaries', cast(l_partkey as varchar), 'duplicate_parcel_summary' from lineitem where l_quantity = 50 group by l_partkey having count(*) > 1)"""
 
 _COMPLY = """comply as (
   select profile, count(*) filter (where at_ >= timestamp '2024-01-30 23:00:00' and ok) as pass_1h, count(*) filter (where at_ >= timestamp '2024-01-30 23:00:00') as total_1h,
@@ -346,13 +366,13 @@ QUERIES = {f.__name__: f for f in (
 
 SQL = {
     "quality_issues": f"with {_ISSUES} select \"check\", key, code, count(*) as n from iss group by all",
-    "quality_report": f"""with {_ISSUES}, c as (select unnest(['suspicious_dates', 'impossible_numbers', 'duplicates', 'lineage']) as name)
+    "quality_report": f"""with {_ISSUES}, c as (select unnest(['suspicious_assessment_dates', 'impossible_numeric_values', 'duplicate_parcel_summaries', 'lineage_consistency']) as name)
 select name as "check", count(code) as issue_count, count(code) = 0 as passed from c left join iss on name = "check" group by name""",
     "lineage_issues": """with e as (select cast(o_custkey as varchar) as a, cast(l_partkey as varchar) as b, o_orderpriority as kind from lineitem join orders on o_orderkey = l_orderkey),
 i as (
-  select a || '|' || b as key, 'bad_type' as code from e where kind = '5-LOW' union all select a || '|' || b, 'self_link' from e where a = b
-  union all select a || '|' || b, 'conflicting_type' from e group by a, b having count(distinct kind) > 1)
-select 'lineage' as "check", key, code, count(*) as n from i group by all""",
+  select a || '|' || b as key, 'invalid_lineage_relationship_type' as code from e where kind = '5-LOW' union all select a || '|' || b, 'self_referential_lineage_link' from e where a = b
+  union all select a || '|' || b, 'conflicting_lineage_relationship' from e group by a, b having count(distinct kind) > 1)
+select 'lineage_consistency' as "check", key, code, count(*) as n from i group by all""",
     "fetch_consistency": """with c as (select l_orderkey, count(*) as n from lineitem group by all),
 r as (select o_orderkey, o_orderstatus <> 'P' as ok, o_totalprice > 100000 as parsed, coalesce(n, 0) as n from orders left join c on l_orderkey = o_orderkey),
 i as (

@@ -10,29 +10,37 @@ from lotlens.functions import text as T
 from lotlens.operators import dossier, match, review
 from lotlens.plans import scoring
 from lotlens.plans.base import FACT, SALE, fact, sale
-from lotlens.runtime import scratch, table
+from lotlens.runtime import cut, scratch, table
 from lotlens.sources import imports, pages
 from lotlens.sources.tables import KeyedTable
 
 
 def _left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as transactions with three keys: customer number as text, a coarse number, and an address that some customers share."""
+    """Orders as transactions with four keys: customer number as text, a coarse number, an address that some customers share, a legal description."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     rows = orders.join(customer, "o_custkey")
+    lot = F.concat(F.lit("Lot TWO ("), (F.col("o_custkey") % 301).cast("string"), F.lit("), Block 3, Second Addition to The "), F.col("c_mktsegment"), F.lit("; in the town"))
     return rows.select(
         "o_orderkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit(" sup/"), F.col("o_custkey").cast("string"))).alias("k1"),
-        F.when(F.col("o_totalprice") > 150000, F.concat(F.lit("S "), (F.col("o_custkey") % 997).cast("string"))).alias("k2"), F.concat(F.lit("n-"), F.expr("o_custkey div 10").cast("string")).alias("k3"), "c_mktsegment",
+        F.when(F.col("o_totalprice") > 150000, F.concat(F.lit("S "), (F.col("o_custkey") % 997).cast("string"))).alias("k2"),
+        F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("n-"), F.expr("o_custkey div 10").cast("string"))).alias("k3"), F.when(F.col("o_custkey") % 7 != 0, lot).alias("k4"), "c_mktsegment",
     )
 
 
 def _right(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    return supplier.select("s_suppkey", F.concat(F.lit("SUP."), F.col("s_suppkey").cast("string")).alias("r1"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("r2"), F.concat(F.lit("N_"), F.expr("s_suppkey div 2").cast("string")).alias("r3"))
+    key = F.col("s_suppkey").cast("string")
+    return supplier.select(
+        "s_suppkey", F.concat(F.lit("SUP."), key).alias("r1"), F.concat(F.lit("S"), key).alias("r2"), F.concat(F.lit("N_"), F.expr("s_suppkey div 2").cast("string")).alias("r3"),
+        F.concat(F.lit("building block 3 lot "), F.expr("s_suppkey div 2").cast("string")).alias("r4"),
+    )
 
 
 def _tiers() -> list:
-    return [("exact_number", 1.0, T.parcel_key(F.col("k1")), T.parcel_key(F.col("r1"))), ("crosswalk", 0.95, T.parcel_key(F.col("k2")), T.parcel_key(F.col("r2"))), ("address", 0.8, T.parcel_key(F.col("k3")), T.parcel_key(F.col("r3")))]
+    key = lambda c: T.parcel_key(F.col(c))
+    keys = [(key("k1"), key("r1")), (key("k2"), key("r2")), (key("k3"), key("r3")), (T.sale_legal_key(F.col("k4")), T.parcel_legal_key(F.col("r4")))]
+    return [(method, worth, *pair) for (method, worth), pair in zip(match.TIERS.items(), keys, strict=True)]
 
 
 def entity_match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,10 +54,10 @@ def unique_match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches of all orders against those of an earlier run that knew the dear orders only, at other confidences."""
-    new = entity_match_cascade(spark, sf_dir)
+    new = cut(entity_match_cascade(spark, sf_dir))  # compared with what is derived from it
     dear = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select("o_orderkey")
-    old = new.join(dear, "o_orderkey", "left_semi").withColumn("confidence", F.when(F.col("method") == "crosswalk", 0.9).otherwise(F.col("confidence")))
-    old = old.withColumn("s_suppkey", F.when(F.col("method") == "exact_number", F.col("s_suppkey") + 1).otherwise(F.col("s_suppkey")))
+    old = new.join(dear, "o_orderkey", "left_semi").withColumn("confidence", F.when(F.col("method") == "parcel_number_crosswalk", 0.9).otherwise(F.col("confidence")))
+    old = old.withColumn("s_suppkey", F.when(F.col("method") == "exact_parcel_number", F.col("s_suppkey") + 1).otherwise(F.col("s_suppkey")))
     return match.sync(new, old, ["o_orderkey", "s_suppkey", "method"], ["confidence", "match_rank"])
 
 
@@ -264,14 +272,16 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SIDES = """l as (
-  select o_orderkey, case when o_orderpriority = '1-URGENT' then 'SUP' || o_custkey end as k1, case when o_totalprice > 150000 then 'S' || (o_custkey % 997) end as k2, 'N' || (o_custkey // 10) as k3
+  select o_orderkey, case when o_orderpriority = '1-URGENT' then 'SUP' || o_custkey end as k1, case when o_totalprice > 150000 then 'S' || (o_custkey % 997) end as k2, case when o_custkey % 2 = 0 then 'N' || (o_custkey // 10) end as k3,
+         case when o_custkey % 7 <> 0 then c_mktsegment || '|' || (o_custkey % 301) end as k4
   from orders join customer on c_custkey = o_custkey),
-r as (select s_suppkey, 'SUP' || s_suppkey as r1, 'S' || s_suppkey as r2, 'N' || (s_suppkey // 2) as r3 from supplier)"""
+r as (select s_suppkey, 'SUP' || s_suppkey as r1, 'S' || s_suppkey as r2, 'N' || (s_suppkey // 2) as r3, 'BUILDING|' || (s_suppkey // 2) as r4 from supplier)"""
 
 _HITS = f"""{_SIDES},
 h as (
-  select o_orderkey, s_suppkey, 0 as level, 'exact_number' as method, 1.0 as confidence from l join r on k1 = r1 union all
-  select o_orderkey, s_suppkey, 1, 'crosswalk', 0.95 from l join r on k2 = r2 union all select o_orderkey, s_suppkey, 2, 'address', 0.8 from l join r on k3 = r3),
+  select o_orderkey, s_suppkey, 0 as level, 'exact_parcel_number' as method, 1.0 as confidence from l join r on k1 = r1 union all
+  select o_orderkey, s_suppkey, 1, 'parcel_number_crosswalk', 0.95 from l join r on k2 = r2 union all select o_orderkey, s_suppkey, 2, 'normalized_address', 0.9 from l join r on k3 = r3
+  union all select o_orderkey, s_suppkey, 3, 'normalized_legal_description', 0.8 from l join r on k4 = r4),
 f as (select *, min(level) over (partition by o_orderkey) as first from h),
 m as (
   select o_orderkey, s_suppkey, method, cast(confidence as double) as confidence, row_number() over (partition by o_orderkey order by s_suppkey) as match_rank, count(*) over (partition by o_orderkey) as n from f where level = first),
@@ -306,18 +316,19 @@ SQL = {
     "entity_match_cascade": f"with {_HITS} select * from found",
     "unique_match_cascade": f"""with {_SIDES},
 i1 as (select r1 as k, min(s_suppkey) as s from r group by r1 having count(distinct s_suppkey) = 1), i2 as (select r2 as k, min(s_suppkey) as s from r group by r2 having count(distinct s_suppkey) = 1),
-i3 as (select r3 as k, min(s_suppkey) as s from r group by r3 having count(distinct s_suppkey) = 1)
-select o_orderkey, coalesce(i1.s, i2.s, i3.s) as s_suppkey, case when i1.s is not null then 'exact_number' when i2.s is not null then 'crosswalk' else 'address' end as method
-from l left join i1 on k1 = i1.k left join i2 on k2 = i2.k left join i3 on k3 = i3.k where coalesce(i1.s, i2.s, i3.s) is not null""",
+i3 as (select r3 as k, min(s_suppkey) as s from r group by r3 having count(distinct s_suppkey) = 1), i4 as (select r4 as k, min(s_suppkey) as s from r group by r4 having count(distinct s_suppkey) = 1)
+select o_orderkey, coalesce(i1.s, i2.s, i3.s, i4.s) as s_suppkey,
+       case when i1.s is not null then 'exact_parcel_number' when i2.s is not null then 'parcel_number_crosswalk' when i3.s is not null then 'normalized_address' else 'normalized_legal_description' end as method
+from l left join i1 on k1 = i1.k left join i2 on k2 = i2.k left join i3 on k3 = i3.k left join i4 on k4 = i4.k where coalesce(i1.s, i2.s, i3.s, i4.s) is not null""",
     "match_sync": f"""with {_HITS},
 o as (
-  select o_orderkey, case when method = 'exact_number' then s_suppkey + 1 else s_suppkey end as s_suppkey, method, case when method = 'crosswalk' then 0.9 else confidence end as confidence, match_rank
+  select o_orderkey, case when method = 'exact_parcel_number' then s_suppkey + 1 else s_suppkey end as s_suppkey, method, case when method = 'parcel_number_crosswalk' then 0.9 else confidence end as confidence, match_rank
   from found where o_orderkey in (select o_orderkey from orders where o_totalprice > 100000))
 select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey, coalesce(n.s_suppkey, o.s_suppkey) as s_suppkey, coalesce(n.method, o.method) as method,
        case when o.o_orderkey is null then 'insert' when n.o_orderkey is null then 'delete' when n.confidence = o.confidence and n.match_rank = o.match_rank then 'keep' else 'update' end as action
 from found n full join o on n.o_orderkey = o.o_orderkey and n.s_suppkey = o.s_suppkey and n.method = o.method""",
-    "exclusion_sync": f"""with n as ({_EXCL}), d as (select o_orderkey from orders where o_totalprice > 100000),
-o as (select * from n where o_orderkey in (select o_orderkey from d) union all select o_orderkey, 'retired_code' from d)
+    "exclusion_sync": f"""with n as materialized ({_EXCL}), d as materialized (select o_orderkey from orders where o_totalprice > 100000),
+o as materialized (select * from n where o_orderkey in (select o_orderkey from d) union all select o_orderkey, 'retired_code' from d)
 select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey, coalesce(n.exclusion_code, o.exclusion_code) as exclusion_code, n.o_orderkey is not null as is_active,
        case when o.o_orderkey is null then 'insert' when n.o_orderkey is null then case when o.o_orderkey % 3 <> 0 then 'deactivate' else 'none' end
             when o.o_orderkey % 3 <> 0 then 'keep' else 'reactivate' end as action from n full join o on n.o_orderkey = o.o_orderkey and n.exclusion_code = o.exclusion_code""",

@@ -54,6 +54,15 @@ def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.flag_rows(_scored(spark, sf_dir), KEYS).select(*KEYS, "score", "band", "reason_rank", "rule", "reason", "weight", "metric", "threshold", "operator", F.round("value", 6).alias("value"))
 
 
+def review_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, name): the band of each row that needs review, and each reason of rows whose band is not low; one pass over the scores."""
+    entry = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    reasons = F.when(F.col("band") != "low", F.transform("triggers", lambda t: entry("reason", t["reason"])))
+    band = F.when(F.col("requires_review"), F.array(entry("band", F.col("band"))))
+    none = F.array().cast("array<struct<kind: string, name: string>>")
+    return _scored(spark, sf_dir).select(F.inline(F.concat(F.coalesce(reasons, none), F.coalesce(band, none))))
+
+
 def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir).select(F.explode("skipped").alias("s")).select("s.rule", F.array_join("s.missing", ",").alias("missing"))
     return rows.groupBy("rule", "missing").agg(F.count("*").alias("n"))
@@ -83,7 +92,7 @@ def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rescored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old scores of parts before 1999; those with a high enough score were reviewed and keep their ids."""
-    now = rule_scores(spark, sf_dir).select(*KEYS, "score")
+    now = cut(rule_scores(spark, sf_dir).select(*KEYS, "score"))  # read three times below
     old = now.where("yr < 1999").select(*KEYS, F.concat_ws("-", F.lit("old"), "parcel_id", "yr").alias("score_id"), "score")
     reviewed = old.where("score >= 40").select("score_id")
     return rules.rescore(now, old.select(*KEYS, "score_id"), reviewed, KEYS).select(*KEYS, "score", "action", "score_id")

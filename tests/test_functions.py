@@ -49,6 +49,28 @@ def test_legal_keys(spark):
     assert own == ["SUBDIVISION:ELM PARK|LOT:4|BLOCK:3A", "SUBDIVISION:OAKS|LOT:2", "SUBDIVISION:PINE|LOT:5|BLOCK:1", None]
 
 
+def test_legal_keys_of_sales(spark):
+    texts = {
+        "Lot Twenty-three (23), Block Four (4), Sixth Addition to Autumn Grove, in the Village": "SUBDIVISION:AUTUMN GROVE|LOT:23|BLOCK:4",
+        "Block Four (4), Lot Twenty-three (23), Sixth Addition to Autumn Grove.": "SUBDIVISION:AUTUMN GROVE|LOT:23|BLOCK:4",
+        "That part of Lot 4, Block 4, Edward's Park, in the City": None,
+        "lot 7A ,  The  Oak's Edge; rest": "SUBDIVISION:OAK S EDGE|LOT:7A",
+        "Lot 1, Block 3": "SUBDIVISION:BLOCK 3|LOT:1",
+        "Lot 1, Block B, Elm": "SUBDIVISION:BLOCK B|LOT:1",
+        "Lot 2 (2), Elm": None, "Lot A, Elm": None, "Lot 12AB, Elm": None, "Lot 3 Elm": None, "Lots 3, Elm": None, "Lot 3, . Elm": None, "Block 3, Elm": None, "Block 3, Lot 4": None, "": None,
+    }
+    assert values(spark, list(texts), T.sale_legal_key) == list(texts.values())
+
+
+def test_legal_keys_of_parcels(spark):
+    texts = {
+        "AUTUMN GROVE BLOCK 4 LOT 23": "SUBDIVISION:AUTUMN GROVE|LOT:23|BLOCK:4", "EDWARD'S PARK, LOT 4": "SUBDIVISION:EDWARD S PARK|LOT:4", "LOT 5 BLOCK 1 PINE": "SUBDIVISION:PINE|LOT:5|BLOCK:1",
+        "LOT 5 PINE HILL": "SUBDIVISION:PINE HILL|LOT:5", "LOT 5 BLOCK 1": "SUBDIVISION:BLOCK 1|LOT:5", "BLOCK 4 LOT 23": "SUBDIVISION:BLOCK 4|LOT:23", "LOT 5": None, "PINE LOT": None, "PINE LOT X": None,
+        "LOT 2 LOT 3": "SUBDIVISION:LOT 2|LOT:3", "pine block b lot 3": "SUBDIVISION:PINE BLOCK B|LOT:3", " . ": None,
+    }
+    assert values(spark, list(texts), T.parcel_legal_key) == list(texts.values())
+
+
 def test_money(spark):
     got = values(spark, ["$1,234.565", "(1 200)", "1e3", "abc", None], P.money)
     assert got == [Decimal("1234.57"), Decimal("-1200.00"), None, None, None]
