@@ -19,7 +19,7 @@ ACCEPT = 0.85
 def _long(df: DataFrame, row_id: str, keys: list[Column]) -> DataFrame:
     """(row_id, level, key) for each key that is known."""
     pairs = F.array(*[F.struct(F.lit(k).alias("level"), c.cast("string").alias("key")) for k, c in enumerate(keys)])
-    return df.select(row_id, F.explode(pairs).alias("p")).select(row_id, "p.level", "p.key").where("key is not null")
+    return df.select(row_id, F.explode(pairs).alias("__p")).select(row_id, "__p.level", "__p.key").where("key is not null")
 
 
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, float, Column, Column]], accept: float = ACCEPT) -> DataFrame:
