@@ -13,10 +13,10 @@ def _rate(num: Column, den: Column) -> Column:
     return F.when(den > 0, F.round(num / den, 4))
 
 
-def counts(fetches: DataFrame, parcels: DataFrame, per_parcel: dict[str, DataFrame], sections: dict[str, DataFrame], fetch: str = "fetch_id", parcel: str = "parcel_id") -> DataFrame:
+def counts(fetches: DataFrame, parcels: DataFrame, per_parcel: dict[str, DataFrame], sections: dict[str, DataFrame], fetch: str = "fetch_id", parcel: str = "parcel_id", years: dict[str, DataFrame] | None = None) -> DataFrame:
     """(name, n): fetches, successful, parsed and failed ones, parcels, parcels of each table, successful fetches without rows of a section.
 
-    fetches: fetch, status_code, parsed_at, parse_error; sections: fetch.
+    fetches: fetch, status_code, parsed_at, parse_error; sections: fetch; years: tables (parcel, year) whose distinct parcel-years count.
     """
     rows = fetches
     for name, df in sections.items():
@@ -28,21 +28,34 @@ def counts(fetches: DataFrame, parcels: DataFrame, per_parcel: dict[str, DataFra
     long = [wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in found])).alias("c")).select("c.*")]
     for name, df in {"parcels": parcels, **{f"{n}_parcels": d for n, d in per_parcel.items()}}.items():
         long.append(df.agg(F.countDistinct(parcel).alias("n")).select(F.lit(name).alias("name"), "n"))
+    for name, df in (years or {}).items():
+        long.append(df.where(F.col("year").isNotNull()).agg(F.countDistinct(parcel, "year").alias("n")).select(F.lit(name).alias("name"), "n"))
     return reduce(DataFrame.unionByName, long)
 
 
+#: The coverage metrics that the drift check compares; what a profile has besides is left out of a snapshot.
+DRIFT_COVERAGE = [
+    "coverage.parsed_successful_fetch_rate", "coverage.parse_error_successful_fetch_rate", "coverage.parcel_summary_parcel_rate", "coverage.parcel_year_fact_parcel_rate",
+    "coverage.parcel_year_fact_source_year_rate", "coverage.parcel_characteristic_parcel_rate", "coverage.parcel_lineage_parcel_rate",
+]
+
+
 def coverage(named: DataFrame, per_parcel: list[str], sections: list[str]) -> DataFrame:
-    """(metric, num, den, rate) from the rows of ``counts``.  The parsed rate counts all parsed fetches over the successful ones."""
+    """(metric, num, den, rate) from the rows of ``counts``.  The parsed rate counts all parsed fetches over the successful ones.
+
+    The rate of source years is there if parcel_year_facts and source_parcel_years were counted.
+    """
     pairs = {
-        "field_coverage.successful_fetch_rate": ("successful_fetches", "fetches"), "field_coverage.parsed_successful_fetch_rate": ("parsed_fetches", "successful_fetches"),
-        "field_coverage.parse_error_successful_fetch_rate": ("parse_errors", "successful_fetches"),
+        "coverage.successful_fetch_rate": ("successful_fetches", "fetches"), "coverage.parsed_successful_fetch_rate": ("parsed_fetches", "successful_fetches"),
+        "coverage.parse_error_successful_fetch_rate": ("parse_errors", "successful_fetches"), "coverage.parcel_year_fact_source_year_rate": ("parcel_year_facts", "source_parcel_years"),
     }
-    pairs |= {f"field_coverage.{n}_parcel_rate": (f"{n}_parcels", "parcels") for n in per_parcel}
+    pairs |= {f"coverage.{n}_parcel_rate": (f"{n}_parcels", "parcels") for n in per_parcel}
     pairs |= {f"selector_miss.{n}_fetch_rate": (f"missing_{n}", "successful_fetches") for n in sections}
     names = sorted({x for pair in pairs.values() for x in pair})
     wide = named.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
     long = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(a).alias("num"), F.col(b).alias("den")) for m, (a, b) in pairs.items()])
-    return wide.select(F.explode(long).alias("m")).select("m.*", _rate(F.col("m.num"), F.col("m.den")).alias("rate"))
+    found = wide.select(F.explode(long).alias("m")).select("m.*", _rate(F.col("m.num"), F.col("m.den")).alias("rate"))
+    return found.where("num is not null and den is not null")
 
 
 def field_presence(rows: DataFrame, fields: list[str]) -> DataFrame:
@@ -59,8 +72,9 @@ def field_presence(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def snapshot(covered: DataFrame, presence: DataFrame) -> DataFrame:
-    """Metric rows for the drift check: coverage, presence of detail fields, and their null rates."""
-    there = presence.select(F.concat(F.lit("tax_detail_field_presence."), "field").alias("metric"), "num", "den", "rate")
+    """Metric rows for the drift check: coverage, misses of sections, presence of detail fields, and their null rates."""
+    covered = covered.where(F.col("metric").isin(DRIFT_COVERAGE) | F.col("metric").startswith("selector_miss."))
+    there = presence.select(F.concat(F.lit("tax_detail_field_presence."), "field", F.lit(".rate")).alias("metric"), "num", "den", "rate")
     lacking = F.col("den") - F.col("num")
     absent = presence.select(F.concat(F.lit("extraction_null_rate."), "field").alias("metric"), lacking.alias("num"), "den", _rate(lacking, F.col("den")).alias("rate"))
     return covered.unionByName(there).unionByName(absent)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lotlens.operators import alerts, monitor, order, pick, quality
 from lotlens.operators.order import nearest_rank, order_statistics
-from lotlens.runtime import table
+from lotlens.plans import parcels
+from lotlens.runtime import scratch, table
+from lotlens.sources import sinks
 
 #: What the clock reads in these queries; the events end before it.
 NOW = "2024-01-31 00:00:00"
@@ -117,31 +119,14 @@ def section_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(labels.join(docs, "doc_id", "left_anti").select(F.lit("no_document").alias("gap"), "doc_id"))
 
 
-def _snapshot(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
-    """Metric rows of the first or the second half of the events, by group of users; wide counts are unpivoted."""
-    half = _runs(spark, sf_dir).where((F.col("at") >= "2024-01-15") == late)
-    wide = half.groupBy((F.col("user_id") % 40).alias("profile")).agg(
-        F.count("*").alias("den"), F.count_if(~F.col("ok")).alias("a"), F.count_if(F.col("k") < 30).alias("b"), F.count_if(F.col("k") > 80).alias("c"), F.count_if(F.col("seconds") > 15).alias("d"),
-    )
-    long = wide.select("profile", "den", F.expr("stack(4, 'coverage.parse_error_successful_fetch_rate', a, 'selector_miss', b, 'tax_detail_field_presence', c, 'extraction_null_rate', d) as (name, num)"))
-    return long.select(F.concat_ws(".", "name", F.concat(F.lit("p"), "profile")).alias("metric"), "num", "den")
-
-
-_SNAP = """snap as (
-  select ts >= timestamp '2024-01-15' as late, user_id % 40 as p, count(*) as den, count(*) filter (where event_type = 'error') as a,
-         count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) < 30) as b, count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) > 80) as c,
-         count(*) filter (where round(value, 2) > 15) as d from events group by all),
-long as (
-  select late, 'coverage.parse_error_successful_fetch_rate.p' || p as metric, a as num, den from snap union all select late, 'selector_miss.p' || p, b, den from snap
-  union all select late, 'tax_detail_field_presence.p' || p, c, den from snap union all select late, 'extraction_null_rate.p' || p, d, den from snap)"""
-
-
 def drift_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot(spark, sf_dir, True)
+    """The later of the two snapshots that drift_diff compares."""
+    return parcels.half_snapshot(spark, sf_dir, True)
 
 
 def drift_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.metric_diff(_snapshot(spark, sf_dir, False), _snapshot(spark, sf_dir, True))
+    """The profile of the late fetches against that of the early ones."""
+    return monitor.metric_diff(parcels.half_snapshot(spark, sf_dir, False), parcels.half_snapshot(spark, sf_dir, True))
 
 
 def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,20 +134,26 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.alerts_of(rows, ["family"], {"ok": 0, "warn": 1, "error": 2})
 
 
-def _mix(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
-    half = _runs(spark, sf_dir).where((F.col("at") >= "2024-01-15") == late)
-    wide = half.groupBy().agg(F.count("*").alias("den"), *[F.count_if(F.col("event_type") == t).alias(t) for t in ("click", "error", "purchase", "signup", "view")])
-    return wide.select("den", F.expr("stack(5, 'coverage.review_rate', view, 'risk_band_mix.high.rate', purchase, 'risk_band_mix.medium.rate', click, 'disposition_mix.false_positive.rate', error, 'disposition_mix.confirmed_issue.rate', signup) as (metric, num)"))
+def _benchmark(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
+    """Metrics of the first or the second half of the events as a review queue: large and small segments, few confirmed cases."""
+    half = _runs(spark, sf_dir).where((F.col("at") >= "2024-01-15") == late).where("event_id % 3 = 0 or profile = 0")
+    k, own = F.col("k"), F.col("event_type")
+    band = F.when(k > (70 if late else 80), "high").when(k > 45, "medium").otherwise("low")
+    done = F.when(own.isin("view", "error"), "resolved").when(own == "click", "in_review").otherwise("pending")
+    said = F.when(own == "error", "false_positive").when((own == "view") & (k > 50), "confirmed_issue").when(own == "view", "inconclusive")
+    segment = F.when(F.col("user_id") % 3 > 0, F.concat(F.lit("area "), (F.col("user_id") % 40).cast("string"))).when(F.lit(late), "late town").otherwise("early town")
+    rows = half.select(band.alias("band"), done.alias("status"), said.alias("disposition"), segment.alias("geography"), F.when(k % 2 == 0, "R").otherwise("C").alias("kind"))
+    return monitor.benchmark_metrics(rows, "geography", "kind")
 
 
 def benchmark_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.metric_diff(_mix(spark, sf_dir, False), _mix(spark, sf_dir, True), monitor.BENCHMARK_LIMITS, "critical", 20, cap=False)
+    return monitor.benchmark_signals(_benchmark(spark, sf_dir, False), _benchmark(spark, sf_dir, True))
 
 
 def benchmark_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series of two runs: the second half of the events against the first, and against itself."""
-    first, second = _mix(spark, sf_dir, False), _mix(spark, sf_dir, True)
-    parts = [monitor.metric_diff(a, b, monitor.BENCHMARK_LIMITS, "critical", 20, cap=False).withColumn("run_id", F.lit(run)) for run, a, b in (("later", first, second), ("same", second, second))]
+    first, second = _benchmark(spark, sf_dir, False), _benchmark(spark, sf_dir, True)
+    parts = [monitor.benchmark_signals(a, b).withColumn("run_id", F.lit(run)) for run, a, b in (("later", first, second), ("same", second, second))]
     return monitor.trend_rows(parts[0].unionByName(parts[1]), ["run_id"])
 
 
@@ -199,7 +190,7 @@ def freshness_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.freshness(_runs(spark, sf_dir), ["profile", "event_type"], "at", F.col("k") > 10, _now())
 
 
-SLI = {"1h": "1 hour", "6h": "6 hours", "24h": "24 hours", "w": "28 days"}
+SLI = {"1h": "1 hour", "6h": "6 hours", "24h": "24 hours", "w": "28 days", "365d": "365 days"}
 
 
 def sli_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,10 +207,21 @@ def panel_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long metric rows: one for each profile and window."""
-    wide = sli_compliance(spark, sf_dir)
-    long = wide.select("profile", F.expr("stack(4, '1h', pass_1h, total_1h, '6h', pass_6h, total_6h, '24h', pass_24h, total_24h, '28d', pass_w, total_w) as (window, num, den)"))
-    return long.withColumn("value", F.round(F.try_divide(F.col("num").cast("double"), F.col("den")), 6))
+    """Event, window and budget rows of a service level for each kind of event, written as series, read back; values as texts.
+
+    The series of the last day is written twice, the second time without its zeros; other days keep their files.
+    """
+    kind = F.col("event_type")
+    events = _runs(spark, sf_dir).select(F.concat(F.lit("refresh."), kind).alias("sli"), F.col("at").alias("observed_at"), (F.col("k") > 20).alias("passed"), F.concat(F.lit("=p"), F.col("profile").cast("string")).alias("profile_name"))
+    specs = [(f"refresh.{t}", "refresh", p, g, w) for t, p, g, w in (("view", None, 0.9, "28d"), ("click", "daily", 0.78, "365d"), ("error", None, 1.0, "28d"), ("purchase", "annual, all", 0.5, "365d"))]
+    targets = spark.createDataFrame(specs, "sli string, domain string, profile_name string, target double, window string")
+    found = monitor.metric_records(events, _now(), "test", targets)
+    day = F.date_format("observed_at", "yyyy-MM-dd")
+    rows = found.select(*[c for c in sinks.SERIES_COLUMNS if c != "observed_at_utc"], F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("observed_at_utc"), day.alias("day"))
+    folder = scratch(spark, "series")
+    sinks.write_series(rows, folder, "day")
+    sinks.write_series(rows.where(f"day = '{NOW[:10]}' and (value <> 0 or value is null)"), folder, "day")
+    return sinks.read_series(spark, folder)
 
 
 def asof_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +300,8 @@ _COMPLY = """comply as (
   select profile, count(*) filter (where at_ >= timestamp '2024-01-30 23:00:00' and ok) as pass_1h, count(*) filter (where at_ >= timestamp '2024-01-30 23:00:00') as total_1h,
          count(*) filter (where at_ >= timestamp '2024-01-30 18:00:00' and ok) as pass_6h, count(*) filter (where at_ >= timestamp '2024-01-30 18:00:00') as total_6h,
          count(*) filter (where at_ >= timestamp '2024-01-30 00:00:00' and ok) as pass_24h, count(*) filter (where at_ >= timestamp '2024-01-30 00:00:00') as total_24h,
-         count(*) filter (where at_ >= timestamp '2024-01-03 00:00:00' and ok) as pass_w, count(*) filter (where at_ >= timestamp '2024-01-03 00:00:00') as total_w
+         count(*) filter (where at_ >= timestamp '2024-01-03 00:00:00' and ok) as pass_w, count(*) filter (where at_ >= timestamp '2024-01-03 00:00:00') as total_w,
+         count(*) filter (where at_ >= timestamp '2023-01-31 00:00:00' and ok) as pass_365d, count(*) filter (where at_ >= timestamp '2023-01-31 00:00:00') as total_365d
   from runs group by profile)"""
 
 
@@ -316,39 +319,50 @@ b2 as (
 burn as (select *, case when observed < {target} then 'breached' when burn_severity is not null then 'burning' else 'ok' end as status from b2)"""
 
 
-def _diff_sql(source: str, limits: str, top: str, least: int, cap: bool) -> str:
-    return f"""w as (
+_DRIFT = f"""{parcels.snapshot_sql(False, "early")}, {parcels.snapshot_sql(True, "late")},
+w as (
   select coalesce(b.metric, c.metric) as metric, b.den as bd, c.den as cd, round(cast(b.num as double) / nullif(b.den, 0), 4) as base_value, round(cast(c.num as double) / nullif(c.den, 0), 4) as current_value
-  from (select * from {source} where not late) b full join (select * from {source} where late) c on b.metric = c.metric),
-d as (select *, round(current_value - base_value, 4) as delta from w),
+  from early b full join late c on b.metric = c.metric),
+d as (select *, round(current_value - base_value, 4) as delta, case when coalesce(bd, 0) = 0 or coalesce(cd, 0) = 0 then 'insufficient_denominator' end as ign from w),
 s as (
-  select *, case {limits} end as raw, least(bd, cd) < {least} as small,
-         case when bd = 0 or cd = 0 then 'insufficient_denominator' when base_value is null or current_value is null then 'missing_metric_value'
-              when {str(not cap).lower()} and least(bd, cd) < {least} then 'insufficient_sample_size' end as ign from d),
-diff as (
-  select metric, base_value, current_value, delta, case when ign is not null then 'ok' when raw = '{top}' and small then 'warn' else raw end as severity, ign from s),
+  select *, case when metric = 'coverage.parse_error_successful_fetch_rate' then case when delta >= 0.03 then 'error' when delta >= 0.01 then 'warn' else 'ok' end
+    when starts_with(metric, 'selector_miss.') then case when delta >= 0.05 then 'error' when delta >= 0.02 then 'warn' else 'ok' end
+    when starts_with(metric, 'extraction_null_rate.') then case when delta >= 0.08 then 'error' when delta >= 0.03 then 'warn' else 'ok' end
+    else case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end end as raw from d),
+diff as (select *, case when ign is not null then 'ok' when raw = 'error' and cd < 25 then 'warn' else raw end as severity from s),
 signals as (
-  select * exclude (ign), coalesce(ign, case severity when '{top}' then '{top}_threshold' when 'warn' then 'warn_threshold' else 'no_drift' end) as reason from diff)"""
-
-
-_DRIFT = _diff_sql("long", """when starts_with(metric, 'coverage.parse_error_successful_fetch_rate') then case when delta >= 0.03 then 'error' when delta >= 0.01 then 'warn' else 'ok' end
-  when starts_with(metric, 'selector_miss.') then case when delta >= 0.05 then 'error' when delta >= 0.02 then 'warn' else 'ok' end
-  when starts_with(metric, 'tax_detail_field_presence.') then case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end
-  when starts_with(metric, 'extraction_null_rate.') then case when delta >= 0.08 then 'error' when delta >= 0.03 then 'warn' else 'ok' end
-  else case when -delta >= 0.05 then 'error' when -delta >= 0.02 then 'warn' else 'ok' end""", "error", 25, True)
+  select metric, base_value, current_value, delta, severity, coalesce(ign, case severity when 'error' then 'error_threshold' when 'warn' then 'warn_threshold' else 'no_drift' end) as reason from diff)"""
 
-_MIXED = """m as (
-  select ts >= timestamp '2024-01-15' as late, count(*) as den, count(*) filter (where event_type = 'view') as a, count(*) filter (where event_type = 'purchase') as b,
-         count(*) filter (where event_type = 'click') as c, count(*) filter (where event_type = 'error') as d, count(*) filter (where event_type = 'signup') as e from events group by all),
-mix as (
-  select late, 'coverage.review_rate' as metric, a as num, den from m union all select late, 'risk_band_mix.high.rate', b, den from m union all select late, 'risk_band_mix.medium.rate', c, den from m
-  union all select late, 'disposition_mix.false_positive.rate', d, den from m union all select late, 'disposition_mix.confirmed_issue.rate', e, den from m)"""
-
-_BENCH = _diff_sql("mix", """when metric = 'coverage.review_rate' then case when -delta >= 0.2 then 'critical' when -delta >= 0.1 then 'warn' else 'ok' end
-  when metric = 'risk_band_mix.high.rate' then case when delta >= 0.08 then 'critical' when delta >= 0.04 then 'warn' else 'ok' end
-  when metric = 'risk_band_mix.medium.rate' then case when abs(delta) >= 0.1 then 'critical' when abs(delta) >= 0.06 then 'warn' else 'ok' end
-  when metric = 'disposition_mix.false_positive.rate' then case when delta >= 0.06 then 'critical' when delta >= 0.03 then 'warn' else 'ok' end
-  else case when -delta >= 0.06 then 'critical' when -delta >= 0.03 then 'warn' else 'ok' end""", "critical", 20, False)
+_BENCH = """q as (
+  select ts >= timestamp '2024-01-15' as late, case when k > case when ts >= timestamp '2024-01-15' then 70 else 80 end then 'high' when k > 45 then 'medium' else 'low' end as band,
+         event_type in ('view', 'error') as reviewed, case when event_type = 'error' then 'false_positive' when event_type = 'view' and k > 50 then 'confirmed_issue' end as said,
+         case when user_id % 3 > 0 then 'area ' || (user_id % 40) when ts >= timestamp '2024-01-15' then 'late town' else 'early town' end || '::' || case when k % 2 = 0 then 'R' else 'C' end as seg
+  from (select *, cast(json_extract_string(props, '$.k') as bigint) as k from events) where event_id % 3 = 0 or user_id % 3 = 0),
+g as (
+  select late, seg, count(*) as n, count(*) filter (where reviewed) as r, count(*) filter (where band = 'high') as hi, count(*) filter (where band = 'medium') as me, count(*) filter (where said = 'false_positive') as fp,
+         count(*) filter (where said = 'confirmed_issue') as ci from q group by grouping sets ((late), (late, seg))),
+m as (
+  select late, unnest(['coverage.review_rate', 'risk_band_mix.high.rate', 'risk_band_mix.medium.rate', 'disposition_mix.false_positive.rate', 'disposition_mix.confirmed_issue.rate']) as metric,
+         unnest([round(r / n, 4), round(hi / n, 4), round(me / n, 4), round(fp / nullif(r, 0), 4), round(ci / nullif(r, 0), 4)]) as value, unnest([n, n, n, r, r]) as sample, n as queue_count from g where seg is null
+  union all
+  select late, 'segment.' || seg || unnest(['.disposition_mix.false_positive.rate_delta_abs', '.risk_band_mix.high.rate_delta_abs']), unnest([round(fp / nullif(r, 0), 4), round(hi / n, 4)]), unnest([r, n]), n from g where seg is not null),
+d as (
+  select coalesce(b.metric, c.metric) as metric, b.value as base_value, c.value as current_value, coalesce(c.sample, 0) as sample, coalesce(c.queue_count, 0) as queue_count,
+         round(case when ends_with(coalesce(b.metric, c.metric), 'rate_delta_abs') then abs(c.value - b.value) else c.value - b.value end, 4) as delta
+  from (select * from m where not late) b full join (select * from m where late) c on b.metric = c.metric),
+s as (
+  select *, case when base_value is null and current_value is null then 'non_comparable' when base_value is null then 'baseline_missing' when current_value is null then 'current_missing'
+    when metric like '%disposition_mix.%' and sample < 20 then 'low_sample_size' when metric like 'segment.%' and queue_count < 25 then 'low_sample_size' end as ign,
+    case when metric = 'coverage.review_rate' then case when -delta >= 0.2 then 'critical' when -delta >= 0.1 then 'warn' else 'ok' end
+      when metric = 'risk_band_mix.high.rate' then case when delta >= 0.08 then 'critical' when delta >= 0.04 then 'warn' else 'ok' end
+      when metric = 'risk_band_mix.medium.rate' then case when abs(delta) >= 0.1 then 'critical' when abs(delta) >= 0.06 then 'warn' else 'ok' end
+      when metric = 'disposition_mix.false_positive.rate' then case when delta >= 0.06 then 'critical' when delta >= 0.03 then 'warn' else 'ok' end
+      when metric = 'disposition_mix.confirmed_issue.rate' then case when -delta >= 0.06 then 'critical' when -delta >= 0.03 then 'warn' else 'ok' end
+      else case when delta >= 0.12 then 'critical' when delta >= 0.07 then 'warn' else 'ok' end end as raw from d),
+signals as (
+  select metric, base_value, current_value, delta, sample, case when ign is not null then 'ok' else raw end as severity,
+         case when metric like 'segment.%' then 'segment_mix' else split_part(metric, '.', 1) end || '.' || coalesce(ign, case when delta = 0 then 'no_change' when raw = 'ok' then 'within_tolerance' else 'beyond_tolerance' end) || '.' || metric as reason,
+         ign is not null as ignored from s)"""
 
 _ALERTS = """raw as (
   select 'drift' as system, event_id, 'parser_drift' as alert_type, case when k > 50 then 'critical' else 'warn' end as severity, case when k > 90 then 'a_code,z_code' else 'z_code' end as reasons, at_ as "at" from runs where event_type = 'error'
@@ -395,18 +409,18 @@ union all select id, 'negative_tax' from f where nt union all select id, 'missin
     "data_profile": """select lang, count(*) as n, count(distinct source) as n_sources, count(l.doc_id) as n_labelled, count(*) - count(l.doc_id) as n_gap, round(count(l.doc_id) / count(*), 4) as coverage,
        round(count(*) filter (where n_chars > 500) / count(*), 4) as long_rate from documents d left join (select distinct doc_id from labels) l on l.doc_id = d.doc_id group by lang""",
     "section_gaps": "select 'no_label' as gap, doc_id from documents where doc_id not in (select doc_id from labels) union all select 'no_document', doc_id from labels where doc_id not in (select doc_id from documents)",
-    "drift_snapshot": f"with {_SNAP} select metric, num, den from long where late",
-    "drift_diff": f"with {_SNAP}, {_DRIFT} select * from signals",
-    "drift_alerts": f"""with {_SNAP}, {_DRIFT},
+    "drift_snapshot": f"with {parcels.snapshot_sql(True, 'm')} select metric, num, den, {parcels._RATE} as rate from m",
+    "drift_diff": f"with {_DRIFT} select * from signals",
+    "drift_alerts": f"""with {_DRIFT},
 f as (select *, split_part(metric, '.', 1) as family, case severity when 'error' then 2 when 'warn' then 1 else 0 end as r from signals where severity <> 'ok'),
 t as (select family, max(r) as r from f group by all)
 select f.family, severity, string_agg(distinct reason, ',' order by reason) as reasons, count(*) as n_signals from f join t on t.family = f.family and t.r = f.r group by f.family, severity""",
-    "benchmark_signals": f"with {_MIXED}, {_BENCH} select * from signals",
-    "benchmark_trend": f"""with {_MIXED}, {_BENCH},
-g as (select *, reason in ('insufficient_denominator', 'missing_metric_value', 'insufficient_sample_size') as gone from signals),
-series as (
-  select 'later' as run_id, metric, base_value, current_value, delta, severity, gone as ignored from g
-  union all select 'same', metric, current_value, current_value, current_value - current_value, 'ok', gone from g)
+    "benchmark_signals": f"with {_BENCH} select * from signals",
+    "benchmark_trend": f"""with {_BENCH},
+same as (
+  select metric, value as base_value, value as current_value, value - value as delta, 'ok' as severity,
+         value is null or (metric like '%disposition_mix.%' and sample < 20) or (metric like 'segment.%' and queue_count < 25) as ignored from m where late),
+series as (select 'later' as run_id, metric, base_value, current_value, delta, severity, ignored from signals union all select 'same', * from same)
 select *, case when bool_or(severity = 'critical') over w then 'critical' when bool_or(severity = 'warn') over w then 'warn' else 'ok' end as overall_severity
 from series window w as (partition by run_id)""",
     "load_rollups": f"""with {_RUNS}, win as (select unnest(['1d', '7d', '30d']) as w, unnest([1, 7, 30]) as days),
@@ -436,11 +450,20 @@ select profile, count(*) as n, round(count(*) filter (where f) / count(*), 4) as
 r as (select event_type, case when total_w = 0 then 0 when status = 'breached' then 3 when status = 'burning' then 2 else 1 end as r from burn),
 p as (select event_type as panel, r from r union all select 'overview', r from r)
 select panel, case max(r) when 0 then 'no_data' when 3 then 'critical' when 2 then 'warn' else 'ok' end as status from p group by panel""",
-    "metric_rows": f"""with {_RUNS}, {_COMPLY},
-l as (
-  select profile, '1h' as "window", pass_1h as num, total_1h as den from comply union all select profile, '6h', pass_6h, total_6h from comply
-  union all select profile, '24h', pass_24h, total_24h from comply union all select profile, '28d', pass_w, total_w from comply)
-select *, round(num / nullif(den, 0), 6) as value from l""",
+    "metric_rows": f"""with {_RUNS},
+t as (select unnest(['view', 'click', 'error', 'purchase']) as event_type, unnest([null, 'daily', null, 'annual, all']) as own, unnest([0.9, 0.78, 1.0, 0.5]) as target, unnest(['28d', '365d', '28d', '365d']) as own_window),
+e as (select 'refresh.' || r.event_type as sli, own, target, own_window, at_, k > 20 as passed, '=p' || profile as profile_name from runs r join t on t.event_type = r.event_type),
+w as (select unnest(['1h', '6h', '24h', '28d', '365d']) as "window", unnest([1, 6, 24, 672, 8760]) as hours),
+c as (
+  select sli, own, target, own_window, "window", count(*) filter (where passed and at_ >= timestamp '{NOW}' - to_hours(hours)) as num, count(*) filter (where at_ >= timestamp '{NOW}' - to_hours(hours)) as den from e, w group by all),
+r as (
+  select sli || '.event' as metric_id, profile_name, 'event' as "window", strftime(at_, '%Y-%m-%dT%H:%M:%SZ') as observed, case when passed then 1.0 else 0.0 end as value, case when passed then 1 else 0 end as num, 1 as den from e
+  union all select sli || '.compliance', own, "window", strftime(timestamp '{NOW}', '%Y-%m-%dT%H:%M:%SZ'), round(num / nullif(den, 0), 6), num, den from c
+  union all select sli || '.error_budget_remaining', own, "window", strftime(timestamp '{NOW}', '%Y-%m-%dT%H:%M:%SZ'),
+    round(coalesce(greatest(0.0, least(1.0, 1 - case when target < 1 then (1 - num / nullif(den, 0)) / (1 - cast(target as double)) when num < den then 1.0 when den > 0 then 0.0 end)), 1.0), 6), null, null from c where "window" = own_window)
+select metric_id, 'refresh' as domain, 'test' as environment, case when left(profile_name, 1) = '=' then '''' || profile_name else coalesce(profile_name, '') end as profile_name, "window", observed as observed_at_utc,
+       coalesce(cast(cast(value as double) as varchar), '') as value, coalesce(cast(num as varchar), '') as numerator, coalesce(cast(den as varchar), '') as denominator
+from r where left(observed, 10) <> '{NOW[:10]}' or value <> 0 or value is null""",
     "asof_freshness": f"""with {_RUNS}, g as (select profile, unnest(generate_series(min(date_trunc('hour', at_)), timestamp '{NOW}', interval 1 hour)) as check_at from runs group by profile),
 p as (select profile, at_ from runs where event_type = 'purchase'),
 j as (select g.profile, g.check_at, p.at_ as last_at from g asof left join p on p.profile = g.profile and p.at_ <= g.check_at)

@@ -64,18 +64,30 @@ def payment_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SECTIONS = {"assessment": "l_quantity > 40", "tax": "l_discount > 0.08", "payment": "l_tax > 0.07"}
 
 
-def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coverage, selector misses and field presence of fetches as metric rows."""
+def half_snapshot(spark: SparkSession, sf_dir: str, late: bool | None) -> DataFrame:
+    """Coverage, selector misses and field presence of the early or the late fetches (None: all) as metric rows; late parsers fail more often."""
+    day = lambda c: F.lit(True) if late is None else (F.col(c) >= "1995-06-01") == late
     parcels = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("parcel_id"))
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("parcel_id"), "o_orderpriority")
-    named = profile.counts(_fetches(spark, sf_dir), parcels, {"parcel_summary": orders.where("o_orderpriority = '1-URGENT'"), "parcel_year_fact": orders.where("o_orderpriority <> '2-HIGH'")}, {k: _child(spark, sf_dir, c) for k, c in SECTIONS.items()})
-    covered = profile.coverage(named, ["parcel_summary", "parcel_year_fact"], list(SECTIONS))
-    return profile.snapshot(covered, field_presence(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders").where(day("o_orderdate")).select(F.col("o_custkey").alias("parcel_id"), "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    fetches = _fetches(spark, sf_dir).where(day("fetched_at"))
+    if late:
+        fetches = fetches.withColumn("parse_error", F.when(F.col("fetch_id") % 4 == 0, "new layout").otherwise(F.col("parse_error")))
+    of = {"parcel_summary": "= '1-URGENT'", "parcel_year_fact": "<> '2-HIGH'", "parcel_characteristic": "<> '5-LOW'", "parcel_lineage": "= '3-MEDIUM'"}
+    years = {"parcel_year_facts": orders.where("o_orderstatus <> 'P'"), "source_parcel_years": orders}
+    named = profile.counts(fetches, parcels, {k: orders.where(f"o_orderpriority {c}") for k, c in of.items()}, {k: _child(spark, sf_dir, c) for k, c in SECTIONS.items()}, years=years)
+    return profile.snapshot(profile.coverage(named, list(of), list(SECTIONS)), _presence(table(spark, sf_dir, "lineitem").where(day("l_shipdate"))))
+
+
+def profile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return half_snapshot(spark, sf_dir, None)
 
 
 def field_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _presence(table(spark, sf_dir, "lineitem"))
+
+
+def _presence(line: DataFrame) -> DataFrame:
     """Non-empty fields of detail rows: a text, a list and a number."""
-    line = table(spark, sf_dir, "lineitem")
     rows = line.select(
         F.when(F.col("l_quantity") > 10, F.when(F.col("l_quantity") > 20, F.col("l_returnflag")).otherwise("")).alias("tax_amount_summary"),
         F.when(F.col("l_tax") > 0.01, F.when(F.col("l_tax") > 0.03, F.array("l_linestatus")).otherwise(F.array().cast("array<string>"))).alias("tax_rate_rows"),
@@ -92,6 +104,30 @@ _PRESENCE = """presence as (
     select count(*) filter (where l_quantity > 20) as a, count(*) filter (where l_tax > 0.03) as b, count(*) filter (where l_discount > 0.02) as c, count(*) as den from lineitem))"""
 
 
+def snapshot_sql(late: bool | None, name: str) -> str:
+    """Common tables that end in ``name`` (metric, num, den), as half_snapshot makes them."""
+    day = lambda c: "true" if late is None else f"({c} >= timestamp '1995-06-01') = {str(late).lower()}"
+    error = "case when fetch_id % 4 = 0 then 'new layout' else parse_error end" if late else "parse_error"
+    parcels = lambda c: f"(select count(distinct o_custkey) from {name}_o where o_orderpriority {c})"
+    lacks = lambda c: f"(select count(*) from {name}_f where status_code = 200 and fetch_id not in (select l_orderkey from lineitem where {c}))"
+    return f"""{_FETCHES.replace("fetches as", f"{name}_all as")},
+{name}_f as (select * exclude (parse_error), {error} as parse_error from {name}_all where {day("fetched_at")}), {name}_o as (select * from orders where {day("o_orderdate")}),
+{name}_l as (select count(*) filter (where l_quantity > 20) as a, count(*) filter (where l_tax > 0.03) as b, count(*) filter (where l_discount > 0.02) as c, count(*) as den from lineitem where {day("l_shipdate")}),
+{name}_n as (
+  select (select count(*) from {name}_f where status_code = 200) as good, (select count(parsed_at) from {name}_f) as parsed, (select count(parse_error) from {name}_f) as errors, (select count(*) from customer) as parcels,
+         {parcels("= '1-URGENT'")} as s, {parcels("<> '2-HIGH'")} as f, {parcels("<> '5-LOW'")} as h, {parcels("= '3-MEDIUM'")} as g,
+         (select count(distinct (o_custkey, year(o_orderdate))) from {name}_o where o_orderstatus <> 'P') as y, (select count(distinct (o_custkey, year(o_orderdate))) from {name}_o) as sy,
+         {lacks("l_quantity > 40")} as m1, {lacks("l_discount > 0.08")} as m2, {lacks("l_tax > 0.07")} as m3),
+{name} as (
+  select 'coverage.parsed_successful_fetch_rate' as metric, parsed as num, good as den from {name}_n union all select 'coverage.parse_error_successful_fetch_rate', errors, good from {name}_n
+  union all select 'coverage.parcel_summary_parcel_rate', s, parcels from {name}_n union all select 'coverage.parcel_year_fact_parcel_rate', f, parcels from {name}_n
+  union all select 'coverage.parcel_characteristic_parcel_rate', h, parcels from {name}_n union all select 'coverage.parcel_lineage_parcel_rate', g, parcels from {name}_n
+  union all select 'coverage.parcel_year_fact_source_year_rate', y, sy from {name}_n
+  union all select 'selector_miss.assessment_fetch_rate', m1, good from {name}_n union all select 'selector_miss.tax_fetch_rate', m2, good from {name}_n union all select 'selector_miss.payment_fetch_rate', m3, good from {name}_n
+  union all select 'tax_detail_field_presence.' || unnest(['tax_amount_summary', 'tax_rate_rows', 'installment_rows']) || '.rate', unnest([a, b, c]), den from {name}_l
+  union all select 'extraction_null_rate.' || unnest(['tax_amount_summary', 'tax_rate_rows', 'installment_rows']), den - unnest([a, b, c]), den from {name}_l)"""
+
+
 def run_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as runs, line states as their stages."""
     state = F.when(F.col("l_discount") > 0.09, "failed").when(F.col("l_tax") > 0.07, "blocked").otherwise("succeeded")
@@ -254,20 +290,7 @@ select 'payment_history_semantics' as "check", cast(k as varchar) as key, code f
   union all select o.k, 'payment_placeholder_flag_mismatch' from o join sig using (k) where (case when n <> 1 then n = 2 end) is distinct from has_none
   union all select o.k, 'placeholder_payment_rollup_conflict' from o left join sig using (k) where (coalesce(has_none, false) or n = 2) and filled)""",
     "field_presence": f"with {_PRESENCE} select field, num, den, {_RATE} as rate from presence",
-    "profile_snapshot": f"""with {_FETCHES}, {_PRESENCE},
-ok as (select fetch_id from fetches where status_code = 200),
-n as (
-  select (select count(*) from fetches) as fetches, (select count(*) from ok) as good, (select count(parsed_at) from fetches) as parsed, (select count(parse_error) from fetches) as errors,
-         (select count(*) from customer) as parcels, (select count(distinct o_custkey) from orders where o_orderpriority = '1-URGENT') as s, (select count(distinct o_custkey) from orders where o_orderpriority <> '2-HIGH') as f,
-         (select count(*) from ok where fetch_id not in (select l_orderkey from lineitem where l_quantity > 40)) as m1, (select count(*) from ok where fetch_id not in (select l_orderkey from lineitem where l_discount > 0.08)) as m2,
-         (select count(*) from ok where fetch_id not in (select l_orderkey from lineitem where l_tax > 0.07)) as m3),
-m as (
-  select 'field_coverage.successful_fetch_rate' as metric, good as num, fetches as den from n union all select 'field_coverage.parsed_successful_fetch_rate', parsed, good from n
-  union all select 'field_coverage.parse_error_successful_fetch_rate', errors, good from n union all select 'field_coverage.parcel_summary_parcel_rate', s, parcels from n
-  union all select 'field_coverage.parcel_year_fact_parcel_rate', f, parcels from n union all select 'selector_miss.assessment_fetch_rate', m1, good from n
-  union all select 'selector_miss.tax_fetch_rate', m2, good from n union all select 'selector_miss.payment_fetch_rate', m3, good from n
-  union all select 'tax_detail_field_presence.' || field, num, den from presence union all select 'extraction_null_rate.' || field, den - num, den from presence)
-select metric, num, den, {_RATE} as rate from m""",
+    "profile_snapshot": f"with {snapshot_sql(None, 'm')} select metric, num, den, {_RATE} as rate from m",
     "run_failures": """with s as (select l_orderkey as o_orderkey, bool_or(l_discount > 0.09) as f, bool_or(l_discount <= 0.09 and l_tax > 0.07) as b from lineitem group by all)
 select o_orderpriority, count(*) as n, round(count(*) filter (where o_orderstatus = 'P') / count(*), 4) as run_failed, round(count(*) filter (where f) / count(*), 4) as stage_failed,
        round(count(*) filter (where b) / count(*), 4) as stage_blocked from orders left join s using (o_orderkey) group by all""",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lotlens.operators import features, pick, review, rules
 from lotlens.plans import valuation as v
-from lotlens.runtime import cut, table
+from lotlens.runtime import cut, scratch, table
+from lotlens.sources import sinks
 
 KEYS = ["parcel_id", "yr"]
 
@@ -125,9 +126,27 @@ def review_queue_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scored(spark, sf_dir).where("band <> 'low'")
-    text = F.concat(F.when(F.col("cls").startswith("S"), " =").otherwise(""), F.col("muni"))
-    return review.formula_safe(rows.select("parcel_id", "yr", text.alias("muni"), "requires_review", F.when(F.col("score") > 45, F.col("cls")).alias("cls")))
+    """The thousand highest rows of two runs as CSV, the second written twice, the last time with its best hundred; all read back."""
+    scored = _scored(spark, sf_dir)
+    first = F.try_element_at("triggers", F.lit(1))
+    own = [F.desc("score"), F.desc("reason_code_count"), F.desc("yr"), F.asc("parcel_id")]
+    rows = scored.select(*KEYS, "score", "band", "requires_review", "muni", "cls", F.size("triggers").alias("reason_code_count"), first["reason"].alias("reason"), first["weight"].alias("weight"))
+    top = cut(review.queue(rows, own, 1000))
+    none = F.lit(None).cast("string")
+    text = F.concat(F.when(F.col("cls").startswith("S"), " =").when(F.col("cls").startswith("P"), 'say "a, b"\n').otherwise(""), F.col("muni"))
+
+    def run(name: str, most: int) -> DataFrame:
+        return top.where(F.col("queue_rank") <= most).select(
+            "queue_rank", F.concat_ws("-", "parcel_id", "yr").alias("score_id"), F.lit(name).alias("run_id"), none.alias("feature_run_id"), "parcel_id", F.col("yr").alias("year"), F.col("score").cast("decimal(6,2)").alias("score_value"),
+            F.col("band").alias("risk_band"), "requires_review", F.lit("unreviewed").alias("review_status"), none.alias("review_disposition"), none.alias("review_updated_at"), "reason_code_count", F.col("reason").alias("primary_reason_code"),
+            F.col("weight").cast("decimal(6,2)").alias("primary_reason_weight"), text.alias("municipality_name"), F.when(F.col("score") > 45, F.concat(F.col("cls"), F.lit(" "))).alias("valuation_classification"), F.col("parcel_id").alias("dossier_parcel_id"),
+            F.col("yr").alias("dossier_year"), F.lit("-v1").alias("dossier_feature_version"), F.lit("").alias("dossier_ruleset_version"),
+        )
+
+    folder = scratch(spark, "queue")
+    for name, most in (("run a", 1000), ("run b", 500), ("run b", 100)):
+        sinks.write_queue(run(name, most), folder)
+    return sinks.read_queue(spark, folder)
 
 
 def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,8 +357,15 @@ union all select o_orderkey, 'government_transfer' from r where m = 'BUILDING'""
        when not requires_review then 'requires_review' when not other then 'reason' else 'passed' end as stage, count(*) as n from banded group by all""",
     "review_queue_page": _FEAT + """select * from (select parcel_id, yr, muni, score, band, reason_count,
        row_number() over (order by score desc, reason_count desc, yr desc, parcel_id) as queue_rank from banded) where queue_rank between 26 and 50""",
-    "queue_csv": _FEAT + """select cast(parcel_id as varchar) as parcel_id, cast(yr as varchar) as yr, case when cls like 'S%' then '''' || ' =' || muni else muni end as muni,
-       cast(requires_review as varchar) as requires_review, case when score > 45 then cls else '' end as cls from banded where band <> 'low'""",
+    "queue_csv": _FEAT + """, best as (
+  select *, row_number() over (order by score desc, reason_count desc, yr desc, parcel_id) as rank from banded),
+runs as (select unnest(['run a', 'run b']) as run_id, unnest([1000, 100]) as most),
+f as (select parcel_id, yr, reason, weight from flags where reason_rank = 1)
+select cast(rank as varchar) as queue_rank, b.parcel_id || '-' || b.yr as score_id, run_id, '' as feature_run_id, cast(b.parcel_id as varchar) as parcel_id, cast(b.yr as varchar) as year, cast(cast(score as decimal(6,2)) as varchar) as score_value,
+       band as risk_band, cast(requires_review as varchar) as requires_review, 'unreviewed' as review_status, '' as review_disposition, '' as review_updated_at, cast(reason_count as varchar) as reason_code_count, coalesce(reason, '') as primary_reason_code,
+       coalesce(cast(cast(weight as decimal(6,2)) as varchar), '') as primary_reason_weight, case when cls like 'S%' then '''' || ' =' || muni when cls like 'P%' then 'say "a, b"' || chr(10) || muni else muni end as municipality_name,
+       case when score > 45 then cls || ' ' else '' end as valuation_classification, cast(b.parcel_id as varchar) as dossier_parcel_id, cast(b.yr as varchar) as dossier_year, '''' || '-v1' as dossier_feature_version, '' as dossier_ruleset_version
+from best b join runs on rank <= most left join f on f.parcel_id = b.parcel_id and f.yr = b.yr""",
     "band_outcomes": _CASES + _outcome_sql("cases", "band"),
     "reason_outcomes": _CASES + _outcome_sql("reasons", "reason"),
     "reason_band_slices": _CASES + _outcome_sql("reasons", "reason, band", "count(distinct doc_id)", "count(distinct case when {} then doc_id end)"),
