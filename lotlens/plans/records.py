@@ -291,8 +291,8 @@ _EXCL = scoring.SQL["sale_exclusions"]
 
 _TIMELINE = f"""{FACT}, {SALE},
 ev as (
-  select parcel_id, 'assessment' as event_type, cast(yr as bigint) as row_id, make_date(yr, 1, 1) as event_date, yr as event_year, cast(v as double) as amount, 1 as r from fact
-  union all select parcel_id, 'sale', txn, make_date(yr, 1, 1), yr, cast(price as double), 2 from sale
+  select parcel_id, 'assessment' as event_type, cast(yr as bigint) as row_id, make_date(yr, 1, 1) as event_date, yr as event_year, cast(v as double) as amount, 5 as r from fact
+  union all select parcel_id, 'sale', txn, make_date(yr, 1, 1), yr, cast(price as double), 4 from sale
   union all select l_partkey, 'permit', l_orderkey * 10 + l_linenumber, case when l_quantity > 10 then cast(l_shipdate as date) else make_date(year(l_shipdate), 1, 1) end, year(l_shipdate), l_extendedprice, 3
   from lineitem where l_returnflag = 'A')"""
 
