@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,8 @@ class Rule:
     """``tiers``: (threshold, weight) from the strongest; a rule fires with its first tier that holds, always for one reason.
 
     ``metric`` is compared by ``op``; ``needs`` are the inputs without which the rule is skipped; ``guard`` is a SQL
-    predicate that must hold as well; ``also`` are thresholds of a second metric (name, op, one value a tier).
+    predicate that must hold as well; ``also`` are thresholds of a second metric (name, op, one value a tier).  ``says``
+    explains a hit, with {value}, {threshold} and {support} for their texts.
     """
 
     name: str
@@ -24,17 +26,29 @@ class Rule:
     needs: tuple[str, ...] = ()
     guard: str = "true"
     also: tuple[str, str, tuple[float, ...]] | None = None
+    says: str = "{value} against {threshold}"
 
 
-#: The reason codes, thresholds and weights of the first rule set.
+#: The reason codes, thresholds, weights and explanations of the first rule set, and what a permit must explain.
+PERMIT_SUPPORT = 10000
 RULES = (
-    Rule("ratio", "ratio__assessment_to_sale_below_floor", "assessment_to_sale_ratio", "<", ((0.55, 35), (0.70, 20))),
-    Rule("peer", "peer__assessment_ratio_bottom_peer_percentile", "peer_percentile", "<=", ((0.05, 20), (0.10, 12))),
-    Rule("permit_gap", "permit_gap__assessment_increase_unexplained_by_permits", "permit_adjusted_gap", ">=", ((50000, 20), (20000, 12))),
-    Rule("yoy", "yoy__assessment_spike_without_support", "yoy_assessment_change_pct", ">=", ((0.35, 16), (0.20, 10)), guard="permit_adjusted_expected_change is null or permit_adjusted_expected_change <= 10000"),
-    Rule("appeals", "appeal__recurring_successful_reductions", "appeal_success_rate_3y", ">=", ((0.75, 12), (0.60, 8)), needs=("appeal_value_delta_3y",), also=("appeal_value_delta_3y", "<=", (-15000, -5000))),
-    Rule("lineage", "lineage__post_lineage_value_drop", "lineage_value_reset_delta", "<=", ((-100000, 18), (-50000, 10))),
+    Rule("ratio", "ratio__assessment_to_sale_below_floor", "assessment_to_sale_ratio", "<", ((0.55, 35), (0.70, 20)), says="Assessment-to-sale ratio {value} is below threshold {threshold}."),
+    Rule("peer", "peer__assessment_ratio_bottom_peer_percentile", "peer_percentile", "<=", ((0.05, 20), (0.10, 12)), says="Peer percentile {value} is at or below threshold {threshold} for the parcel peer group."),
+    Rule("permit_gap", "permit_gap__assessment_increase_unexplained_by_permits", "permit_adjusted_gap", ">=", ((50000, 20), (20000, 12)), says="Permit-adjusted gap {value} exceeds threshold {threshold}, indicating unexplained assessed-value increase."),
+    Rule(
+        "yoy", "yoy__assessment_spike_without_support", "yoy_assessment_change_pct", ">=", ((0.35, 16), (0.20, 10)),
+        guard=f"permit_adjusted_expected_change is null or permit_adjusted_expected_change <= {PERMIT_SUPPORT}", says="Year-over-year assessment change {value} exceeds threshold {threshold} without strong permit support ({support} vs cutoff 10000).",
+    ),
+    Rule(
+        "appeals", "appeal__recurring_successful_reductions", "appeal_success_rate_3y", ">=", ((0.75, 12), (0.60, 8)), needs=("appeal_value_delta_3y",), also=("appeal_value_delta_3y", "<=", (-15000, -5000)),
+        says="Appeal success rate {value} meets threshold {threshold} with net negative appeal value change over 3 years.",
+    ),
+    Rule("lineage", "lineage__post_lineage_value_drop", "lineage_value_reset_delta", "<=", ((-100000, 18), (-50000, 10)), says="Lineage reset delta {value} is at or below threshold {threshold}, indicating a post-lineage value drop."),
 )
+#: The digits of metrics in texts.
+DIGITS = {
+    "assessment_to_sale_ratio": 6, "peer_percentile": 4, "yoy_assessment_change_pct": 6, "permit_adjusted_expected_change": 2, "permit_adjusted_gap": 2, "appeal_value_delta_3y": 2, "appeal_success_rate_3y": 4, "lineage_value_reset_delta": 2,
+}
 
 _OPS = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
 
@@ -72,11 +86,54 @@ def score(features: DataFrame, rules: tuple[Rule, ...] = RULES, high: float = 70
     return out.withColumn("band", band).withColumn("requires_review", F.col("score") >= medium)
 
 
-def flag_rows(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each trigger: keys, score, band, reason_rank, the trigger's fields and an explanation."""
-    rows = scored.select(*keys, "score", "band", F.posexplode("triggers").alias("pos", "t"))
-    text = F.format_string("%s %s %s (%s)", F.col("t.metric"), F.col("t.operator"), F.col("t.threshold").cast("string"), F.round("t.value", 4).cast("string"))
-    return rows.select(*keys, "score", "band", (F.col("pos") + 1).alias("reason_rank"), "t.*", text.alias("explanation"))
+def limit_text(limit: float) -> str:
+    return f"{limit:.2f}" if abs(limit) < 1 else f"{limit:.0f}"
+
+
+def metric_text(name: str, value: Column | None = None) -> Column:
+    return (F.col(name) if value is None else value).cast(f"decimal(20,{DIGITS.get(name, 4)})").cast("string")
+
+
+def _support() -> Column:
+    return F.when(F.col("permit_adjusted_expected_change").isNull(), "is_null").otherwise("<=_cutoff")
+
+
+def _explained(rules: tuple[Rule, ...]) -> Column:
+    """The sentence of the rule of trigger ``t``."""
+    limits = F.create_map(*[x for r in rules for limit, _ in r.tiers for x in (F.lit(f"{r.name} {float(limit)}"), F.lit(limit_text(limit)))])
+    out = F.lit(None).cast("string")
+    for r in rules:
+        said = {"{value}": metric_text(r.metric, F.col("t.value")), "{threshold}": F.element_at(limits, F.concat_ws(" ", "t.rule", F.col("t.threshold").cast("string"))), "{support}": _support()}
+        parts = [said.get(x, F.lit(x)) for x in re.split(r"(\{\w+\})", r.says) if x]
+        out = F.when(F.col("t.rule") == r.name, F.concat(*parts)).otherwise(out)
+    return out
+
+
+def _evidence(rules: tuple[Rule, ...], permit_basis: str | None) -> Column:
+    """What else a hit rests on, as a map of texts: the lack of permits for a rise, the value change for appeals; else null."""
+    none = F.lit(None).cast("string")
+    expected = "permit_adjusted_expected_change"
+    yoy = F.create_map(
+        F.lit(expected), metric_text(expected), F.lit(f"{expected}_condition"), _support(), F.lit(f"{expected}_cutoff"), F.lit(str(PERMIT_SUPPORT)), F.lit("permit_basis"), F.col(permit_basis) if permit_basis else none,
+    )
+    out = F.when(F.col("t.rule") == "yoy", yoy)
+    for r in rules:
+        if r.also:
+            limit = F.lit(None).cast("string")
+            for (first, _), second in zip(r.tiers, r.also[2], strict=True):
+                limit = F.when(F.col("t.threshold") == float(first), limit_text(second)).otherwise(limit)
+            out = out.when(F.col("t.rule") == r.name, F.create_map(F.lit(r.also[0]), metric_text(r.also[0]), F.lit(r.also[0].removesuffix("_3y") + "_threshold"), limit))
+    return out
+
+
+def flag_rows(scored: DataFrame, keys: list[str], rules: tuple[Rule, ...] = RULES, permit_basis: str | None = None) -> DataFrame:
+    """One row for each trigger: keys, score, band, reason_rank, the trigger's fields, an explanation and ``evidence``.
+
+    permit_basis: the column that says what a permit's expected change is taken from, if there is one.
+    """
+    more = [c for c in {"permit_adjusted_expected_change", permit_basis, *[r.also[0] for r in rules if r.also]} if c]
+    rows = scored.select(*keys, "score", "band", F.posexplode("triggers").alias("pos", "t"), *[F.col(c) for c in more if c not in keys])
+    return rows.select(*keys, "score", "band", (F.col("pos") + 1).alias("reason_rank"), "t.*", _explained(rules).alias("explanation"), _evidence(rules, permit_basis).alias("evidence"))
 
 
 def rescore(new: DataFrame, old: DataFrame, reviewed: DataFrame, keys: list[str]) -> DataFrame:

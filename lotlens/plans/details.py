@@ -36,15 +36,32 @@ def negative_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where(P.any_negative_amount(data)).select("event_id", F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["ref"], x["label"])), "|").alias("links"))
 
 
-def feature_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sorted error codes of feature rows that break a bound, with their number."""
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part-years as feature rows with their details, some of which are odd, and their errors."""
     rows = scoring.feature_rows(spark, sf_dir)
-    codes = features.validation_errors(
-        ratio_too_large=F.col("assessment_to_sale_ratio") > 3, percentile_at_top=F.col("peer_percentile") > 0.95, change_too_large=F.abs("yoy_assessment_change_pct") > 2,
-        rate_out_of_range=~F.col("appeal_success_rate_3y").between(0, 0.9), missing_gap=F.col("permit_adjusted_gap").isNull(),
+    p, y = F.col("parcel_id"), F.col("yr")
+    key = lambda year: F.struct(p.alias("parcel_id"), year.alias("year"))
+    made = rows.select(
+        F.when(p % 37 != 0, p.cast("string")).otherwise(" ").alias("parcel_id"), F.when(p % 41 != 0, y).otherwise(0).alias("year"), F.when(p % 43 != 0, "v1").alias("feature_version"),
+        F.when(p % 5 != 0, F.col("assessment_to_sale_ratio")).alias("assessment_to_sale_ratio"), (F.col("peer_percentile") + F.when(p % 7 == 0, 0.5).otherwise(0.0)).alias("peer_percentile"), "permit_adjusted_expected_change",
+        "appeal_value_delta_3y", "appeal_success_rate_3y", F.when(p % 11 == 0, "odd").when(F.col("permit_adjusted_expected_change").isNull(), "unknown").when(F.col("permit_adjusted_expected_change") == 0, "none").otherwise("declared").alias("permit_basis"),
+        F.when(p % 3 == 0, F.array(key(y), key(y - 1))).when(p % 3 == 1, F.array(key(y))).alias("permit_source_keys"), F.when(p % 2 == 0, F.array(key(y - 1), key(y))).alias("appeal_source_keys"),
+        F.when(F.col("appeal_value_delta_3y").isNull(), "missing").otherwise("known").alias("appeal_value_detail_status"), F.when(p % 13 == 0, "none").otherwise("known").alias("appeal_outcome_detail_status"),
+        F.when(p % 4 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("a"))).alias("related_parcel_ids"), (p % 2 + 1).cast("int").alias("relationship_count"),
+        F.when(p % 17 != 0, F.array(*map(F.lit, features.SOURCE_REFS))).otherwise(F.array(F.lit("sales"))).alias("source_ref_keys"), features.quality_flags(F.when(y < 1995, "early_year"), F.when(F.col("peer_percentile") > 0.5, "upper_half")).alias("quality_flags"),
     )
-    bad = rows.withColumn("errors", F.array_join(codes, ",")).where("errors <> ''")
-    return bad.groupBy("errors").agg(F.count("*").alias("n"), F.min(F.struct("parcel_id", "yr")).alias("m")).select("errors", "n", F.col("m.parcel_id").alias("parcel_id"), F.col("m.yr").alias("yr"))
+    return features.validated(made)
+
+
+def feature_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of kept and skipped rows, flags and errors."""
+    return features.build_diagnostics(_checked(spark, sf_dir))
+
+
+def feature_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 skipped rows, with their errors as text."""
+    rows = _checked(spark, sf_dir).where("parcel_id <> ' ' and year > 0")
+    return features.skipped_sample(rows).select("parcel_id", "year", F.array_join("errors", ",").alias("errors"))
 
 
 def review_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,10 +113,28 @@ def lineage_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("page_id"), F.col("related").cast("long").alias("related"), "kind")
 
 
-QUERIES = {f.__name__: f for f in (parcel_codes, negative_amounts, feature_validation, review_listing, next_pages, report_rollup, detail_records, routed_details, lineage_of_pages)}
+QUERIES = {f.__name__: f for f in (parcel_codes, negative_amounts, feature_validation, feature_skips, review_listing, next_pages, report_rollup, detail_records, routed_details, lineage_of_pages)}
 
 _FEAT = scoring._FEAT
 
+_CHECKED = """, mk as (
+  select parcel_id as p, case when parcel_id % 37 <> 0 then cast(parcel_id as varchar) else ' ' end as parcel_id, case when parcel_id % 41 <> 0 then yr else 0 end as year, parcel_id % 43 = 0 as no_version,
+         case when parcel_id % 5 <> 0 then assessment_to_sale_ratio end as ratio, peer_percentile + case when parcel_id % 7 = 0 then 0.5 else 0 end as peer, permit_adjusted_expected_change as expected, appeal_value_delta_3y as delta, appeal_success_rate_3y as rate,
+         case when parcel_id % 11 = 0 then 'odd' when permit_adjusted_expected_change is null then 'unknown' when permit_adjusted_expected_change = 0 then 'none' else 'declared' end as basis,
+         case when appeal_value_delta_3y is null then 'missing' else 'known' end as vs, case when parcel_id % 13 = 0 then 'none' else 'known' end as os, parcel_id % 2 = 0 as akeys, parcel_id % 3 < 2 as pkeys,
+         list_filter([case when yr < 1995 then 'early_year' end, case when peer_percentile > 0.5 then 'upper_half' end], lambda x: x is not null) as flags from feat),
+chk as (
+  select parcel_id, year, flags, list_sort(list_filter([
+    case when trim(parcel_id) = '' then 'missing_required_parcel_id' end, case when year <= 0 then 'invalid_year' end, case when no_version then 'missing_required_feature_version' end, case when ratio < 0 then 'negative_assessment_to_sale_ratio' end,
+    case when peer < 0 or peer > 1 then 'out_of_bounds_peer_percentile' end, case when peer is not null and ratio is null then 'peer_percentile_without_ratio' end, case when rate < 0 or rate > 1 then 'out_of_bounds_appeal_success_rate_3y' end,
+    case when basis = 'none' and coalesce(expected, 1) <> 0 then 'permit_basis_none_with_nonzero_expected_change' end, case when basis = 'none' and pkeys then 'permit_basis_none_with_source_keys' end, case when basis = 'unknown' and expected is not null then 'permit_basis_unknown_with_expected_change' end,
+    case when basis = 'declared' and expected is null then 'permit_basis_known_without_expected_change' end, case when basis = 'declared' and not pkeys then 'permit_basis_known_without_source_keys' end, case when basis = 'odd' then 'invalid_permit_basis' end,
+    case when p % 3 = 0 then 'permit_source_keys_not_sorted_unique' end, case when vs = 'known' and delta is null then 'appeal_value_known_without_value' end, case when vs = 'known' and not akeys then 'appeal_value_known_without_source_keys' end,
+    case when vs = 'missing' and delta is not null then 'appeal_value_missing_with_value' end, case when vs = 'missing' and not akeys then 'appeal_value_missing_without_source_keys' end, case when os = 'none' and rate is not null then 'appeal_outcome_none_with_rate' end,
+    case when os = 'none' and akeys then 'appeal_outcome_none_with_source_keys' end, case when os = 'known' and not akeys then 'appeal_outcome_known_without_source_keys' end, case when p % 4 = 0 then 'lineage_related_parcels_not_sorted_unique' end,
+    case when p % 17 = 0 then 'missing_source_refs_lineage' end, case when p % 17 <> 0 and p % 2 + 1 <> case when p % 4 = 0 then 2 else 1 end then 'lineage_relationship_count_mismatch' end, case when p % 17 = 0 then 'missing_required_source_refs_keys' end],
+    lambda x: x is not null)) as errors from mk)"""
+
 SQL = {
     "parcel_codes": """with p as (select *, lpad(cast(p_partkey as varchar), 12, '0') as k from part)
 select p_partkey, case when p_size % 2 = 1 then substr(k, 1, 2) end as township, case when p_size % 2 = 1 then substr(k, 5, 2) end as section, case when p_size % 2 = 1 then substr(k, 8, 4) end as parcel,
@@ -107,10 +142,14 @@ select p_partkey, case when p_size % 2 = 1 then substr(k, 1, 2) end as township,
        case when p_size > 15 and upper(substr(p_type, 1, 1)) = 'X' then true when p_size <> 5 and p_size < 20 and p_size > 10 and not p_retailprice > 1000 and regexp_matches(upper(p_name), 'CITY|7') then true
             when p_size > 15 or (p_name is not null and p_size <> 5) then false end as exempt from p""",
     "negative_amounts": """select event_id, 'deed:d1:x|photo:' || user_id as links from events where round(value - 5, 2) < 0""",
-    "feature_validation": _FEAT + """, e as (select parcel_id, yr, concat_ws(',', case when abs(yoy_assessment_change_pct) > 2 then 'change_too_large' end, case when permit_adjusted_gap is null then 'missing_gap' end,
-  case when peer_percentile > 0.95 then 'percentile_at_top' end, case when appeal_success_rate_3y not between 0 and 0.9 then 'rate_out_of_range' end, case when assessment_to_sale_ratio > 3 then 'ratio_too_large' end) as errors from feat),
-m as (select *, row_number() over (partition by errors order by parcel_id, yr) as n, count(*) over (partition by errors) as c from e where errors <> '')
-select errors, c as n, parcel_id, yr from m where n = 1""",
+    "feature_validation": _FEAT + f"""{_CHECKED},
+f as (select unnest(case when len(errors) = 0 then flags else [] end) as flag from chk),
+x as (
+  select 'rows' as kind, case when len(errors) = 0 then 'inserted' else 'skipped' end as name from chk union all select 'rows', 'with_quality_flags' from chk where len(errors) = 0 and len(flags) > 0
+  union all select 'rows', 'quality_warnings' from f union all select 'flag', flag from f union all select 'error', unnest(errors) from chk)
+select kind, name, count(*) as n from x group by all""",
+    "feature_skips": _FEAT + f"""{_CHECKED}
+select parcel_id, year, array_to_string(errors, ',') as errors from chk where len(errors) > 0 and parcel_id <> ' ' and year > 0 order by parcel_id, year limit 25""",
     "review_listing": "select event_id, ts, event_type from events order by ts desc, event_id desc limit 40 offset 80",
     "next_pages": "select o_orderkey from orders where o_orderstatus <> 'P' and o_orderkey > 500 and not o_totalprice > 200000 order by o_orderkey limit 100",
     "report_rollup": _FEAT + """select 'reason' as kind, reason as name, count(*) as n from flags where band <> 'low' group by all

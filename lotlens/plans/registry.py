@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotlens.plans import artifacts, details, dossiers, monitoring, parcels, records, scoring, tables, valuation
+from lotlens.plans import artifacts, details, dossiers, monitoring, parcels, records, scoring, tables, taxes, valuation
 
-_MODULES = (valuation, scoring, monitoring, records, details, parcels, artifacts, tables, dossiers)
+_MODULES = (valuation, scoring, monitoring, records, details, parcels, artifacts, tables, dossiers, taxes)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}

@@ -55,6 +55,13 @@ def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.flag_rows(_scored(spark, sf_dir), KEYS).select(*KEYS, "score", "band", "reason_rank", "rule", "reason", "weight", "metric", "threshold", "operator", F.round("value", 6).alias("value"))
 
 
+def flag_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each rule fired: its sentence and the secondary evidence as text."""
+    flags = rules.flag_rows(_scored(spark, sf_dir), KEYS)
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("evidence")), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("-")))), ",")
+    return flags.select(*KEYS, "reason", "reason_rank", "explanation", text.alias("evidence"))
+
+
 def review_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(kind, name): the band of each row that needs review, and each reason of rows whose band is not low; one pass over the scores."""
     entry = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
@@ -330,7 +337,7 @@ from (select *, disposition is not null or status in ('resolved', 'closed') as r
 _SCORES = "with scores as (select o_orderkey, o_custkey, o_orderpriority, round(least(100.0, o_totalprice / 5000), 2) as score from orders)\n"
 
 QUERIES = {f.__name__: f for f in (
-    feature_rows, rule_scores, rule_flags, skip_reasons, primary_reasons, top_flags, top_parcels, band_breakdown, reason_counts, rescored_ids, sale_exclusions,
+    feature_rows, rule_scores, rule_flags, flag_evidence, skip_reasons, primary_reasons, top_flags, top_parcels, band_breakdown, reason_counts, rescored_ids, sale_exclusions,
     filter_funnel, review_queue_page, queue_csv, band_outcomes, reason_outcomes, reason_band_slices, reason_breakdown, tuning, benchmark_mix, benchmark_segments,
     threshold_sweep, score_histogram, reason_mix, borderline, area_rollup, run_inventory, review_actions,
 )}
@@ -339,6 +346,16 @@ SQL = {
     "feature_rows": _FEAT + "select * from feat",
     "rule_scores": _FEAT + "select parcel_id, yr, raw_score, score, band, requires_review, reasons, n_skipped from banded",
     "rule_flags": _FEAT + "select parcel_id, yr, score, band, reason_rank, rule, reason, cast(weight as double) as weight, metric, cast(threshold as double) as threshold, operator, round(value, 6) as value from flags",
+    "flag_evidence": _FEAT + """select g.parcel_id, g.yr, reason, reason_rank, case rule
+         when 'ratio' then 'Assessment-to-sale ratio ' || cast(cast(value as decimal(20,6)) as varchar) || ' is below threshold ' || case when weight = 35 then '0.55' else '0.70' end || '.'
+         when 'peer' then 'Peer percentile ' || cast(cast(value as decimal(20,4)) as varchar) || ' is at or below threshold ' || case when weight = 20 then '0.05' else '0.10' end || ' for the parcel peer group.'
+         when 'permit_gap' then 'Permit-adjusted gap ' || cast(cast(value as decimal(20,2)) as varchar) || ' exceeds threshold ' || case when weight = 20 then '50000' else '20000' end || ', indicating unexplained assessed-value increase.'
+         when 'yoy' then 'Year-over-year assessment change ' || cast(cast(value as decimal(20,6)) as varchar) || ' exceeds threshold ' || case when weight = 16 then '0.35' else '0.20' end || ' without strong permit support (' || support || ' vs cutoff 10000).'
+         when 'appeals' then 'Appeal success rate ' || cast(cast(value as decimal(20,4)) as varchar) || ' meets threshold ' || case when weight = 12 then '0.75' else '0.60' end || ' with net negative appeal value change over 3 years.'
+         else 'Lineage reset delta ' || cast(cast(value as decimal(20,2)) as varchar) || ' is at or below threshold ' || case when weight = 18 then '-100000' else '-50000' end || ', indicating a post-lineage value drop.' end as explanation,
+       case rule when 'yoy' then 'permit_adjusted_expected_change=' || coalesce(cast(cast(permit_adjusted_expected_change as decimal(20,2)) as varchar), '-') || ',permit_adjusted_expected_change_condition=' || support || ',permit_adjusted_expected_change_cutoff=10000,permit_basis=-'
+         when 'appeals' then 'appeal_value_delta_3y=' || cast(cast(appeal_value_delta_3y as decimal(20,2)) as varchar) || ',appeal_value_delta_threshold=' || case when weight = 12 then '-15000' else '-5000' end end as evidence
+from flags g join (select *, case when permit_adjusted_expected_change is null then 'is_null' else '<=_cutoff' end as support from feat) f on f.parcel_id = g.parcel_id and f.yr = g.yr""",
     "skip_reasons": _FEAT + "select rule, missing, count(*) as n from skip0 group by all",
     "primary_reasons": _FEAT + "select parcel_id, yr, reason as primary_reason from flags where reason_rank = 1",
     "top_flags": _FEAT + "select parcel_id, yr, score, reason_rank, reason from flags order by score desc, reason_rank, parcel_id, yr, reason limit 20",
