@@ -21,8 +21,10 @@ from lotlens.runtime import cut
 
 #: Fixed masks of weight 6; 1: the token is hashed, 0: it may differ.
 SEEDS = ("1101001011", "1110010101", "1011100101", "111111")
-#: Bytes of distinct test texts whose hashes go to every executor at once; more test text is taken in several passes.
+#: Bytes of distinct test texts up to which their index goes to every executor; beyond, hashes are joined by a shuffle.
 MAX_TEST_BYTES = 8 << 20
+#: Bits of the table that then refuses most hashes of documents before the shuffle (16 MB), whatever the size of the tests.
+TABLE_BITS = 27
 #: Hits of a seed that are looked at together; a pattern that repeats in text and item has very many.
 HITS = 1 << 18
 ROWS = "doc_id long, key string, n_match long, n_aligned long, doc_token long, item_token long, item_tokens long"
@@ -121,7 +123,7 @@ _held: dict[str, TestIndex] = {}
 
 
 def _opened(token: str, sent: tuple[list[str], list[str]], seeds: tuple[str, ...]) -> TestIndex:
-    """The index of a pass, built once in a worker and kept for its next tasks."""
+    """The index, built once in a worker and kept for its next tasks."""
     if token not in _held:
         while len(_held) > 1:
             _held.pop(next(iter(_held)))
@@ -145,20 +147,94 @@ def _scan(batches: Iterable[pa.RecordBatch], index: TestIndex, least: int, share
         tidy()
 
 
-def _sent(tests: DataFrame, max_test_bytes: int) -> Iterator[tuple[str, tuple[list[str], list[str]]]]:
-    """(name, (keys, texts)) of each pass over the distinct test texts, of about ``max_test_bytes`` each."""
-    n = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = -(-n // max_test_bytes) or 1
-    for k in range(passes):
-        part = tests.where(F.pmod(F.xxhash64("key"), F.lit(passes)) == k).collect()
-        yield uuid.uuid4().hex, ([r["key"] for r in part], [r["text"] for r in part])
-
-
 def _distinct(tests: DataFrame) -> DataFrame:
-    """(key, text): copies of a test text would all fall into one pass, so each text is taken once."""
+    """(key, text): each test text once, however often it is there."""
     return cut(tests.select("key", "text").dropDuplicates(["key"]))
 
 
+def _masks(seeds: tuple[str, ...]) -> list[str]:
+    """The seeds and, for items shorter than the longest of them, whole items of each length."""
+    return [*seeds, *[m for n in range(1, max(map(len, seeds))) if (m := "1" * n) not in seeds]]
+
+
+def _slots(h: np.ndarray, mask: int, bits: int) -> np.ndarray:
+    return (mix(h ^ np.uint64(0x9E3779B97F4A7C15 * (mask + 1) & (2**64 - 1))) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _tokens(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, tokens) of each text."""
+    for row, end_row, data, offsets in slices(texts):
+        start, end, first = runs(data, offsets, WORDS)
+        tokens = token_hashes(data, start, end)
+        yield from ((row + i, tokens[first[i] : first[i + 1]]) for i in range(end_row - row))
+
+
+def _seed_rows(tests: DataFrame, seeds: tuple[str, ...], bits: int) -> DataFrame:
+    """(mask, h, key, slot): the distinct seed hashes of test texts, and their bits of the table."""
+    masks, longest = _masks(seeds), max(map(len, seeds))
+
+    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, tokens in _tokens(batch.column("text")):
+                own = seeds if len(tokens) >= longest else ("1" * len(tokens),) if len(tokens) else ()
+                for m in own:
+                    h, k = np.unique(seed_hashes(tokens, m)), masks.index(m)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array([batch.column("key")[row].as_py()] * len(h), pa.string()), pa.array(_slots(h, k, bits))], ["mask", "h", "key", "slot"])
+
+    return tests.mapInArrow(of, "mask int, h long, key string, slot long")
+
+
+def _candidates(own: DataFrame, tests: DataFrame, seeds: tuple[str, ...], test_bytes: int) -> DataFrame:
+    """(row, key): documents and distinct test texts with a seed hash in common, joined by a shuffle.
+
+    own: row, text.  The test side is hashed once and written; a bit table of bounded size goes to the executors, so that
+    most hashes of documents are never shuffled.
+    """
+    bits = min(TABLE_BITS, max(16, (4 * test_bytes).bit_length()))
+    index = cut(_seed_rows(tests, seeds, bits))
+    word = index.select(F.expr("slot div 64").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int")).alias("bit"))
+    words = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2 ** (TABLE_BITS - 6) rows of two longs at most
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    sent, masks = own.sparkSession.sparkContext.broadcast(table), _masks(seeds)
+    used = {r["mask"] for r in index.select("mask").distinct().collect()}  # as many as there are masks
+
+    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, some, hashes = [], [], []
+            for at, tokens in _tokens(batch.column("text")):
+                for k in sorted(used):
+                    h = np.unique(seed_hashes(tokens, masks[k]))
+                    slot = _slots(h, k, bits)
+                    h = h[(sent.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1]
+                    rows.append(np.full(len(h), batch.column("row")[at].as_py(), np.int64))
+                    some.append(np.full(len(h), k, np.int32))
+                    hashes.append(h.view(np.int64))
+            cols = [np.concatenate([np.empty(0, kind), *x]) for kind, x in ((np.int64, rows), (np.int32, some), (np.int64, hashes))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["row", "mask", "h"])
+            tidy()
+
+    return own.mapInArrow(of, "row long, mask int, h long").join(index.select("mask", "h", "key"), ["mask", "h"]).select("row", "key").distinct()
+
+
+def _verified(own: DataFrame, tests: DataFrame, seeds: tuple[str, ...], least: int, share: float, test_bytes: int) -> DataFrame:
+    """(row, key, n_match ...): the overlaps of the candidates, each verified where its two texts meet."""
+    both = _candidates(own, tests, seeds, test_bytes).join(own, "row").join(tests.withColumnRenamed("text", "item"), "key").select("row", "key", "text", "item")
+    names = ["row", *[x.split()[0] for x in ROWS.split(", ")][1:]]
+
+    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for at, tokens in _tokens(batch.column("text")):
+                key = batch.column("key")[at].as_py()
+                index = TestIndex([key], [batch.column("item")[at].as_py()], seeds)
+                rows += [(batch.column("row")[at].as_py(), key, *x, len(index.items[k])) for k, *x in index.found(tokens, least, share)]
+            cols = list(zip(*rows, strict=True)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "key" else pa.int64()) for k, c in zip(names, cols, strict=True)], names=names)
+
+    return both.mapInArrow(of, "row long, " + ROWS.split(", ", 1)[1])
+
+
 def overlaps(
     docs: DataFrame, tests: DataFrame, text: str = "text", doc_id: str = "doc_id", test_text: str = "text", test_id: str = "item_id",
     min_match: int = 12, share: float = 0.8, seeds: tuple[str, ...] = SEEDS, max_test_bytes: int = MAX_TEST_BYTES,
@@ -173,23 +249,37 @@ def overlaps(
     items give repeated rows; ids are whole numbers or text that casts to them, and null ids stay null; other columns
     are not read; an empty table gives no rows.
 
-    The seed hashes of the test texts are joined in place with those of the documents: the test side is an index that
-    every executor holds, so documents are not shuffled.  It is taken in passes of about ``max_test_bytes`` of distinct
-    text, so what is sent does not grow with the test table.
+    Up to ``max_test_bytes`` of distinct test text the join is done in place, against an index that every executor holds,
+    and documents are not shuffled.  Beyond, documents are written once with a number; their seed hashes that pass a bit
+    table of bounded size are joined with the written hashes of the tests, and only documents with a hit meet their items.
+    Documents are read as often, and as much is held, whatever the size of the tests.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     tests = tests.select(F.col(test_id).cast("long").alias("item_id"), F.col(test_text).alias("text"), F.md5(F.col(test_text).cast("binary")).alias("key")).where(F.length("text") > 0)
-    spark, out = docs.sparkSession, None
-    for token, part in _sent(_distinct(tests), max_test_bytes):
-        index = spark.sparkContext.broadcast(part)
+    distinct = _distinct(tests)
+    size = _bytes(distinct)
+    names = ["doc_id", "item_id", *[x.split()[0] for x in ROWS.split(", ")][2:]]
+    if size > max_test_bytes:
+        numbered = cut(own.withColumn("row", F.monotonically_increasing_id()))
+        found = _verified(numbered.select("row", "text"), distinct, seeds, min_match, share, size).join(numbered.select("row", "doc_id"), "row")
+    else:
+        token, index = _sent(distinct)
 
-        def scan(batches: Iterable[pa.RecordBatch], index=index, token=token) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return _scan(batches, _opened(token, index.value, seeds), min_match, share)
 
         found = own.mapInArrow(scan, ROWS)
-        out = found if out is None else out.unionByName(found)
-    names = ["doc_id", "item_id", *[x.split()[0] for x in ROWS.split(", ")][2:]]
-    return out.join(tests.select("key", "item_id"), "key").select(*names)
+    return found.join(tests.select("key", "item_id"), "key").select(*names)
+
+
+def _bytes(distinct: DataFrame) -> int:
+    return distinct.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def _sent(distinct: DataFrame):
+    """(a name, the broadcast of keys and texts) of test texts whose size was checked."""
+    rows = distinct.collect()
+    return uuid.uuid4().hex, distinct.sparkSession.sparkContext.broadcast(([r["key"] for r in rows], [r["text"] for r in rows]))
 
 
 def drop_contaminated(
@@ -197,13 +287,17 @@ def drop_contaminated(
 ) -> DataFrame:
     """docs without the rows that overlap a test item by the rules of overlaps(); columns stay as they are.
 
-    Each row is judged where it is read, so nothing is shuffled.
+    Up to ``max_test_bytes`` of test text each row is judged where it is read, so nothing is shuffled; beyond, as in overlaps().
     """
     tests = tests.select(F.col(test_text).alias("text"), F.md5(F.col(test_text).cast("binary")).alias("key")).where(F.length("text") > 0)
-    out = docs
-    for token, part in _sent(_distinct(tests), max_test_bytes):
-        out = out.where(_clean(docs.sparkSession.sparkContext.broadcast(part), token, seeds, min_match, share)(F.col(text)))
-    return out
+    distinct = _distinct(tests)
+    size = _bytes(distinct)
+    if size <= max_test_bytes:
+        token, index = _sent(distinct)
+        return docs.where(_clean(index, token, seeds, min_match, share)(F.col(text)))
+    numbered = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")))
+    found = _verified(numbered.select("row", F.col("doc").getField(text).alias("text")), distinct, seeds, min_match, share, size)
+    return numbered.join(found.select("row").distinct(), "row", "left_anti").select("doc.*")
 
 
 def _clean(sent, token: str, seeds: tuple[str, ...], least: int, share: float):

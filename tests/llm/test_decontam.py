@@ -53,7 +53,7 @@ def test_substitutions_and_brute_force(spark):
     got = {(r["doc_id"], r["item_id"]) for r in decontam.overlaps(df, t).collect()}
     assert got == brute(docs, tests)
     assert len(got) >= 12
-    assert {(r["doc_id"], r["item_id"]) for r in decontam.overlaps(df, t, max_test_bytes=60).collect()} == got  # several passes
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.overlaps(df, t, max_test_bytes=60).collect()} == got  # joined by a shuffle
     kept = decontam.drop_contaminated(df, t, max_test_bytes=60)
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
@@ -89,3 +89,17 @@ def test_repeated_patterns_and_items(spark, monkeypatch):
     want = index.diagonals(tokens)
     monkeypatch.setattr(decontam, "HITS", 50)
     assert index.diagonals(tokens) == want and len(want) == len(set(want)) > 50
+
+
+def test_both_ways_agree_on_all_columns(spark, odd):
+    """Broadcast index and shuffled join give the same rows, with repeated items and rows, short items and nulls."""
+    line = "This very line is repeated in many documents, says nobody."
+    long = odd.where("doc_id = 11").first().text
+    items = [(1, line), (2, line), (3, "short"), (4, None), (5, ""), (6, " ".join(long.split()[50:90])), (7, "word word word"), (8, "nothing of this kind stands in any of the documents that are here at all")]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    one, two = (sorted(map(tuple, decontam.overlaps(odd, tests, max_test_bytes=n).collect()), key=repr) for n in (8 << 20, 0))
+    assert one == two and len(one) > 10
+    more = odd.withColumns({"row": F.lit("own"), "doc": F.lit(1), "key": F.lit("k")})
+    a, b = (decontam.drop_contaminated(more, tests, max_test_bytes=n) for n in (8 << 20, 0))
+    assert a.columns == b.columns == more.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert decontam.overlaps(odd, tests.where("false"), max_test_bytes=-1).count() == 0 and decontam.drop_contaminated(odd.where("false"), tests, max_test_bytes=0).count() == 0
