@@ -47,6 +47,13 @@ def queue(df: DataFrame, order: list[Column], top: int, number: int = 1, size: i
     return ranked.where(F.col("queue_rank").between((number - 1) * size + 1, number * size))
 
 
+def with_pages(page: DataFrame, rows: DataFrame, size: int, top: int | None = None) -> DataFrame:
+    """A page with ``n_total``, the rows that all pages have (``top`` at most), and ``n_pages``; a page without rows stays empty."""
+    n = rows.agg(F.count("*").alias("n")).scalar()
+    total = F.least(n, F.lit(top)) if top else n
+    return page.withColumn("n_total", total.cast("long")).withColumn("n_pages", F.ceil(F.col("n_total") / size).cast("long"))
+
+
 def formula_safe(df: DataFrame) -> DataFrame:
     """Text columns for a spreadsheet: null '', booleans true/false, and a quote before text that would start a formula."""
     def safe(name: str, kind: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotlens.functions import parsing as P
 from lotlens.functions import text as T
-from lotlens.operators import features, pick
+from lotlens.operators import features, pick, review
 from lotlens.plans import scoring
 from lotlens.plans.base import FACT, fact
 from lotlens.runtime import table
@@ -67,7 +67,7 @@ def feature_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Third page of the reviews, newest first."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return pick.page(e, [F.desc("ts"), F.desc("event_id")], 3, 40)
+    return review.with_pages(pick.page(e, [F.desc("ts"), F.desc("event_id")], 3, 40), e, 40)
 
 
 def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +150,7 @@ x as (
 select kind, name, count(*) as n from x group by all""",
     "feature_skips": _FEAT + f"""{_CHECKED}
 select parcel_id, year, array_to_string(errors, ',') as errors from chk where len(errors) > 0 and parcel_id <> ' ' and year > 0 order by parcel_id, year limit 25""",
-    "review_listing": "select event_id, ts, event_type from events order by ts desc, event_id desc limit 40 offset 80",
+    "review_listing": "select event_id, ts, event_type, count(*) over () as n_total, cast(ceil(count(*) over () / 40) as bigint) as n_pages from events order by ts desc, event_id desc limit 40 offset 80",
     "next_pages": "select o_orderkey from orders where o_orderstatus <> 'P' and o_orderkey > 500 and not o_totalprice > 200000 order by o_orderkey limit 100",
     "report_rollup": _FEAT + """select 'reason' as kind, reason as name, count(*) as n from flags where band <> 'low' group by all
 union all select 'band', band, count(*) from banded where requires_review group by all""",

@@ -253,9 +253,10 @@ def resolved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each page whether its parse failed."""
-    bad = pages.errors(pages.extract(table(spark, sf_dir, "pages"))).groupBy("page_id").agg(F.count("*").alias("n"))
-    return table(spark, sf_dir, "pages").select("page_id").join(bad, "page_id", "left").select("page_id", F.col("n").isNotNull().alias("failed"))
+    """For each page whether its parse failed, and how; some pages begin with a section that no parser knows."""
+    own = table(spark, sf_dir, "pages").select("page_id", F.concat(F.when(F.col("page_id") % 10 == 3, "<![odd[x]]>").otherwise(""), F.coalesce("html", F.lit(""))).alias("html"))
+    bad = pages.errors(pages.extract(own)).groupBy("page_id").agg(F.min("error").alias("error"), F.count("*").alias("n"))
+    return own.select("page_id").join(bad, "page_id", "left").select("page_id", F.col("n").isNotNull().alias("failed"), "error")
 
 
 def feature_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,7 +317,7 @@ from fact a left join fact b on b.parcel_id = a.parcel_id and b.yr = a.yr - 1"""
 f as (select p_partkey + 1 as num, count(distinct p_partkey) as n, min(p_partkey) as id from part group by all)
 select o_orderkey, case when o_orderstatus = 'P' then o_custkey when d.n = 1 then d.id when d.n is null and f.n = 1 then f.id end as resolved
 from orders left join d on d.num = o_custkey left join f on f.num = o_custkey""",
-    "parse_outcomes": "select page_id, false as failed from pages",
+    "parse_outcomes": "select page_id, page_id % 10 = 3 as failed, case when page_id % 10 = 3 then 'AssertionError' end as error from pages",
     "feature_flags": f"""{v._SELECTED},
 r as (
   select f.parcel_id, f.yr, txn, case when price > 0 then round(cast(v as double) / cast(price as double), 6) end as ratio,

@@ -129,7 +129,7 @@ def filter_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_queue_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir).select(*KEYS, "muni", "score", "band", F.size("triggers").alias("reason_count"))
     order = [F.desc("score"), F.desc("reason_count"), F.desc("yr"), F.asc("parcel_id")]
-    return review.queue(rows, order, 60, number=2, size=25)
+    return review.with_pages(review.queue(rows, order, 60, number=2, size=25), rows, 25, 60)
 
 
 def queue_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +373,8 @@ union all select o_orderkey, 'government_transfer' from r where m = 'BUILDING'""
     "filter_funnel": _FEAT + """select case when muni is null then 'parcel' when yr not between 1996 and 2000 then 'year' when band not in ('high', 'medium') then 'band'
        when not requires_review then 'requires_review' when not other then 'reason' else 'passed' end as stage, count(*) as n from banded group by all""",
     "review_queue_page": _FEAT + """select * from (select parcel_id, yr, muni, score, band, reason_count,
-       row_number() over (order by score desc, reason_count desc, yr desc, parcel_id) as queue_rank from banded) where queue_rank between 26 and 50""",
+       row_number() over (order by score desc, reason_count desc, yr desc, parcel_id) as queue_rank, least(60, count(*) over ()) as n_total, cast(ceil(least(60, count(*) over ()) / 25) as bigint) as n_pages
+       from banded) where queue_rank between 26 and 50""",
     "queue_csv": _FEAT + """, best as (
   select *, row_number() over (order by score desc, reason_count desc, yr desc, parcel_id) as rank from banded),
 runs as (select unnest(['run a', 'run b']) as run_id, unnest([1000, 100]) as most),

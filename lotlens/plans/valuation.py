@@ -12,10 +12,10 @@ from lotlens.runtime import table
 GROUPS = ["yr", "muni", "cls"]
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled(spark: SparkSession, sf_dir: str, in_scope: Column | None = None) -> DataFrame:
     known = fact(spark, sf_dir).withColumn("has_fact", F.lit(True))
     joined = sale(spark, sf_dir).join(known, ["parcel_id", "yr"], "left").withColumn("has_fact", F.coalesce("has_fact", F.lit(False)))
-    return ratio.label_sales(joined, GROUPS, "v", "price", F.col("st") == "P")
+    return ratio.label_sales(joined, GROUPS, "v", "price", F.col("st") == "P", in_scope)
 
 
 def sales_ratio_study(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,8 @@ def sales_ratio_study(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def study_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratio.outcome_counts(_labelled(spark, sf_dir))
+    """Sales by outcome, with a study that is limited to classes that hold a text."""
+    return ratio.outcome_counts(_labelled(spark, sf_dir, F.lower("cls").contains("st")))
 
 
 def study_years_without_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +314,7 @@ QUERIES = {f.__name__: f for f in (
 
 SQL = {
     "sales_ratio_study": _LABELLED + "select * from study",
-    "study_skips": _LABELLED + "select outcome, count(*) as n from lab group by all",
+    "study_skips": _LABELLED.replace("when st = 'P' then", "when lower(cls) not like '%st%' then 'out_of_scope' when st = 'P' then") + "select outcome, count(*) as n from lab group by all",
     "study_years_without_sales": _LABELLED + "select distinct yr from (select yr from fact union select yr + 3 from fact) where yr not in (select yr from lab)",
     "insufficient_groups": _LABELLED + "select yr, muni, cls, n, n_excluded from study where n < 2",
     "selected_sale": _SELECTED + "select * from chosen",
