@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotlens.functions.parsing import price_gap_flag
+from lotlens.functions.parsing import confidence_tier, price_gap_flag
 from lotlens.operators.pick import best_row
 
 
@@ -99,6 +99,29 @@ def dossier_match(matches: DataFrame, key: str, row_id: str) -> DataFrame:
     return best_row(matches.withColumn("is_primary", F.coalesce("is_primary", F.lit(False))), [key], order)
 
 
+def audit(transactions: DataFrame, matches: DataFrame, key: str, status: str = "review_status", sample: int = 3, accept: float = ACCEPT) -> DataFrame:
+    """(section, name, n, sample_ids): totals, review states, methods and tiers of the best match, and the review queue.
+
+    Methods and tiers are those of matched transactions.  The queue holds what needs review: unresolved without a match,
+    ambiguous with several, low_confidence where the best is below ``accept`` or unknown; a transaction may be in two
+    classes.  Only classes of the queue have the first ``sample`` ids.
+    """
+    candidates = matches.groupBy(key).agg(F.count("*").alias("__n"))
+    best = best_match(matches, key).select(key, "method", "confidence", F.lit(True).alias("__matched"))
+    rows = transactions.select(key, F.col(status).alias("__status")).join(best, key, "left").join(candidates, key, "left")
+    matched, waits = F.col("__matched").isNotNull(), F.col("__status").eqNullSafe("needs_review")
+    low = F.coalesce(F.col("confidence") < accept, F.lit(True))
+    entry = lambda section, name: F.struct(F.lit(section).alias("section"), (F.lit(name) if isinstance(name, str) else name.cast("string")).alias("name"))
+    entries = F.array_compact(F.array(
+        F.when(matched, entry("totals", "matched")).otherwise(entry("totals", "unmatched")), F.when(F.col("__status").isNotNull(), entry("review_status", F.col("__status"))), F.when(matched, entry("method", F.col("method"))),
+        F.when(matched, entry("tier", confidence_tier(F.col("confidence")))), F.when(~matched & waits, entry("queue", "unresolved")), F.when(matched & waits & (F.col("__n") > 1), entry("queue", "ambiguous")), F.when(matched & waits & low, entry("queue", "low_confidence")),
+    ))
+    each = rows.select(key, F.inline(entries)).withColumn("__label", F.concat_ws("/", "section", "name"))
+    found = first_ids(each, "__label", key, sample)
+    section = F.substring_index("__label", "/", 1)
+    return found.select(section.alias("section"), F.expr("substring(__label, length(substring_index(__label, '/', 1)) + 2)").alias("name"), "n", F.when(section == "queue", F.col("sample_ids")).alias("sample_ids"))
+
+
 def sale_signals(sales: DataFrame, facts: DataFrame) -> DataFrame:
     """sales (txn, parcel_id, yr, price) with context: facts at all, a fact of the year, permits, appeals, price gap, area.
 

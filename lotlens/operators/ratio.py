@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from lotlens.operators.order import MEDIAN, order_statistics
 
 
+def candidates(sales: DataFrame, matches: DataFrame, exclusions: DataFrame, txn: str = "txn") -> DataFrame:
+    """sales with the parcel of their primary match and ``excluded``: whether there is an active exclusion.
+
+    matches: txn, parcel_id, is_primary; exclusions: txn, is_active.  Sales without a primary match are left out; several
+    exclusions count once.
+    """
+    primary = matches.where("is_primary").select(txn, "parcel_id")
+    active = exclusions.where("is_active").select(txn).distinct().withColumn("__active", F.lit(True))
+    both = sales.join(primary, txn).join(active, txn, "left")
+    return both.withColumn("excluded", F.col("__active").isNotNull()).drop("__active")
+
+
 def label_sales(sales: DataFrame, groups: list[str], assessed: str, price: str, excluded: Column, in_scope: Column | None = None) -> DataFrame:
     """sales with ``outcome``, the first that applies: no_fact, blank_group, out_of_scope, excluded, no_value, included.
 

@@ -70,11 +70,10 @@ def exclusion_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by outcome, method and tier of their best match, each with its first three ids."""
-    best = match.best_match(entity_match_cascade(spark, sf_dir), "o_orderkey")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey").join(best, "o_orderkey", "left")
-    label = F.concat_ws("/", F.coalesce("method", F.lit("unmatched")), P.confidence_tier(F.col("confidence")), F.coalesce("review_status", F.lit("none")))
-    return match.first_ids(rows.select("o_orderkey", label.alias("label")), "label", "o_orderkey", 3)
+    """Totals, methods, tiers and the review queue of all orders, each class of the queue with its first three ids."""
+    found = cut(entity_match_cascade(spark, sf_dir))  # read for the best match and for the number of candidates
+    state = F.when(F.col("o_orderstatus") == "P", "reviewed").when(F.col("o_orderkey") % 2 == 0, "needs_review")
+    return match.audit(table(spark, sf_dir, "orders").select("o_orderkey", state.alias("review_status")), found, "o_orderkey")
 
 
 def review_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,12 +332,17 @@ select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey, coalesce(n.exclusion_
        case when o.o_orderkey is null then 'insert' when n.o_orderkey is null then case when o.o_orderkey % 3 <> 0 then 'deactivate' else 'none' end
             when o.o_orderkey % 3 <> 0 then 'keep' else 'reactivate' end as action from n full join o on n.o_orderkey = o.o_orderkey and n.exclusion_code = o.exclusion_code""",
     "match_audit": f"""with {_HITS},
-b as (select *, row_number() over (partition by o_orderkey order by is_primary desc, match_rank, confidence desc) as k from found),
+b as (select *, row_number() over (partition by o_orderkey order by is_primary desc, match_rank, confidence desc) as k, count(*) over (partition by o_orderkey) as c from found),
 a as (
-  select o.o_orderkey, coalesce(method, 'unmatched') || '/' || case when confidence is null then 'unknown' when confidence >= 0.95 then 'high' when confidence >= 0.85 then 'medium' else 'low' end || '/' || coalesce(review_status, 'none') as label
-  from orders o left join b on b.o_orderkey = o.o_orderkey and k = 1),
-n as (select *, row_number() over (partition by label order by o_orderkey) as k from a)
-select label, count(*) as n, string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) filter (where k <= 3) as sample_ids from n group by label""",
+  select o.o_orderkey, case when o_orderstatus = 'P' then 'reviewed' when o.o_orderkey % 2 = 0 then 'needs_review' end as st, method, confidence, c, method is not null as matched from orders o left join b on b.o_orderkey = o.o_orderkey and k = 1),
+e as (
+  select o_orderkey, 'totals' as section, case when matched then 'matched' else 'unmatched' end as name from a union all select o_orderkey, 'review_status', st from a where st is not null
+  union all select o_orderkey, 'method', method from a where matched
+  union all select o_orderkey, 'tier', case when confidence is null then 'unknown' when confidence >= 0.95 then 'high' when confidence >= 0.85 then 'medium' else 'low' end from a where matched
+  union all select o_orderkey, 'queue', 'unresolved' from a where not matched and st = 'needs_review' union all select o_orderkey, 'queue', 'ambiguous' from a where matched and c > 1 and st = 'needs_review'
+  union all select o_orderkey, 'queue', 'low_confidence' from a where matched and confidence < 0.85 and st = 'needs_review'),
+n as (select *, row_number() over (partition by section, name order by o_orderkey) as k from e)
+select section, name, count(*) as n, case when section = 'queue' then string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) filter (where k <= 3) end as sample_ids from n group by section, name""",
     "review_outcomes": f"""with {_HITS}, g as (select o_orderkey, count(*) as n, max(confidence) as best from found group by all)
 select o.o_orderkey, case when o_orderstatus = 'P' then 'reviewed' when coalesce(n, 0) = 0 then 'unresolved' when n > 1 then 'ambiguous' when best < 0.85 then 'low_confidence' else 'unreviewed' end as outcome
 from orders o left join g on g.o_orderkey = o.o_orderkey""",

@@ -22,6 +22,18 @@ def sales_ratio_study(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratio.ratio_study(_labelled(spark, sf_dir), GROUPS, "v", "price")
 
 
+def study_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as sales, their lines as matches and exclusions: the outcomes of those with a primary match, by year and class."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("txn"), F.year("o_orderdate").alias("yr"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"))
+    line = table(spark, sf_dir, "lineitem")
+    first = line.groupBy("l_orderkey").agg(F.min(F.struct("l_linenumber", "l_partkey")).alias("m"), F.max("l_quantity").alias("q"))
+    matches = first.select(F.col("l_orderkey").alias("txn"), F.col("m.l_partkey").alias("parcel_id"), (F.col("q") > 20).alias("is_primary"))
+    exclusions = line.where("l_discount > 0.08").select(F.col("l_orderkey").alias("txn"), (F.col("l_returnflag") != "R").alias("is_active"))
+    known = fact(spark, sf_dir).withColumn("has_fact", F.lit(True))
+    joined = ratio.candidates(orders, matches, exclusions).join(known, ["parcel_id", "yr"], "left").withColumn("has_fact", F.coalesce("has_fact", F.lit(False)))
+    return ratio.label_sales(joined, GROUPS, "v", "price", F.col("excluded")).groupBy("yr", "outcome").agg(F.count("*").alias("n"), F.sum("price").alias("paid"))
+
+
 def study_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales by outcome, with a study that is limited to classes that hold a text."""
     return ratio.outcome_counts(_labelled(spark, sf_dir, F.lower("cls").contains("st")))
@@ -307,13 +319,20 @@ left join p1 on p1.parcel_id = u.parcel_id and p1.year = u.year left join m1 on
 join r on r.parcel_id = u.parcel_id and r.year = u.year"""
 
 QUERIES = {f.__name__: f for f in (
-    sales_ratio_study, study_skips, study_years_without_sales, insufficient_groups, selected_sale, peer_percentile, yoy_change, permit_rollup, appeal_rollup,
+    sales_ratio_study, study_candidates, study_skips, study_years_without_sales, insufficient_groups, selected_sale, peer_percentile, yoy_change, permit_rollup, appeal_rollup,
     payment_rollup, recent_permits, appeal_window_3y, best_record, latest_summary, year_universe, parcel_year_facts, permit_expected_change, lineage_reset,
     carry_forward_runs,
 )}
 
 SQL = {
     "sales_ratio_study": _LABELLED + "select * from study",
+    "study_candidates": f"""with {FACT},
+m as (select l_orderkey, min_by(l_partkey, (l_linenumber, l_partkey)) as parcel_id from lineitem group by l_orderkey having max(l_quantity) > 20),
+x as (select distinct l_orderkey from lineitem where l_discount > 0.08 and l_returnflag <> 'R'),
+j as (
+  select year(o_orderdate) as yr, cast(o_totalprice as decimal(14,2)) as price, case when f.parcel_id is null then 'no_fact' when x.l_orderkey is not null then 'excluded' else 'included' end as outcome
+  from orders join m on m.l_orderkey = o_orderkey left join x on x.l_orderkey = o_orderkey left join fact f on f.parcel_id = m.parcel_id and f.yr = year(o_orderdate))
+select yr, outcome, count(*) as n, sum(price) as paid from j group by all""",
     "study_skips": _LABELLED.replace("when st = 'P' then", "when lower(cls) not like '%st%' then 'out_of_scope' when st = 'P' then") + "select outcome, count(*) as n from lab group by all",
     "study_years_without_sales": _LABELLED + "select distinct yr from (select yr from fact union select yr + 3 from fact) where yr not in (select yr from lab)",
     "insufficient_groups": _LABELLED + "select yr, muni, cls, n, n_excluded from study where n < 2",

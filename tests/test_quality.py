@@ -86,3 +86,26 @@ def test_corrective_deeds(spark, text, code):
     df = spark.createDataFrame([(1, None, None, text)], "k int, arms boolean, usable boolean, deed string")
     got = {r.exclusion_code for r in rules.sale_exclusions(df, "k", "arms", "usable", ["deed"], ["deed"]).collect()}
     assert ("corrective_deed" in got) == code and ("family_transfer" in got) == (text == "intrafamily")
+
+
+def test_audit_classes_overlap(spark):
+    txns = spark.createDataFrame([(1, "needs_review"), (2, "needs_review"), (3, "needs_review"), (4, "reviewed"), (5, None), (6, "needs_review")], "t int, review_status string")
+    matches = spark.createDataFrame([
+        (1, "p", "normalized_address", 0.9, 1, False), (1, "q", "normalized_address", 0.9, 2, False), (2, "p", "normalized_legal_description", 0.8, 1, False), (2, "q", "normalized_legal_description", 0.8, 2, False),
+        (4, "p", "normalized_legal_description", 0.8, 1, False), (6, "p", "exact_parcel_number", 1.0, 1, True),
+    ], "t int, p string, method string, confidence double, match_rank int, is_primary boolean")
+    got = {(r.section, r.name): (r.n, r.sample_ids) for r in match.audit(txns, matches, "t", sample=1).collect()}
+    assert got == {
+        ("totals", "matched"): (4, None), ("totals", "unmatched"): (2, None), ("review_status", "needs_review"): (4, None), ("review_status", "reviewed"): (1, None), ("method", "normalized_address"): (1, None),
+        ("method", "normalized_legal_description"): (2, None), ("method", "exact_parcel_number"): (1, None), ("tier", "medium"): (1, None), ("tier", "low"): (2, None), ("tier", "high"): (1, None),
+        ("queue", "unresolved"): (1, "3"), ("queue", "ambiguous"): (2, "1"), ("queue", "low_confidence"): (1, "2"),
+    }
+
+
+def test_candidates_have_a_primary_match(spark):
+    from lotlens.operators import ratio
+
+    sales = spark.createDataFrame([(1, 5.0), (2, 6.0), (3, 7.0)], "txn int, price double")
+    matches = spark.createDataFrame([(1, "p", True), (1, "q", False), (2, "q", True), (3, "r", None)], "txn int, parcel_id string, is_primary boolean")
+    exclusions = spark.createDataFrame([(2, True), (2, True), (1, False)], "txn int, is_active boolean")
+    assert sorted(tuple(r[c] for c in ("txn", "parcel_id", "excluded")) for r in ratio.candidates(sales, matches, exclusions).collect()) == [(1, "p", False), (2, "q", True)]
