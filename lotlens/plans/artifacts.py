@@ -175,7 +175,7 @@ j as (
   select m.profile_name, m.metric, run_id, value, baseline, coalesce(history, 0) as history, gone, (value - baseline) / nullif(baseline, 0) as delta from m join l on l.profile_name = m.profile_name and m.run_id = l.last_run and m.at_ = l.last_at
   left join b on b.profile_name = m.profile_name and b.metric = m.metric),
 g as (
-  select *, case when gone then 'ignored_metric_unavailable_for_profile' when value is null then 'ignored_missing_subject_value' when history < 3 then 'ignored_insufficient_history' when coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
+  select *, case when gone then 'ignored_unavailable_profile' when value is null then 'ignored_missing_subject_value' when history < 3 then 'ignored_insufficient_history' when coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
          case when delta >= 1 then 'critical' when delta >= 0.5 then 'warn' else 'ok' end as sev from j)
 select profile_name, metric, run_id, value, baseline, history, case when ign is not null then 'ok' else sev end as severity,
        coalesce(ign, case when sev = 'ok' then 'ok_within_threshold' else sev || '_relative_delta' end) as reason from g""",

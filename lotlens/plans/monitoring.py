@@ -165,17 +165,29 @@ def load_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's last day against the nearest-rank median of their successful runs in the 30 days before it."""
+    """All families of load metrics of each user: the last day's seconds, settings and largest setting against the nearest-rank
+    medians of the successful runs in the 30 days before it; failures, hours since a success and since a purchase, and clicks as they are.
+    """
     runs = _runs(spark, sf_dir).where("user_id is not null")
     split = _now() - F.expr("interval 1 day")
-    good = F.col("ok") & (F.col("at") <= split)
-    late = F.when(F.col("at") > split, F.col("seconds"))
-    sums = {"late": late, "n_late": F.when(late.isNotNull(), 1).otherwise(0), "bad": F.when(F.col("ok"), 0).otherwise(1), "all": F.lit(1)}
-    rows = order_statistics(runs.withColumn("past", F.when(good, F.col("seconds"))), ["user_id"], "past", {"baseline": nearest_rank(0.5)}, sums)
-    rows = rows.select("user_id", "baseline", F.col("n").alias("history"), F.round(F.try_divide(F.col("late"), F.col("n_late")), 4).alias("value"), F.round(F.col("bad") / F.col("all"), 4).alias("failed"))
-    long = rows.select("user_id", "baseline", "history", F.expr("stack(3, 'duration', value, 'volume', value, 'failure_rate', failed) as (family, value)"))
+    late, past = F.col("at") > split, F.col("ok") & (F.col("at") <= split)
+    measure = lambda name, c: F.struct(F.lit(name).alias("measure"), c.cast("double").alias("x"))
+    long = runs.select("user_id", late.alias("late"), past.alias("past"), F.inline(F.array(measure("seconds", F.col("seconds")), measure("k", F.col("k")))))
+    sums = {"late_sum": F.when(F.col("late"), F.col("x")), "late_n": F.when(F.col("late") & F.col("x").isNotNull(), 1).otherwise(0)}
+    found = order_statistics(long.withColumn("past_x", F.when(F.col("past"), F.col("x"))), ["user_id", "measure"], "past_x", {"baseline": nearest_rank(0.5)}, sums)
+    mean = F.round(F.try_divide(F.col("late_sum"), F.col("late_n")), 4)
+    named = F.when(F.col("measure") == "seconds", F.array(F.lit("duration"))).otherwise(F.array(F.lit("volume"), F.lit("queue_size")))
+    relative = found.select("user_id", F.explode(named).alias("family"), mean.alias("value"), "baseline", F.col("n").alias("history"))
+    hours = lambda cond: F.round((F.unix_timestamp(_now()) - F.unix_timestamp(F.max(F.when(cond, F.col("at"))))) / 3600.0, 2)
+    n = F.count("*")
+    own = runs.groupBy("user_id").agg(
+        n.alias("n"), F.round(F.count_if(~F.col("ok")) / n, 4).alias("failed"), hours(F.col("ok") & (F.col("k") > 50)).alias("scored"), hours(F.col("event_type") == "purchase").alias("bought"), F.count_if(F.col("event_type") == "click").cast("double").alias("clicks"),
+    )
+    one = lambda family, c: F.struct(F.lit(family).alias("family"), F.col(c).alias("value"), F.lit(None).cast("double").alias("baseline"), F.col("n").alias("history"))
+    single = own.select("user_id", F.inline(F.array(one("failure_rate", "failed"), one("freshness.hours_since_last_successful_score_pipeline", "scored"), one("freshness", "bought"), one("case_review_in_review_count", "clicks"))))
+    rows = relative.unionByName(single)
     severity, reason = monitor.load_severity(F.col("family"), F.col("value"), F.col("baseline"), F.col("history"))
-    return long.select("user_id", "family", "value", "baseline", severity.alias("severity"), reason.alias("reason"))
+    return rows.select("user_id", "family", "value", "baseline", severity.alias("severity"), reason.alias("reason"))
 
 
 def failure_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,18 +441,26 @@ select profile, w as "window", count(*) as n, count(*) filter (where not ok) as
        case when count(seconds) filter (where ok) >= 5 then quantile_disc(case when ok then seconds end, 0.95) end as p95, round(count(*) filter (where not ok) / count(*), 4) as failed_fraction
 from x group by all""",
     "load_signals": f"""with {_RUNS},
-u as (
-  select user_id, quantile_disc(case when ok and at_ <= timestamp '{NOW}' - interval 1 day then seconds end, 0.5) as baseline, count(seconds) filter (where ok and at_ <= timestamp '{NOW}' - interval 1 day) as history,
-         round(avg(seconds) filter (where at_ > timestamp '{NOW}' - interval 1 day), 4) as value, round(count(*) filter (where not ok) / count(*), 4) as failed from runs group by all),
+x as (select user_id, at_ > timestamp '{NOW}' - interval 1 day as late, ok and at_ <= timestamp '{NOW}' - interval 1 day as past, unnest(['seconds', 'k']) as measure, unnest([cast(seconds as double), cast(k as double)]) as x from runs where user_id is not null),
+u as (select user_id, measure, quantile_disc(case when past then x end, 0.5) as baseline, count(x) filter (where past) as history, round(avg(x) filter (where late), 4) as value from x group by all),
+o as (
+  select user_id, count(*) as n, round(count(*) filter (where not ok) / count(*), 4) as failed, round((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where ok and k > 50)))) / 3600.0, 2) as scored,
+         round((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where event_type = 'purchase')))) / 3600.0, 2) as bought, cast(count(*) filter (where event_type = 'click') as double) as clicks from runs where user_id is not null group by all),
 l as (
-  select user_id, baseline, history, 'duration' as family, value from u union all select user_id, baseline, history, 'volume', value from u union all select user_id, baseline, history, 'failure_rate', failed from u),
+  select user_id, 'duration' as family, value, baseline, history from u where measure = 'seconds' union all select user_id, 'volume', value, baseline, history from u where measure = 'k'
+  union all select user_id, 'queue_size', value, baseline, history from u where measure = 'k' union all select user_id, 'failure_rate', failed, null, n from o
+  union all select user_id, 'freshness.hours_since_last_successful_score_pipeline', scored, null, n from o union all select user_id, 'freshness', bought, null, n from o union all select user_id, 'case_review_in_review_count', clicks, null, n from o),
 g as (
-  select *, case when value is null then 'ignored_missing_subject_value' when family <> 'failure_rate' and history < 3 then 'ignored_insufficient_history' when family <> 'failure_rate' and coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
-         case family when 'duration' then case when (value - baseline) / nullif(baseline, 0) >= 1 then 'critical' when (value - baseline) / nullif(baseline, 0) >= 0.5 then 'warn' else 'ok' end
-                     when 'volume' then case when abs((value - baseline) / nullif(baseline, 0)) >= 0.6 then 'critical' when abs((value - baseline) / nullif(baseline, 0)) >= 0.35 then 'warn' else 'ok' end
-                     else case when value >= 0.2 then 'critical' when value >= 0.1 then 'warn' else 'ok' end end as sev from l),
-h as (select *, case when ign is not null then 'ok' else sev end as severity from g)
-select user_id, family, value, baseline, severity, coalesce(ign, case when severity = 'ok' then 'ok_within_threshold' else severity || case family when 'failure_rate' then '_failure_rate' else '_relative_delta' end end) as reason from h""",
+  select *, (value - baseline) / nullif(baseline, 0) as delta, family in ('duration', 'volume', 'queue_size') as rel from l),
+h as (
+  select *, case when value is null and (starts_with(family, 'freshness') or family = 'failure_rate') then 'ignored_insufficient_history' when value is null then 'ignored_missing_subject_value'
+         when (rel or family = 'failure_rate') and history < 3 then 'ignored_insufficient_history' when rel and coalesce(baseline, 0) = 0 then 'ignored_invalid_baseline' end as ign,
+         case family when 'duration' then case when delta >= 1 then 'critical' when delta >= 0.5 then 'warn' else 'ok' end when 'volume' then case when abs(delta) >= 0.6 then 'critical' when abs(delta) >= 0.35 then 'warn' else 'ok' end
+           when 'queue_size' then case when abs(delta) >= 0.6 then 'critical' when abs(delta) >= 0.35 then 'warn' else 'ok' end when 'failure_rate' then case when value >= 0.2 then 'critical' when value >= 0.1 then 'warn' else 'ok' end
+           when 'freshness' then case when value >= 72 then 'critical' when value >= 48 then 'warn' else 'ok' end when 'case_review_in_review_count' then case when value >= 50 then 'critical' when value >= 25 then 'warn' else 'ok' end
+           else case when value >= 60 then 'critical' when value >= 36 then 'warn' else 'ok' end end as sev from g),
+i as (select *, case when ign is not null then 'ok' else sev end as severity from h)
+select user_id, family, value, baseline, severity, coalesce(ign, case when severity = 'ok' then 'ok_within_threshold' else severity || case when starts_with(family, 'freshness') then '_freshness' when family = 'failure_rate' then '_failure_rate' else '_relative_delta' end end) as reason from i""",
     "failure_fractions": f"""with {_RUNS}, r as (select profile, user_id, cast(at_ as date) as day, bool_or(event_type = 'error') as f, bool_or(event_type = 'signup') as b from runs group by all)
 select profile, count(*) as n, round(count(*) filter (where f) / count(*), 4) as failed, round(count(*) filter (where b) / count(*), 4) as blocked from r group by all""",
     "freshness_hours": f"""with {_RUNS} select profile, event_type, round(greatest((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where k > 10)))) / 3600.0, 0), 2) as hours from runs group by all""",
