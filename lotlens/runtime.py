@@ -27,6 +27,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lotlens-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written below its scratch folder; results that read from there must be stored before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lotlens-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it from there: later steps neither recompute nor lose it with an executor.
 

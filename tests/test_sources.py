@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotlens.operators import facts, monitor, order, review
+from lotlens.operators import facts, order, review
 from lotlens.sources import imports
 
 

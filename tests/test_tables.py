@@ -99,3 +99,15 @@ def test_columns(spark, target):
         target.upsert(frame(spark, [(1, 1, "a")]).withColumn("more", F.lit(1)))
     with pytest.raises(ValueError):
         KeyedTable(spark, "x", ["a"], ["b"])
+
+
+def test_scratch_is_cleared(spark):
+    from lotlens import runtime
+
+    kept = runtime.cut(spark.range(3).toDF("k"))
+    folder = Path(runtime.scratch(spark, "x").removeprefix("file:")).parent
+    assert kept.count() == 3 and any(folder.iterdir())
+    runtime.clear_scratch(spark)
+    assert not folder.exists()
+    runtime.clear_scratch(spark)
+    assert runtime.cut(spark.range(2).toDF("k")).count() == 2
