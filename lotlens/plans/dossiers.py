@@ -35,7 +35,7 @@ def _sections(spark: SparkSession, sf_dir: str, facts: DataFrame, sources: dict[
         F.col("l_partkey").alias("parcel_id"), (F.col("l_orderkey") * 10 + n).alias("appeal_id"), F.year("l_shipdate").alias("year"), F.when(F.col("l_tax") > 0.04, F.to_date("l_shipdate")).alias("decided"), F.col("l_returnflag").alias("outcome"), F.col("l_extendedprice").cast("decimal(14,2)").alias("amount"),
     )
     scored = cut(rules.score(scoring.feature_rows(spark, sf_dir)).select("parcel_id", F.col("yr").alias("year"), "score", "band", "triggers", "peer_percentile", "assessment_to_sale_ratio"))
-    peers = scored.select("parcel_id", "year", F.round("peer_percentile", 4).alias("peer_percentile"), F.round("assessment_to_sale_ratio", 4).alias("ratio"))
+    peers = scored.select("parcel_id", "year", F.col("peer_percentile").cast("decimal(20,4)").alias("peer_percentile"), F.col("assessment_to_sale_ratio").cast("decimal(20,6)").alias("ratio"))
     reasons = scored.select("parcel_id", "year", "score", "band", F.array_join(F.transform("triggers", lambda t: t["reason"]), ",").alias("reasons"))
     p, cents = F.col("parcel_id"), lambda c: F.col(c).cast("double")
     none = F.lit(None).cast("date")
@@ -101,7 +101,7 @@ pm as (
 ap as (
   select l_partkey as parcel_id, l_orderkey * 10 + l_linenumber as appeal_id, year(l_shipdate) as year, case when l_tax > 0.04 then cast(l_shipdate as date) end as decided, l_returnflag as outcome,
          cast(l_extendedprice as decimal(14,2)) as amount from lineitem where l_linenumber = 7),
-pe as (select parcel_id, yr as year, round(peer_percentile, 4) as peer_percentile, round(assessment_to_sale_ratio, 4) as ratio from feat),
+pe as (select parcel_id, yr as year, cast(peer_percentile as decimal(20,4)) as peer_percentile, cast(assessment_to_sale_ratio as decimal(20,6)) as ratio from feat),
 rs as (
   select b.parcel_id, b.yr as year, b.score, b.band, coalesce(string_agg(reason, ',' order by reason_rank), '') as reasons from banded b left join flags f on f.parcel_id = b.parcel_id and f.yr = b.yr group by b.parcel_id, b.yr, b.score, b.band),
 ev as (
