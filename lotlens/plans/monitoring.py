@@ -178,7 +178,8 @@ def load_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean = F.round(F.try_divide(F.col("late_sum"), F.col("late_n")), 4)
     named = F.when(F.col("measure") == "seconds", F.array(F.lit("duration"))).otherwise(F.array(F.lit("volume"), F.lit("queue_size")))
     relative = found.select("user_id", F.explode(named).alias("family"), mean.alias("value"), "baseline", F.col("n").alias("history"))
-    hours = lambda cond: F.round((F.unix_timestamp(_now()) - F.unix_timestamp(F.max(F.when(cond, F.col("at"))))) / 3600.0, 2)
+    seconds = lambda cond: F.unix_timestamp(_now()) - F.unix_timestamp(F.max(F.when(cond, F.col("at"))))
+    hours = lambda cond: F.floor((seconds(cond) * 200 + 3600) / 7200) / 100.0  # noqa: E731  two digits, ties half up in whole numbers
     n = F.count("*")
     own = runs.groupBy("user_id").agg(
         n.alias("n"), F.round(F.count_if(~F.col("ok")) / n, 4).alias("failed"), hours(F.col("ok") & (F.col("k") > 50)).alias("scored"), hours(F.col("event_type") == "purchase").alias("bought"), F.count_if(F.col("event_type") == "click").cast("double").alias("clicks"),
@@ -444,8 +445,8 @@ from x group by all""",
 x as (select user_id, at_ > timestamp '{NOW}' - interval 1 day as late, ok and at_ <= timestamp '{NOW}' - interval 1 day as past, unnest(['seconds', 'k']) as measure, unnest([cast(seconds as double), cast(k as double)]) as x from runs where user_id is not null),
 u as (select user_id, measure, quantile_disc(case when past then x end, 0.5) as baseline, count(x) filter (where past) as history, round(avg(x) filter (where late), 4) as value from x group by all),
 o as (
-  select user_id, count(*) as n, round(count(*) filter (where not ok) / count(*), 4) as failed, round((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where ok and k > 50)))) / 3600.0, 2) as scored,
-         round((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where event_type = 'purchase')))) / 3600.0, 2) as bought, cast(count(*) filter (where event_type = 'click') as double) as clicks from runs where user_id is not null group by all),
+  select user_id, count(*) as n, round(count(*) filter (where not ok) / count(*), 4) as failed, floor(((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where ok and k > 50)))) * 200 + 3600) / 7200) / 100.0 as scored,
+         floor(((floor(epoch(timestamp '{NOW}')) - floor(epoch(max(at_) filter (where event_type = 'purchase')))) * 200 + 3600) / 7200) / 100.0 as bought, cast(count(*) filter (where event_type = 'click') as double) as clicks from runs where user_id is not null group by all),
 l as (
   select user_id, 'duration' as family, value, baseline, history from u where measure = 'seconds' union all select user_id, 'volume', value, baseline, history from u where measure = 'k'
   union all select user_id, 'queue_size', value, baseline, history from u where measure = 'k' union all select user_id, 'failure_rate', failed, null, n from o
