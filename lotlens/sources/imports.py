@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -52,54 +53,81 @@ def plain_name(name: str, loose: bool) -> str:
     return re.sub(r"[\s_-]+", " ", name.lower().rstrip(":#")).strip() if loose else name
 
 
+def _files(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str, list[str], Iterator[list[str]]]]:
+    """Path, sha256, header and data rows of each file; text is decoded piece by piece, one file at a time."""
+    csv.field_size_limit(1 << 30)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            path, digest, content = (batch.column(k)[i].as_py() for k in range(3))
+            reader = csv.reader(io.TextIOWrapper(io.BytesIO(content or b""), "utf-8-sig", "replace", newline=""))
+            yield path, digest, next(reader, []), filter(None, reader)  # blank lines are no rows and have no number
+
+
+def _batch(columns: list, kinds: list[pa.DataType], fields: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=fields)
+
+
 def _parse(batches: Iterable[pa.RecordBatch], loose: bool) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.map_(pa.string(), pa.string())]
     fields = [x.split()[0] for x in _ROWS.split(", ")]
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=fields)
-
-    for batch in batches:
-        for path, digest, content in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            reader = csv.reader(io.StringIO((content or b"").decode("utf-8-sig", "replace"), newline=""))
-            csv.field_size_limit(1 << 30)
-            names, held = [plain_name(n, loose) for n in next(reader, [])], []
-            for number, cells in enumerate(filter(None, reader), 1):  # blank lines are no rows and have no number
-                first = dict(reversed(list(zip(names, cells, strict=False))))  # of equal names the first
-                held.append((path, digest, number, names, len(cells), not any(c.strip() for c in cells), list(first.items())))
-                if len(held) == 2000:
-                    yield out(held)
-                    held = []
-            if held:
-                yield out(held)
+    for path, digest, header, rows in _files(batches):
+        names, number = [plain_name(n, loose) for n in header], 0
+        for held in iter(lambda: list(itertools.islice(rows, 2000)), []):  # noqa: B023
+            n = len(held)
+            first = [list(dict(reversed(list(zip(names, cells, strict=False)))).items()) for cells in held]  # of equal names the first
+            yield _batch([[path] * n, [digest] * n, range(number + 1, number + n + 1), [names] * n, [len(c) for c in held], [not any(x.strip() for x in c) for c in held], first], kinds, fields)
+            number += n
 
 
 def csv_rows(spark: SparkSession, path: str, loose: bool = False) -> DataFrame:
     """Every data row of every file: path, sha256 of the file, row number from 1, header names, and cells by name."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), "content")
-    return files.mapInArrow(lambda it: _parse(it, loose), _ROWS)
+    return _contents(spark, path).mapInArrow(lambda it: _parse(it, loose), _ROWS)
+
+
+def _contents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), "content")
+
+
+def file_error(names: list[str], locators: list[str], anchors: list[str]) -> str | None:
+    """What is wrong with a header: it must not have blank or repeated names, and of locators and of anchors, if there are any, at least one."""
+    if "" in names:
+        return "blank_header"
+    if len(set(names)) < len(names):
+        return "duplicate_header"
+    if locators and not set(locators) & set(names):
+        return "no_locator_header"
+    return "no_anchor_header" if anchors and not set(anchors) & set(names) else None
+
+
+def _bind(batches: Iterable[pa.RecordBatch], keys: dict[str, list[str]], loose: bool, locators: list[str], anchors: list[str], fields: list[str]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.int32(), *[pa.string()] * len(keys)]
+    for path, digest, header, rows in _files(batches):
+        names, number = [plain_name(n, loose) for n in header], 0
+        error = file_error(names, locators, anchors)
+        places = [[names.index(a) for a in al if a in names] for al in keys.values()]
+        for held in iter(lambda: list(itertools.islice(rows, 2000)), []):  # noqa: B023
+            n = len(held)
+            sizes = [len(c) for c in held]
+            raw = [[next((c[i] for i in at if i < size), None) for c, size in zip(held, sizes, strict=True)] if at else pa.nulls(n, pa.string()) for at in places]
+            yield _batch([[path] * n, [digest] * n, range(number + 1, number + n + 1), sizes, [not any(x.strip() for x in c) for c in held], [error] * n, [len(names)] * n, *raw], kinds, fields)
+            number += n
 
 
-def bind(rows: DataFrame, aliases: dict[str, list[str]], loose: bool, locators: list[str] = (), anchors: list[str] = ()) -> DataFrame:
-    """rows with a raw column for each field (the first alias in the header wins) and file_error for headers that fail.
+def bind(spark: SparkSession, path: str, aliases: dict[str, list[str]], loose: bool, locators: list[str] = (), anchors: list[str] = ()) -> DataFrame:
+    """Every data row of every file with a raw column for each field (the first alias in the header wins) and file_error for headers that fail.
 
     Headers must not be blank or repeated; of ``locators`` and of ``anchors`` at least one field must be bound.
     """
     keys = {f: [plain_name(a, loose) for a in al] for f, al in aliases.items()}
-    raw = {f"{f}_raw": F.coalesce(*[F.try_element_at("cells", F.lit(a)) for a in al]) for f, al in keys.items()}
-    any_of = lambda fields: F.arrays_overlap(F.col("names"), F.array(*[F.lit(a) for f in fields for a in keys[f]])) if fields else F.lit(True)
-    error = (
-        F.when(F.array_contains("names", ""), "blank_header")
-        .when(F.size(F.array_distinct("names")) < F.size("names"), "duplicate_header")
-        .when(~any_of(list(locators)), "no_locator_header")
-        .when(~any_of(list(anchors)), "no_anchor_header")
-    )
-    return rows.select("*", *[c.alias(n) for n, c in raw.items()], error.alias("file_error"), F.size("names").alias("n_names"))
+    any_of = lambda fields: [a for f in fields for a in keys[f]]
+    schema = "path string, sha256 string, row_number long, n_cells int, blank boolean, file_error string, n_names int, " + ", ".join(f"{f}_raw string" for f in keys)
+    fields = [x.split()[0] for x in schema.split(", ")]
+    return _contents(spark, path).mapInArrow(lambda it: _bind(it, keys, loose, any_of(locators), any_of(anchors), fields), schema)
 
 
 def import_sales(spark: SparkSession, path: str) -> DataFrame:
     """Sales rows with raw and normalised values, import_status and rejection_reason; rejected rows are kept."""
-    rows = bind(csv_rows(spark, path), SALES, loose=False)
+    rows = bind(spark, path, SALES, loose=False)
     raw = lambda f: F.col(f"{f}_raw")
     plain = {f"{f}_norm": T.collapsed(raw(f)) for f in SALES if f not in ("transfer_date", "recording_date", "consideration", "parcel_number", "property_address", "legal_description", "arms_length", "usable_sale")}
     rows = rows.withColumns(plain | {
@@ -121,7 +149,7 @@ def import_sales(spark: SparkSession, path: str) -> DataFrame:
 
 def _status(rows: DataFrame, reason: Column) -> DataFrame:
     out = rows.withColumn("rejection_reason", reason)
-    return out.withColumn("import_status", F.when(F.col("rejection_reason").isNull(), "loaded").otherwise("rejected")).drop("names", "cells", "blank", "file_error")
+    return out.withColumn("import_status", F.when(F.col("rejection_reason").isNull(), "loaded").otherwise("rejected")).drop("blank", "file_error")
 
 
 def _warned(rows: DataFrame, codes: dict[str, Column]) -> DataFrame:
@@ -142,7 +170,7 @@ def _parsed(rows: DataFrame, dates: list[str], years: dict[str, bool], amounts:
 
 def import_permits(spark: SparkSession, path: str) -> DataFrame:
     """Permit rows; fields that cannot be parsed warn, and a row is rejected only if blank, without locator or without time."""
-    rows = bind(csv_rows(spark, path, loose=True), PERMITS, True, ["parcel_number", "site_address"], ["applied_date", "issued_date", "finaled_date", "status_date", "permit_year"])
+    rows = bind(spark, path, PERMITS, True, ["parcel_number", "site_address"], ["applied_date", "issued_date", "finaled_date", "status_date", "permit_year"])
     rows = _parsed(rows, ["applied_date", "issued_date", "finaled_date", "status_date"], {"permit_year": False}, ["declared_valuation", "estimated_cost"])
     year, differs = P.derived_year(F.col("permit_year"), F.col("issued_date"), F.col("finaled_date"), F.col("status_date"), F.col("applied_date"))
     rows = _warned(rows, {"permit_year_mismatch": differs})
@@ -156,7 +184,7 @@ def import_permits(spark: SparkSession, path: str) -> DataFrame:
 def import_appeals(spark: SparkSession, path: str) -> DataFrame:
     """Appeal rows, as permits, that need an appeal signal (number, docket, level, reason or outcome) as well."""
     signal = ["appeal_number", "docket_number", "appeal_level", "appeal_reason", "outcome"]
-    rows = bind(csv_rows(spark, path, loose=True), APPEALS, True, ["parcel_number", "site_address"], ["filing_date", "hearing_date", "decision_date", "tax_year", *signal])
+    rows = bind(spark, path, APPEALS, True, ["parcel_number", "site_address"], ["filing_date", "hearing_date", "decision_date", "tax_year", *signal])
     rows = _parsed(rows, ["filing_date", "hearing_date", "decision_date"], {"tax_year": True}, ["value_before", "requested_value", "decided_value"])
     year, differs = P.derived_year(F.col("tax_year"), F.col("decision_date"), F.col("hearing_date"), F.col("filing_date"))
     clean = lambda f: T.without_null_tokens(F.col(f"{f}_raw"))
