@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotlens.operators import monitor
 from lotlens.operators.order import nearest_rank, order_statistics
-from lotlens.runtime import scratch, table
+from lotlens.runtime import cut, scratch, table
 from lotlens.sources import artifacts as A
 
 NOW = "2024-01-31 00:00:00"
@@ -57,7 +57,8 @@ def _written(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.read(spark, _written(spark, sf_dir), lines=True)
+    """All documents, parsed once and written: what is picked from them reads them several times."""
+    return cut(A.read(spark, _written(spark, sf_dir), lines=True), "zstd")
 
 
 def _now() -> Column:
@@ -88,7 +89,7 @@ def artifact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations of each profile's latest run against the nearest-rank median of its successful runs before."""
-    rows = A.load_metrics(_artifacts(spark, sf_dir)).where("at is not null")
+    rows = cut(A.load_metrics(A.read(spark, _written(spark, sf_dir), lines=True)).where("at is not null"), "zstd")  # read by each step below
     latest = rows.groupBy("profile_name").agg(F.max(F.struct("at", "run_id")).alias("m")).select("profile_name", F.col("m.at").alias("last_at"), F.col("m.run_id").alias("last_run"))
     both = rows.join(latest, "profile_name")
     subject = both.where("run_id = last_run and at = last_at").select("profile_name", "metric", "run_id", "value", "unavailable")

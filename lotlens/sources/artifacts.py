@@ -201,8 +201,8 @@ def load_metrics(artifacts: DataFrame) -> DataFrame:
     runs = artifacts.select(
         text(p, "$.run.run_id").alias("run_id"), F.coalesce(text(p, "$.run.profile_name"), F.lit("unknown")).alias("profile_name"), text(p, "$.run.status").alias("status"),
         F.coalesce(time(p, "$.run.finished_at"), time(p, "$.run.started_at")).alias("at"), number(p, "$.summary.duration_seconds_total").alias("total"), F.transform(items(p, "$.stages"), stage).alias("stages"), skips.alias("skips"),
-        F.explode(F.array(F.lit(None).cast("string"), *map(F.lit, STAGES))).alias("name"),
     ).where(F.col("run_id").isNotNull() & F.col("status").isin("succeeded", "failed"))
+    runs = runs.select("*", F.explode(F.array(F.lit(None).cast("string"), *map(F.lit, STAGES))).alias("name"))  # after the stages are parsed, or each metric parses them
     own = F.try_element_at(F.filter("stages", lambda x: x["stage"] == F.col("name")), F.lit(-1))
     metric = F.coalesce(F.concat(F.lit("duration.stage."), F.col("name"), F.lit(".seconds")), F.lit("duration.total_seconds"))
     skipped = F.coalesce((own["status"] == "skipped") & F.array_contains("skips", F.col("name")), F.lit(False))
