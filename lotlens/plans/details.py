@@ -10,7 +10,7 @@ from lotlens.functions import text as T
 from lotlens.operators import features, pick, review
 from lotlens.plans import scoring
 from lotlens.plans.base import FACT, fact
-from lotlens.runtime import table
+from lotlens.runtime import cut, table
 from lotlens.sources import imports, pages
 
 
@@ -87,7 +87,7 @@ def detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = f.groupBy("parcel_id").agg(F.array_sort(F.collect_list(F.struct("yr", "v"))).alias("c"))
     row = lambda tag, c: F.array_join(F.transform("c", lambda x: F.concat(F.lit(f"<{tag}>"), x[c].cast("string"), F.lit(f"</{tag}>"))), "")
     text = F.concat(F.lit("<h3>Valuation</h3><table><tr><th>Item</th>"), row("th", "yr"), F.lit("</tr><tr><td>Total</td>"), row("td", "v"), F.lit("</tr></table>"))
-    long = pages.extract(html.select(F.col("parcel_id").alias("page_id"), text.alias("html")))
+    long = cut(pages.extract(html.select(F.col("parcel_id").alias("page_id"), text.alias("html"))), "zstd")  # read several times
     turned = pages.year_columns(pages.table_records(long, "valuation"), "Item")
     return turned.select("page_id", "year", P.page_money(F.col("data")["Total"]).alias("total"))
 
@@ -97,7 +97,8 @@ def routed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fact(spark, sf_dir)
     row = F.concat(F.lit("<tr><td>"), F.when(F.col("yr") == 1996, "Credits").when(F.col("yr") == 1998, "Special charges").otherwise(F.col("yr").cast("string")), F.lit("</td><td>"), F.col("v").cast("string"), F.lit("</td></tr>"))
     html = f.groupBy("parcel_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("yr", row.alias("h")))), lambda x: x["h"]), "").alias("r"))
-    long = pages.extract(html.select(F.col("parcel_id").alias("page_id"), F.concat(F.lit("<table><tr><th>Item</th><th>Amount</th></tr>"), "r", F.lit("</table>")).alias("html")))
+    html = html.select(F.col("parcel_id").alias("page_id"), F.concat(F.lit("<table><tr><th>Item</th><th>Amount</th></tr>"), "r", F.lit("</table>")).alias("html"))
+    long = cut(pages.extract(html), "zstd")
     rows = pages.table_records(long).select("page_id", "row", F.col("data")["Item"].alias("item"), "data")
     found = pages.routed_details(rows, ["page_id"], ["row"], "item", {"credit": "^credits", "special": "^special"})
     return found.select("page_id", "detail", F.size("rows").alias("n"))

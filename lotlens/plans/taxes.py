@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotlens.runtime import table
-from lotlens.sources import pages, tax_pages
+from lotlens.sources import tax_pages
 
 
 def _row(tag: str, *cells: Column) -> Column:
@@ -36,7 +36,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tax_pages.rows_of(pages.extract(_pages(spark, sf_dir)), "tax details")
+    return tax_pages.rows_of_pages(_pages(spark, sf_dir), "tax details")
 
 
 def tax_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,6 +16,11 @@ from lotlens.functions.text import collapsed
 
 LONG = "page_id long, kind string, record int, row int, col int, section string, is_header boolean, name string, value string"
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: A tag without attributes.  Pages of such tags and texts only need no search for anything else.
+_BARE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
+#: Tags whose content is no markup.
+_RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "plaintext", "xmp"}
+ROWS = "page_id long, record int, row int, section string, is_header boolean, values array<string>"
 
 
 class _Page(HTMLParser):
@@ -27,6 +34,37 @@ class _Page(HTMLParser):
         self.term = ""
         self.quiet = 0
 
+    def read(self, html: str) -> _Page:
+        """The whole page: bare tags one after the other, any other page by the standard parser."""
+        parts = _BARE.split(html)
+        if 3 * html.count("<") != len(parts) - 1 or not _RAW.isdisjoint(map(str.lower, parts[2::3])):
+            self.feed(html)
+            HTMLParser.close(self)
+            return self
+        if parts[0]:
+            self.handle_data(unescape(parts[0]))
+        for at in range(1, len(parts), 3):
+            (self.handle_endtag if parts[at] else self.handle_bare)(parts[at + 1].lower())
+            if parts[at + 2] and self.open:
+                self.handle_data(unescape(parts[at + 2]))
+        return self
+
+    def handle_bare(self, tag: str) -> None:
+        self.handle_starttag(tag, [])
+
+    def table_rows(self, heading: str) -> list[tuple]:
+        """The rows of tables below headings that contain ``heading``, with the texts of their cells in order."""
+        found: dict[tuple[int, int], list] = {}
+        for kind, record, row, col, section, is_header, _, value in self.rows:
+            if kind == "cell" and heading in section.lower():
+                found.setdefault((record, row), []).append((col, value, section, is_header))
+        out = []
+        for (record, row), cells in found.items():
+            first = cells[0][2]
+            cells.sort(key=lambda c: c[:2])
+            out.append((record, row, first, any(c[3] for c in cells), [c[1] for c in cells]))
+        return out
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ("script", "style"):
             self.quiet += 1
@@ -93,11 +131,8 @@ def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
             rows = []
             for page_id, html in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
-                page = _Page()
                 try:
-                    page.feed(html or "")
-                    HTMLParser.close(page)
-                    rows += [(page_id, *r) for r in page.rows]
+                    rows += [(page_id, *r) for r in _Page().read(html or "").rows]
                 except (AssertionError, ValueError, TypeError) as e:  # a broken page is a row, not a failed job
                     rows.append((page_id, "error", 0, 0, 0, None, False, type(e).__name__, str(e)[:500]))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [[]] * 9, kinds, strict=True)], names=names)
@@ -108,6 +143,28 @@ def extract(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> D
     return pages.select(F.col(page_id).cast("long"), html).mapInArrow(_extract, LONG)
 
 
+def table_rows(pages: DataFrame, heading: str, page_id: str = "page_id", html: str = "html") -> DataFrame:
+    """(page_id, record, row, section, is_header, values): the rows of all tables below a heading that contains ``heading``.
+
+    A page's rows are made where it is read, so that cells need not meet by a shuffle.  Broken pages give none.
+    """
+    wanted = heading.lower()
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.list_(pa.string())]
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                rows = []
+                for page, text in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
+                    try:
+                        rows += [(page, *r) for r in _Page().read(text or "").table_rows(wanted)]
+                    except (AssertionError, ValueError, TypeError):
+                        continue
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [[]] * 6, kinds, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])
+
+    return pages.select(F.col(page_id).cast("long"), html).mapInArrow(read, ROWS)
+
+
 def key_values(long: DataFrame) -> DataFrame:
     """(page_id, name, value) from two-cell rows and dt/dd; the first of a name on a page wins."""
     cells = long.where("kind = 'cell'").groupBy("page_id", "record", "row").agg(F.max("col").alias("last"), F.min_by("value", "col").alias("name"), F.max_by("value", "col").alias("value"))

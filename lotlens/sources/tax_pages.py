@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotlens.sources import pages
+
 # Sections, labels and header words of the tables, and the names of what they become.
 VALUES, AMOUNTS, INSTALLMENTS, PAYMENTS = "Tax Values", "Tax Amounts for", "Installment Amounts", "Tax Payments for"
 TOTALS = {"Total Taxes": "total_taxes", "Total Taxes Less Credits": "total_taxes_less_credits", "Total Amount Due": "total_amount_due"}
@@ -30,8 +32,16 @@ def rows_of(long: DataFrame, heading: str) -> DataFrame:
     """
     cells = long.where((F.col("kind") == "cell") & F.lower("section").contains(heading.lower()))
     rows = cells.groupBy("page_id", "record", "row").agg(F.array_sort(F.collect_list(F.struct("col", "value"))).alias("c"), F.max("is_header").alias("is_header"), F.first("section").alias("section"))
-    year = F.nullif(F.regexp_extract("section", r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int")
-    return rows.select("page_id", "record", "row", year.alias("year"), F.transform("c", lambda x: x["value"]).alias("values"), "is_header")
+    return rows.select("page_id", "record", "row", _year(), F.transform("c", lambda x: x["value"]).alias("values"), "is_header")
+
+
+def _year() -> Column:
+    return F.nullif(F.regexp_extract("section", r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).cast("int").alias("year")
+
+
+def rows_of_pages(found: DataFrame, heading: str) -> DataFrame:
+    """The same rows straight from pages (page_id, html), dealt by page once for all that windows over them ask."""
+    return pages.table_rows(found, heading).select("page_id", "record", "row", _year(), "values", "is_header").repartition("page_id")
 
 
 def _named(names: Column, values: Column) -> Column:
@@ -39,7 +49,8 @@ def _named(names: Column, values: Column) -> Column:
     full = F.transform(names, lambda h, i: F.when(h != "", h).otherwise(F.concat(F.lit("col_"), (i + 1).cast("string"))))
     pairs = F.transform(full, lambda h, i: F.struct(h.alias("name"), F.get(values, i).alias("value")))
     later = lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda x: x["name"] == e["name"])
-    return F.map_from_entries(F.filter(pairs, later))
+    distinct = F.size(F.array_distinct(full)) == F.size(full)
+    return F.when(distinct, F.map_from_entries(pairs)).otherwise(F.map_from_entries(F.filter(pairs, later)))
 
 
 def tax_details(rows: DataFrame) -> DataFrame:
