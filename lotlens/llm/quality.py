@@ -110,7 +110,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int, text: str
     n = own.count()
     if n > most:
         own = own.where(F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1 << 30)) < int(most / n * (1 << 30)))
-    own = F.broadcast(own)  # about ``most`` rows of two numbers
+    return _joined(docs, F.broadcast(own), text, doc_id, more)  # about ``most`` rows of two numbers
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", doc_id: str = "doc_id", *more: str, send: int = 2_000_000) -> DataFrame:
+    """(text, label, more) of all labelled documents; up to ``send`` labels, which are two numbers each, go to every task."""
+    own = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("label")).where("label is not null and __id is not null")
+    return _joined(docs, F.broadcast(own) if own.count() <= send else own, text, doc_id, more)
+
+
+def _joined(docs: DataFrame, own: DataFrame, text: str, doc_id: str, more: tuple[str, ...]) -> DataFrame:
     wanted = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"), F.struct(*[F.col(c).alias(c) for c in more] or [F.lit(0).alias("none")]).alias("__more"))
     return wanted.join(own, F.col("__doc") == F.col("__id")).select(F.col("__text").alias("text"), "label", *[F.col("__more").getField(c).alias(c) for c in more])
 
