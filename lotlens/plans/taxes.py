@@ -16,16 +16,23 @@ def _row(tag: str, *cells: Column) -> Column:
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, html): a heading with the year, then tax values, amounts, installments and payments."""
     t = lambda text: F.lit(text)
-    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("ls"), F.col("l_returnflag").alias("rf"), F.col("l_quantity").cast("int").cast("string").alias("q"), F.col("l_extendedprice").cast("decimal(14,2)").cast("string").alias("p"), F.to_date("l_shipdate").cast("string").alias("d"), F.col("l_extendedprice").alias("price"))
-    n = F.col("l_linenumber").cast("string")
-    parts = F.struct(
-        "l_linenumber", "price", F.when(F.col("ls") == "O", _row("td", F.concat(t("Class "), n), F.col("q"), F.col("p"))).otherwise("").alias("values"), F.when(F.col("ls") == "F", _row("td", F.concat(t("Rate "), n, t(":")), F.col("q"))).otherwise("").alias("rates"),
-        F.when(F.col("rf") == "A", _row("td", F.concat(t("City "), n), F.concat(t("$"), F.col("p")))).otherwise("").alias("cities"), F.when(F.col("rf") == "R", _row("td", F.concat(t("Sewer "), n), F.col("q"))).otherwise("").alias("specials"),
-        _row("td", F.col("d"), F.col("p")).alias("payments"),
+    # lines that share number and price keep the order of their table, which is where the SQL's ORDER BY ends
+    line = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.struct(
+            F.col("l_linenumber").alias("n"), F.col("l_extendedprice").alias("price"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"), F.col("l_linestatus").alias("ls"), F.col("l_returnflag").alias("rf"),
+            F.col("l_quantity").cast("int").cast("string").alias("q"), F.col("l_extendedprice").cast("decimal(14,2)").cast("string").alias("p"), F.to_date("l_shipdate").cast("string").alias("d"),
+        ).alias("x"),
     )
-    of = line.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(parts)).alias("x"))
+    of = line.groupBy("o_orderkey").agg(F.sort_array(F.collect_list("x")).alias("x"))
     both = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("y"), F.col("o_totalprice").cast("decimal(14,2)").cast("string").alias("total"), F.col("o_orderstatus").alias("st")).join(of, "o_orderkey")
-    all_of = lambda name: F.array_join(F.transform("x", lambda x: x[name]), "")
+    named = lambda text, x: F.concat(t(text), x["n"].cast("string"))
+    rows = {
+        "values": lambda x: F.when(x["ls"] == "O", _row("td", named("Class ", x), x["q"], x["p"])), "rates": lambda x: F.when(x["ls"] == "F", _row("td", F.concat(named("Rate ", x), t(":")), x["q"])),
+        "cities": lambda x: F.when(x["rf"] == "A", _row("td", named("City ", x), F.concat(t("$"), x["p"]))), "specials": lambda x: F.when(x["rf"] == "R", _row("td", named("Sewer ", x), x["q"])),
+        "payments": lambda x: _row("td", x["d"], x["p"]),
+    }
+    all_of = lambda name: F.array_join(F.transform("x", rows[name]), "")
     html = F.concat(
         t("<h3>Tax Details "), F.when(F.col("st") != "P", F.col("y")).otherwise("of old"), t("</h3><table>"), _row("td", t("Tax Values")), _row("th", t("Category"), t("Land"), t("Total")), all_of("values"),
         _row("td", t("School Levy Tax Credit:"), F.concat(t("$"), F.col("total"))), all_of("rates"), _row("td", F.concat(t("Tax Amounts for "), F.col("y"))), _row("th", t("Jurisdiction"), t("Amount")), all_of("cities"),
