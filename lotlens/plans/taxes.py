@@ -48,7 +48,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tax_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The regrouped details of each page as texts."""
-    found = tax_pages.tax_details(_rows(spark, sf_dir))
+    found = tax_pages.tax_details_of_pages(_pages(spark, sf_dir), "tax details")
     text = lambda name, *keys: F.array_join(F.transform(name, lambda r: F.concat_ws("=", *[r[k] for k in keys])), ";").alias(name)
     labelled = ["tax_rate_rows", "tax_credit_rows", "installment_rows"]
     summary = lambda k: F.try_element_at("tax_amount_summary", F.lit(k)).alias(k)

@@ -21,6 +21,9 @@ _BARE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 #: Tags whose content is no markup.
 _RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "plaintext", "xmp"}
 ROWS = "page_id long, record int, row int, section string, is_header boolean, values array<string>"
+#: Pages of headings and of tables whose rows and cells are all closed, with nothing inside of headings and cells.
+_PLAIN = re.compile(r"(?:[^<]*+(?:<h([1-6])>[^<]*+</h\1>|<table>(?:[^<]*+<tr>(?:[^<]*+(?:<td>[^<]*+</td>|<th>[^<]*+</th>))*+[^<]*+</tr>)*+[^<]*+</table>))*+[^<]*+")
+_HEADING_TEXTS, _CELL_TEXTS = re.compile(r"<h[1-6]>([^<]*)<"), re.compile(r"<t[dh]>([^<]*)<")
 
 
 class _Page(HTMLParser):
@@ -124,6 +127,32 @@ class _Page(HTMLParser):
             self.rows.append(("pair", self.n["pair"], 0, 0, self.section, False, self.term, text))
 
 
+def _plain_rows(html: str, heading: str) -> list[tuple] | None:
+    """The same rows of a page that is headings and flat tables only, by patterns for whole rows; None for any other page."""
+    if not _PLAIN.fullmatch(html):
+        return None
+    clean = "&" not in html and "> " not in html and " <" not in html and " ".join(html.split()) == html
+    text = lambda t: t if clean else " ".join(unescape(t).split())
+    before, *tables = html.split("<table>")
+    out, section, wanted = [], "", not heading
+    for record, part in enumerate([before, *tables], -1):
+        body, _, after = part.rpartition("</table>")
+        if wanted and record >= 0:
+            for row, line in enumerate(body.split("<tr>")):
+                if cells := _CELL_TEXTS.findall(line):
+                    out.append((record, row - 1, section, "<th>" in line, cells if clean else [text(c) for c in cells]))
+        if "<" in after:
+            section = text(_HEADING_TEXTS.findall(after)[-1])
+            wanted = heading in section.lower()
+    return out
+
+
+def page_rows(html: str, heading: str) -> list[tuple]:
+    """(record, row, section, is_header, values) of the tables of one page below headings that contain ``heading``, in lower case."""
+    found = _plain_rows(html, heading)
+    return _Page().read(html).table_rows(heading) if found is None else found
+
+
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.string()]
     names = [x.split()[0] for x in LONG.split(", ")]
@@ -157,7 +186,7 @@ def table_rows(pages: DataFrame, heading: str, page_id: str = "page_id", html: s
                 rows = []
                 for page, text in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
                     try:
-                        rows += [(page, *r) for r in _Page().read(text or "").table_rows(wanted)]
+                        rows += [(page, *r) for r in page_rows(text or "", wanted)]
                     except (AssertionError, ValueError, TypeError):
                         continue
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [[]] * 6, kinds, strict=True)], names=[x.split()[0] for x in ROWS.split(", ")])

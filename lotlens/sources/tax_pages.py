@@ -1,10 +1,16 @@
 """Tax and assessment tables of parcel pages: sections and header rows are carried down their tables together.
 
-Input are the long rows of ``pages.extract``; a table belongs to the heading above it, which may name a year.
+Input are the long rows of ``pages.extract``; a table belongs to the heading above it, which may name a year.  The functions
+``..._of_pages`` start from pages: what is carried down a table stays within its page, so a page is finished where it is read.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +24,7 @@ SCHOOL_CREDIT = "School Levy Tax Credit"
 LISTS = ["tax_value_rows", "tax_rate_rows", "tax_jurisdiction_rows", "tax_credit_rows", "special_charge_rows", "other_tax_item_rows", "installment_rows"]
 BY_HEADER = {"JURISDICTION": "tax_jurisdiction_rows", "SPECIALS": "special_charge_rows", "OTHER TAX ITEMS": "other_tax_item_rows"}
 ZERO = ["$0.00", "0.00", "0", "$0"]
-_MAP = "map<string, string>"
+_MAP = "map<string,string>"
 
 
 def _label(text: Column) -> Column:
@@ -99,9 +105,13 @@ def tax_details(rows: DataFrame) -> DataFrame:
     sums.append(("installment_total_due", last(F.col("due").isNotNull(), F.col("due"))))
     grouped = found.groupBy("page_id", "year").agg(*[of(name).alias(name) for name in LISTS], F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in sums]).alias("sums"))
     summary = F.map_from_entries(F.filter("sums", lambda x: x["value"].isNotNull()))
+    return _flagged(grouped.select("page_id", "year", *LISTS, summary.alias("tax_amount_summary")))
+
+
+def _flagged(found: DataFrame) -> DataFrame:
     charged = lambda rows, name: F.exists(rows, lambda r: F.coalesce(~r["Amount"].isin(["", *ZERO]), F.lit(False)) & ~F.coalesce(_label(r[name]).startswith("No "), F.lit(False)))
-    return grouped.select(
-        "page_id", "year", *LISTS, summary.alias("tax_amount_summary"), (F.size("tax_credit_rows") > 0).alias("has_tax_credits"), charged(F.col("special_charge_rows"), "Specials").alias("has_special_charges"),
+    return found.select(
+        "page_id", "year", *LISTS, "tax_amount_summary", (F.size("tax_credit_rows") > 0).alias("has_tax_credits"), charged(F.col("special_charge_rows"), "Specials").alias("has_special_charges"),
         charged(F.col("other_tax_item_rows"), "Other Tax Items").alias("has_other_tax_items"),
     )
 
@@ -126,6 +136,159 @@ def detail_payments(rows: DataFrame) -> DataFrame:
     return rows.where(F.exists(values, lambda x: x != "")).select("page_id", "record", "row", "year", F.lit("tax_detail_payments").alias("source"), data.alias("data"))
 
 
+@lru_cache(4096)
+def _year_of(section: str) -> int | None:
+    said = re.search(r"(?<![0-9])([0-9]{4})(?![0-9])", section)
+    return int(said[1]) if said else None
+
+
+def _names(header: list[str], values: list[str]) -> dict[str, str]:
+    """``_named`` for one row: of equal names the last counts, at its place."""
+    out: dict[str, str] = {}
+    for i, (name, value) in enumerate(zip(header, values, strict=False), 1):
+        name = name or f"col_{i}"
+        if name in out:
+            del out[name]
+        out[name] = value
+    return out
+
+
+def _page_details(rows: list[tuple]) -> list[tuple]:
+    """``tax_details`` for the rows of one page: (year, a list of maps for each of LISTS, summary)."""
+    rows, out = sorted(rows), []
+    years = {_year_of(section): [] for section in dict.fromkeys(r[2] for r in rows)}
+    if len(years) == 1:
+        years = dict.fromkeys(years, rows)
+    else:
+        for r in rows:
+            years[_year_of(r[2])].append(r)
+    for year, own_rows in years.items():
+        lists: dict[str, list[dict]] = {name: [] for name in LISTS}
+        sums: dict[str, str] = {}
+        section, own, table, header, alive, some = "", None, None, None, False, False
+        paid = valued = amounts = parts = False
+        for record, _, _, is_header, values in own_rows:
+            if record != table:
+                table, own = record, None
+            if len(values) == 1:
+                own = values[0]
+                continue
+            if own and own != section:
+                section = own
+                paid, valued, amounts, parts = section.startswith(PAYMENTS), VALUES in section, section.startswith(AMOUNTS), section == INSTALLMENTS
+            if paid:
+                alive = False
+                continue
+            if is_header:
+                header, alive = values, True
+                continue
+            some, label, amount = True, values[0].rstrip(":").strip(" "), values[-1]
+            mapped = alive and len(header) == len(values)
+            if valued:
+                if mapped and header[0] == "Category":
+                    lists["tax_value_rows"].append(_names(header, values))
+                    continue
+                lists["tax_credit_rows" if label == SCHOOL_CREDIT else "tax_rate_rows"].append({"label": label, "amount": amount})
+                alive = False
+            elif amounts:
+                if label in TOTALS:
+                    sums[TOTALS[label]] = amount
+                elif label in CREDITS:
+                    lists["tax_credit_rows"].append({"label": label, "amount": amount})
+                elif mapped and (name := BY_HEADER.get(header[0].upper())):
+                    lists[name].append(_names(header, values))
+            elif parts:
+                lists["installment_rows"].append({"label": label, "amount": amount})
+                alive = False
+                if label == "Total Due":
+                    sums["installment_total_due"] = amount
+        if some:
+            out.append((year, *lists.values(), {k: sums[k] for k in (*TOTALS.values(), "installment_total_due") if k in sums}))
+    return out
+
+
+def _page_payments(rows: list[tuple]) -> list[tuple]:
+    """``detail_payments`` for the rows of one page: (record, row, year, data)."""
+    out, table, header, paid = [], None, None, False
+    for record, row, section, is_header, values in sorted(rows):
+        if record != table:
+            table, header, paid = record, None, False
+        if len(values) == 1:
+            if values[0].lower().startswith(PAYMENTS.lower()):
+                header, paid = None, True
+        elif paid and is_header and header is None:
+            header = values
+        elif paid and any(values):
+            data = _names([""] * len(values), values) if header is None else _names(header, values + [""] * (len(header) - len(values)))
+            out.append((record, row, _year_of(section), data))
+    return out
+
+
+class _Maps:
+    """A column of maps in the making, flat, so that no objects for rows pile up."""
+
+    def __init__(self) -> None:
+        self.keys, self.items, self.ends = [], [], [0]
+
+    def append(self, row: dict[str, str]) -> None:
+        self.keys.extend(row)
+        self.items.extend(row.values())
+        self.ends.append(len(self.keys))
+
+    def array(self) -> pa.Array:
+        return pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.items, pa.string()))
+
+
+class _Lists:
+    """A column of lists of maps."""
+
+    def __init__(self) -> None:
+        self.maps, self.ends = _Maps(), [0]
+
+    def append(self, rows: list[dict[str, str]]) -> None:
+        for row in rows:
+            self.maps.append(row)
+        self.ends.append(len(self.maps.ends) - 1)
+
+    def array(self) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), self.maps.array())
+
+
+_KINDS = {"long": pa.int64(), "int": pa.int32(), _MAP: _Maps, f"array<{_MAP}>": _Lists}
+
+
+def _by_page(found: DataFrame, heading: str, of_page: Callable[[list[tuple]], list[tuple]], schema: dict[str, str]) -> DataFrame:
+    """page_id and the columns of ``schema``, the rows that ``of_page`` makes of the table rows of each page; broken pages give none."""
+    wanted, schema = heading.lower(), {"page_id": "long", **schema}
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                columns = [kind() if isinstance(kind := _KINDS[k], type) else [] for k in schema.values()]
+                for page, html in zip(batch.column(0)[at : at + 2000].to_pylist(), batch.column(1)[at : at + 2000].to_pylist(), strict=True):
+                    try:
+                        made = of_page(pages.page_rows(html or "", wanted))
+                    except (AssertionError, ValueError, TypeError):
+                        continue
+                    for row in made:
+                        for column, value in zip(columns, (page, *row), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) if isinstance(c, list) else c.array() for c, k in zip(columns, schema.values(), strict=True)], names=list(schema))
+
+    return found.select(F.col("page_id").cast("long"), "html").mapInArrow(read, ", ".join(f"{n} {k}" for n, k in schema.items()))
+
+
+def tax_details_of_pages(found: DataFrame, heading: str) -> DataFrame:
+    """``tax_details`` of pages (page_id, html) with one page_id each; nothing is shuffled."""
+    return _flagged(_by_page(found, heading, _page_details, {"year": "int", **dict.fromkeys(LISTS, f"array<{_MAP}>"), "tax_amount_summary": _MAP}))
+
+
+def detail_payments_of_pages(found: DataFrame, heading: str) -> DataFrame:
+    """``detail_payments`` of pages (page_id, html) with one page_id each; nothing is shuffled."""
+    rows = _by_page(found, heading, _page_payments, {"record": "int", "row": "int", "year": "int", "data": _MAP})
+    return rows.select("page_id", "record", "row", "year", F.lit("tax_detail_payments").alias("source"), "data")
+
+
 def key_value_records(rows: DataFrame, source: str) -> DataFrame:
     """(page_id, record, year, source, data) of assessment summaries: rows of two plain cells are name and value, the last of a name counts.
 
