@@ -42,10 +42,6 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
 
 
-def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tax_pages.rows_of_pages(_pages(spark, sf_dir), "tax details")
-
-
 def tax_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The regrouped details of each page as texts."""
     found = tax_pages.tax_details_of_pages(_pages(spark, sf_dir), "tax details")
@@ -60,7 +56,7 @@ def tax_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tax_detail_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments of each page with their padded receipts."""
-    found = tax_pages.detail_payments(_rows(spark, sf_dir))
+    found = tax_pages.detail_payments_of_pages(_pages(spark, sf_dir), "tax details")
     d = F.col("data")
     return found.groupBy("page_id", "year", "source").agg(F.count("*").alias("n"), F.min(d["Date of Payment"]).alias("first"), F.sum(d["Amount"].cast("decimal(14,2)")).alias("total"), F.count_if(d["Receipt"] == "").alias("n_blank"))
 

@@ -54,3 +54,5 @@ def test_queries_shuffle_no_rows_of_pages(spark):
     """Lines and orders are dealt by order; of what is read from pages only sums of payments are shuffled."""
     details = taxes.tax_detail_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in details and details.index("MapInArrow") < details.index("Exchange")
+    paid = taxes.tax_detail_payments(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in paid
