@@ -134,12 +134,13 @@ def _plain_rows(html: str, heading: str) -> list[tuple] | None:
     clean = "&" not in html and "> " not in html and " <" not in html and " ".join(html.split()) == html
     text = lambda t: t if clean else " ".join(unescape(t).split())
     before, *tables = html.split("<table>")
+    texts = _CELL_TEXTS.findall
     out, section, wanted = [], "", not heading
     for record, part in enumerate([before, *tables], -1):
         body, _, after = part.rpartition("</table>")
         if wanted and record >= 0:
             for row, line in enumerate(body.split("<tr>")):
-                if cells := _CELL_TEXTS.findall(line):
+                if cells := texts(line):
                     out.append((record, row - 1, section, "<th>" in line, cells if clean else [text(c) for c in cells]))
         if "<" in after:
             section = text(_HEADING_TEXTS.findall(after)[-1])
@@ -148,9 +149,9 @@ def _plain_rows(html: str, heading: str) -> list[tuple] | None:
 
 
 def page_rows(html: str, heading: str) -> list[tuple]:
-    """(record, row, section, is_header, values) of the tables of one page below headings that contain ``heading``, in lower case."""
+    """(record, row, section, is_header, values) in order of the tables of one page below headings that contain ``heading``, in lower case."""
     found = _plain_rows(html, heading)
-    return _Page().read(html).table_rows(heading) if found is None else found
+    return sorted(_Page().read(html).table_rows(heading)) if found is None else found
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

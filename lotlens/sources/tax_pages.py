@@ -154,8 +154,8 @@ def _names(header: list[str], values: list[str]) -> dict[str, str]:
 
 
 def _page_details(rows: list[tuple]) -> list[tuple]:
-    """``tax_details`` for the rows of one page: (year, a list of maps for each of LISTS, summary)."""
-    rows, out = sorted(rows), []
+    """``tax_details`` for the rows of one page, in order: (year, a list of maps for each of LISTS, summary)."""
+    out = []
     years = {_year_of(section): [] for section in dict.fromkeys(r[2] for r in rows)}
     if len(years) == 1:
         years = dict.fromkeys(years, rows)
@@ -208,9 +208,9 @@ def _page_details(rows: list[tuple]) -> list[tuple]:
 
 
 def _page_payments(rows: list[tuple]) -> list[tuple]:
-    """``detail_payments`` for the rows of one page: (record, row, year, data)."""
+    """``detail_payments`` for the rows of one page, in order: (record, row, year, data)."""
     out, table, header, paid = [], None, None, False
-    for record, row, section, is_header, values in sorted(rows):
+    for record, row, section, is_header, values in rows:
         if record != table:
             table, header, paid = record, None, False
         if len(values) == 1:
@@ -246,9 +246,12 @@ class _Lists:
         self.maps, self.ends = _Maps(), [0]
 
     def append(self, rows: list[dict[str, str]]) -> None:
+        keys, items, ends = self.maps.keys, self.maps.items, self.maps.ends
         for row in rows:
-            self.maps.append(row)
-        self.ends.append(len(self.maps.ends) - 1)
+            keys.extend(row)
+            items.extend(row.values())
+            ends.append(len(keys))
+        self.ends.append(len(ends) - 1)
 
     def array(self) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), self.maps.array())
